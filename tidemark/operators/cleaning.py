@@ -53,11 +53,11 @@ def duplicate_rejects(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     suspects = matching(df, repeated, keys)
     counted = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    best = dedup(suspects, keys, order_by).select(*[F.col(c).alias(f"_b_{c}") for c in df.columns])
+    best = dedup(counted, keys, order_by).select(*[F.col(c).alias(f"_b_{c}") for c in counted.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in df.columns]
-    kept = counted.join(best, same, "left_semi").withColumn("_copies", F.col("_copies") - 1)
-    gone = counted.join(best, same, "left_anti")
-    return expand_copies(kept.unionByName(gone), "_copies")
+    flagged = counted.join(best.withColumn("_kept", F.lit(1)), same, "left")
+    gone = F.col("_copies") - F.coalesce("_kept", F.lit(0))
+    return expand_copies(flagged.select(*df.columns, gone.alias("_copies")), "_copies")
 
 
 # ---- nulls ------------------------------------------------------------------------------------------------------

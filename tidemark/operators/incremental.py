@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import date_parts
+from tidemark.session import one_row
 
 EPOCH = "1900-01-01 00:00:00"
 WATERMARK_SCHEMA = "tabla_nombre string, estrategia string, ultimo_proceso timestamp, ultima_ejecucion timestamp"
@@ -138,7 +139,7 @@ def ledger_get(ledger: DataFrame, consumer: str, table: str) -> DataFrame:
 
 def ledger_row(spark: SparkSession, consumer: str, table: str, version: int, at: datetime) -> DataFrame:
     """The row that records progress. Each consumer keeps its own mark on each table it reads."""
-    return spark.createDataFrame([(consumer, table, version, at)], LEDGER_SCHEMA)
+    return one_row(spark, LEDGER_SCHEMA, (consumer, table, version, at))
 
 
 def latest_version(feed: DataFrame) -> DataFrame:
@@ -168,4 +169,4 @@ def run_log_row(
 ) -> DataFrame:
     """One line of the run log. ``status`` is EXITOSO, SIN_CAMBIOS or ERROR; messages are cut at 500 characters."""
     row = (layer, table, batch_id, at, int(rows), None, int(seconds), status, (message or "")[:500])
-    return spark.createDataFrame([row], RUN_LOG_SCHEMA)
+    return one_row(spark, RUN_LOG_SCHEMA, row)

@@ -2,7 +2,7 @@
 
 No join here is forced to broadcast. Spark broadcasts a side when its size is known to be below
 ``spark.sql.autoBroadcastJoinThreshold`` (from file sizes, or measured by AQE at run time) and otherwise sort-merges,
-where AQE splits skewed partitions.
+where AQE splits partitions that are much larger than the others.
 """
 
 from __future__ import annotations
@@ -12,28 +12,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 64
-"""Ways in which the rows with a null key are spread over the shuffle."""
 
 
-def _null_salt(df: DataFrame, key: str) -> Column:
-    """0 for a real key; for a null key a number taken from the row, so that such rows do not meet in one task."""
+def _spread_key(df: DataFrame, key: str) -> Column:
+    """The key, and for a null key a hash of the row's other columns, so that such rows do not meet in one task."""
     maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
     rest = [c for c in df.columns if c != key and c not in maps]
-    spread = F.pmod(F.xxhash64(*rest), F.lit(NULL_SPREAD)).cast("int") if rest else F.lit(0)
-    return F.when(F.col(key).isNull(), spread).otherwise(F.lit(0))
+    makers = {"bigint": F.xxhash64, "int": F.hash, "string": lambda *c: F.xxhash64(*c).cast("string")}
+    maker = makers.get(df.schema[key].dataType.simpleString())
+    return F.coalesce(F.col(key), maker(*rest)) if maker and rest else F.col(key)
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Left join of ``fact`` to ``dim`` on one key; columns of ``dim`` (without its key) are appended.
 
-    ``dim`` must hold each key once. Rows of ``fact`` with a null key stay and are spread over the tasks.
+    ``dim`` must hold each key once. Rows of ``fact`` with a null key stay, match nothing, and are spread over the
+    tasks.
     """
-    dim_key = dim_key or key
-    right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_dim_salt", F.lit(0))
-    left = fact.withColumn("_salt", _null_salt(fact, key))
-    joined = left.join(right, (left[key] == right["_dim_key"]) & (left["_salt"] == right["_dim_salt"]), "left")
-    return joined.drop("_dim_key", "_dim_salt", "_salt")
+    right = dim.withColumnRenamed(dim_key or key, "_dim_key")
+    left = fact.withColumn("_join_key", _spread_key(fact, key))
+    # A hash may happen to be a key; the second condition keeps such a row from matching.
+    on = (F.col("_join_key") == F.col("_dim_key")) & left[key].isNotNull()
+    return left.join(right, on, "left").drop("_dim_key", "_join_key")
 
 
 def mark_known(

@@ -23,7 +23,7 @@ from tidemark.operators.cleaning import (
 from tidemark.operators.joins import mark_known, matching
 from tidemark.operators.quality import quality_report, quality_rules
 from tidemark.plans import marts
-from tidemark.session import work_dir
+from tidemark.session import one_row, work_dir
 from tidemark.sources.files import read_or_empty
 from tidemark.sources.tables import LakeTable
 from tidemark.spec import TableSpec
@@ -296,8 +296,8 @@ class Lakehouse:
         )
         reached = inc.next_watermark(F.col("wm"), self.watermark_mode)
         n, mark = written.select("n", F.greatest(reached, F.lit(since).cast("timestamp"))).first()
-        row = [(name, "full_load" if full else "incremental", mark, run.at)]
-        self._note("watermarks", self.spark.createDataFrame(row, inc.WATERMARK_SCHEMA))
+        row = (name, "full_load" if full else "incremental", mark, run.at)
+        self._note("watermarks", one_row(self.spark, inc.WATERMARK_SCHEMA, row))
         return n
 
     # silver

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "tidemark") -> SparkSession:
@@ -35,3 +36,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
+    """A single row of literals, for control tables. Makes one task and no Python worker."""
+    fields = [f.split(" ", 1) for f in schema.split(", ")]
+    cells = [F.lit(v).cast(kind).alias(name) for (name, kind), v in zip(fields, values, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*cells)

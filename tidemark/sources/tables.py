@@ -4,7 +4,8 @@ Where no transactional table format is installed, an upsert still must not overw
 
 * ``changes/_commit_version=N``: the rows commit N inserted or changed (for a table without keys: all its data),
 * ``data/_v=N``: the fragments commit N wrote, partitioned by the table's own columns,
-* ``commits``: one small row per fragment added or removed, written last. Only what is listed here is visible.
+* ``commits``: one row per commit that lists the fragments it added and removed, written last. Only what is listed
+  here is visible.
 
 An upsert rewrites the fragments that hold changed rows and adds one for new rows; the rest of the table is not
 touched. A run that dies halfway leaves files nobody lists, and the next run writes the same folders again. Each table
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import _differs, assert_unique
+from tidemark.session import one_row
 from tidemark.sources.files import nullable, read_or_empty, write_partitioned
 
 COMMIT_SCHEMA = (
-    "version bigint, committed_at timestamp, kind string, action string, fragment string, schema string, tag string"
+    "version bigint, committed_at timestamp, kind string, added array<string>, removed array<string>, schema string, "
+    "tag string"
 )
 FEED_FIELDS = [
     T.StructField("_change_type", T.StringType()),
@@ -51,7 +54,7 @@ class LakeTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.declared = nullable(schema) if schema is not None else None
         self.keys, self.partition_by, self.ignore = list(keys), list(partition_by), list(ignore)
-        self._newest = None
+        self._newest = ()
 
     # ---- reading --------------------------------------------------------------------------------------------
 
@@ -60,7 +63,7 @@ class LakeTable:
 
     def _head(self):
         """The newest commit; read once per object, as a table has one writer."""
-        if self._newest is None:
+        if self._newest == ():
             newest = F.max_by(F.struct("version", "schema", "tag"), "version").alias("h")
             self._newest = self.commits().agg(newest).first()["h"]
         return self._newest
@@ -89,16 +92,18 @@ class LakeTable:
 
     def _fragments(self, version: int | None) -> list[str]:
         """Live fragments. Their number is that of partitions times recent commits, as in any file listing."""
-        log = self.commits().filter(F.col("fragment").isNotNull())
+        log = self.commits()
         if version is not None:
             log = log.filter(F.col("version") <= version)
-        state = log.groupBy("fragment").agg(F.max_by("action", "version").alias("action"))
+        added = log.select(F.explode("added").alias("fragment"))
+        removed = log.select(F.explode("removed").alias("fragment"), F.lit(False).alias("live"))
+        state = added.join(removed, "fragment", "left").select("fragment", F.coalesce("live", F.lit(True)).alias("live"))
         by_version: dict[str, list] = {}
         for r in state.collect():
             by_version.setdefault(r.fragment.split("/")[0], []).append(r)
         live = []
         for folder, rows in by_version.items():
-            held = [r.fragment for r in rows if r.action == "add"]
+            held = [r.fragment for r in rows if r.live]
             # A commit of which nothing was replaced is listed as one folder, not one by one.
             live += [folder] if len(held) == len(rows) else held
         return sorted(live)
@@ -158,13 +163,9 @@ class LakeTable:
         )
 
     def _commit(self, version, at, kind, schema, added=(), removed=(), tag=None) -> int:
-        rows = [(version, at, kind, "add", f, schema.json(), tag) for f in added]
-        rows += [(version, at, kind, "remove", f, schema.json(), tag) for f in removed]
-        rows = rows or [(version, at, kind, None, None, schema.json(), tag)]
-        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
-        self._newest = None
+        row = (version, at, kind, list(added), list(removed), schema.json(), tag)
+        one_row(self.spark, COMMIT_SCHEMA, row).write.mode("append").parquet(f"{self.path}/commits")
+        self._newest = ()
         return version
 
     def append(
