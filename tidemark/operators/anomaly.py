@@ -41,7 +41,7 @@ def fill_missing_weeks(df: DataFrame, groups: Sequence[str], week: str, value: s
     """Add a zero row for each week between a group's first and last that has none; ``week`` is a date (Monday)."""
     span = df.groupBy(*groups).agg(F.min(week).alias("_first"), F.max(week).alias("_last"))
     weeks = F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 7 DAYS")))
-    grid = span.select(*groups, weeks.cast(df.schema[week].dataType).alias(week))
+    grid = span.select(*groups, weeks.alias(week))
     return grid.join(df, [*groups, week], "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
 

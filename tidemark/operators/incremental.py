@@ -30,8 +30,7 @@ CURRENT_KINDS = ("insert", "update_postimage")
 
 def _typed(df: DataFrame, column: str, value) -> Column:
     """``value`` as a literal of the column's own type, so that the comparison can be pushed into the file scan."""
-    dtype = df.schema[column].dataType
-    return F.lit(str(value) if isinstance(value, datetime) else value).cast(dtype)
+    return F.lit(value).cast(df.schema[column].dataType)
 
 
 def incremental_scan(df: DataFrame, column: str, since, lateness: str | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ def quality_rules(
     """One row per rule: failures, their share, verdict.
 
     A row whose condition is null passes unless ``null_fails``. A rule that cannot be evaluated, for instance on a
-    missing column, is recorded as not passed with no count.
+    missing column, is recorded as not passed, with a count of 0 and the label ERROR.
     """
     counts, labels = [], []
     for i, rule in enumerate(rules):
@@ -45,8 +45,8 @@ def quality_rules(
     one_row = df.agg(F.count(F.lit(1)).alias("_n"), *counts)
     results = []
     for rule, counter in labels:
-        fails = F.col(counter) if counter else F.lit(None).cast("bigint")
-        passed = F.coalesce(fails == 0, F.lit(False))
+        fails = F.col(counter) if counter else F.lit(0).cast("bigint")
+        passed = (fails == 0) if counter else F.lit(False)
         bad_label = "FALLIDA" if rule.critical else "ADVERTENCIA"
         results.append(
             F.struct(

@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +31,15 @@ from tidemark.spec import TableSpec
 SILVER_STAMPS = ("_silver_ts", "_silver_lote")
 GOLD_STAMPS = ("_gold_ts", "_gold_lote")
 COPY = ("_copia_motivo", "_copia")
+ERROR_SCHEMA = "tabla_origen string, motivo_error string, ts_error timestamp, payload string"
+RULE_SCHEMA = (
+    "tabla string, prueba string, aprobada boolean, n_fallos bigint, pct_fallo double, critica boolean, estado string, "
+    "ts_ejecucion timestamp"
+)
+REPORT_SCHEMA = (
+    "tabla string, lote_id string, ts_reporte timestamp, n_registros_bronze bigint, n_registros_silver bigint, "
+    "n_duplicados bigint, n_rechazados bigint, pct_conformes double, detalle_nulos string"
+)
 
 
 @dataclass(frozen=True)
@@ -133,7 +142,7 @@ class Run:
 
     @classmethod
     def start(cls, at: datetime | None = None) -> Run:
-        at = at or datetime.now(timezone.utc).replace(tzinfo=None)
+        at = at or datetime.now()
         return cls(at, at.date(), at.strftime("%Y%m%d_%H%M%S"))
 
 
@@ -192,9 +201,19 @@ class Lakehouse:
         self.marts = {m.name: m for m in mart_specs}
         self.kpis = {k.name: k for k in kpis}
         self.source_name, self.watermark_mode = source_name, watermark_mode
+        self._open: dict[tuple[str, str], LakeTable] | None = None
 
     # tables
 
+    def _table(self, layer: str, name: str) -> LakeTable:
+        """A table for a step; during a whole run each is opened once."""
+        opener = getattr(self, layer)
+        if self._open is None:
+            return opener(name)
+        if (layer, name) not in self._open:
+            self._open[layer, name] = opener(name)
+        return self._open[layer, name]
+
     def bronze(self, name: str) -> LakeTable:
         return LakeTable(self.spark, f"{self.root}/bronze/{name}", partition_by=self.specs[name].date_parts)
 
@@ -225,14 +244,20 @@ class Lakehouse:
         return self.control("run_log", inc.RUN_LOG_SCHEMA)
 
     def errors(self) -> DataFrame:
-        return self._log_table("errores").read()
+        """Quarantined rows of all tables."""
+        return self.reports("errores", ERROR_SCHEMA)
 
-    def _log_table(self, name: str) -> LakeTable:
-        return LakeTable(self.spark, f"{self.root}/control/{name}")
+    def reports(self, name: str, schema: str) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.root}/control/{name}", f"{schema}, carga string").drop("carga")
 
-    def _done(self, consumer: str, table: str) -> int:
-        ledger = self.control("ledger", inc.LEDGER_SCHEMA)
-        return inc.ledger_get(ledger, consumer, table).first()["ultima_version"]
+    def _report(self, name: str, load: str, rows: DataFrame) -> None:
+        """Rows about one load, in a folder of their own: a load that is repeated replaces what it said before."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/control/{name}/carga={load}")
+
+    def _done(self, consumer: str) -> dict[str, int]:
+        """table -> last version the consumer finished; one entry per table it reads."""
+        ledger = self.control("ledger", inc.LEDGER_SCHEMA).filter(F.col("consumidor") == consumer)
+        return {r[0]: r[1] for r in ledger.groupBy("tabla").agg(F.max("ultima_version")).collect()}
 
     def _finish(self, consumer: str, versions: Mapping[str, int], run: Run) -> None:
         rows = [inc.ledger_row(self.spark, consumer, t, v, run.at) for t, v in versions.items()]
@@ -264,7 +289,7 @@ class Lakehouse:
         (a run that died between its commit and its mark)."""
         marks = self.control("watermarks", inc.WATERMARK_SCHEMA)
         stored = inc.get_watermark(marks, name).first()["ultimo_proceso"]
-        table = self.bronze(name)
+        table = self._table("bronze", name)
         version = table.version()
         if version < 0:
             return stored
@@ -277,7 +302,7 @@ class Lakehouse:
         return self._logged("bronze", name, run, lambda: self._ingest(name, source, run, full))
 
     def _ingest(self, name, source, run, full) -> int | None:
-        spec, table = self.specs[name], self.bronze(name)
+        spec, table = self.specs[name], self._table("bronze", name)
         since = datetime.fromisoformat(inc.EPOCH) if full else self.watermark(name)
         rows = source(since) if callable(source) else source
         if not full:
@@ -308,12 +333,12 @@ class Lakehouse:
 
     def _clean(self, name: str, run: Run) -> int | None:
         spec, consumer = self.specs[name], f"silver.{name}"
-        bronze, table = self.bronze(name), self.silver(name)
-        since, upto = self._done(consumer, name), bronze.version()
+        bronze, table = self._table("bronze", name), self._table("silver", name)
+        since, upto = self._done(consumer).get(name, -1), bronze.version()
         if upto <= since:
             return None
         changes = inc.read_changes(bronze.feed(since), since)
-        parents = {fk.parent: self.silver(fk.parent).read() for fk in spec.parents}
+        parents = {fk.parent: self._table("silver", fk.parent).read() for fk in spec.parents}
 
         stage = work_dir(self.spark, f"stage-{name}")
         label(changes, spec, run.as_of, parents).write.parquet(stage)
@@ -325,11 +350,11 @@ class Lakehouse:
         n_dup = n_before - counts["n"]
         good = labelled.filter(F.col("_motivo").isNull()).drop("_motivo", *COPY)
 
-        tag = f"{name}@{upto}"
-        self._quarantine(spec, changes if n_dup else None, labelled, counts["bad"] + counts["corrected"], run, tag)
-        self._log_table("pruebas_calidad").append(quality_rules(good, name, spec.rules, run.at), run.at, tag=tag, once=True)
+        load = f"{name}-{upto}"
+        self._quarantine(spec, changes if n_dup else None, labelled, counts["bad"] + counts["corrected"], run, load)
+        self._report("pruebas_calidad", load, quality_rules(good, name, spec.rules, run.at))
         report = quality_report(changes, good, name, run.batch_id, run.at, n_dup, counts["bad"])
-        self._log_table("reporte_calidad").append(report, run.at, tag=tag, once=True)
+        self._report("reporte_calidad", load, report)
 
         masked = mask_null(good, spec.masked)
         dated = inc.with_date_parts(masked, spec.date_column, spec.date_parts)
@@ -338,7 +363,7 @@ class Lakehouse:
         self._finish(consumer, {name: upto}, run)
         return counts["n"] - counts["bad"]
 
-    def _quarantine(self, spec, duplicated, labelled, n_rejects, run, tag) -> None:
+    def _quarantine(self, spec, duplicated, labelled, n_rejects, run, load) -> None:
         """Rejected rows, copies of corrected rows and removed duplicates, in one append."""
         parts = []
         if n_rejects:
@@ -356,8 +381,7 @@ class Lakehouse:
             gone = duplicate_rejects(duplicated, spec.dedup_keys or spec.keys, stamp)
             parts.append(quarantine(gone, spec.name, run.at, "DUPLICADO_EXACTO"))
         if parts:
-            errors = reduce(DataFrame.unionByName, parts)
-            self._log_table("errores").append(errors, run.at, tag=tag, once=True)
+            self._report("errores", load, reduce(DataFrame.unionByName, parts))
 
     # gold
 
@@ -367,12 +391,12 @@ class Lakehouse:
 
     def _pending(self, consumer: str, tables: Mapping[str, LakeTable]) -> tuple[dict[str, int], dict[str, int]]:
         now = {n: t.version() for n, t in tables.items()}
-        done = {n: self._done(consumer, n) for n in tables}
-        return now, done
+        finished = self._done(consumer)
+        return now, {n: finished.get(n, -1) for n in tables}
 
     def _build_mart(self, mart: Mart, run: Run) -> int | None:
         consumer = f"gold.{mart.name}"
-        tables = {n: self.silver(n) for n in mart.inputs}
+        tables = {n: self._table("silver", n) for n in mart.inputs}
         now, done = self._pending(consumer, tables)
         if all(now[n] <= done[n] for n in tables):
             return None
@@ -380,7 +404,7 @@ class Lakehouse:
         if mart.base_key is not None and min(done.values()) >= 0:
             inputs = self._affected(mart, tables, inputs, done)
         rows = mart.build(inputs, run)
-        n = self._publish(self.gold(mart.name), rows, run)
+        n = self._publish(self._table("gold", mart.name), rows, run)
         self._finish(consumer, now, run)
         return n
 
@@ -416,7 +440,7 @@ class Lakehouse:
 
     def _build_kpi(self, kpi: Kpi, run: Run) -> int | None:
         consumer = f"gold.{kpi.name}"
-        tables = {n: self.gold(n) for n in kpi.sources}
+        tables = {n: self._table("gold", n) for n in kpi.sources}
         now, done = self._pending(consumer, tables)
         if all(now[n] <= done[n] for n in tables):
             return None
@@ -427,7 +451,7 @@ class Lakehouse:
             facts = [matching(f, groups, kpi.keys) for f in facts]
         rows = kpi.build(*facts)
         digest = F.sha2(F.to_json(F.struct(*kpi.keys)), 256)
-        n = self._publish(self.gold(kpi.name), rows.withColumn("_grupo", digest), run)
+        n = self._publish(self._table("gold", kpi.name), rows.withColumn("_grupo", digest), run)
         self._finish(consumer, now, run)
         return n
 
@@ -436,25 +460,29 @@ class Lakehouse:
     def run(self, sources: Mapping[str, DataFrame | Callable[[datetime], DataFrame]], at: datetime | None = None) -> Run:
         """All layers in order. ``sources`` maps table names to frames or readers."""
         run = Run.start(at)
-        for name in self.specs:
-            if name in sources:
-                self.ingest(name, sources[name], run)
-        for name in self.specs:
-            self.clean(name, run)
-        for name in self.marts:
-            self.build_mart(name, run)
-        for name in self.kpis:
-            self.build_kpi(name, run)
+        self._open = {}
+        try:
+            for name in self.specs:
+                if name in sources:
+                    self.ingest(name, sources[name], run)
+            for name in self.specs:
+                self.clean(name, run)
+            for name in self.marts:
+                self.build_mart(name, run)
+            for name in self.kpis:
+                self.build_kpi(name, run)
+        finally:
+            self._open = None
         return run
 
     def check_volumes(self, run: Run, fail: bool = True, **limits) -> DataFrame:
         """Compare the newest load of every table with those before; store the finding and raise if there is one."""
-        found = volume_anomalies(self.run_log(), detected_at=run.at.strftime("%Y-%m-%d %H:%M:%S"), **limits)
-        record = self._log_table("alertas_volumen")
-        record.append(anomaly_record(found, run.at.strftime("%Y-%m-%d %H:%M:%S")), run.at, tag=run.batch_id)
-        stored = record.read().filter(F.col("ts_deteccion") == run.at.strftime("%Y-%m-%d %H:%M:%S"))
-        anomalies = stored.filter(F.col("estado") == "ANOMALIA")
+        now = run.at.strftime("%Y-%m-%d %H:%M:%S")
+        found = volume_anomalies(self.run_log(), detected_at=now, **limits)
+        record = anomaly_record(found, now)
+        self._report("alertas_volumen", run.batch_id, record)
+        path = f"{self.root}/control/alertas_volumen/carga={run.batch_id}"
+        anomalies = self.spark.read.schema(record.schema).parquet(path).filter(F.col("estado") == "ANOMALIA")
         if fail:
             fail_on_anomalies(anomalies)
         return anomalies
-

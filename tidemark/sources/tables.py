@@ -54,58 +54,53 @@ class LakeTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.declared = nullable(schema) if schema is not None else None
         self.keys, self.partition_by, self.ignore = list(keys), list(partition_by), list(ignore)
-        self._newest = ()
+        self._rows = None
 
     # ---- reading --------------------------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
+        """The commit log: one row per version."""
         return read_or_empty(self.spark, f"{self.path}/commits", COMMIT_SCHEMA)
 
-    def _head(self):
-        """The newest commit; read once per object, as a table has one writer."""
-        if self._newest == ():
-            newest = F.max_by(F.struct("version", "schema", "tag"), "version").alias("h")
-            self._newest = self.commits().agg(newest).first()["h"]
-        return self._newest
+    def _log(self, version: int | None = None) -> list:
+        """The commit log up to ``version``, oldest first. Read once per object, as a table has one writer; its length
+        is the number of commits, not of rows."""
+        if self._rows is None:
+            columns = ("version", "kind", "added", "removed", "schema", "tag")
+            self._rows = sorted(self.commits().select(*columns).collect(), key=lambda r: r["version"])
+        return [r for r in self._rows if version is None or r["version"] <= version]
 
     def version(self) -> int:
         """The newest version, -1 before the first commit."""
-        head = self._head()
-        return -1 if head is None else head["version"]
-
-    def last_tag(self) -> str | None:
-        """The tag of the newest commit, for instance the watermark it reached."""
-        head = self._head()
-        return None if head is None else head["tag"]
+        log = self._log()
+        return log[-1]["version"] if log else -1
 
     def has_tag(self, tag: str) -> bool:
-        return not self.commits().filter(F.col("tag") == tag).isEmpty()
+        return any(r["tag"] == tag for r in self._log())
 
     def exists(self) -> bool:
-        return self.version() >= 0
+        return bool(self._log())
 
     def _schema(self) -> T.StructType | None:
-        head = self._head()
-        if head is None:
-            return self.declared
-        return T.StructType.fromJson(json.loads(head["schema"]))
+        log = self._log()
+        return T.StructType.fromJson(json.loads(log[-1]["schema"])) if log else self.declared
+
+    def _known_schema(self) -> T.StructType:
+        schema = self._schema()
+        if schema is None:
+            raise ValueError(f"{self.path} has no commit and no declared schema")
+        return schema
 
     def _fragments(self, version: int | None) -> list[str]:
         """Live fragments. Their number is that of partitions times recent commits, as in any file listing."""
-        log = self.commits()
-        if version is not None:
-            log = log.filter(F.col("version") <= version)
-        added = log.select(F.explode("added").alias("fragment"))
-        removed = log.select(F.explode("removed").alias("fragment"), F.lit(False).alias("live"))
-        state = added.join(removed, "fragment", "left").select("fragment", F.coalesce("live", F.lit(True)).alias("live"))
-        by_version: dict[str, list] = {}
-        for r in state.collect():
-            by_version.setdefault(r.fragment.split("/")[0], []).append(r)
+        log = self._log(version)
+        removed = {f for r in log for f in r["removed"]}
         live = []
-        for folder, rows in by_version.items():
-            held = [r.fragment for r in rows if r.live]
+        for row in log:
+            held = [f for f in row["added"] if f not in removed]
             # A commit of which nothing was replaced is listed as one folder, not one by one.
-            live += [folder] if len(held) == len(rows) else held
+            whole = held and len(held) == len(row["added"])
+            live += [held[0].split("/")[0]] if whole else held
         return sorted(live)
 
     def _read_fragments(self, fragments: Sequence[str], schema: T.StructType) -> DataFrame:
@@ -118,25 +113,18 @@ class LakeTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version`` (default: now). A table never written is empty but has its declared schema."""
-        schema = self._schema()
-        if schema is None:
-            raise ValueError(f"{self.path} has no commit and no declared schema")
+        schema = self._known_schema()
         if not self.keys:
-            feed = self.feed()
-            start = self.commits().filter(F.col("kind") == "overwrite")
-            start = start if version is None else start.filter(F.col("version") <= version)
-            first = start.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-            rows = feed.filter(F.col("_commit_version") >= first)
-            rows = rows if version is None else rows.filter(F.col("_commit_version") <= version)
-            return rows.select(*schema.names)
+            log = self._log(version)
+            first = max([r["version"] for r in log if r["kind"] == "overwrite"], default=0)
+            last = log[-1]["version"] if log else -1
+            return self.feed().filter(F.col("_commit_version").between(first, last)).select(*schema.names)
         return self._read_fragments(self._fragments(version), schema).select(*schema.names)
 
     def feed(self, since: int = -1) -> DataFrame:
         """The change feed after version ``since``: the table's columns, ``_change_type``, ``_commit_version`` and
         ``_commit_timestamp``. Only the folders of newer commits are read."""
-        schema = self._schema()
-        if schema is None:
-            raise ValueError(f"{self.path} has no commit and no declared schema")
+        schema = self._known_schema()
         full = T.StructType([*schema.fields, *FEED_FIELDS])
         rows = read_or_empty(self.spark, f"{self.path}/changes", full)
         newer = (F.col("_commit_version") > since) & (F.col("_commit_version") <= self.version())
@@ -165,7 +153,7 @@ class LakeTable:
     def _commit(self, version, at, kind, schema, added=(), removed=(), tag=None) -> int:
         row = (version, at, kind, list(added), list(removed), schema.json(), tag)
         one_row(self.spark, COMMIT_SCHEMA, row).write.mode("append").parquet(f"{self.path}/commits")
-        self._newest = ()
+        self._rows = None
         return version
 
     def append(
@@ -198,16 +186,16 @@ class LakeTable:
 
         full = T.StructType([*schema.fields, *FEED_FIELDS[:-1]])
         feed = self.spark.read.schema(full).parquet(changes)
-        if feed.isEmpty():
+        touched = [r["_fragment"] for r in feed.groupBy("_fragment").count().collect()]
+        if not touched:
             return version - 1
+        removed = [unquote(f) for f in touched if f is not None]
         fresh = feed.filter(F.col("_change_type") != "update_preimage").select(*schema.names)
-        stale = feed.filter(F.col("_fragment").isNotNull()).select("_fragment").distinct()
-        removed = [unquote(r["_fragment"]) for r in stale.collect()]
         rows = fresh
         if removed:
             old = self._read_fragments(removed, schema).select(*schema.names)
             rows = old.join(fresh.select(*self.keys), self.keys, "left_anti").unionByName(fresh)
-        added = self._write_fragments(rows, version)
+        added = self._write_fragments(rows, schema, version)
         return self._commit(version, at, "upsert", schema, added, removed, tag)
 
     def _changed(self, source: DataFrame, schema: T.StructType, at: datetime) -> DataFrame:
@@ -251,10 +239,10 @@ class LakeTable:
             )
         )
 
-    def _write_fragments(self, rows: DataFrame, version: int) -> list[str]:
+    def _write_fragments(self, rows: DataFrame, schema: T.StructType, version: int) -> list[str]:
         folder = f"{self.path}/data/_v={version}"
         write_partitioned(rows, folder, self.partition_by, "overwrite")
         marker = f"/data/_v={version}"
-        files = [unquote(f) for f in self.spark.read.parquet(folder).inputFiles()]
+        files = [unquote(f) for f in self.spark.read.schema(schema).parquet(folder).inputFiles()]
         return sorted({f[f.index(marker) + len("/data/") :].rsplit("/", 1)[0] for f in files})
 

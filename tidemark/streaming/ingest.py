@@ -7,7 +7,7 @@ is replayed after a failure carries the same number, and the sink recognises it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -69,7 +69,7 @@ def conformed(batch: DataFrame, spec: TableSpec, at=None) -> DataFrame:
 
 def load_to_table(
     spark: SparkSession, spec: TableSpec, folder: str, table: LakeTable, checkpoint: str, once: bool = True,
-    now: Callable[[], datetime] = lambda: datetime.now(timezone.utc), files_per_batch: int | None = None,
+    now: Callable[[], datetime] = datetime.now, files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Landing files of one table into an append-only table. A replayed batch is recognised by its tag."""
 
