@@ -117,6 +117,31 @@ def test_lake_new_rows_rewrite_nothing(lake, spark, old):
     assert lake.read().count() == 6
 
 
+def test_lake_scope_deletes(lake, spark, old, new):
+    """Keys computed anew that have no row any more go; all other rows stay."""
+    lake.upsert(old, at(1))
+    scope = spark.createDataFrame([(1,), (2,), (77,)], "id bigint")
+    lake.upsert(new.filter("id = 2"), at(2), scope=scope)
+    assert as_set(lake.read()) == as_set(old.filter("id <> 1"))
+    assert [(r.id, r["_change_type"]) for r in lake.feed(0).collect()] == [(1, "delete")]
+    lake.upsert(new.filter("1=0"), at(3), scope=lake.read().select("id"))
+    assert lake.read().isEmpty() and lake.read(1).count() == 4
+
+
+def test_lake_first_load_without_rows(lake, old):
+    lake.upsert(old.filter("1=0"), at(1))
+    assert lake.version() == 0 and lake.read().schema.names == ["id", "grp", "v"] and lake.read().isEmpty()
+
+
+def test_lake_matching_reads_only_fragments_with_hits(lake, spark, old, new):
+    lake.upsert(old, at(1))
+    lake.upsert(new, at(2))
+    found = lake.matching(spark.createDataFrame([(2,), (99,)], "id bigint"), ["id"])
+    assert as_set(found) == as_set(old.filter("id = 2"))
+    assert {f.split("/data/")[1].rsplit("/", 1)[0] for f in found.inputFiles()} == {"_v=0/grp=a"}
+    assert lake.matching(spark.createDataFrame([("none",)], "grp string"), ["grp"]).isEmpty()
+
+
 def test_lake_ignores_what_a_dead_run_left(lake, spark, old, new):
     """A run that dies before its commit leaves files; readers do not see them and the next run replaces them."""
     lake.upsert(old, at(1))

@@ -340,9 +340,7 @@ class Lakehouse:
         changes = inc.read_changes(bronze.feed(since), since)
         parents = {fk.parent: self._table("silver", fk.parent).read() for fk in spec.parents}
 
-        stage = work_dir(self.spark, f"stage-{name}")
-        label(changes, spec, run.as_of, parents).write.parquet(stage)
-        labelled = self.spark.read.parquet(stage)
+        labelled = self._staged(label(changes, spec, run.as_of, parents), name)
         counts = labelled.agg(
             F.count(F.lit(1)).alias("n"), F.count("_motivo").alias("bad"), F.count(COPY[1]).alias("corrected")
         ).first()
@@ -400,38 +398,45 @@ class Lakehouse:
         now, done = self._pending(consumer, tables)
         if all(now[n] <= done[n] for n in tables):
             return None
-        inputs = {n: t.read() for n, t in tables.items()}
-        if mart.base_key is not None and min(done.values()) >= 0:
-            inputs = self._affected(mart, tables, inputs, done)
+        if mart.base_key is None or min(done.values()) < 0:
+            inputs, scope = {n: t.read() for n, t in tables.items()}, None
+        else:
+            inputs, keys = self._affected(mart, tables, done)
+            scope = keys if list(mart.keys) == [mart.base_key] else None
         rows = mart.build(inputs, run)
-        n = self._publish(self._table("gold", mart.name), rows, run)
+        n = self._publish(self._table("gold", mart.name), rows, run, scope)
         self._finish(consumer, now, run)
         return n
 
-    def _affected(self, mart: Mart, tables, inputs, done) -> dict[str, DataFrame]:
-        """The inputs, cut to what rows of the base a change can reach; dimensions stay whole."""
-        base, key = inputs[mart.base], mart.base_key
-        reached = [tables[mart.base].feed(done[mart.base]).select(key)]
+    def _affected(self, mart: Mart, tables: Mapping[str, LakeTable], done: Mapping[str, int]):
+        """(the inputs, cut to the rows of the base a change can reach, with dimensions whole; the keys of these
+        rows)."""
+        base, key = tables[mart.base], mart.base_key
+        reached = [base.feed(done[mart.base]).select(key)]
         for dim, (fk, pk) in mart.dims.items():
             moved = tables[dim].feed(done[dim]).select(F.col(pk).alias(fk))
-            reached.append(matching(base, moved, [fk]).select(key))
+            reached.append(matching(base.read().select(key, fk), moved, [fk]).select(key))
         for child, fk in mart.children.items():
             # Old images count too: a line that moved to another visit changes both.
             reached.append(tables[child].feed(done[child]).select(F.col(fk).alias(key)))
-        keys = reduce(DataFrame.unionByName, reached).distinct()
-        cut = dict(inputs)
-        cut[mart.base] = matching(base, keys, [key])
+        keys = self._staged(reduce(DataFrame.unionByName, reached).distinct(), "keys")
+        cut = {dim: tables[dim].read() for dim in mart.dims}
+        cut[mart.base] = base.matching(keys, [key])
         for child, fk in mart.children.items():
-            cut[child] = matching(inputs[child], keys.select(F.col(key).alias(fk)), [fk])
-        return cut
-
-    def _publish(self, table: LakeTable, rows: DataFrame, run: Run) -> int:
-        """Write the rows once, then merge from there: the merge reads them several times."""
-        stage = work_dir(self.spark, "stage-gold")
-        rows.write.parquet(stage)
-        staged = self.spark.read.schema(rows.schema).parquet(stage)
+            cut[child] = tables[child].matching(keys.select(F.col(key).alias(fk)), [fk])
+        return cut, keys
+
+    def _staged(self, df: DataFrame, label: str) -> DataFrame:
+        """Write once what is read several times; the copy outlives lost executors and its size is known."""
+        path = work_dir(self.spark, f"stage-{label}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _publish(self, table: LakeTable, rows: DataFrame, run: Run, scope: DataFrame | None = None) -> int:
+        """Merge rows into a published table; keys of ``scope`` that have no row any more are removed from it."""
+        staged = self._staged(rows, table.path.rsplit("/", 1)[-1])
         stamps = {"_gold_ts": F.lit(run.at).cast("timestamp"), "_gold_lote": F.lit(run.batch_id)}
-        table.upsert(staged.withColumns(stamps), run.at)
+        table.upsert(staged.withColumns(stamps), run.at, scope=scope)
         return staged.count()
 
     def build_kpi(self, name: str, run: Run):
@@ -444,14 +449,17 @@ class Lakehouse:
         now, done = self._pending(consumer, tables)
         if all(now[n] <= done[n] for n in tables):
             return None
-        facts = [t.read() for t in tables.values()]
-        if min(done.values()) >= 0:
+        digest = F.sha2(F.to_json(F.struct(*kpi.keys)), 256)
+        scope = None
+        if min(done.values()) < 0:
+            facts = [t.read() for t in tables.values()]
+        else:
             touched = [t.feed(done[n]).select(*kpi.keys) for n, t in tables.items()]
-            groups = reduce(DataFrame.unionByName, touched).distinct()
-            facts = [matching(f, groups, kpi.keys) for f in facts]
+            groups = self._staged(reduce(DataFrame.unionByName, touched).distinct(), "groups")
+            facts = [t.matching(groups, kpi.keys) for t in tables.values()]
+            scope = groups.select(digest.alias("_grupo"))
         rows = kpi.build(*facts)
-        digest = F.sha2(F.to_json(F.struct(*kpi.keys)), 256)
-        n = self._publish(self._table("gold", kpi.name), rows.withColumn("_grupo", digest), run)
+        n = self._publish(self._table("gold", kpi.name), rows.withColumn("_grupo", digest), run, scope)
         self._finish(consumer, now, run)
         return n
 

@@ -7,8 +7,8 @@ Where no transactional table format is installed, an upsert still must not overw
 * ``commits``: one row per commit that lists the fragments it added and removed, written last. Only what is listed
   here is visible.
 
-An upsert rewrites the fragments that hold changed rows and adds one for new rows; the rest of the table is not
-touched. A run that dies halfway leaves files nobody lists, and the next run writes the same folders again. Each table
+An upsert rewrites the fragments that hold changed rows and adds one for new rows; the rest of the table is neither
+rewritten nor, but for its key columns, read. A run that dies halfway leaves files nobody lists, and the next run writes the same folders again. Each table
 has one writer at a time.
 """
 
@@ -19,11 +19,13 @@ from collections.abc import Sequence
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import _differs, assert_unique
+from tidemark.operators.incremental import CURRENT_KINDS
+from tidemark.operators.joins import matching
 from tidemark.session import one_row
 from tidemark.sources.files import nullable, read_or_empty, write_partitioned
 
@@ -121,6 +123,30 @@ class LakeTable:
             return self.feed().filter(F.col("_commit_version").between(first, last)).select(*schema.names)
         return self._read_fragments(self._fragments(version), schema).select(*schema.names)
 
+    def _located(self, keys: DataFrame, on: Sequence[str], schema: T.StructType) -> DataFrame | None:
+        """The fragments (with their names) that hold a row whose ``on`` columns appear in ``keys``.
+
+        Found by a pass over these columns alone, so that the wide read after it skips the rest of the table.
+        """
+        live = self._fragments(None)
+        if not live:
+            return None
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(_v=.*)/[^/]+$", 1).alias("_fragment")
+        narrow = self._read_fragments(live, schema).select(*on, name)
+        hit = [unquote(r[0]) for r in matching(narrow, keys, on).select("_fragment").distinct().collect()]
+        return self._read_fragments(sorted(hit), schema).select(*schema.names, name) if hit else None
+
+    def matching(self, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+        """Rows whose ``on`` columns appear in ``keys``, null matching null. Reads only fragments that hold any.
+
+        ``keys`` is read twice, so hand over a written table or something as cheap.
+        """
+        schema = self._known_schema()
+        held = self._located(keys, on, schema)
+        if held is None:
+            return self.spark.createDataFrame([], schema)
+        return matching(held, keys, on).select(*schema.names)
+
     def feed(self, since: int = -1) -> DataFrame:
         """The change feed after version ``since``: the table's columns, ``_change_type``, ``_commit_version`` and
         ``_commit_timestamp``. Only the folders of newer commits are read."""
@@ -172,64 +198,68 @@ class LakeTable:
         write_partitioned(rows, f"{self.path}/changes/_commit_version={version}", self.partition_by, "overwrite")
         return self._commit(version, at, kind, schema, tag=tag)
 
-    def upsert(self, df: DataFrame, at: datetime, tag: str | None = None) -> int:
+    def upsert(self, df: DataFrame, at: datetime, tag: str | None = None, scope: DataFrame | None = None) -> int:
         """Merge ``df`` (one row per key) into the table. Rows equal to what is there are left alone; if all are, no
         version is made. Returns the newest version.
 
-        ``df`` is read more than once, so hand over a written table or something as cheap.
+        ``scope`` holds keys that were computed anew: those of them that ``df`` does not have are deleted. ``df`` and
+        ``scope`` are read more than once, so hand over written tables or something as cheap.
         """
         assert_unique(df, self.keys)
         version, schema = self.version() + 1, self._evolve(df.schema)
         source = self._cast(df, schema)
         changes = f"{self.path}/changes/_commit_version={version}"
-        self._changed(source, schema, at).write.mode("overwrite").parquet(changes)
+        self._changed(source, schema, at, scope).write.mode("overwrite").parquet(changes)
 
         full = T.StructType([*schema.fields, *FEED_FIELDS[:-1]])
         feed = self.spark.read.schema(full).parquet(changes)
         touched = [r["_fragment"] for r in feed.groupBy("_fragment").count().collect()]
         if not touched:
-            return version - 1
+            # A table that gets its first, empty, load exists from then on, with its schema.
+            return version - 1 if version else self._commit(version, at, "upsert", schema, tag=tag)
         removed = [unquote(f) for f in touched if f is not None]
-        fresh = feed.filter(F.col("_change_type") != "update_preimage").select(*schema.names)
-        rows = fresh
+        rows = feed.filter(F.col("_change_type").isin(*CURRENT_KINDS)).select(*schema.names)
         if removed:
             old = self._read_fragments(removed, schema).select(*schema.names)
-            rows = old.join(fresh.select(*self.keys), self.keys, "left_anti").unionByName(fresh)
+            rows = old.join(feed.select(*self.keys), self.keys, "left_anti").unionByName(rows)
         added = self._write_fragments(rows, schema, version)
         return self._commit(version, at, "upsert", schema, added, removed, tag)
 
-    def _changed(self, source: DataFrame, schema: T.StructType, at: datetime) -> DataFrame:
+    def _changed(self, source: DataFrame, schema: T.StructType, at: datetime, scope: DataFrame | None) -> DataFrame:
         """Feed rows that bring the table to ``source``."""
+        wanted = source.select(*self.keys)
+        if scope is not None:
+            wanted = wanted.unionByName(scope.select(*self.keys))
         stamp = F.lit(at).cast("timestamp")
-        live = self._fragments(None)
-        if not live:
+        held = self._located(wanted, self.keys, schema)
+        if held is None:
             return source.withColumns(
                 {"_change_type": F.lit("insert"), "_commit_timestamp": stamp, "_fragment": F.lit(None).cast("string")}
             )
-        current = self._read_fragments(live, schema)
-        where = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(_v=.*)/[^/]+$", 1)
-        held = current.select(*schema.names, where.alias("_fragment"))
-        wanted = source.select(*self.keys)
-        # The narrow side of the key lookup is the batch; where it is small Spark broadcasts it and the table itself
-        # is not shuffled.
         hits = held.join(wanted, self.keys, "left_semi").select(
             *self.keys, F.struct(*schema.names).alias("before"), "_fragment"
         )
         after = source.select(*self.keys, F.struct(*schema.names).alias("after"))
         compared = [c for c in schema.names if c not in self.keys and c not in self.ignore]
-        pairs = after.join(hits, self.keys, "left")
-        isnew = F.col("before").isNull()
-        image = lambda kind, row, fragment: F.struct(
-            F.col(row).alias("row"), F.lit(kind).alias("kind"), fragment.cast("string").alias("fragment")
-        )
-        images = F.when(isnew, F.array(image("insert", "after", F.lit(None)))).otherwise(
-            F.array(
-                image("update_preimage", "before", F.col("_fragment")),
-                image("update_postimage", "after", F.lit(None)),
+        pairs = after.join(hits, self.keys, "left" if scope is None else "full_outer")
+        isnew, gone = F.col("before").isNull(), F.col("after").isNull()
+
+        def image(kind: str, row: str, fragment: Column) -> Column:
+            return F.struct(F.col(row).alias("row"), F.lit(kind).alias("kind"), fragment.alias("fragment"))
+
+        nowhere = F.lit(None).cast("string")
+        images = (
+            F.when(isnew, F.array(image("insert", "after", nowhere)))
+            .when(gone, F.array(image("delete", "before", F.col("_fragment"))))
+            .otherwise(
+                F.array(
+                    image("update_preimage", "before", F.col("_fragment")),
+                    image("update_postimage", "after", nowhere),
+                )
             )
         )
         return (
-            pairs.filter(isnew | _differs("before", "after", compared))
+            pairs.filter(isnew | gone | _differs("before", "after", compared))
             .select(F.explode(images).alias("c"))
             .select(
                 "c.row.*",
