@@ -6,6 +6,8 @@ import time
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from oracle import connect, difference  # noqa: E402
 
 import __spark_entry__ as e  # noqa: E402
@@ -14,7 +16,9 @@ from tidemark.session import local_session  # noqa: E402
 if __name__ == "__main__":
     root = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = local_session(8)
+    # PLAIN=1: a session with Spark's own defaults, as a caller may bring it.
+    plain = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false")
+    spark = plain.getOrCreate() if os.environ.get("PLAIN") else local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(root)
     bad = 0

@@ -41,6 +41,17 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_table(spark, root, name)
 
 
+_BUILT: dict[tuple[str, str, str], object] = {}
+
+
+def built(spark: SparkSession, root: str, name: str, make: Callable[[SparkSession, str], object]):
+    """A set of written tables that several queries look into, made when the first of them asks."""
+    key = (spark.sparkContext.applicationId, root, name)
+    if key not in _BUILT:
+        _BUILT[key] = make(spark, root)
+    return _BUILT[key]
+
+
 # ---- roles: Spark side ------------------------------------------------------------------------------------------
 
 # How test columns stand for hospital values.

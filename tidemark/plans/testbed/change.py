@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_changes, change_feed, merge_upsert
 from tidemark.operators.incremental import latest_version, ledger_get, read_changes, update_where
-from tidemark.plans.testbed.base import query, table
+from tidemark.plans.testbed.base import built, query, table
 from tidemark.session import work_dir
 from tidemark.sources.tables import LakeTable
 
@@ -143,6 +143,10 @@ def _update_where(spark, d):
     )
 
 
+def lake_table(spark, d) -> LakeTable:
+    return built(spark, d, "activity", _lake_table)
+
+
 def _lake_table(spark, d) -> LakeTable:
     """A keyed table that has taken in two states, partitioned by the year of the last order."""
     lake = LakeTable(spark, work_dir(spark, "lake"), keys=KEYS, partition_by=["last_year"])
@@ -155,16 +159,16 @@ def _lake_table(spark, d) -> LakeTable:
 WITH {STATES_SQL} SELECT * FROM s1 WHERE o_custkey NOT IN (SELECT o_custkey FROM s2) UNION ALL SELECT * FROM s2
 """)
 def _lake_upsert(spark, d):
-    return _lake_table(spark, d).read()
+    return lake_table(spark, d).read()
 
 
 @query("q_lake_time_travel", f"WITH {STATES_SQL} SELECT * FROM s1")
 def _lake_time_travel(spark, d):
-    return _lake_table(spark, d).read(version=0)
+    return lake_table(spark, d).read(version=0)
 
 
 @query("q_lake_feed", f"""
 WITH {STATES_SQL}, f AS ({_feed_sql('s1', 's2', 1)}) SELECT * FROM f WHERE _change_type <> 'delete'
 """)
 def _lake_feed(spark, d):
-    return _lake_table(spark, d).feed(since=0).drop("_commit_timestamp")
+    return lake_table(spark, d).feed(since=0).drop("_commit_timestamp")

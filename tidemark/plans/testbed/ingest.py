@@ -12,7 +12,7 @@ from tidemark.operators.incremental import (
     with_date_parts,
 )
 from tidemark.plans.flow import Lakehouse, Mart
-from tidemark.plans.testbed.base import BATCH, STAMP, query, table
+from tidemark.plans.testbed.base import BATCH, STAMP, built, query, table
 from tidemark.session import work_dir
 from tidemark.sources.files import (
     conform_schema, nullable, read_files, stream_files, write_landing, write_partitioned,
@@ -291,15 +291,8 @@ ORDER_FACT = Mart(
 )
 
 
-_BUILT: dict[tuple[str, str], Lakehouse] = {}
-
-
 def two_runs(spark, d) -> Lakehouse:
-    """The lakehouse the queries below look into, built when the first of them asks."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _BUILT:
-        _BUILT[key] = _two_runs(spark, d)
-    return _BUILT[key]
+    return built(spark, d, "two runs", _two_runs)
 
 
 def _two_runs(spark, d) -> Lakehouse:
