@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.anomaly import VolumeAnomalyError
 from tidemark.plans import hospital, marts
 from tidemark.plans.flow import HOSPITAL_KPIS, HOSPITAL_MARTS, REPORT_SCHEMA, RULE_SCHEMA, Lakehouse, Run, label
-from tidemark.sources.files import conform_schema, nullable, stamp_modified, write_landing
+from tidemark.sources.files import conform_schema, nullable, stamp_modified, stream_files, write_landing
 from tidemark.sources.tables import LakeTable
-from tidemark.streaming.ingest import load_all, load_to_table
+from tidemark.streaming.ingest import foreach_batch_sink, load_all, load_to_table
 
 DAY1, DAY2, DAY3 = datetime(2024, 6, 1, 2), datetime(2024, 6, 2, 2), datetime(2024, 6, 3, 2)
 
@@ -254,6 +254,22 @@ def test_two_drops_a_restart_and_a_broken_line(spark, tmp_path):
     assert set(got) == {1, 7, None} and got[7].fec_modificacion == DAY1
 
 
+def test_periodic_trigger_keeps_running(spark, tmp_path):
+    spec = SPECS["GCM_CAMAS"]
+    folder = tmp_path / "landing"
+    write_landing(spark.createDataFrame(BEDS[:2], nullable(spec.schema)), str(folder), "json")
+    table = LakeTable(spark, str(tmp_path / "source"))
+    stream = stream_files(spark, str(folder), "json", nullable(spec.schema))
+    write = lambda batch, n: table.append(batch, DAY1, tag=f"batch-{n}", once=True)
+    query = foreach_batch_sink(stream, write, str(tmp_path / "checkpoint"), once=False, interval="1 second")
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+        assert table.read().count() == 2
+    finally:
+        query.stop()
+
+
 def test_tables_load_in_order_and_one_failure_stops_nobody(spark):
     seen = []
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.anomaly import anomaly_record, rolling_baseline, volume_anomalies
+from tidemark.operators.anomaly import anomaly_record, fill_missing_weeks, rolling_baseline, volume_anomalies
 from tidemark.operators.joins import lookup
 from tidemark.plans import marts
 from tidemark.plans.testbed.base import (
@@ -224,6 +224,27 @@ def _rolling_baseline(spark, d):
     return out.withColumn("baseline", F.round("baseline", 6))
 
 
+@query("q_fill_missing_weeks", """
+WITH w AS (
+  SELECT l_suppkey, CAST(date_trunc('week', l_shipdate) AS DATE) AS week, CAST(count(*) AS BIGINT) AS n
+  FROM lineitem GROUP BY ALL
+), grid AS (
+  SELECT l_suppkey, CAST(unnest(generate_series(min(week), max(week), INTERVAL 7 DAYS)) AS DATE) AS week
+  FROM w GROUP BY l_suppkey
+), filled AS (SELECT l_suppkey, week, coalesce(n, 0) AS n FROM grid LEFT JOIN w USING (l_suppkey, week))
+SELECT l_suppkey, week, n, CASE WHEN k = 8 AND m > 0 THEN round((n - m) / m * 100, 2) END AS deviation FROM (
+  SELECT l_suppkey, week, n,
+         avg(n) OVER p AS m, count(*) OVER p AS k FROM filled
+  WINDOW p AS (PARTITION BY l_suppkey ORDER BY week ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING))
+""")
+def _fill_missing_weeks(spark, d):
+    """Weeks without a delivery count as zero, and a baseline needs eight weeks."""
+    week = F.trunc(F.col("l_shipdate").cast("date"), "week").alias("week")
+    weekly = table(spark, d, "lineitem").groupBy("l_suppkey", week).agg(F.count(F.lit(1)).alias("n"))
+    filled = fill_missing_weeks(weekly, ["l_suppkey"], "week", "n")
+    return rolling_baseline(filled, "n", ["l_suppkey"], ["week"], min_rows=8, mean="m", deviation="deviation").drop("m")
+
+
 def event_runs(spark, d):
     """Each day's events of a user and type as one load of that 'table'."""
     return table(spark, d, "events").groupBy(
