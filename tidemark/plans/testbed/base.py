@@ -38,14 +38,15 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, root, name)
+    schema = built(spark, root, f"schema of {name}", lambda s, r: read_table(s, r, name).schema)
+    return read_table(spark, root, name, schema)
 
 
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
 def built(spark: SparkSession, root: str, name: str, make: Callable[[SparkSession, str], object]):
-    """A set of written tables that several queries look into, made when the first of them asks."""
+    """What several queries need (a set of written tables, a schema), made when the first of them asks."""
     key = (spark.sparkContext.applicationId, root, name)
     if key not in _BUILT:
         _BUILT[key] = make(spark, root)

@@ -98,11 +98,15 @@ def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None)
     writer.save(path)
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A plain Parquet table of a folder of tables: ``<root>/<name>`` or ``<root>/<name>.parquet``."""
+def read_table(
+    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """A plain Parquet table of a folder of tables: ``<root>/<name>`` or ``<root>/<name>.parquet``. A known ``schema``
+    saves the job that reads it from a file."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(f"{root}/{name}.parquet")
+        return reader.parquet(f"{root}/{name}.parquet")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.read.parquet(f"{root}/{name}")
+        return reader.parquet(f"{root}/{name}")
