@@ -5,22 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.exact_dedup import dedup
+from tidemark.llm.warc import round_trip
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return dedup(_table(spark, root, "documents")).drop("at_file", "at_row")
+
+
+def op10_warc(spark: SparkSession, root: str) -> DataFrame:
+    return round_trip(_table(spark, root, "pages")).drop("payload")
+
+
 def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination(_table(spark, root, "documents"), _table(spark, root, "benchmark")).drop("at_file", "at_row")
 
 
-QUERIES = {"op5_decontaminate": op5_decontaminate}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_decontaminate, op10_warc)}
 
 #: Words as lists, from the text in a column; the class of word characters is the argument.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
 
 ORACLES = {
+    "op2_exact_dedup": r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS best FROM pages),
+d AS (
+  SELECT *, page_id > best AS again, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+    lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(sha1(h), i * 5 + 1, 5))::INT >> b) % 32 + 1, 1)), '')), '') AS payload_digest
+  FROM p)
+SELECT page_id, url, strlen(h) AS payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN best END AS refers_to
+FROM d""",
     "op5_decontaminate": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS w FROM benchmark),
