@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import dedup
+from tidemark.llm.near_join import near_groups
 from tidemark.llm.warc import round_trip
 
 
@@ -17,6 +18,10 @@ def op2_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
     return dedup(_table(spark, root, "documents")).drop("at_file", "at_row")
 
 
+def op3_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    return near_groups(_table(spark, root, "documents")).drop("at_file", "at_row")
+
+
 def op10_warc(spark: SparkSession, root: str) -> DataFrame:
     return round_trip(_table(spark, root, "pages")).drop("payload")
 
@@ -25,7 +30,7 @@ def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination(_table(spark, root, "documents"), _table(spark, root, "benchmark")).drop("at_file", "at_row")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_decontaminate, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op5_decontaminate, op10_warc)}
 
 #: Words as lists, from the text in a column; the class of word characters is the argument.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
