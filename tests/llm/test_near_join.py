@@ -94,3 +94,19 @@ def test_sets_within_the_threshold_share_a_signature():
                 if 100 * both >= 75 * (len(a) + len(b) - both):
                     break
             assert len(np.intersect1d(signatures(pool[a], df[a]), signatures(pool[b], df[b])))
+
+
+def test_a_sketch_never_bounds_too_low():
+    import numpy as np
+
+    from tidemark.llm.near_join import _sketch, most_shared
+
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 8, 15, 16, 100, 127, 128, 500):
+        for m in {max(1, n * 3 // 4), n, n + n // 3}:
+            pool = rng.integers(0, 2**63, n + m, dtype=np.int64).astype(np.uint64)
+            for shared in (0, min(n, m) // 2, min(n, m)):
+                a, b = pool[:n], np.concatenate((pool[:shared], pool[n : n + m - shared]))
+                most = most_shared(_sketch(a), _sketch(b), n, m)
+                assert shared <= most <= min(n, m)
+                assert n < 100 or shared or most < 0.6 * n

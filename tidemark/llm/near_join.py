@@ -248,20 +248,63 @@ def _texts_as_sets(batches):
             sets = [own.view(np.int64) for _, own in _sets(piece)]
             flat = pa.array(np.concatenate(sets)) if sets else pa.array([], pa.int64())
             where = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("class"), pa.ListArray.from_arrays(pa.array(where), flat)], ["id", "class", "tokens"])
+            yield pa.RecordBatch.from_arrays([piece.column("class"), pa.ListArray.from_arrays(pa.array(where), flat)], ["class", "tokens"])
+
+
+def _sketch(own: np.ndarray) -> bytes:
+    """A bit for the low bits of each token, in four to eight bits a token."""
+    held = np.zeros(32 << len(own).bit_length() >> 3 << 3, bool)
+    held[(own & U64(len(held) - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").tobytes()
+
+
+def _texts_as_sketches(batches):
+    for batch in batches:
+        for piece in tokens.pieces(batch):
+            sketches = [_sketch(own) for _, own in _sets(piece)]
+            columns = [piece.column("id"), piece.column("class"), piece.column("n"), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "class", "n", "sketch"])
+
+
+def most_shared(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
+    """No fewer than the tokens that sets with these sketches and sizes share: a bit that only one has stands for a token it has alone."""
+    bits, x, y = 8 * min(len(a), len(b)), int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    for size in range(max(len(a), len(b)).bit_length() + 2, bits.bit_length() - 1, -1):
+        half = 1 << (size - 1)
+        x, y = (v >> half | v & ((1 << half) - 1) if n * 8 > half else v for v, n in ((x, len(a)), (y, len(b))))
+    return min(n_a - (x & ~y).bit_count(), n_b - (y & ~x).bit_count())
+
+
+def _bounded(batches):
+    for batch in batches:
+        most = [most_shared(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("left", "right", "n_a", "n_b")), strict=True)]
+        names = ["a", "b", "class_a", "class_b", "n_a", "n_b"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(most, pa.int64())], [*names, "most"])
 
 
 def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Written: the pairs (a, b) of ids with their classes and ``both``, the exact number of tokens in both sets."""
+    """Written: the pairs (a, b) of ids with their classes and sizes, ``most`` tokens that both can have, and ``both``, the
+    exact number, which is null where ``most`` is too few for a link. Small sketches of the sets give ``most``, so that the
+    sets themselves are only moved for pairs that are close."""
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = staged(classes.join(wanted, "id").select(*KEY, "id", "class"), "wanted")
-    sets = docs.join(small(wanted, 96), KEY).select("id", "class", "text")
-    sets = staged(sets.mapInArrow(_texts_as_sets, "id long, class binary, tokens array<long>"), "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("class").alias("class_a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("class").alias("class_b"), F.col("tokens").alias("right"))
-    found = pairs.join(left, "a").join(right, "b")
-    size = {"n_a": F.size("left"), "n_b": F.size("right"), "both": F.size(F.array_intersect("left", "right"))}
-    return staged(found.select("a", "b", "class_a", "class_b", *[c.cast("long").alias(k) for k, c in size.items()]), "compared")
+    wanted = staged(classes.join(wanted, "id").select(*KEY, "id", "class", "n"), "wanted")
+    found = docs.join(small(wanted, 96), KEY).select("id", "class", "n", "text")
+    found = staged(found.mapInArrow(_texts_as_sketches, "id long, class binary, n long, sketch binary"), "sketches")
+    left = found.select(F.col("id").alias("a"), F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
+    right = found.select(F.col("id").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
+    form = "a long, b long, class_a binary, class_b binary, n_a long, n_b long, most long"
+    bounded = staged(pairs.join(left, "a").join(right, "b").mapInArrow(_bounded, form), "bounded")
+
+    close = bounded.where(_linked("most")).select("class_a", "class_b").distinct()
+    wanted = close.select(F.col("class_a").alias("class")).unionByName(close.select(F.col("class_b").alias("class"))).distinct()
+    wanted = staged(classes.join(wanted, "class").select(*KEY, "class"), "wanted")
+    sets = docs.join(small(wanted, 96), KEY).select("class", "text").mapInArrow(_texts_as_sets, "class binary, tokens array<long>")
+    sets = staged(sets, "sets")
+    left = sets.select(F.col("class").alias("class_a"), F.col("tokens").alias("left"))
+    right = sets.select(F.col("class").alias("class_b"), F.col("tokens").alias("right"))
+    exact = close.join(left, "class_a").join(right, "class_b")
+    exact = exact.select("class_a", "class_b", F.size(F.array_intersect("left", "right")).cast("long").alias("both"))
+    return staged(bounded.join(exact, ["class_a", "class_b"], "left"), "compared")
 
 
 def _fits(a: str, b: str) -> Column:
@@ -269,8 +312,8 @@ def _fits(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _linked() -> Column:
-    return 100 * F.col("both") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("both"))
+def _linked(both: str = "both") -> Column:
+    return 100 * F.col(both) >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col(both))
 
 
 def _edges(found: DataFrame) -> DataFrame:
@@ -279,8 +322,8 @@ def _edges(found: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, members: DataFrame, least: int, most: int) -> DataFrame:
     """Labels of the classes that have links: node and label."""
-    classes = members.where("n > 0").groupBy("class").agg(F.min(F.struct(*KEY)).alias("row"))
-    classes = staged(classes.select("class", "row.*", _id().alias("id")), "classes")
+    classes = members.where("n > 0").groupBy("class").agg(F.min(F.struct(*KEY)).alias("row"), F.first("n").alias("n"))
+    classes = staged(classes.select("class", "row.*", "n", _id().alias("id")), "classes")
     # Sizes a factor of 4/3 apart make one band; a list holds two bands next to each other, and its hub is of a middle size.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)))
     signed = lists(docs, members, least, most).withColumn("sizes", F.explode(F.array(band, band + 1)))
@@ -294,29 +337,29 @@ def links(docs: DataFrame, members: DataFrame, least: int, most: int) -> DataFra
     labels = components(staged(edges, "edges"))
     labels = staged(labels.select("node", "label", _id("node").alias("id")), "labels")
 
-    near = star.select("a", F.col("b").alias("id"), (F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("near"))
+    # The distance to the hub lies between low and high: exactly known for close pairs, else at least so much.
+    far = lambda shared: 1 - F.col(shared) / (F.col("n_a") + F.col("n_b") - F.col(shared))
+    near = star.groupBy("a", F.col("b").alias("id")).agg(
+        F.min(far("most")).alias("low"), F.max(F.coalesce(far("both"), F.lit(1.0))).alias("high"), F.max(F.coalesce(far("both"), F.lit(0.0))).alias("exact")
+    )
     rows = rows.join(labels.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", F.col("id").cast("string").cast("binary")))
-    mixed = rows.groupBy("sign", "sizes").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.where("low != high").select("sign", "sizes")
-    # Distance to the hub; a member whose size can't fit the hub's is farther than a link reaches, and no more is known.
-    rows = staged(rows.join(mixed, ["sign", "sizes"]).join(near, ["a", "id"], "left"), "open")
-    far = 1 - F.when(F.col("id") == F.col("a"), 1.0).otherwise(F.col("near"))
+    mixed = rows.groupBy("sign", "sizes").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    mixed = mixed.where("least != most").select("sign", "sizes")
+    rows = rows.join(mixed, ["sign", "sizes"]).join(near, ["a", "id"], "left")
+    is_hub = F.col("id") == F.col("a")
+    low = F.when(is_hub, 0.0).otherwise(F.greatest("low", "exact", 1 - F.least("n", "n_a") / F.greatest("n", "n_a")))
+    high = F.when(is_hub, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))
+    rows = staged(rows.select("sign", "sizes", "id", "n", "label", low.alias("low"), high.alias("high")), "open")
+    # Members that link with the hub are in its component; each other member is compared with all it may still reach.
     reach = (100 - PERCENT) / 100 + 1e-9
-    rows = rows.select("sign", "sizes", "id", "n", "label", far.alias("far"))
-    known = rows.where("far IS NOT NULL").withColumn("band", F.floor(F.col("far") / reach))
-    unknown = rows.where("far IS NULL")
-    left = known.select("sign", "sizes", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "label", "far")], F.col("band").alias("own"))
-    right = known.select("sign", "sizes", "band", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "label", "far")])
-    apart = (F.col("label_a") != F.col("label_b")) & _fits("n_a", "n_b")
-    # In the same band each pair is seen from both sides, across bands from the nearer side.
-    once = (F.col("own") != F.col("band")) | (F.col("id_a") < F.col("id_b"))
-    banded = left.join(right, ["sign", "sizes", "band"]).where(apart & once & (F.abs(F.col("far_a") - F.col("far_b")) <= reach))
-    left = unknown.select("sign", "sizes", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "label", "far")])
-    right = rows.select("sign", "sizes", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "label", "far")])
-    loose = left.join(right, ["sign", "sizes"]).where(apart & (F.col("far_b").isNotNull() | (F.col("id_a") < F.col("id_b"))))
-    pairs = banded.select("id_a", "id_b").unionByName(loose.select("id_a", "id_b"))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "label", "low", "high")]
+    left, right = rows.where(F.col("high") > reach).select("sign", "sizes", *side("a")), rows.select("sign", "sizes", *side("b"))
+    apart = (F.col("label_a") != F.col("label_b")) & _fits("n_a", "n_b") & ((F.col("high_b") <= reach) | (F.col("id_a") < F.col("id_b")))
+    within = (F.col("low_a") - F.col("high_b") <= reach) & (F.col("low_b") - F.col("high_a") <= reach)
+    pairs = left.join(right, ["sign", "sizes"]).where(apart & within)
     pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
-    pairs = staged(pairs.join(star.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = staged(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     if not pairs.head(1):
         return labels.select("node", "label")
     return components(staged(edges.unionByName(_edges(compared(docs, classes, pairs))), "edges"))
