@@ -41,7 +41,7 @@ def brute(pairs):
 
 
 def found(docs, **options):
-    return sorted((tuple(r) for r in near_groups(docs, **options).drop("at_file", "at_row").collect()), key=str)
+    return sorted((tuple(r) for r in near_groups(docs, **options).drop("at_file", "at_row", "group").collect()), key=str)
 
 
 @pytest.mark.parametrize("least", [2, 5, 1000])

@@ -40,9 +40,12 @@ def keyed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*place(df), *[df[c] for c in columns])
 
 
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A written frame, marked for broadcast if its counted rows fit the bound; else joined as Spark sees fit."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def small(df: DataFrame, row_bytes: int, *arrays: str) -> DataFrame:
+    """A written frame, marked for broadcast if its counted rows (and entries of arrays, 8 bytes each) fit the bound; else
+    joined as Spark sees fit."""
+    entries = [F.sum(F.greatest(F.size(c), F.lit(0))) for c in arrays]
+    n, *many = df.agg(F.count(F.lit(1)), *entries).first()
+    return F.broadcast(df) if n * row_bytes + 8 * sum(m or 0 for m in many) <= BROADCAST_BYTES else df
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:

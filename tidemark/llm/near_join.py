@@ -371,7 +371,7 @@ def _id(column: str = "class") -> Column:
 
 
 def near_groups(docs: DataFrame, least: int = FREQUENT, most: int = TABLE) -> DataFrame:
-    """A row per document: KEY, doc_id, n_shingles, component_id."""
+    """A row per document: KEY, doc_id, n_shingles, component_id, and group, which tells components with null ids apart too."""
     docs = on_file(docs)
     rows = keyed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     members = staged(rows.mapInArrow(_members, "at_file long, at_row long, doc_id long, n long, class binary"), "members")
@@ -380,7 +380,7 @@ def near_groups(docs: DataFrame, least: int = FREQUENT, most: int = TABLE) -> Da
     sets = sets.join(labels, sets["class"] == labels["node"], "left").select("class", "low", F.coalesce("label", "class").alias("label"))
     sets = staged(sets, "sets-labels")
     lowest = sets.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = sets.join(lowest, "label").select("class", "component_id")
+    named = sets.join(lowest, "label").select("class", "component_id", F.col("label").alias("group"))
     found = members.join(named, "class", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select(*KEY, "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return found.select(*KEY, "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "group")

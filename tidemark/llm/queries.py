@@ -2,40 +2,108 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import dedup
+from tidemark.llm.frames import KEY
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.lm_score import score, targets
 from tidemark.llm.near_join import near_groups
+from tidemark.llm.packing import pack
+from tidemark.llm.passages import near_passages
+from tidemark.llm.quality import quality
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
-def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers started elsewhere are told where this library is."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, root: str) -> DataFrame:
+    return pack(table(spark, root, "documents")).drop(*KEY)
+
+
 def op2_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return dedup(_table(spark, root, "documents")).drop("at_file", "at_row")
+    return dedup(table(spark, root, "documents")).drop(*KEY)
 
 
 def op3_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
-    return near_groups(_table(spark, root, "documents")).drop("at_file", "at_row")
+    return near_groups(table(spark, root, "documents")).drop(*KEY, "group")
 
 
-def op10_warc(spark: SparkSession, root: str) -> DataFrame:
-    return round_trip(_table(spark, root, "pages")).drop("payload")
+def op4_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """A digest stands for what is left of a text."""
+    found = dedup_lines(table(spark, root, "documents"))
+    return found.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
-    return contamination(_table(spark, root, "documents"), _table(spark, root, "benchmark")).drop("at_file", "at_row")
+    return contamination(table(spark, root, "documents"), table(spark, root, "benchmark")).drop(*KEY)
+
+
+def op6_passages(spark: SparkSession, root: str) -> DataFrame:
+    return near_passages(table(spark, root, "documents"))
+
+
+def op7_quality(spark: SparkSession, root: str) -> DataFrame:
+    return quality(table(spark, root, "documents"), table(spark, root, "labels")).drop(*KEY)
+
+
+def op8_lm_score(spark: SparkSession, root: str) -> DataFrame:
+    return score(targets(table(spark, root, "documents"), table(spark, root, "labels"))).drop(*KEY)
+
+
+def op9_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity(table(spark, root, "documents"), table(spark, root, "labels")).drop(*KEY)
+
+
+def op10_warc(spark: SparkSession, root: str) -> DataFrame:
+    return round_trip(table(spark, root, "pages")).drop("payload")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op5_decontaminate, op10_warc)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing, op2_exact_dedup, op3_jaccard_join, op4_line_dedup, op5_decontaminate, op6_passages, op7_quality, op8_lm_score,
+        op9_toxicity, op10_warc,
+    )
+}
 
 #: Words as lists, from the text in a column; the class of word characters is the argument.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
 
 ORACLES = {
+    "op1_packing": r"""
+WITH RECURSIVE d AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents),
+p AS (
+  SELECT doc_id, n, unnest(CASE WHEN n > 0 THEN range((n + 2047) // 2048) ELSE [NULL] END) AS piece FROM d),
+q AS (SELECT doc_id, piece, coalesce(piece * 2048, 0) AS start, least(n - coalesce(piece * 2048, 0), 2048) AS n_tokens FROM p),
+h AS (SELECT n_tokens AS len, count(*) AS c, row_number() OVER (ORDER BY n_tokens) AS i FROM q WHERE piece IS NOT NULL GROUP BY n_tokens),
+s AS (SELECT i, len, sum(c) OVER (ORDER BY i)::BIGINT AS r, sum(c * len) OVER (ORDER BY i)::BIGINT AS f FROM h UNION ALL SELECT 0, 0, 0, 0),
+c AS (SELECT a.i, b.i AS j, b.len * (b.r - a.r) - (b.f - a.f) AS cost FROM s a JOIN s b ON a.i < b.i),
+best AS (
+  SELECT 1 AS k, j, cost, i FROM c WHERE i = 0
+  UNION ALL
+  SELECT k + 1, j, m.cost, m.i FROM (
+    SELECT k, c.j, min({'cost': best.cost + c.cost, 'i': c.i}) AS m FROM best JOIN c ON c.i = best.j WHERE k < 8 GROUP BY k, c.j)),
+trace AS (
+  SELECT (SELECT least(8, count(*)) FROM h) AS k, (SELECT max(i) FROM h) AS j
+  UNION ALL
+  SELECT trace.k - 1, best.i FROM trace JOIN best ON best.k = trace.k AND best.j = trace.j WHERE trace.k > 1),
+ends AS (SELECT len::BIGINT AS bucket FROM trace JOIN s ON s.i = trace.j),
+w AS (SELECT q.*, CASE WHEN piece IS NOT NULL THEN (SELECT min(bucket) FROM ends WHERE bucket >= n_tokens) END AS bucket FROM q),
+x AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY n_tokens, doc_id NULLS LAST, piece) - 1 AS at, greatest(1, 65536 // bucket) AS room FROM w)
+SELECT doc_id, piece, start, n_tokens, bucket, CASE WHEN bucket IS NOT NULL THEN at // room END AS batch, CASE WHEN bucket IS NOT NULL THEN at % room END AS slot
+FROM x""",
     "op2_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,

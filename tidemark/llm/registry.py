@@ -1,5 +1,7 @@
 """What __spark_entry__ registers for this subpackage."""
 
-from tidemark.llm.queries import ORACLES, QUERIES
+import corpus_pipeline
+from tidemark.llm import queries
 
-__all__ = ["ORACLES", "QUERIES"]
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLES = queries.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
