@@ -1,15 +1,18 @@
 """Jaccard join on word shingles with token-combination prefixes, and the groups that its links make.
 
-Tokens are the 64-bit hashes of 5-word shingles. Tokens that many documents hold are of the frequent class: all tokens are
-counted, packed into short differences, and the most frequent (``FREQUENT`` documents or more, at most ``TABLE`` tokens)
-are sent to all tasks. The order of tokens is: rare ones by hash, then frequent ones by count. A document's prefix is
-extended until no partner within the threshold can avoid all of its signatures: a signature is a single rare token, or
-a combination of two frequent tokens of one bin. Which tokens are frequent changes the work, never the links.
-
-Equal sets are one class from the start, so copies cost nothing. In each list of a signature, members are first compared
-with one hub, which joins most of a group of near copies without its pairs; then only members that are still in different
-components are compared, and of those only such pairs as the triangle inequality of the Jaccard distance allows, given
-their known distances to the hub. Every link between two components that shares a signature is thus compared exactly.
+Tokens are the 64-bit hashes of 5-word shingles. Tokens that several documents hold are of the frequent class: all tokens
+are counted, packed into short differences, and a bitmap of those that ``FREQUENT`` documents or more hold is sent to all
+tasks (of ``MAP_BITS`` bits at most, with room for one token in eight; where there are more, the bar is raised). The order
+of tokens is: rare ones by hash, then frequent ones by hash. A document's prefix is extended until no partner within the
+threshold can avoid all of its signatures: a signature is a single rare token, or a combination of two frequent tokens of
+one bin. Which tokens count as frequent changes the work, never the links.
+
+Equal sets are one class from the start, so copies cost nothing. A first round links most of each group of near copies:
+classes that share two of their smallest tokens with one hub are compared with it. After that, a signature only matters
+where its holders are still in different components. Holders of a rare token are few and are compared with one another;
+holders of a combination are first compared with a hub, then those that didn't link with it with all others that the
+triangle inequality of the Jaccard distance still allows, given the known distances to the hub. So every link between two
+components is found and compared exactly.
 
 Null texts and texts without words have no shingles and link with nothing, not even with each other; their component is
 their own doc_id. Repeated rows and ids are linked by their texts alone. A component in which all doc_ids are null has a
@@ -34,9 +37,11 @@ from tidemark.llm.frames import KEY, keyed, on_file, small, staged
 SHINGLE = 5
 #: A link needs intersection / union of at least this many hundredths.
 PERCENT = 75
-FREQUENT = 32
-TABLE = 1 << 20
+FREQUENT = 4
+MAP_BITS = 27
+SLICE_BITS = 16
 BITS = 40
+LOWEST = 4
 LEVEL_TOKENS = 64
 BATCH_TOKENS = 4 << 20
 BUCKET_TOKENS = 2 << 20
@@ -59,12 +64,13 @@ def _class(own: np.ndarray) -> bytes:
 def _members(batches):
     for batch in batches:
         for piece in tokens.pieces(batch):
-            sizes, classes = [], []
+            sizes, classes, lowest = [], [], []
             for _, own in _sets(piece):
                 sizes.append(len(own))
                 classes.append(_class(own) if len(own) else None)
-            columns = [*[piece.column(c) for c in (*KEY, "doc_id")], pa.array(sizes, pa.int64()), pa.array(classes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "doc_id", "n", "class"])
+                lowest.append(own[:LOWEST].view(np.int64))
+            made = [pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(lowest, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in (*KEY, "doc_id")], *made], [*KEY, "doc_id", "n", "class", "lowest"])
 
 
 def _counted(n_buckets: int):
@@ -118,35 +124,42 @@ def _often(least: int):
     return run
 
 
-def frequent(docs: DataFrame, total: int, least: int = FREQUENT, most: int = TABLE) -> tuple[np.ndarray, np.ndarray]:
-    """Shortened tokens that ``least`` or more rows hold, the ``most`` commonest of them at most, and their counts."""
+def _slice(table: pa.Table) -> pa.Table:
+    bits = np.zeros(1 << SLICE_BITS, bool)
+    place = table.column("place").to_numpy()
+    bits[place & ((1 << SLICE_BITS) - 1)] = True
+    return pa.table({"slice": [int(place[0]) >> SLICE_BITS], "bits": [np.packbits(bits).tobytes()]}, pa.schema([("slice", pa.int64()), ("bits", pa.binary())]))
+
+
+def frequent(docs: DataFrame, total: int, least: int = FREQUENT, most: int = MAP_BITS) -> bytes:
+    """A bitmap of the tokens that ``least`` or more rows hold, by the tokens' upper bits; of 2 ** ``most`` bits at most."""
     n = max(1, min(-(-total // BUCKET_TOKENS), 1 << 20))
     runs = docs.select("text").mapInArrow(_counted(n), "bucket long, first long, width int, data binary")
     found = staged(runs.groupBy("bucket").applyInArrow(_often(least), "token long, df long"), "frequent")
-    if found.count() > most:
-        # The bound needs no more than the counts of counts.
-        by_df = found.groupBy("df").count().orderBy(F.desc("df")).limit(most).collect()
-        held = np.cumsum([r["count"] for r in by_df])
-        found = found.where(F.col("df") >= by_df[int(np.searchsorted(held, most, "right")) - 1]["df"]) if held[0] <= most else found.limit(0)
-    table = found.toArrow().sort_by("token")
-    return table["token"].to_numpy().astype(U64), table["df"].to_numpy()
+    # Counts of counts are few: a hundred thousand of them need five billion tokens.
+    held, bar = 0, least
+    for df, count in found.groupBy("df").count().orderBy(F.desc("df")).collect():
+        held += count
+        if 8 * held > 1 << most:
+            bar = df + 1
+            held -= count
+            break
+    bits = min(most, max(SLICE_BITS, (64 * held).bit_length()))
+    place = F.shiftright("token", BITS - bits)
+    slices = found.where(F.col("df") >= bar).select(place.alias("place"), F.shiftright(place, SLICE_BITS).alias("slice"))
+    out = np.zeros((1 << (bits - SLICE_BITS), 1 << (SLICE_BITS - 3)), np.uint8)
+    for part, data in slices.groupBy("slice").applyInArrow(_slice, "slice long, bits binary").collect():
+        out[part] = np.frombuffer(data, np.uint8)
+    return out.tobytes()
 
 
 class _Frequent:
-    def __init__(self, token: np.ndarray, df: np.ndarray):
-        self.token, self.df = token, df
-        self.near = np.zeros(1 << 22, bool)
-        self.near[(token >> U64(BITS - 22)).astype(np.int64)] = True
-
-    def counts(self, values: np.ndarray) -> np.ndarray:
-        """0 for rare tokens."""
-        out = np.zeros(len(values), np.int64)
-        maybe = np.flatnonzero(self.near[(values >> U64(42)).astype(np.int64)])
-        if len(maybe):
-            short = values[maybe] >> U64(64 - BITS)
-            at = np.minimum(np.searchsorted(self.token, short), len(self.token) - 1)
-            out[maybe] = np.where(self.token[at] == short, self.df[at], 0)
-        return out
+    def __init__(self, bitmap: bytes):
+        self.flags = np.unpackbits(np.frombuffer(bitmap, np.uint8)).view(bool)
+        self.shift = U64(64 - (len(self.flags).bit_length() - 1))
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        return self.flags[(values >> self.shift).astype(np.int64)]
 
 
 def _missing(n: int) -> int:
@@ -159,18 +172,16 @@ def _level(n: int) -> int:
     return max(0, (n // LEVEL_TOKENS).bit_length() - 1)
 
 
-def signatures(own: np.ndarray, df: np.ndarray, rare: bool = True, often: bool = True) -> np.ndarray:
-    """Signatures of a sorted set of tokens; ``df``: the counts of frequent ones, else 0. Any two sets that can link share one."""
+def signatures(own: np.ndarray, common: np.ndarray, rare: bool = True, often: bool = True) -> np.ndarray:
+    """Signatures of a sorted set of tokens; ``common``: which are frequent. Any two sets that can link share one."""
     n = len(own)
     need = _missing(n) + 1
-    common = df > 0
     single = own[~common]
     if len(single) >= need:
         return single[:need] if rare else single[:0]
     out = [single] if rare else []
     if often:
-        order = np.lexsort((own[common], df[common]))
-        rest = own[common][order]
+        rest = own[common]
         for level in {_level(n), _level(-(-100 * n // PERCENT))}:
             if level == 0:
                 out.append(tokens.mix(rest[: need - len(single)] + U64(1)))
@@ -190,7 +201,7 @@ def signatures(own: np.ndarray, df: np.ndarray, rare: bool = True, often: bool =
 
 def _signed(sent, rare: bool):
     def run(batches):
-        table, seen = _Frequent(*sent.value), set()
+        table, seen = _Frequent(sent.value), set()
         for batch in batches:
             for piece in tokens.pieces(batch):
                 found, ids, sizes = [], [], []
@@ -198,7 +209,7 @@ def _signed(sent, rare: bool):
                     if not len(own) or (name := _class(own)) in seen:
                         continue
                     seen.add(name)
-                    signs = signatures(own, table.counts(own), rare, not rare)
+                    signs = signatures(own, table(own), rare, not rare)
                     if len(signs):
                         found.append(signs)
                         ids.append(int.from_bytes(name[:8], "big", signed=True))
@@ -211,35 +222,33 @@ def _signed(sent, rare: bool):
     return run
 
 
-def _repeated(batches):
-    """Of a partition by sign, the rows whose sign more than one class has."""
-    held = [[], [], []]
+def _pairs(batches):
+    """Of a partition by sign: the pairs of classes of a sign that are in different components and fit in size, once each."""
+    columns = ("sign", "id", "n", "label")
+    held = {c: [] for c in columns}
     for batch in batches:
-        for h, c in zip(held, ("sign", "id", "n"), strict=True):
-            h.append(batch.column(c).to_numpy())
-    if not held[0]:
+        for c in columns:
+            held[c].append(batch.column(c).to_numpy())
+    if not held["sign"]:
         return
-    sign, ids, n = (np.concatenate(h) for h in held)
-    order = np.lexsort((ids, sign))
-    sign, ids, n = sign[order], ids[order], n[order]
-    fresh = np.concatenate(([True], (sign[1:] != sign[:-1]) | (ids[1:] != ids[:-1])))
-    sign, ids, n = sign[fresh], ids[fresh], n[fresh]
-    again = np.concatenate((sign[1:] == sign[:-1], [False]))
+    rows = {c: np.concatenate(h) for c, h in held.items()}
+    order = np.lexsort((rows["id"], rows["sign"]))
+    rows = {c: r[order] for c, r in rows.items()}
+    fresh = np.concatenate(([True], (rows["sign"][1:] != rows["sign"][:-1]) | (rows["id"][1:] != rows["id"][:-1])))
+    again = np.concatenate((rows["sign"][fresh][1:] == rows["sign"][fresh][:-1], [False]))
     again[1:] |= again[:-1].copy()
-    for i in range(0, int(again.sum()), 1 << 16):
-        part = slice(i, i + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(c[again][part]) for c in (sign, ids, n)], ["sign", "id", "n"])
-
-
-def lists(docs: DataFrame, members: DataFrame, least: int, most: int) -> DataFrame:
-    """sign, id (eight bytes of the class) and n, of all signs that several classes have."""
-    total = members.agg(F.sum("n")).first()[0] or 0
-    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, total, least, most))
-    form = "sign long, id long, n int"
-    # About a quarter of all tokens are in prefixes. A rare sign has few rows, so no partition grows with one sign.
-    rare = docs.select("text").mapInArrow(_signed(sent, True), form).repartition(max(1, total // 4 // LIST_ROWS), "sign").mapInArrow(_repeated, form)
-    often = docs.select("text").mapInArrow(_signed(sent, False), form).distinct()
-    return staged(rare.unionByName(often), "lists")
+    sign, ids, n, label = (rows[c][fresh][again] for c in columns)
+    # A pair is as many rows apart as its sign has classes at most.
+    found, ahead = [np.zeros((0, 2), np.int64)], 1
+    while (same := np.flatnonzero(sign[ahead:] == sign[:-ahead])).size:
+        a, b = same, same + ahead
+        small_n, large_n = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        fit = (label[a] != label[b]) & (100 * small_n.astype(np.int64) >= PERCENT * large_n.astype(np.int64))
+        found.append(np.unique(np.stack((ids[a[fit]], ids[b[fit]]), 1), axis=0))
+        ahead += 1
+    pairs = np.unique(np.concatenate(found), axis=0)
+    for i in range(0, len(pairs), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs[i : i + (1 << 16)].T], ["a", "b"])
 
 
 def _texts_as_sets(batches):
@@ -320,49 +329,87 @@ def _edges(found: DataFrame) -> DataFrame:
     return found.where(_linked()).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
 
-def links(docs: DataFrame, members: DataFrame, least: int, most: int) -> DataFrame:
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``label``: the component of a class, or the class itself if it has no links yet."""
+    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def _labels(edges: DataFrame) -> DataFrame:
+    found = components(edges)
+    return staged(found.select(_id("node").alias("id"), _id("label").alias("label")), "labels")
+
+
+def links(docs: DataFrame, members: DataFrame, least: int = FREQUENT, most: int = MAP_BITS) -> DataFrame:
     """Labels of the classes that have links: node and label."""
-    classes = members.where("n > 0").groupBy("class").agg(F.min(F.struct(*KEY)).alias("row"), F.first("n").alias("n"))
-    classes = staged(classes.select("class", "row.*", "n", _id().alias("id")), "classes")
+    classes = members.where("n > 0").groupBy("class").agg(F.min(F.struct(*KEY)).alias("row"), F.first("n").alias("n"), F.first("lowest").alias("lowest"))
+    classes = staged(classes.select("class", "row.*", "n", _id().alias("id"), "lowest"), "classes")
+
+    # First round: it only has to link much, not all.
+    low = classes.select("id", "n", F.explode("lowest").alias("sign"))
+    hubs = low.groupBy("sign").agg(F.min(F.struct("id", "n")).alias("hub"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    near = low.join(hubs, "sign").where((F.col("id") != F.col("hub.id")) & _fits("n", "hub.n"))
+    near = near.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared")).where("shared > 1")
+    first = compared(docs, classes, staged(near.select("a", "b"), "first-pairs"))
+    edges = staged(_edges(first), "edges")
+    labels = small(_labels(edges), 32)
+
+    total = members.agg(F.sum("n")).first()[0] or 0
+    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, total, least, most))
+    form = "sign long, id long, n int"
+    # About a quarter of all tokens are in prefixes. A rare sign has few rows, so no partition grows with one sign.
+    rare = _named(docs.select("text").mapInArrow(_signed(sent, True), form), labels)
+    rare = rare.repartition(max(1, total // 4 // LIST_ROWS), "sign").mapInArrow(_pairs, "a long, b long")
+    often = staged(docs.select("text").mapInArrow(_signed(sent, False), form), "combinations")
+    star, rest = _combined(docs, classes, _named(often, labels))
+    pairs = rare.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = [d.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for d in (first, star)]
+    pairs = staged(pairs.join(done[0].unionByName(done[1]).distinct(), ["a", "b"], "left_anti"), "pairs")
+    found = compared(docs, classes, pairs)
+    return components(staged(edges.unionByName(_edges(star)).unionByName(_edges(found)), "edges"))
+
+
+def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of signs that many classes may hold: the comparisons with hubs, and the pairs that are still to be compared."""
     # Sizes a factor of 4/3 apart make one band; a list holds two bands next to each other, and its hub is of a middle size.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)))
-    signed = lists(docs, members, least, most).withColumn("sizes", F.explode(F.array(band, band + 1)))
-    middle = F.abs(F.log(F.col("n").cast("double")) - F.col("sizes") * F.log(F.lit(100 / PERCENT)))
-    hubs = signed.groupBy("sign", "sizes").agg(F.min(F.struct(middle.alias("off"), "id", "n")).alias("hub"))
-    hubs = hubs.select("sign", "sizes", F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"))
-    rows = staged(signed.join(hubs, ["sign", "sizes"]), "hubs")
+    mixed = signed.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    signed = signed.join(small(staged(mixed.select("sign"), "mixed"), 16), "sign").distinct()
+    step = F.log(F.lit(100 / PERCENT))
+    band = F.floor(F.log(F.col("n").cast("double")) / step)
+    signed = staged(signed.withColumn("sizes", F.explode(F.array(band, band + 1))), "lists")
+    middle = F.abs(F.log(F.col("n").cast("double")) - F.col("sizes") * step)
+    hub = F.min(F.struct(middle.alias("off"), "id", "n", "label")).alias("hub")
+    lists = signed.groupBy("sign", "sizes").agg(hub, F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    lists = lists.select("sign", "sizes", F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.label").alias("label_a"))
+    rows = staged(signed.join(lists, ["sign", "sizes"]), "hubs")
+    # A member of the hub's component needs no comparison with it, unless others' distances to it are to be judged.
     star = rows.where((F.col("a") != F.col("id")) & _fits("n", "n_a")).select("a", F.col("id").alias("b")).distinct()
     star = compared(docs, classes, staged(star, "star"))
-    edges = _edges(star)
-    labels = components(staged(edges, "edges"))
-    labels = staged(labels.select("node", "label", _id("node").alias("id")), "labels")
+    # Links with hubs can make lists uniform.
+    joined = _labels(staged(_edges(star), "edges"))
+    merged = rows.join(small(joined.withColumnRenamed("label", "to"), 32), "id", "left")
 
     # The distance to the hub lies between low and high: exactly known for close pairs, else at least so much.
     far = lambda shared: 1 - F.col(shared) / (F.col("n_a") + F.col("n_b") - F.col(shared))
     near = star.groupBy("a", F.col("b").alias("id")).agg(
         F.min(far("most")).alias("low"), F.max(F.coalesce(far("both"), F.lit(1.0))).alias("high"), F.max(F.coalesce(far("both"), F.lit(0.0))).alias("exact")
     )
-    rows = rows.join(labels.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", F.col("id").cast("string").cast("binary")))
-    mixed = rows.groupBy("sign", "sizes").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-    mixed = mixed.where("least != most").select("sign", "sizes")
-    rows = rows.join(mixed, ["sign", "sizes"]).join(near, ["a", "id"], "left")
+    rows = merged.join(near, ["a", "id"], "left")
     is_hub = F.col("id") == F.col("a")
     low = F.when(is_hub, 0.0).otherwise(F.greatest("low", "exact", 1 - F.least("n", "n_a") / F.greatest("n", "n_a")))
     high = F.when(is_hub, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))
-    rows = staged(rows.select("sign", "sizes", "id", "n", "label", low.alias("low"), high.alias("high")), "open")
+    rows = rows.select("sign", "sizes", "id", "n", "label", F.coalesce("to", "id").alias("to"), low.alias("low"), high.alias("high"))
+    one = F.min("to").alias("to_low"), F.max("to").alias("to_high"), F.min("label").alias("label_low"), F.max("label").alias("label_high")
+    open_lists = rows.groupBy("sign", "sizes").agg(*one).where("to_low != to_high AND label_low != label_high").select("sign", "sizes")
+    rows = staged(rows.join(small(staged(open_lists, "open-lists"), 24), ["sign", "sizes"]), "open")
     # Members that link with the hub are in its component; each other member is compared with all it may still reach.
     reach = (100 - PERCENT) / 100 + 1e-9
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "label", "low", "high")]
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "label", "to", "low", "high")]
     left, right = rows.where(F.col("high") > reach).select("sign", "sizes", *side("a")), rows.select("sign", "sizes", *side("b"))
-    apart = (F.col("label_a") != F.col("label_b")) & _fits("n_a", "n_b") & ((F.col("high_b") <= reach) | (F.col("id_a") < F.col("id_b")))
+    apart = (F.col("label_a") != F.col("label_b")) & (F.col("to_a") != F.col("to_b")) & _fits("n_a", "n_b")
+    once = (F.col("high_b") <= reach) | (F.col("id_a") < F.col("id_b"))
     within = (F.col("low_a") - F.col("high_b") <= reach) & (F.col("low_b") - F.col("high_a") <= reach)
-    pairs = left.join(right, ["sign", "sizes"]).where(apart & within)
-    pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = staged(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    if not pairs.head(1):
-        return labels.select("node", "label")
-    return components(staged(edges.unionByName(_edges(compared(docs, classes, pairs))), "edges"))
+    rest = left.join(right, ["sign", "sizes"]).where(apart & once & within)
+    return star, rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def _id(column: str = "class") -> Column:
@@ -370,17 +417,17 @@ def _id(column: str = "class") -> Column:
     return F.conv(F.hex(F.substring(column, 1, 8)), 16, -10).cast("long")
 
 
-def near_groups(docs: DataFrame, least: int = FREQUENT, most: int = TABLE) -> DataFrame:
+def near_groups(docs: DataFrame, least: int = FREQUENT, most: int = MAP_BITS) -> DataFrame:
     """A row per document: KEY, doc_id, n_shingles, component_id, and group, which tells components with null ids apart too."""
     docs = on_file(docs)
     rows = keyed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    members = staged(rows.mapInArrow(_members, "at_file long, at_row long, doc_id long, n long, class binary"), "members")
+    members = staged(rows.mapInArrow(_members, "at_file long, at_row long, doc_id long, n long, class binary, lowest array<long>"), "members")
     labels = links(rows.select(*KEY, "text"), members, least, most)
     sets = members.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     sets = sets.join(labels, sets["class"] == labels["node"], "left").select("class", "low", F.coalesce("label", "class").alias("label"))
     sets = staged(sets, "sets-labels")
     lowest = sets.groupBy("label").agg(F.min("low").alias("component_id"))
     named = sets.join(lowest, "label").select("class", "component_id", F.col("label").alias("group"))
-    found = members.join(named, "class", "left")
+    found = members.drop("lowest").join(named, "class", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(*KEY, "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "group")
