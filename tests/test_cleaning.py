@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cleaning as c
 from tidemark.operators.joins import lookup, mark_known, matching
+from tidemark.operators import quality
 from tidemark.operators.quality import null_profile, quality_report, quality_rules
 from tidemark.spec import Rule
 
@@ -180,3 +181,30 @@ def test_profile_and_report(spark):
     assert (row.n_registros_bronze, row.n_registros_silver, row.n_duplicados, row.n_rechazados) == (3, 2, 2, 1)
     assert row.pct_conformes == 66.67 and row.detalle_nulos == '{"a":0.0}'
     assert quality_report(df.filter("1=0"), df.filter("1=0"), "t", "b", AT, 0, 0).first().pct_conformes == 0.0
+
+
+def test_rejected_duplicates_keep_maps_and_the_sign_of_zero(spark):
+    rows = spark.createDataFrame(
+        [(1, {"a": 1}, -0.0), (1, {"a": 1}, -0.0), (1, {"a": 0}, 5.0), (2, None, 1.0), (None, None, None), (None, None, None)],
+        "k int, m map<string,int>, x double",
+    )
+    gone = c.duplicate_rejects(rows, ["k"], reasons=("same", "other")).collect()
+    found = sorted(((r.k, r.m, str(r.x), r.motivo_error) for r in gone), key=str)
+    # The map is compared as text, after the plain columns.
+    assert found == sorted([(1, {"a": 1}, "-0.0", "other"), (1, {"a": 1}, "-0.0", "other"), (None, None, "None", "same")], key=str)
+
+
+def test_no_rules_and_rules_that_fail_while_running(spark):
+    rows = spark.createDataFrame([("1",), ("x",)], "v string")
+    assert quality_rules(rows, "t", []).columns == list(quality.RULE_COLUMNS) and quality_rules(rows, "t", []).isEmpty()
+    rules = [Rule("cast", lambda: F.col("v").cast("int") > 0, True), Rule("filled", lambda: F.col("v").isNotNull())]
+    found = {r.prueba: (r.aprobada, r.n_fallos, r.estado) for r in quality_rules(rows, "t", rules).collect()}
+    assert found == {"cast": (False, 0, "ERROR"), "filled": (True, 0, "APROBADA")}
+
+
+def test_null_keys_of_any_type_are_spread(spark):
+    rows = spark.range(1000).select("id", F.lit(None).cast("date").alias("k"))
+    dim = spark.createDataFrame([(None, 1)], "k date, v int").unionByName(spark.sql("SELECT DATE '2024-01-01' AS k, 2 AS v"))
+    joined = lookup(rows.hint("merge"), dim.hint("merge"), "k")
+    assert joined.count() == 1000 and joined.filter("v IS NOT NULL").isEmpty()
+    assert joined.select(F.spark_partition_id()).distinct().count() > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.anomaly import VolumeAnomalyError
 from tidemark.plans import hospital, marts
-from tidemark.plans.flow import HOSPITAL_KPIS, HOSPITAL_MARTS, REPORT_SCHEMA, RULE_SCHEMA, Lakehouse, Run, label
+from tidemark.plans.flow import HOSPITAL_KPIS, HOSPITAL_MARTS, REPORT_SCHEMA, RULE_SCHEMA, Lakehouse, Mart, Run, RunError, label
 from tidemark.sources.files import conform_schema, nullable, stamp_modified, stream_files, write_landing
 from tidemark.sources.tables import LakeTable
+from tidemark.spec import ForeignKey, Reject, TableSpec, columns
 from tidemark.streaming.ingest import foreach_batch_sink, load_all, load_to_table
 
 DAY1, DAY2, DAY3 = datetime(2024, 6, 1, 2), datetime(2024, 6, 2, 2), datetime(2024, 6, 3, 2)
@@ -281,3 +282,71 @@ def test_tables_load_in_order_and_one_failure_stops_nobody(spark):
     summary = {r.tabla: r.estado for r in load_all(spark, hospital.TABLES, load).collect()}
     assert seen == [s.name for s in hospital.TABLES]
     assert [n for n, state in summary.items() if state == "ERROR"] == ["MED_PLANTA"]
+
+
+# ---- what the layered run must not lose, leak or keep ---------------------------------------------------------------
+
+def small_spec(**more):
+    return TableSpec(
+        "T", columns("k long, v string, m double, ts timestamp"), keys=["k"], date_column="ts", watermark="ts", **more,
+    )
+
+
+def small_rows(spark, *rows):
+    return spark.createDataFrame(list(rows), "k long, v string, m double, ts timestamp")
+
+
+def test_rows_with_the_stamp_of_the_watermark_arrive_later(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path), [small_spec()])
+    lake.run({"T": small_rows(spark, (1, "a", 1.0, DAY1))}, DAY1)
+    later = small_rows(spark, (1, "a", 1.0, DAY1), (2, "b", 1.0, DAY1), (3, "c", 1.0, None))
+    lake.run({"T": later}, DAY2)
+    lake.run({"T": later}, DAY3)
+    assert sorted(r.k for r in lake.silver("T").read().collect()) == [1, 2]
+    assert lake.bronze("T").read().count() == 2
+    assert [r.motivo_error for r in lake.errors().collect()] == ["SIN_FECHA: ts"]
+
+
+def test_a_late_old_version_stays_out_of_silver(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path), [small_spec(lateness="10 days")])
+    lake.run({"T": small_rows(spark, (1, "new", 1.0, DAY2))}, DAY2)
+    lake.run({"T": small_rows(spark, (1, "old", 1.0, DAY1), (2, "other", 1.0, DAY1))}, DAY3)
+    assert {r.k: r.v for r in lake.silver("T").read().collect()} == {1: "new", 2: "other"}
+    (error,) = lake.errors().collect()
+    assert error.motivo_error == "VERSION_ANTERIOR" and '"v":"old"' in error.payload
+
+
+def test_no_report_shows_masked_values(spark, tmp_path):
+    rejects = [Reject("BAD", lambda: F.col("v") == "bad"), Reject("FIX", lambda: F.col("v") == "fix", null_out="v")]
+    lake = Lakehouse(spark, str(tmp_path), [small_spec(masked=["m"], rejects=rejects)])
+    rows = [(1, "bad", 99.5, DAY1), (2, "fix", 99.5, DAY1), (3, "ok", 99.5, DAY1), (3, "ok", 99.5, DAY1), (4, "x", 99.5, None), (None, "n", 99.5, DAY1), (None, "o", 99.5, DAY1)]
+    lake.run({"T": small_rows(spark, *rows)}, DAY1)
+    errors = lake.errors().collect()
+    assert sorted(e.motivo_error for e in errors) == ["BAD", "CLAVE_NULA: k", "CLAVE_NULA: k", "DUPLICADO_EXACTO", "FIX", "SIN_FECHA: ts"]
+    assert not any("99.5" in e.payload for e in errors)
+    assert lake._scratch == []
+
+
+def test_a_rebuilt_mart_drops_rows_and_keeps_null_keys(spark, tmp_path):
+    mart = Mart("M", ["v"], [], lambda t, run: t["T"].filter("m > 0").groupBy("v").count(), "T", nullable_keys=True)
+    lake = Lakehouse(spark, str(tmp_path), [small_spec()], [mart])
+    lake.run({"T": small_rows(spark, (1, "a", 1.0, DAY1), (2, None, 1.0, DAY1))}, DAY1)
+    assert {r.v for r in lake.gold("M").read().collect()} == {"a", None}
+    lake.run({"T": small_rows(spark, (1, "a", -1.0, DAY2))}, DAY2)
+    assert {r.v for r in lake.gold("M").read().collect()} == {None}
+
+
+def test_a_parent_without_rows_and_a_step_that_fails(spark, tmp_path):
+    child = TableSpec(
+        "C", columns("c long, k long, ts timestamp"), keys=["c"], date_column="ts", watermark="ts", parents=[ForeignKey("k", "T", "k")],
+    )
+    broken = Mart("broken", ["c"], [], lambda t, run: t["C"].select("no_such"), "C")
+    fine = Mart("fine", ["c"], [], lambda t, run: t["C"].select("c"), "C", dims={"T": ("k", "k")})
+    lake = Lakehouse(spark, str(tmp_path), [small_spec(), child], [broken, fine])
+    rows = spark.createDataFrame([(1, 1, DAY1), (2, None, DAY1)], "c long, k long, ts timestamp")
+    with pytest.raises(RunError, match="gold.broken"):
+        lake.run({"C": rows}, DAY1)
+    assert lake.silver("T").read().isEmpty() and lake.gold("fine").read().isEmpty()
+    assert {e.motivo_error for e in lake.errors().collect()} == {"FK_INVALIDA: k no existe en T"}
+    states = {(r.capa, r.tabla): r.estado for r in lake.run_log().collect()}
+    assert states["gold", "broken"] == "ERROR" and states["gold", "fine"] == "EXITOSO"

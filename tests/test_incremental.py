@@ -66,9 +66,9 @@ def test_audit_and_parts(spark):
     assert inc.drop_audit(out).columns == ["d"]
 
 
-def test_run_log_cuts_messages(spark):
+def test_run_log_keeps_whole_messages(spark):
     row = inc.run_log_row(spark, "bronze", "t", "b", WM, 3, "ERROR", "x" * 900).first()
-    assert len(row.mensaje) == 500 and row.registros_procesados == 3 and row.tamano_mb is None
+    assert len(row.mensaje) == 900 and row.registros_procesados == 3 and row.tamano_mb is None
 
 
 # ---- files ----------------------------------------------------------------------------------------------------
@@ -124,7 +124,7 @@ def test_jdbc_queries():
     assert jdbc.incremental_query("t") == "SELECT * FROM t"
     late = datetime(2024, 1, 2, 3, 4, 5, 678901)
     assert jdbc.incremental_query("t", "m", late) == (
-        "SELECT * FROM t WHERE CAST(m AS TIMESTAMP) > '2024-01-02 03:04:05'"
+        "SELECT * FROM t WHERE CAST(m AS TIMESTAMP) >= '2024-01-02 03:04:05' OR m IS NULL"
     )
     assert "CAST(m AS DATETIME)" in jdbc.incremental_query("t", "m", late, "DATETIME")
     assert jdbc.key_offsets_query({"a": "k"}) == "SELECT 'a' AS tabla, COALESCE(MAX(k), 0) AS max_id FROM a"
@@ -189,3 +189,28 @@ def test_record_and_fail(spark):
     assert [r.estado for r in anomaly.anomaly_record(some, "now").collect()] == ["ANOMALIA"]
     with pytest.raises(anomaly.VolumeAnomalyError, match="bronze.t"):
         anomaly.fail_on_anomalies(some)
+
+
+def test_ties_and_missing_stamps(spark):
+    rows = spark.createDataFrame([(1, WM), (2, WM), (None, WM), (3, None)], "k bigint, ts timestamp")
+    seen = rows.filter("k = 1 OR k IS NULL")
+    fresh = inc.unseen(inc.incremental_scan(rows, "ts", WM, inclusive=True), seen, ["k"], "ts")
+    assert [r.k for r in fresh.collect()] == [2]
+    assert [r.k for r in inc.undated(rows, "ts").collect()] == [3]
+
+
+def test_a_late_row_is_not_merged_over_a_newer_one(spark):
+    held = spark.createDataFrame([(1, WM), (2, WM), (3, None)], "k bigint, ts timestamp")
+    late = datetime(2020, 1, 1)
+    rows = spark.createDataFrame([(1, late), (2, WM), (3, late), (4, late), (2, None)], "k bigint, ts timestamp")
+    good, older = inc.not_older(rows, held, ["k"], "ts")
+    assert sorted((r.k, r.ts) for r in good.collect()) == [(2, WM), (3, late), (4, late)]
+    assert sorted((r.k, r.ts is None) for r in older.collect()) == [(1, False), (2, True)]
+
+
+def test_a_load_that_brought_nothing_is_an_anomaly(spark):
+    days = [(d, 1000, "EXITOSO") for d in range(1, 9)] + [(9, 77, "ERROR"), (10, 0, "SIN_CAMBIOS")]
+    log = spark.createDataFrame([("b", "t", datetime(2024, 1, d), n, s) for d, n, s in days], "capa string, tabla string, ts_ejecucion timestamp, registros_procesados bigint, estado string")
+    (found,) = anomaly.volume_anomalies(log).collect()
+    assert (found.n_actual, found.n_promedio, found.pct_desviacion) == (0, 1000.0, 100.0)
+    assert anomaly.volume_anomalies(log.filter("registros_procesados > 0")).isEmpty()

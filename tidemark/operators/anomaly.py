@@ -52,22 +52,28 @@ def volume_anomalies(
     threshold: float = 0.30,
     detected_at=None,
     status: str | None = "EXITOSO",
+    failed: str = "ERROR",
 ) -> DataFrame:
     """Tables whose newest run deviates from the mean of up to ``keep`` runs before it by more than ``threshold``.
 
-    ``run_log`` has capa, tabla, ts_ejecucion and registros_procesados; with ``status`` only such runs count.
-    Fewer than ``min_runs`` earlier runs, or a mean of zero, give no verdict. The cut on the rank keeps
-    ``keep + 1`` rows per table in each map task, before the shuffle.
+    ``run_log`` has capa, tabla, ts_ejecucion and registros_procesados. With ``status`` only such runs are history; the
+    newest run is judged whatever its status, unless it is ``failed``: a load that brought nothing is the largest
+    deviation there is. Fewer than ``min_runs`` earlier runs, or a mean of zero, give no verdict. The cut on the rank
+    keeps ``keep + 1`` rows per table and kind in each map task, before the shuffle.
     """
-    log = run_log.filter(F.col("estado") == status) if status else run_log
-    newest = Window.partitionBy("capa", "tabla").orderBy(
-        F.col("ts_ejecucion").desc(), F.col("registros_procesados").desc()
-    )
+    ok = F.lit(True) if status is None else F.coalesce(F.col("estado") == status, F.lit(False))
+    log = run_log if status is None else run_log.filter(~F.coalesce(F.col("estado") == failed, F.lit(False)))
+    order = [F.col("ts_ejecucion").desc(), F.col("registros_procesados").desc(), F.col("_ok").desc()]
     recent = (
-        log.select("capa", "tabla", "ts_ejecucion", "registros_procesados")
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= keep + 1)
+        log.select("capa", "tabla", "ts_ejecucion", "registros_procesados", ok.alias("_ok"))
+        .withColumn("_kind_rank", F.row_number().over(Window.partitionBy("capa", "tabla", "_ok").orderBy(*order)))
+        .filter(F.col("_kind_rank") <= keep + 1)
     )
+    newest = Window.partitionBy("capa", "tabla").orderBy(*order)
+    ranked = recent.withColumns({"_rank": F.row_number().over(newest), "_judged": F.first("_ok").over(newest)})
+    # Successful runs before the newest one: the newest is no history of its own.
+    ago = F.col("_kind_rank") - F.col("_judged").cast("int")
+    recent = ranked.filter((F.col("_rank") == 1) | (F.col("_ok") & (ago <= keep)))
     earlier = F.when(F.col("_rank") > 1, F.col("registros_procesados"))
     per_table = recent.groupBy("capa", "tabla").agg(
         F.max(F.when(F.col("_rank") == 1, F.col("registros_procesados"))).alias("n_actual"),

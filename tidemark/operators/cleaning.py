@@ -44,20 +44,30 @@ def expand_copies(df: DataFrame, count: str, chunk: int = 100_000) -> DataFrame:
     return spread.select(*columns, F.explode(copies).alias("_copy")).drop("_copy")
 
 
-def duplicate_rejects(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def duplicate_rejects(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), reasons: tuple[str, str] | None = None
+) -> DataFrame:
     """All rows :func:`dedup` leaves out, as a multiset: ``df`` minus its survivors.
 
-    Equal rows are counted before the shuffle and repeated at the end, and only keys that repeat go through the
-    join, so the cost follows the number of duplicates.
+    A key's survivor is a maximum, which each task first takes on its own, and only keys that repeat go through the
+    join. Copies of a survivor are counted before they meet and repeated at the end. With ``reasons`` the column
+    ``motivo_error`` says whether a row is such a copy (the first) or another version of its key (the second).
     """
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    suspects = matching(df, repeated, keys)
-    counted = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    best = dedup(counted, keys, order_by).select(*[F.col(c).alias(f"_b_{c}") for c in counted.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in df.columns]
-    flagged = counted.join(best.withColumn("_kept", F.lit(1)), same, "left")
-    gone = F.col("_copies") - F.coalesce("_kept", F.lit(0))
-    return expand_copies(flagged.select(*df.columns, gone.alias("_copies")), "_copies")
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
+    # As in _newest_first: columns in order, then maps as text. Nulls are the smallest.
+    rank = F.struct(F.lit(0), *[F.col(c) for c in rest if c not in maps], *[F.to_json(F.col(c)) for c in rest if c in maps])
+    best = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(rank).alias("_best")).filter(F.col("_n") > 1)
+    best = best.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_best")
+    marked = df.withColumn("_rank", rank).join(best, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+    is_best = F.col("_rank").eqNullSafe(F.col("_best"))
+    other = marked.filter(~is_best).select(*df.columns)
+    whole = F.first(F.struct(*df.columns)).alias("_row")
+    copies = marked.filter(is_best).groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("_copies"), whole)
+    same = expand_copies(copies.select("_row.*", "_copies"), "_copies")
+    if reasons:
+        same, other = (part.withColumn("motivo_error", F.lit(why)) for part, why in zip((same, other), reasons, strict=True))
+    return other.unionByName(same)
 
 
 # ---- nulls ------------------------------------------------------------------------------------------------------

@@ -33,21 +33,42 @@ def _typed(df: DataFrame, column: str, value) -> Column:
     return F.lit(value).cast(df.schema[column].dataType)
 
 
-def incremental_scan(df: DataFrame, column: str, since, lateness: str | None = None) -> DataFrame:
+def incremental_scan(
+    df: DataFrame, column: str, since, lateness: str | None = None, inclusive: bool = False
+) -> DataFrame:
     """Rows whose stamp is strictly after ``since``.
 
-    With ``lateness`` (an interval such as ``2 hours``) the scan starts that much earlier; the caller removes what it
-    already holds, see :func:`unseen`. Null stamps are never read.
+    With ``lateness`` (an interval such as ``2 hours``) the scan starts that much earlier, and with ``inclusive`` it
+    takes the bound itself, so that rows which share the watermark's stamp but arrive later are not lost; the caller
+    removes what it already holds, see :func:`unseen`. Null stamps are never read, see :func:`undated`.
     """
     bound = _typed(df, column, since)
     if lateness:
         bound = (bound - F.expr(f"INTERVAL {lateness}")).cast(df.schema[column].dataType)
-    return df.filter(F.col(column) > bound)
+    return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
+
+
+def undated(df: DataFrame, column: str) -> DataFrame:
+    """Rows without a stamp, which no watermark ever reaches: they belong in quarantine."""
+    return df.filter(F.col(column).isNull())
 
 
 def unseen(df: DataFrame, seen: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Rows of a late-tolerant scan that were not taken before: no row with the same keys and stamp in ``seen``."""
-    return df.join(seen.select(*keys, column), [*keys, column], "left_anti")
+    """Rows of a scan that were not taken before: no row with the same keys (null like null) and stamp in ``seen``."""
+    taken = seen.select(*[F.col(c).alias(f"_s_{c}") for c in (*keys, column)])
+    same = [df[c].eqNullSafe(taken[f"_s_{c}"]) for c in (*keys, column)]
+    return df.join(taken, same, "left_anti")
+
+
+def not_older(df: DataFrame, held: DataFrame, keys: Sequence[str], column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows to merge, rows that are older than what ``held`` has for their key): a late row never replaces a newer one.
+
+    ``held`` has each key once. A row without a stamp is older than one with.
+    """
+    newest = held.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col(column).alias("_held"))
+    joined = df.join(newest, [df[k] == newest[f"_h_{k}"] for k in keys], "left").drop(*[f"_h_{k}" for k in keys])
+    older = F.col("_held").isNotNull() & F.coalesce(F.col(column) < F.col("_held"), F.lit(True))
+    return joined.filter(~older).drop("_held"), joined.filter(older).drop("_held")
 
 
 def high_watermark(df: DataFrame, column: str) -> DataFrame:
@@ -166,6 +187,6 @@ def run_log_row(
     spark: SparkSession, layer: str, table: str, batch_id: str, at: datetime, rows: int, status: str,
     message: str = "", seconds: int = 0,
 ) -> DataFrame:
-    """One line of the run log. ``status`` is EXITOSO, SIN_CAMBIOS or ERROR; messages are cut at 500 characters."""
-    row = (layer, table, batch_id, at, int(rows), None, int(seconds), status, (message or "")[:500])
+    """One line of the run log. ``status`` is EXITOSO, SIN_CAMBIOS or ERROR; messages are kept whole."""
+    row = (layer, table, batch_id, at, int(rows), None, int(seconds), status, message or "")
     return one_row(spark, RUN_LOG_SCHEMA, row)

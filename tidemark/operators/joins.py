@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 
 
 
-def _spread_key(df: DataFrame, key: str) -> Column:
-    """The key, and for a null key a hash of the row's other columns, so that such rows do not meet in one task."""
+def _spread(df: DataFrame, key: str) -> Column:
+    """0, or for a null key a hash of the row's other columns, so that such rows do not meet in one task."""
     maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
     rest = [c for c in df.columns if c != key and c not in maps]
-    makers = {"bigint": F.xxhash64, "int": F.hash, "string": lambda *c: F.xxhash64(*c).cast("string")}
-    maker = makers.get(df.schema[key].dataType.simpleString())
-    return F.coalesce(F.col(key), maker(*rest)) if maker and rest else F.col(key)
+    return F.when(F.col(key).isNull(), F.xxhash64(*rest)).otherwise(F.lit(0)) if rest else F.lit(0).cast("bigint")
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -30,10 +28,11 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None
     tasks.
     """
     right = dim.withColumnRenamed(dim_key or key, "_dim_key")
-    left = fact.withColumn("_join_key", _spread_key(fact, key))
-    # A hash may happen to be a key; the second condition keeps such a row from matching.
-    on = (F.col("_join_key") == F.col("_dim_key")) & left[key].isNotNull()
-    return left.join(right, on, "left").drop("_dim_key", "_join_key")
+    # Not a plain literal: that would be folded away, and with it the second column that rows are dealt by.
+    right = right.withColumn("_dim_spread", F.when(F.col("_dim_key").isNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+    left = fact.withColumn("_spread", _spread(fact, key))
+    on = (left[key] == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
+    return left.join(right, on, "left").drop("_dim_key", "_dim_spread", "_spread")
 
 
 def mark_known(

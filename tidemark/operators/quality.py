@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.spec import Rule
 
 RULE_COLUMNS = ("tabla", "prueba", "aprobada", "n_fallos", "pct_fallo", "critica", "estado", "ts_ejecucion")
+VERDICT_SCHEMA = "prueba string, aprobada boolean, n_fallos bigint, pct_fallo double, critica boolean, estado string"
 
 
 def _resolves(df: DataFrame, condition: Column) -> bool:
@@ -21,6 +24,14 @@ def _resolves(df: DataFrame, condition: Column) -> bool:
         return False
 
 
+def _counted(df: DataFrame, counters: Sequence[Column]) -> dict[str, int] | None:
+    """The counters' values, or None if the pass fails."""
+    try:
+        return df.agg(*counters).first().asDict()
+    except (PySparkException, Py4JJavaError):
+        return None
+
+
 def _pct(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part / whole * 100, 2)).otherwise(F.lit(0.0))
 
@@ -31,8 +42,12 @@ def quality_rules(
     """One row per rule: failures, their share, verdict.
 
     A row whose condition is null passes unless ``null_fails``. A rule that cannot be evaluated, for instance on a
-    missing column, is recorded as not passed, with a count of 0 and the label ERROR.
+    missing column or because a cast fails on some row, is recorded as not passed, with a count of 0 and the label
+    ERROR. All rules are counted in one pass, which runs here; only if that fails, each is tried on its own.
     """
+    if not rules:
+        empty = df.sparkSession.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _verdicts().fields])
+        return _stamped(empty, table, at)
     counts, labels = [], []
     for i, rule in enumerate(rules):
         condition = rule.condition()
@@ -42,10 +57,17 @@ def quality_rules(
         failed = ~F.coalesce(condition, F.lit(not null_fails))
         counts.append(F.count_if(failed).alias(f"_f{i}"))
         labels.append((rule, f"_f{i}"))
-    one_row = df.agg(F.count(F.lit(1)).alias("_n"), *counts)
+    whole = F.count(F.lit(1)).alias("_n")
+    found = _counted(df, [whole, *counts])
+    if found is None:
+        found = _counted(df, [whole])
+        for counter in counts:
+            found |= _counted(df, [counter]) or {}
+    results = []
     results = []
     for rule, counter in labels:
-        fails = F.col(counter) if counter else F.lit(0).cast("bigint")
+        counter = counter if counter in found else None
+        fails = F.lit(found[counter] if counter else 0).cast("bigint")
         passed = (fails == 0) if counter else F.lit(False)
         bad_label = "FALLIDA" if rule.critical else "ADVERTENCIA"
         results.append(
@@ -53,15 +75,22 @@ def quality_rules(
                 F.lit(rule.name).alias("prueba"),
                 passed.alias("aprobada"),
                 fails.alias("n_fallos"),
-                _pct(fails, F.col("_n")).alias("pct_fallo"),
+                _pct(fails, F.lit(found["_n"])).alias("pct_fallo"),
                 F.lit(rule.critical).alias("critica"),
                 F.when(passed, F.lit("APROBADA")).otherwise(F.lit(bad_label if counter else "ERROR")).alias("estado"),
             )
         )
-    listed = one_row.select(F.explode(F.array(*results)).alias("r")).select("r.*")
-    return listed.withColumns(
-        {"tabla": F.lit(table), "ts_ejecucion": F.lit(at).cast("timestamp")}
-    ).select(*RULE_COLUMNS)
+    listed = df.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*results)).alias("r")).select("r.*")
+    return _stamped(listed, table, at)
+
+
+def _verdicts() -> T.StructType:
+    return T.StructType.fromDDL(VERDICT_SCHEMA)
+
+
+def _stamped(verdicts: DataFrame, table: str, at) -> DataFrame:
+    stamps = {"tabla": F.lit(table), "ts_ejecucion": F.lit(at).cast("timestamp")}
+    return verdicts.withColumns(stamps).select(*RULE_COLUMNS)
 
 
 def _profiled(df: DataFrame, include_hidden: bool = False) -> list[str]:

@@ -12,8 +12,9 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import incremental as inc
 from tidemark.operators.anomaly import anomaly_record, fail_on_anomalies, volume_anomalies
@@ -24,7 +25,7 @@ from tidemark.operators.joins import mark_known, matching
 from tidemark.operators.quality import quality_report, quality_rules
 from tidemark.plans import marts
 from tidemark.session import one_row, work_dir
-from tidemark.sources.files import read_or_empty
+from tidemark.sources.files import conform_schema, nullable, read_or_empty
 from tidemark.sources.tables import LakeTable
 from tidemark.spec import TableSpec
 
@@ -58,6 +59,8 @@ class Mart:
     """table -> (column of the base, key of the table)."""
     children: Mapping[str, str] = field(default_factory=dict)
     """table -> its column that holds the base key."""
+    nullable_keys: bool = False
+    """Keys may be null, and rows of an upsert may not: the table is then keyed by a digest of its keys."""
 
     @property
     def inputs(self) -> list[str]:
@@ -113,10 +116,8 @@ HOSPITAL_MARTS = [
     ),
     Mart(
         "fact_alertas_epidemiologicas", ["anio", "semana", "ciudad", "codigo_cie10"], ["anio"],
-        lambda t, run: marts.outbreak_alerts(
-            t["HCE_ENCUENTROS"], t["RED_SEDES"], run.at, run.batch_id
-        ).filter(F.col("ciudad").isNotNull() & F.col("codigo_cie10").isNotNull()),
-        "HCE_ENCUENTROS", dims={"RED_SEDES": ("id_sede", "id_sede")},
+        lambda t, run: marts.outbreak_alerts(t["HCE_ENCUENTROS"], t["RED_SEDES"], run.at, run.batch_id),
+        "HCE_ENCUENTROS", dims={"RED_SEDES": ("id_sede", "id_sede")}, nullable_keys=True,
     ),
 ]
 
@@ -148,14 +149,26 @@ class Run:
 
 # ---- cleaning as one plan ---------------------------------------------------------------------------------------
 
+def no_key(spec: TableSpec) -> Column:
+    """Whether a row lacks part of its key."""
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
+
+
+def shown(df: DataFrame, spec: TableSpec) -> list[Column]:
+    """The columns as a report may show them: masked ones are null."""
+    return [F.lit(None).cast(df.schema[c].dataType).alias(c) if c in spec.masked else F.col(c) for c in df.columns]
+
+
 def label(df: DataFrame, spec: TableSpec, as_of: date, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Deduplicated, filled and derived rows with ``_motivo``: why the row is rejected, null if it is good.
 
     All reject rules and parent checks add to one plan, so good rows, rejects and counts come from a single pass.
-    Rows a rule only corrects carry a JSON copy of how they were.
+    Rows a rule only corrects carry a JSON copy of how they were, without the values of masked columns. Rows with a null
+    key are no copies of one another: each is rejected by itself.
     """
     stamp = [spec.watermark] if spec.watermark in df.columns else []
-    df = dedup(df, spec.dedup_keys or spec.keys, stamp)
+    lacking = no_key(spec)
+    df = dedup(df.filter(~lacking), spec.dedup_keys or spec.keys, stamp).unionByName(df.filter(lacking))
     for column, (kind, value) in spec.nulls.items():
         df = fill_nulls(df, {column: value}) if kind == "imputar" else df
         df = null_flags(df, [column]) if kind == "indicador" else df
@@ -170,7 +183,7 @@ def label(df: DataFrame, spec: TableSpec, as_of: date, parents: Mapping[str, Dat
             reasons.append((rule.reason, rule.bad()))
             continue
         copy_reason = F.coalesce(copy_reason, F.when(rule.bad(), F.lit(rule.reason)))
-        copy = F.coalesce(copy, F.when(rule.bad(), F.to_json(F.struct(*df.columns))))
+        copy = F.coalesce(copy, F.when(rule.bad(), F.to_json(F.struct(*shown(df, spec)))))
         corrections[rule.null_out] = F.when(rule.bad(), F.lit(None)).otherwise(F.col(rule.null_out))
     flags = []
     for i, fk in enumerate(spec.parents):
@@ -181,6 +194,15 @@ def label(df: DataFrame, spec: TableSpec, as_of: date, parents: Mapping[str, Dat
     return labelled.drop(*flags)
 
 
+def digest(keys: Sequence[str]) -> Column:
+    """One key that is never null for columns that may be."""
+    return F.sha2(F.to_json(F.struct(*keys)), 256)
+
+
+class RunError(RuntimeError):
+    """Raised at the end of a run in which steps failed; the others were done."""
+
+
 # ---- the lakehouse ----------------------------------------------------------------------------------------------
 
 class Lakehouse:
@@ -202,6 +224,8 @@ class Lakehouse:
         self.kpis = {k.name: k for k in kpis}
         self.source_name, self.watermark_mode = source_name, watermark_mode
         self._open: dict[tuple[str, str], LakeTable] | None = None
+        self._scratch: list[str] = []
+        self._shapes: dict[str, T.StructType] = {}
 
     # tables
 
@@ -221,15 +245,33 @@ class Lakehouse:
         spec = self.specs[name]
         return LakeTable(
             self.spark, f"{self.root}/silver/{name}", keys=spec.keys, partition_by=spec.date_parts,
-            ignore=SILVER_STAMPS,
+            ignore=SILVER_STAMPS, shape=self._shape(name),
         )
 
+    def _shape(self, name: str) -> T.StructType | None:
+        """The schema of a cleaned table before its first row, so that what reads it works from the first day."""
+        if name not in self._shapes:
+            spec = self.specs[name]
+            stamp = [T.StructField(spec.watermark, T.TimestampType())] if spec.watermark not in spec.schema.names else []
+            raw = self.spark.createDataFrame([], nullable(T.StructType([*spec.schema.fields, *stamp])))
+            raw = conform_schema(raw, nullable(spec.schema), spec.decimals) if not stamp else raw
+            if spec.date_column not in raw.columns:
+                return None
+            parents = {fk.parent: self.spark.createDataFrame([], self.specs[fk.parent].schema) for fk in spec.parents}
+            good = label(raw, spec, date(2000, 1, 1), parents).drop("_motivo", *COPY)
+            self._shapes[name] = self._finished(good, spec, Run.start(datetime(2000, 1, 1))).schema
+        return self._shapes[name]
+
+    def _finished(self, good: DataFrame, spec: TableSpec, run: Run) -> DataFrame:
+        dated = inc.with_date_parts(mask_null(good, spec.masked), spec.date_column, spec.date_parts)
+        return dated.withColumns({"_silver_ts": F.lit(run.at).cast("timestamp"), "_silver_lote": F.lit(run.batch_id)})
+
     def gold(self, name: str) -> LakeTable:
         spec = self.marts.get(name) or self.kpis[name]
         # Alert time and batch say when an alert was found, not what it is.
         ignore = [*GOLD_STAMPS, "fec_alerta", "lote_id"]
         keys, parts = list(spec.keys), list(spec.partition_by)
-        if name in self.kpis:
+        if name in self.kpis or spec.nullable_keys:
             # Groups may be null (a site without a city), and keys of an upsert may not: the key is a digest.
             keys = ["_grupo"]
         return LakeTable(self.spark, f"{self.root}/gold/{name}", keys=keys, partition_by=parts, ignore=ignore)
@@ -271,10 +313,20 @@ class Lakehouse:
         except Exception as e:
             self._log(layer, table, run, 0, "ERROR", str(e), began)
             raise
+        finally:
+            self._clear()
         status = "SIN_CAMBIOS" if rows is None else "EXITOSO"
         self._log(layer, table, run, rows or 0, status, "No new rows" if rows is None else "", began)
         return status
 
+    def _clear(self) -> None:
+        """Remove the copies that a step staged: they hold unmasked values."""
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self._scratch:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
+        self._scratch.clear()
+
     def _log(self, layer, table, run, rows, status, message, began) -> None:
         seconds = int(time.monotonic() - began)
         self._note(
@@ -306,9 +358,14 @@ class Lakehouse:
         since = datetime.fromisoformat(inc.EPOCH) if full else self.watermark(name)
         rows = source(since) if callable(source) else source
         if not full:
-            rows = inc.incremental_scan(rows, spec.watermark, since, spec.lateness)
-            if spec.lateness and table.exists():
-                held = inc.incremental_scan(table.read(), spec.watermark, since, spec.lateness)
+            lost = inc.undated(rows, spec.watermark)
+            if not lost.isEmpty():
+                # One folder for all runs: the source shows these rows again and again.
+                shown_rows = lost.select(*shown(lost, spec))
+                self._report("errores", f"{name}-sin_fecha", quarantine(shown_rows, name, run.at, f"SIN_FECHA: {spec.watermark}"))
+            rows = inc.incremental_scan(rows, spec.watermark, since, spec.lateness, inclusive=True)
+            if table.exists():
+                held = inc.incremental_scan(table.read(), spec.watermark, since, spec.lateness, inclusive=True)
                 rows = inc.unseen(rows, held, spec.keys, spec.watermark)
         if rows.isEmpty():
             return None
@@ -347,26 +404,31 @@ class Lakehouse:
         n_before = changes.count()
         n_dup = n_before - counts["n"]
         good = labelled.filter(F.col("_motivo").isNull()).drop("_motivo", *COPY)
+        older = None
+        if table.exists() and spec.watermark in good.columns:
+            held = table.matching(good.select(*spec.keys), spec.keys)
+            late = self._staged(inc.not_older(good, held, spec.keys, spec.watermark)[1].select(*spec.keys), "late")
+            if not late.isEmpty():
+                good, older = good.join(late, spec.keys, "left_anti"), good.join(late, spec.keys, "left_semi")
 
         load = f"{name}-{upto}"
-        self._quarantine(spec, changes if n_dup else None, labelled, counts["bad"] + counts["corrected"], run, load)
+        bad = counts["bad"] + counts["corrected"]
+        self._quarantine(spec, changes if n_dup else None, labelled, bad, older, run, load)
         self._report("pruebas_calidad", load, quality_rules(good, name, spec.rules, run.at))
         report = quality_report(changes, good, name, run.batch_id, run.at, n_dup, counts["bad"])
         self._report("reporte_calidad", load, report)
 
-        masked = mask_null(good, spec.masked)
-        dated = inc.with_date_parts(masked, spec.date_column, spec.date_parts)
-        stamps = {"_silver_ts": F.lit(run.at).cast("timestamp"), "_silver_lote": F.lit(run.batch_id)}
-        table.upsert(dated.withColumns(stamps), run.at)
+        table.upsert(self._finished(good, spec, run), run.at)
         self._finish(consumer, {name: upto}, run)
         return counts["n"] - counts["bad"]
 
-    def _quarantine(self, spec, duplicated, labelled, n_rejects, run, load) -> None:
-        """Rejected rows, copies of corrected rows and removed duplicates, in one append."""
+    def _quarantine(self, spec, duplicated, labelled, n_rejects, older, run, load) -> None:
+        """Rejected rows, copies of corrected rows, removed duplicates and late old versions, in one append."""
         parts = []
+        report = lambda rows: quarantine(rows.select(*shown(rows, spec)), spec.name, run.at)
         if n_rejects:
             bad = labelled.filter(F.col("_motivo").isNotNull()).withColumnRenamed("_motivo", "motivo_error")
-            parts.append(quarantine(bad.drop(*COPY), spec.name, run.at))
+            parts.append(report(bad.drop(*COPY)))
             copies = labelled.filter(F.col(COPY[1]).isNotNull())
             parts.append(
                 copies.select(
@@ -376,8 +438,10 @@ class Lakehouse:
             )
         if duplicated is not None:
             stamp = [spec.watermark] if spec.watermark in duplicated.columns else []
-            gone = duplicate_rejects(duplicated, spec.dedup_keys or spec.keys, stamp)
-            parts.append(quarantine(gone, spec.name, run.at, "DUPLICADO_EXACTO"))
+            reasons = ("DUPLICADO_EXACTO", "VERSION_ANTERIOR")
+            parts.append(report(duplicate_rejects(duplicated.filter(~no_key(spec)), spec.dedup_keys or spec.keys, stamp, reasons)))
+        if older is not None:
+            parts.append(report(older.withColumn("motivo_error", F.lit("VERSION_ANTERIOR"))))
         if parts:
             self._report("errores", load, reduce(DataFrame.unionByName, parts))
 
@@ -396,15 +460,19 @@ class Lakehouse:
         consumer = f"gold.{mart.name}"
         tables = {n: self._table("silver", n) for n in mart.inputs}
         now, done = self._pending(consumer, tables)
-        if all(now[n] <= done[n] for n in tables):
+        published = self._table("gold", mart.name)
+        if all(now[n] <= done[n] for n in tables) and published.exists():
             return None
-        if mart.base_key is None or min(done.values()) < 0:
-            inputs, scope = {n: t.read() for n, t in tables.items()}, None
+        if mart.base_key is None or min(done.values()) < 0 or list(mart.keys) != [mart.base_key]:
+            # What the rebuild no longer yields goes: the scope is all that is there.
+            inputs = {n: t.read() for n, t in tables.items()}
+            scope = published.read().select(*published.keys) if published.exists() else None
         else:
-            inputs, keys = self._affected(mart, tables, done)
-            scope = keys if list(mart.keys) == [mart.base_key] else None
+            inputs, scope = self._affected(mart, tables, done)
         rows = mart.build(inputs, run)
-        n = self._publish(self._table("gold", mart.name), rows, run, scope)
+        if mart.nullable_keys:
+            rows = rows.withColumn("_grupo", digest(mart.keys))
+        n = self._publish(published, rows, run, scope)
         self._finish(consumer, now, run)
         return n
 
@@ -429,6 +497,7 @@ class Lakehouse:
     def _staged(self, df: DataFrame, label: str) -> DataFrame:
         """Write once what is read several times; the copy outlives lost executors and its size is known."""
         path = work_dir(self.spark, f"stage-{label}")
+        self._scratch.append(path)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -449,7 +518,6 @@ class Lakehouse:
         now, done = self._pending(consumer, tables)
         if all(now[n] <= done[n] for n in tables):
             return None
-        digest = F.sha2(F.to_json(F.struct(*kpi.keys)), 256)
         scope = None
         if min(done.values()) < 0:
             facts = [t.read() for t in tables.values()]
@@ -457,30 +525,37 @@ class Lakehouse:
             touched = [t.feed(done[n]).select(*kpi.keys) for n, t in tables.items()]
             groups = self._staged(reduce(DataFrame.unionByName, touched).distinct(), "groups")
             facts = [t.matching(groups, kpi.keys) for t in tables.values()]
-            scope = groups.select(digest.alias("_grupo"))
+            scope = groups.select(digest(kpi.keys).alias("_grupo"))
         rows = kpi.build(*facts)
-        n = self._publish(self._table("gold", kpi.name), rows.withColumn("_grupo", digest), run, scope)
+        n = self._publish(self._table("gold", kpi.name), rows.withColumn("_grupo", digest(kpi.keys)), run, scope)
         self._finish(consumer, now, run)
         return n
 
     # whole run
 
-    def run(self, sources: Mapping[str, DataFrame | Callable[[datetime], DataFrame]], at: datetime | None = None) -> Run:
-        """All layers in order. ``sources`` maps table names to frames or readers."""
+    def run(
+        self, sources: Mapping[str, DataFrame | Callable[[datetime], DataFrame]], at: datetime | None = None, fail: bool = True
+    ) -> Run:
+        """All layers in order. ``sources`` maps table names to frames or readers. A step that fails stops no other: it
+        is logged, takes up where it was in the next run, and is named in the error that ends this one (unless ``fail``
+        is false)."""
         run = Run.start(at)
+        steps = [("bronze", n, lambda n=n: self.ingest(n, sources[n], run)) for n in self.specs if n in sources]
+        steps += [("silver", n, lambda n=n: self.clean(n, run)) for n in self.specs]
+        steps += [("gold", n, lambda n=n: self.build_mart(n, run)) for n in self.marts]
+        steps += [("gold", n, lambda n=n: self.build_kpi(n, run)) for n in self.kpis]
+        failed = []
         self._open = {}
         try:
-            for name in self.specs:
-                if name in sources:
-                    self.ingest(name, sources[name], run)
-            for name in self.specs:
-                self.clean(name, run)
-            for name in self.marts:
-                self.build_mart(name, run)
-            for name in self.kpis:
-                self.build_kpi(name, run)
+            for layer, name, step in steps:
+                try:
+                    step()
+                except Exception as e:  # noqa: BLE001 - named below
+                    failed.append((f"{layer}.{name}", e))
         finally:
             self._open = None
+        if failed and fail:
+            raise RunError("; ".join(f"{where}: {e}" for where, e in failed)) from failed[0][1]
         return run
 
     def check_volumes(self, run: Run, fail: bool = True, **limits) -> DataFrame:

@@ -14,11 +14,12 @@ BATCH_SIZE = 10_000
 def incremental_query(
     table: str, column: str | None = None, since: datetime | None = None, stamp_type: str = "TIMESTAMP"
 ) -> str:
-    """The query the database runs: rows after ``since`` (cut to the second), or all of them without a watermark.
+    """The query the database runs: rows from ``since`` on (cut to the second), or all of them without a watermark. Rows
+    with the very stamp of the watermark come again and are told by their keys; rows without a stamp come too, once a run.
     ``stamp_type`` is the database's name for a timestamp, ``DATETIME`` for some."""
     if column is None or since is None:
         return f"SELECT * FROM {table}"
-    return f"SELECT * FROM {table} WHERE CAST({column} AS {stamp_type}) > '{since:%Y-%m-%d %H:%M:%S}'"
+    return f"SELECT * FROM {table} WHERE CAST({column} AS {stamp_type}) >= '{since:%Y-%m-%d %H:%M:%S}' OR {column} IS NULL"
 
 
 def key_offsets_query(tables: Mapping[str, str]) -> str:

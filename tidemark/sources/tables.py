@@ -52,10 +52,13 @@ class LakeTable:
         keys: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         ignore: Sequence[str] = (),
+        shape: T.StructType | None = None,
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.declared = nullable(schema) if schema is not None else None
         self.keys, self.partition_by, self.ignore = list(keys), list(partition_by), list(ignore)
+        # What a table that was never written looks like to its readers; the first rows still bring their own types.
+        self.shape = nullable(shape) if shape is not None else None
         self._rows = None
 
     # ---- reading --------------------------------------------------------------------------------------------
@@ -88,7 +91,7 @@ class LakeTable:
         return T.StructType.fromJson(json.loads(log[-1]["schema"])) if log else self.declared
 
     def _known_schema(self) -> T.StructType:
-        schema = self._schema()
+        schema = self._schema() or self.shape
         if schema is None:
             raise ValueError(f"{self.path} has no commit and no declared schema")
         return schema
@@ -120,7 +123,7 @@ class LakeTable:
             log = self._log(version)
             first = max([r["version"] for r in log if r["kind"] == "overwrite"], default=0)
             last = log[-1]["version"] if log else -1
-            return self.feed().filter(F.col("_commit_version").between(first, last)).select(*schema.names)
+            return self.feed(first - 1).filter(F.col("_commit_version").between(first, last)).select(*schema.names)
         return self._read_fragments(self._fragments(version), schema).select(*schema.names)
 
     def _located(self, keys: DataFrame, on: Sequence[str], schema: T.StructType) -> DataFrame | None:
@@ -152,10 +155,15 @@ class LakeTable:
         ``_commit_timestamp``. Only the folders of newer commits are read."""
         schema = self._known_schema()
         full = T.StructType([*schema.fields, *FEED_FIELDS])
-        rows = read_or_empty(self.spark, f"{self.path}/changes", full)
-        newer = (F.col("_commit_version") > since) & (F.col("_commit_version") <= self.version())
         columns = [*schema.names, "_change_type", "_commit_version", "_commit_timestamp"]
-        return rows.filter(newer).select(*columns)
+        root = f"{self.path}/changes"
+        # Folders are named, so that those of old commits aren't even listed; an upsert without changes left none behind.
+        newer = [f"{root}/_commit_version={r['version']}" for r in self._log() if r["version"] > since]
+        if not newer:
+            return self.spark.createDataFrame([], full).select(*columns)
+        paths = newer if since >= 0 else [root]
+        rows = self.spark.read.schema(full).option("basePath", root).parquet(*paths)
+        return rows.filter(F.col("_commit_version") <= self.version()).select(*columns)
 
     # ---- writing --------------------------------------------------------------------------------------------
 

@@ -105,5 +105,5 @@ def load_all(
             load(spec)
             outcome.append((spec.name, "OK", ""))
         except Exception as e:  # noqa: BLE001 - reported to the caller per table
-            outcome.append((spec.name, "ERROR", str(e)[:200]))
+            outcome.append((spec.name, "ERROR", str(e)))
     return spark.createDataFrame(outcome, LOAD_SCHEMA)
