@@ -75,10 +75,12 @@ class Kpi:
     sources: Sequence[str]
     build: Callable[..., DataFrame]
     partition_by: Sequence[str] = ("anio", "mes")
+    group: Sequence[str] | None = None
+    """Columns of the grain; by default those that are known for the name."""
 
     @property
     def keys(self) -> list[str]:
-        return marts.KPI_KEYS[self.name]
+        return list(self.group or marts.KPI_KEYS[self.name])
 
 
 HOSPITAL_MARTS = [

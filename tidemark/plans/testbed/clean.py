@@ -174,6 +174,7 @@ ORDER_RULES = [
     Rule("priority length", lambda: F.length("o_orderpriority") == 6),
     Rule("null passes", lambda: F.nullif("o_orderstatus", F.lit("P")) == "F"),
     Rule("broken", lambda: F.col("no_such_column") > 0, True),
+    Rule("fails while running", lambda: F.coalesce(F.col("o_orderpriority").cast("int"), F.raise_error(F.lit("no number"))) > 0),
 ]
 
 
@@ -190,6 +191,7 @@ SELECT 'orders' AS tabla, prueba, n_fallos = 0 AS aprobada, n_fallos, round(n_fa
        CASE WHEN n_fallos = 0 THEN 'APROBADA' WHEN critica THEN 'FALLIDA' ELSE 'ADVERTENCIA' END AS estado
 FROM f, t
 UNION ALL SELECT 'orders', 'broken', FALSE, 0, 0.0, TRUE, 'ERROR'
+UNION ALL SELECT 'orders', 'fails while running', FALSE, 0, 0.0, FALSE, 'ERROR'
 """)
 def _quality_rules(spark, d):
     return quality_rules(table(spark, d, "orders"), "orders", ORDER_RULES).drop("ts_ejecucion")
@@ -215,7 +217,8 @@ def _null_profile(spark, d):
 @query("q_quality_report", f"""
 WITH {NULLED_SQL}, kept AS (SELECT flag, num FROM nulled WHERE disc IS NOT NULL)
 SELECT 'lineitem' AS tabla, '{BATCH}' AS lote_id, (SELECT CAST(count(*) AS BIGINT) FROM nulled) AS n_registros_bronze,
-       CAST(count(*) AS BIGINT) AS n_registros_silver, CAST(0 AS BIGINT) AS n_duplicados, CAST(12 AS BIGINT) AS n_rechazados,
+       CAST(count(*) AS BIGINT) AS n_registros_silver, (SELECT CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) FROM nulled) AS n_duplicados,
+       (SELECT CAST(count(*) AS BIGINT) FROM nulled WHERE disc IS NULL) AS n_rechazados,
        round(count(*) / (SELECT count(*) FROM nulled) * 100, 2) AS pct_conformes,
        '{{"flag":' || round(count(*) FILTER (flag IS NULL) / count(*) * 100, 2) || ',"num":'
        || round(count(*) FILTER (num IS NULL) / count(*) * 100, 2) || '}}' AS detalle_nulos
@@ -223,5 +226,6 @@ FROM kept
 """)
 def _quality_report(spark, d):
     before = lines_with_nulls(spark, d)
-    after, _ = exclude_nulls(before, ["disc"])
-    return quality_report(before, after.select("flag", "num"), "lineitem", BATCH, STAMP, 0, 12).drop("ts_reporte")
+    after, rejected = exclude_nulls(before, ["disc"])
+    repeated = before.count() - dedup(before, LINE_KEY).count()
+    return quality_report(before, after.select("flag", "num"), "lineitem", BATCH, STAMP, repeated, rejected.count()).drop("ts_reporte")

@@ -29,7 +29,8 @@ TABLES = [
 ]
 KEYS = {
     "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
-    "part": "p_partkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id",
+    "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
+    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
 }
 
 

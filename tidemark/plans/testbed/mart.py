@@ -246,23 +246,30 @@ def _fill_missing_weeks(spark, d):
 
 
 def event_runs(spark, d):
-    """Each day's events of a user and type as one load of that 'table'."""
+    """Each day's events of a user and type as one load of that 'table'; some days failed, some brought nothing."""
     return table(spark, d, "events").groupBy(
         F.lit("bronze").alias("capa"),
         F.concat_ws("-", "event_type", "user_id").alias("tabla"),
         F.col("ts").cast("date").cast("timestamp_ntz").alias("ts_ejecucion"),
-    ).agg(F.count(F.lit(1)).alias("registros_procesados"))
+    ).agg(F.count(F.lit(1)).alias("registros_procesados")).withColumn(
+        "estado",
+        F.when(F.dayofmonth("ts_ejecucion") % 7 == 0, "ERROR").when(F.dayofmonth("ts_ejecucion") % 5 == 0, "SIN_CAMBIOS").otherwise("EXITOSO"),
+    ).withColumn("registros_procesados", F.when(F.col("estado") == "EXITOSO", F.col("registros_procesados")).otherwise(F.lit(0)))
 
 
 RUNS_SQL = """
 runs AS (
-  SELECT event_type || '-' || user_id AS tabla, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL
+  SELECT tabla, day, ok, CASE WHEN ok THEN c ELSE 0 END AS n FROM (
+    SELECT event_type || '-' || user_id AS tabla, CAST(ts AS DATE) AS day, day(ts) % 5 <> 0 AS ok, count(*) AS c
+    FROM events WHERE day(ts) % 7 <> 0 GROUP BY ALL)
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY tabla ORDER BY day DESC) AS r FROM runs
+), past AS (
+  SELECT *, row_number() OVER (PARTITION BY tabla ORDER BY day DESC) AS h FROM ranked WHERE ok AND r > 1
 ), judged AS (
-  SELECT tabla, max(n) FILTER (r = 1) AS last, avg(n) FILTER (r BETWEEN 2 AND 8) AS m,
-         count(*) FILTER (r BETWEEN 2 AND 8) AS k
-  FROM ranked GROUP BY tabla
+  SELECT tabla, (SELECT max(n) FROM ranked x WHERE x.tabla = past.tabla AND x.r = 1) AS last, avg(n) FILTER (h <= 7) AS m,
+         count(*) FILTER (h <= 7) AS k
+  FROM past GROUP BY tabla
 ), found AS (
   SELECT 'bronze' AS capa, tabla, CAST(last AS BIGINT) AS n_actual, round(m, 0) AS n_promedio,
          round(abs(last - m) / m * 100, 2) AS pct_desviacion
@@ -272,7 +279,7 @@ runs AS (
 
 @query("q_volume_anomaly", f"WITH {RUNS_SQL} SELECT * FROM found")
 def _volume_anomaly(spark, d):
-    return volume_anomalies(event_runs(spark, d), status=None).drop("ts_deteccion")
+    return volume_anomalies(event_runs(spark, d)).drop("ts_deteccion")
 
 
 @query("q_anomaly_record", f"""
@@ -282,7 +289,7 @@ UNION ALL
 SELECT 'ALL', 'ALL', 0, 0.0, 0.0, '{STAMP}', 'OK' WHERE NOT EXISTS (SELECT 1 FROM found)
 """)
 def _anomaly_record(spark, d):
-    return anomaly_record(volume_anomalies(event_runs(spark, d), status=None, detected_at=STAMP), STAMP)
+    return anomaly_record(volume_anomalies(event_runs(spark, d), detected_at=STAMP), STAMP)
 
 
 # ---- joins ------------------------------------------------------------------------------------------------------
