@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from tidemark.llm import near_join
 from tidemark.llm.near_join import near_groups, signatures
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,7 +46,8 @@ def found(docs, **options):
 
 
 @pytest.mark.parametrize("least", [2, 5, 1000])
-def test_same_groups_as_all_pairs(documents, speak, least):
+def test_same_groups_as_all_pairs(documents, speak, least, monkeypatch):
+    monkeypatch.setattr(near_join, "BLOCK_ROWS", 4)
     rng, pairs = random.Random(least), []
     passage = speak(60)
     for base in range(6):

@@ -10,9 +10,9 @@ one bin. Which tokens count as frequent changes the work, never the links.
 Equal sets are one class from the start, so copies cost nothing. A first round links most of each group of near copies:
 classes that share two of their smallest tokens with one hub are compared with it. After that, a signature only matters
 where its holders are still in different components. Holders of a rare token are few and are compared with one another;
-holders of a combination are first compared with a hub, then those that didn't link with it with all others that the
-triangle inequality of the Jaccard distance still allows, given the known distances to the hub. So every link between two
-components is found and compared exactly.
+holders of a combination are first compared with a hub, and then, if that leaves several components, with one another by
+small sketches of their sets, which prove most pairs too far apart; lists of very many holders are cut into blocks for
+that. So every link between two components is found, and what may be a link is compared exactly.
 
 Null texts and texts without words have no shingles and link with nothing, not even with each other; their component is
 their own doc_id. Repeated rows and ids are linked by their texts alone. A component in which all doc_ids are null has a
@@ -46,6 +46,8 @@ LEVEL_TOKENS = 64
 BATCH_TOKENS = 4 << 20
 BUCKET_TOKENS = 2 << 20
 LIST_ROWS = 1 << 20
+BLOCK_ROWS = 4096
+BLOCK_PART_ROWS = 1 << 16
 
 U64 = np.uint64
 
@@ -260,9 +262,13 @@ def _texts_as_sets(batches):
             yield pa.RecordBatch.from_arrays([piece.column("class"), pa.ListArray.from_arrays(pa.array(where), flat)], ["class", "tokens"])
 
 
+def _sketch_bits(n: int) -> int:
+    return max(64, 8 << n.bit_length())
+
+
 def _sketch(own: np.ndarray) -> bytes:
-    """A bit for the low bits of each token, in four to eight bits a token."""
-    held = np.zeros(32 << len(own).bit_length() >> 3 << 3, bool)
+    """A bit for the low bits of each token, in eight to sixteen bits a token."""
+    held = np.zeros(_sketch_bits(len(own)), bool)
     held[(own & U64(len(held) - 1)).astype(np.int64)] = True
     return np.packbits(held, bitorder="little").tobytes()
 
@@ -370,46 +376,75 @@ def links(docs: DataFrame, members: DataFrame, least: int = FREQUENT, most: int
 
 def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of signs that many classes may hold: the comparisons with hubs, and the pairs that are still to be compared."""
-    # Sizes a factor of 4/3 apart make one band; a list holds two bands next to each other, and its hub is of a middle size.
     mixed = signed.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     signed = signed.join(small(staged(mixed.select("sign"), "mixed"), 16), "sign").distinct()
-    step = F.log(F.lit(100 / PERCENT))
-    band = F.floor(F.log(F.col("n").cast("double")) / step)
+    # Sizes a factor of 4/3 apart make one band; a list holds two bands next to each other, so that it has all fitting pairs.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)))
     signed = staged(signed.withColumn("sizes", F.explode(F.array(band, band + 1))), "lists")
-    middle = F.abs(F.log(F.col("n").cast("double")) - F.col("sizes") * step)
-    hub = F.min(F.struct(middle.alias("off"), "id", "n", "label")).alias("hub")
-    lists = signed.groupBy("sign", "sizes").agg(hub, F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    lists = lists.select("sign", "sizes", F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.label").alias("label_a"))
+    lists = signed.groupBy("sign", "sizes").agg(F.min(F.struct("id", "n", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
+    lists = lists.where("low != high").select("sign", "sizes", F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.label").alias("label_a"))
     rows = staged(signed.join(lists, ["sign", "sizes"]), "hubs")
-    # A member of the hub's component needs no comparison with it, unless others' distances to it are to be judged.
-    star = rows.where((F.col("a") != F.col("id")) & _fits("n", "n_a")).select("a", F.col("id").alias("b")).distinct()
+    star = rows.where((F.col("label_a") != F.col("label")) & _fits("n", "n_a")).select("a", F.col("id").alias("b")).distinct()
     star = compared(docs, classes, staged(star, "star"))
-    # Links with hubs can make lists uniform.
-    joined = _labels(staged(_edges(star), "edges"))
-    merged = rows.join(small(joined.withColumnRenamed("label", "to"), 32), "id", "left")
-
-    # The distance to the hub lies between low and high: exactly known for close pairs, else at least so much.
-    far = lambda shared: 1 - F.col(shared) / (F.col("n_a") + F.col("n_b") - F.col(shared))
-    near = star.groupBy("a", F.col("b").alias("id")).agg(
-        F.min(far("most")).alias("low"), F.max(F.coalesce(far("both"), F.lit(1.0))).alias("high"), F.max(F.coalesce(far("both"), F.lit(0.0))).alias("exact")
-    )
-    rows = merged.join(near, ["a", "id"], "left")
-    is_hub = F.col("id") == F.col("a")
-    low = F.when(is_hub, 0.0).otherwise(F.greatest("low", "exact", 1 - F.least("n", "n_a") / F.greatest("n", "n_a")))
-    high = F.when(is_hub, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))
-    rows = rows.select("sign", "sizes", "id", "n", "label", F.coalesce("to", "id").alias("to"), low.alias("low"), high.alias("high"))
-    one = F.min("to").alias("to_low"), F.max("to").alias("to_high"), F.min("label").alias("label_low"), F.max("label").alias("label_high")
-    open_lists = rows.groupBy("sign", "sizes").agg(*one).where("to_low != to_high AND label_low != label_high").select("sign", "sizes")
-    rows = staged(rows.join(small(staged(open_lists, "open-lists"), 24), ["sign", "sizes"]), "open")
-    # Members that link with the hub are in its component; each other member is compared with all it may still reach.
-    reach = (100 - PERCENT) / 100 + 1e-9
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "label", "to", "low", "high")]
-    left, right = rows.where(F.col("high") > reach).select("sign", "sizes", *side("a")), rows.select("sign", "sizes", *side("b"))
-    apart = (F.col("label_a") != F.col("label_b")) & (F.col("to_a") != F.col("to_b")) & _fits("n_a", "n_b")
-    once = (F.col("high_b") <= reach) | (F.col("id_a") < F.col("id_b"))
-    within = (F.col("low_a") - F.col("high_b") <= reach) & (F.col("low_b") - F.col("high_a") <= reach)
-    rest = left.join(right, ["sign", "sizes"]).where(apart & once & within)
-    return star, rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+    # Links with hubs join components; where a list still has several, its members are compared by sketches.
+    moved = star.where(_linked()).join(rows.select(F.col("id").alias("a"), F.col("label").alias("from_a")).distinct(), "a")
+    moved = moved.join(rows.select(F.col("id").alias("b"), F.col("label").alias("from_b")).distinct(), "b")
+    to = components(staged(moved.select(F.col("from_a").alias("a"), F.col("from_b").alias("b")).distinct(), "moves"))
+    to = small(staged(to.select(F.col("node").alias("label"), F.col("label").alias("to")), "to"), 32)
+    rows = rows.select("sign", "sizes", "id", "n", "label").join(to, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+    lists = rows.groupBy("sign", "sizes").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held"))
+    lists = staged(lists.where("low != high").select("sign", "sizes", F.ceil(F.col("held") / BLOCK_ROWS).alias("chunks")), "open-lists")
+    rows = staged(rows.join(small(lists, 32), ["sign", "sizes"]), "open")
+    wanted = staged(classes.join(rows.select("id").distinct(), "id").select(*KEY, "id", "class", "n"), "wanted")
+    found = docs.join(small(wanted, 96), KEY).select("id", "class", "n", "text")
+    found = staged(found.mapInArrow(_texts_as_sketches, "id long, class binary, n long, sketch binary"), "sketches")
+    # Equal ids of different classes, should there be any, each bring their own sketch.
+    rows = rows.drop("n").join(found.select("id", "n", "sketch"), "id")
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
+    block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.least(chunk, c).alias("x"), F.greatest(chunk, c).alias("y")))
+    rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", F.col("n").cast("int").alias("n"), "label", "sketch")
+    parts = max(1, rows.count() // BLOCK_PART_ROWS)
+    return star, rows.repartition(parts, "sign").mapInArrow(_near_pairs, "a long, b long")
+
+
+def _near_pairs(batches):
+    """Like _pairs, of those pairs that sketches don't prove too far apart."""
+    columns = ("sign", "id", "n", "label")
+    held, sketches = {c: [] for c in columns}, []
+    for batch in batches:
+        for c in columns:
+            held[c].append(batch.column(c).to_numpy())
+        sketches += batch.column("sketch").to_pylist()
+    if not sketches:
+        return
+    rows = {c: np.concatenate(h) for c, h in held.items()}
+    order = np.lexsort((rows["n"], rows["sign"]))
+    sign, ids, n, label = (rows[c][order] for c in columns)
+    n = n.astype(np.int64)
+    # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
+    heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
+    found = [np.zeros((0, 2), np.int64)]
+    for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+        own, bits = [sketches[k] for k in order[i:j]], len(sketches[order[i]])
+        table = np.stack([np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, bits // 8), axis=0) for x in own])
+        for k in range(j - i - 1):
+            # Larger sets up to what still fits.
+            last = k + 1 + int(np.searchsorted(n[i + k + 1 : j], 100 * n[i + k] // PERCENT, "right"))
+            other = np.flatnonzero(label[i + k + 1 : i + last] != label[i + k]) + k + 1
+            if not len(other):
+                continue
+            most = n[i + k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64)
+            most = np.minimum(most, n[i + other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64))
+            other = other[100 * most >= PERCENT * (n[i + k] + n[i + other] - most)]
+            if len(other):
+                pair = np.stack((np.full(len(other), ids[i + k]), ids[i + other]), 1)
+                found.append(np.sort(pair, axis=1))
+        if sum(map(len, found)) > 1 << 18:
+            found = [np.unique(np.concatenate(found), axis=0)]
+    pairs = np.unique(np.concatenate(found), axis=0)
+    for i in range(0, len(pairs), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs[i : i + (1 << 16)].T], ["a", "b"])
 
 
 def _id(column: str = "class") -> Column:

@@ -101,8 +101,8 @@ trace AS (
   SELECT trace.k - 1, best.i FROM trace JOIN best ON best.k = trace.k AND best.j = trace.j WHERE trace.k > 1),
 ends AS (SELECT len::BIGINT AS bucket FROM trace JOIN s ON s.i = trace.j),
 w AS (SELECT q.*, CASE WHEN piece IS NOT NULL THEN (SELECT min(bucket) FROM ends WHERE bucket >= n_tokens) END AS bucket FROM q),
-x AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY n_tokens, doc_id NULLS LAST, piece) - 1 AS at, greatest(1, 65536 // bucket) AS room FROM w)
-SELECT doc_id, piece, start, n_tokens, bucket, CASE WHEN bucket IS NOT NULL THEN at // room END AS batch, CASE WHEN bucket IS NOT NULL THEN at % room END AS slot
+x AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY n_tokens, doc_id NULLS LAST, piece) - 1 AS pos, greatest(1, 65536 // bucket) AS room FROM w)
+SELECT doc_id, piece, start, n_tokens, bucket, CASE WHEN bucket IS NOT NULL THEN pos // room END AS batch, CASE WHEN bucket IS NOT NULL THEN pos % room END AS slot
 FROM x""",
     "op2_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
@@ -118,6 +118,19 @@ d AS (
 SELECT page_id, url, strlen(h) AS payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN best END AS refers_to
 FROM d""",
+    "op3_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(r"[^\x20\x09-\x0D]+")} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda p: array_to_string(w[p:p + 4], ' '))) AS g
+  FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT a, b FROM edges UNION SELECT reached.a, edges.b FROM reached JOIN edges ON reached.b = edges.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, (SELECT min(b) FROM reached WHERE a = doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id)""",
     "op5_decontaminate": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS w FROM benchmark),

@@ -96,6 +96,20 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, kind=SPACED) -> np.ndarray
     return mix(np.add.reduceat(value, begins - begins[0]))
 
 
+def prefix_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, sizes: range, kind=SPACED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size: which words have more bytes than that, and a hash of their first so many bytes."""
+    if not len(begins):
+        return
+    value = kind[1][data[begins[0] :]]
+    length = np.diff(begins, append=len(data))
+    place = np.arange(len(value)) - np.repeat(begins - begins[0], length)
+    total = np.concatenate(([U64(0)], np.cumsum(value * _power(int(length.max()))[place])))
+    for k in sizes:
+        longer = np.flatnonzero(ends - begins > k)
+        at = begins[longer] - begins[0]
+        yield longer, mix(total[at + k] - total[at] + U64(k * int(_MUL) % 2**64))
+
+
 def words(column, kind=SPACED) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column, and where each text's words begin."""
     data, offsets = text_bytes(column)
