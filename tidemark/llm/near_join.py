@@ -43,9 +43,9 @@ SLICE_BITS = 16
 BITS = 40
 LOWEST = 4
 LEVEL_TOKENS = 64
-BATCH_TOKENS = 4 << 20
+BATCH_TOKENS = 2 << 20
 BUCKET_TOKENS = 2 << 20
-LIST_ROWS = 1 << 20
+LIST_ROWS = 1 << 19
 BLOCK_ROWS = 4096
 BLOCK_PART_ROWS = 1 << 16
 
@@ -146,7 +146,7 @@ def frequent(docs: DataFrame, total: int, least: int = FREQUENT, most: int = MAP
             bar = df + 1
             held -= count
             break
-    bits = min(most, max(SLICE_BITS, (64 * held).bit_length()))
+    bits = min(most, max(SLICE_BITS, (16 * held).bit_length()))
     place = F.shiftright("token", BITS - bits)
     slices = found.where(F.col("df") >= bar).select(place.alias("place"), F.shiftright(place, SLICE_BITS).alias("slice"))
     out = np.zeros((1 << (bits - SLICE_BITS), 1 << (SLICE_BITS - 3)), np.uint8)
@@ -157,11 +157,12 @@ def frequent(docs: DataFrame, total: int, least: int = FREQUENT, most: int = MAP
 
 class _Frequent:
     def __init__(self, bitmap: bytes):
-        self.flags = np.unpackbits(np.frombuffer(bitmap, np.uint8)).view(bool)
-        self.shift = U64(64 - (len(self.flags).bit_length() - 1))
+        self.bits = np.frombuffer(bitmap, np.uint8)
+        self.shift = U64(64 - (8 * len(self.bits)).bit_length() + 1)
 
     def __call__(self, values: np.ndarray) -> np.ndarray:
-        return self.flags[(values >> self.shift).astype(np.int64)]
+        place = (values >> self.shift).astype(np.int64)
+        return (self.bits[place >> 3] >> (7 - (place & 7)) & 1).astype(bool)
 
 
 def _missing(n: int) -> int:
@@ -426,20 +427,24 @@ def _near_pairs(batches):
     heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
     found = [np.zeros((0, 2), np.int64)]
     for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-        own, bits = [sketches[k] for k in order[i:j]], len(sketches[order[i]])
-        table = np.stack([np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, bits // 8), axis=0) for x in own])
-        for k in range(j - i - 1):
-            # Larger sets up to what still fits.
-            last = k + 1 + int(np.searchsorted(n[i + k + 1 : j], 100 * n[i + k] // PERCENT, "right"))
-            other = np.flatnonzero(label[i + k + 1 : i + last] != label[i + k]) + k + 1
-            if not len(other):
-                continue
-            most = n[i + k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64)
-            most = np.minimum(most, n[i + other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64))
-            other = other[100 * most >= PERCENT * (n[i + k] + n[i + other] - most)]
+        size, of = n[i:j], label[i:j]
+        # Members of the commonest component need no comparison with each other, so the others are compared with all.
+        names, which, times = np.unique(of, return_inverse=True, return_counts=True)
+        rest = np.flatnonzero(which != times.argmax())
+        if len(names) < 2:
+            continue
+        bits = len(sketches[order[i]])
+        table = np.stack([np.bitwise_or.reduce(np.frombuffer(sketches[k], np.uint64).reshape(-1, bits // 8), axis=0) for k in order[i:j]])
+        for k in rest.tolist():
+            fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
+            other = np.flatnonzero(of[fit] != of[k]) + fit.start
+            most = np.minimum(
+                size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
+                size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
+            )
+            other = other[100 * most >= PERCENT * (size[k] + size[other] - most)]
             if len(other):
-                pair = np.stack((np.full(len(other), ids[i + k]), ids[i + other]), 1)
-                found.append(np.sort(pair, axis=1))
+                found.append(np.sort(np.stack((np.full(len(other), ids[i + k]), ids[i + other]), 1), axis=1))
         if sum(map(len, found)) > 1 << 18:
             found = [np.unique(np.concatenate(found), axis=0)]
     pairs = np.unique(np.concatenate(found), axis=0)
