@@ -48,6 +48,8 @@ def found(docs, **options):
 @pytest.mark.parametrize("least", [2, 5, 1000])
 def test_same_groups_as_all_pairs(documents, speak, least, monkeypatch):
     monkeypatch.setattr(near_join, "BLOCK_ROWS", 4)
+    if least == 5:
+        monkeypatch.setattr(near_join, "BROADCAST_BYTES", -1)
     rng, pairs = random.Random(least), []
     passage = speak(60)
     for base in range(6):

@@ -31,15 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
+from tidemark.llm.bitmap import Members, bitmap
 from tidemark.llm.components import components
-from tidemark.llm.frames import KEY, keyed, on_file, small, staged
+from tidemark.llm.frames import BROADCAST_BYTES, KEY, keyed, on_file, small, staged
 
 SHINGLE = 5
 #: A link needs intersection / union of at least this many hundredths.
 PERCENT = 75
 FREQUENT = 4
 MAP_BITS = 27
-SLICE_BITS = 16
 BITS = 40
 LOWEST = 4
 LEVEL_TOKENS = 64
@@ -126,13 +126,6 @@ def _often(least: int):
     return run
 
 
-def _slice(table: pa.Table) -> pa.Table:
-    bits = np.zeros(1 << SLICE_BITS, bool)
-    place = table.column("place").to_numpy()
-    bits[place & ((1 << SLICE_BITS) - 1)] = True
-    return pa.table({"slice": [int(place[0]) >> SLICE_BITS], "bits": [np.packbits(bits).tobytes()]}, pa.schema([("slice", pa.int64()), ("bits", pa.binary())]))
-
-
 def frequent(docs: DataFrame, total: int, least: int = FREQUENT, most: int = MAP_BITS) -> bytes:
     """A bitmap of the tokens that ``least`` or more rows hold, by the tokens' upper bits; of 2 ** ``most`` bits at most."""
     n = max(1, min(-(-total // BUCKET_TOKENS), 1 << 20))
@@ -146,23 +139,7 @@ def frequent(docs: DataFrame, total: int, least: int = FREQUENT, most: int = MAP
             bar = df + 1
             held -= count
             break
-    bits = min(most, max(SLICE_BITS, (16 * held).bit_length()))
-    place = F.shiftright("token", BITS - bits)
-    slices = found.where(F.col("df") >= bar).select(place.alias("place"), F.shiftright(place, SLICE_BITS).alias("slice"))
-    out = np.zeros((1 << (bits - SLICE_BITS), 1 << (SLICE_BITS - 3)), np.uint8)
-    for part, data in slices.groupBy("slice").applyInArrow(_slice, "slice long, bits binary").collect():
-        out[part] = np.frombuffer(data, np.uint8)
-    return out.tobytes()
-
-
-class _Frequent:
-    def __init__(self, bitmap: bytes):
-        self.bits = np.frombuffer(bitmap, np.uint8)
-        self.shift = U64(64 - (8 * len(self.bits)).bit_length() + 1)
-
-    def __call__(self, values: np.ndarray) -> np.ndarray:
-        place = (values >> self.shift).astype(np.int64)
-        return (self.bits[place >> 3] >> (7 - (place & 7)) & 1).astype(bool)
+    return bitmap(found.where(F.col("df") >= bar).select("token"), held, most, BITS)
 
 
 def _missing(n: int) -> int:
@@ -204,7 +181,7 @@ def signatures(own: np.ndarray, common: np.ndarray, rare: bool = True, often: bo
 
 def _signed(sent, rare: bool):
     def run(batches):
-        table, seen = _Frequent(sent.value), set()
+        table, seen = Members(sent.value), set()
         for batch in batches:
             for piece in tokens.pieces(batch):
                 found, ids, sizes = [], [], []
@@ -400,56 +377,66 @@ def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[D
     wanted = staged(classes.join(rows.select("id").distinct(), "id").select(*KEY, "id", "class", "n"), "wanted")
     found = docs.join(small(wanted, 96), KEY).select("id", "class", "n", "text")
     found = staged(found.mapInArrow(_texts_as_sketches, "id long, class binary, n long, sketch binary"), "sketches")
-    # Equal ids of different classes, should there be any, each bring their own sketch.
-    rows = rows.drop("n").join(found.select("id", "n", "sketch"), "id")
+    # The sketches are sent to all tasks where they fit the bound, else they go along with the rows.
+    size = found.agg(F.sum(F.length("sketch") + 64)).first()[0] or 0
+    sent = None
+    if size <= BROADCAST_BYTES:
+        table = found.select("id", "sketch").toArrow()
+        sent = docs.sparkSession.sparkContext.broadcast(dict(zip(table["id"].to_pylist(), table["sketch"].to_pylist(), strict=True)))
+    else:
+        rows = rows.join(found.select("id", "sketch"), "id")
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
     block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.least(chunk, c).alias("x"), F.greatest(chunk, c).alias("y")))
-    rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", F.col("n").cast("int").alias("n"), "label", "sketch")
+    rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", F.col("n").cast("int").alias("n"), "label", *([] if sent else ["sketch"]))
     parts = max(1, rows.count() // BLOCK_PART_ROWS)
-    return star, rows.repartition(parts, "sign").mapInArrow(_near_pairs, "a long, b long")
+    return star, rows.repartition(parts, "sign").mapInArrow(_near_pairs(sent), "a long, b long")
 
 
-def _near_pairs(batches):
-    """Like _pairs, of those pairs that sketches don't prove too far apart."""
-    columns = ("sign", "id", "n", "label")
-    held, sketches = {c: [] for c in columns}, []
-    for batch in batches:
-        for c in columns:
-            held[c].append(batch.column(c).to_numpy())
-        sketches += batch.column("sketch").to_pylist()
-    if not sketches:
-        return
-    rows = {c: np.concatenate(h) for c, h in held.items()}
-    order = np.lexsort((rows["n"], rows["sign"]))
-    sign, ids, n, label = (rows[c][order] for c in columns)
-    n = n.astype(np.int64)
-    # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
-    heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
-    found = [np.zeros((0, 2), np.int64)]
-    for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-        size, of = n[i:j], label[i:j]
-        # Members of the commonest component need no comparison with each other, so the others are compared with all.
-        names, which, times = np.unique(of, return_inverse=True, return_counts=True)
-        rest = np.flatnonzero(which != times.argmax())
-        if len(names) < 2:
-            continue
-        bits = len(sketches[order[i]])
-        table = np.stack([np.bitwise_or.reduce(np.frombuffer(sketches[k], np.uint64).reshape(-1, bits // 8), axis=0) for k in order[i:j]])
-        for k in rest.tolist():
-            fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
-            other = np.flatnonzero(of[fit] != of[k]) + fit.start
-            most = np.minimum(
-                size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
-                size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
-            )
-            other = other[100 * most >= PERCENT * (size[k] + size[other] - most)]
-            if len(other):
-                found.append(np.sort(np.stack((np.full(len(other), ids[i + k]), ids[i + other]), 1), axis=1))
-        if sum(map(len, found)) > 1 << 18:
-            found = [np.unique(np.concatenate(found), axis=0)]
-    pairs = np.unique(np.concatenate(found), axis=0)
-    for i in range(0, len(pairs), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs[i : i + (1 << 16)].T], ["a", "b"])
+def _near_pairs(sent):
+    """Like _pairs, of those pairs that sketches don't prove too far apart; ``sent``: the sketches by id, or None if rows have them."""
+
+    def run(batches):
+        columns = ("sign", "id", "n", "label")
+        held, sketches = {c: [] for c in columns}, []
+        for batch in batches:
+            for c in columns:
+                held[c].append(batch.column(c).to_numpy())
+            sketches += [sent.value[i] for i in batch.column("id").to_pylist()] if sent else batch.column("sketch").to_pylist()
+        if not sketches:
+            return
+        rows = {c: np.concatenate(h) for c, h in held.items()}
+        order = np.lexsort((rows["n"], rows["sign"]))
+        sign, ids, n, label = (rows[c][order] for c in columns)
+        n = n.astype(np.int64)
+        # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
+        heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
+        found = [np.zeros((0, 2), np.int64)]
+        for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            size, of = n[i:j], label[i:j]
+            # Members of the commonest component need no comparison with each other, so the others are compared with all.
+            names, which, times = np.unique(of, return_inverse=True, return_counts=True)
+            rest = np.flatnonzero(which != times.argmax())
+            if len(names) < 2:
+                continue
+            bits = len(sketches[order[i]])
+            table = np.stack([np.bitwise_or.reduce(np.frombuffer(sketches[k], np.uint64).reshape(-1, bits // 8), axis=0) for k in order[i:j]])
+            for k in rest.tolist():
+                fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
+                other = np.flatnonzero(of[fit] != of[k]) + fit.start
+                most = np.minimum(
+                    size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
+                    size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
+                )
+                other = other[100 * most >= PERCENT * (size[k] + size[other] - most)]
+                if len(other):
+                    found.append(np.sort(np.stack((np.full(len(other), ids[i + k]), ids[i + other]), 1), axis=1))
+            if sum(map(len, found)) > 1 << 18:
+                found = [np.unique(np.concatenate(found), axis=0)]
+        pairs = np.unique(np.concatenate(found), axis=0)
+        for i in range(0, len(pairs), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs[i : i + (1 << 16)].T], ["a", "b"])
+
+    return run
 
 
 def _id(column: str = "class") -> Column:

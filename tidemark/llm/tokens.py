@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 2 << 20
+PIECE = 1 << 20
 U64 = np.uint64
 _MUL = U64(0x9E3779B97F4A7C15)
 _STEP = U64(0xD1342543DE82EF95)
