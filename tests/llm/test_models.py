@@ -153,6 +153,23 @@ def test_cross_entropy_difference(documents, frame, speak):
             assert r.difference == pytest.approx(target - background, abs=1e-3)
 
 
+@pytest.mark.parametrize("hot", [0, 40, 1 << 20])
+def test_every_word_is_in_the_models(documents, frame, speak, hot):
+    """More words than any fixed vocabulary, rare ones and pairs too, wherever their counts are looked up."""
+    rng, phrase = random.Random(6), speak(30, 10**9)
+    docs = [(i, " ".join(speak(60, 3000) + speak(20, 10**9) + (phrase[: rng.randrange(30)] if i % 4 else []) + ["the"] * rng.randrange(9))) for i in range(120)]
+    docs += [(120, None), (121, " "), (122, docs[3][1])]
+    good = {i for i, _ in docs if i % 3}
+    rows = score(targets(documents(docs), frame([(i, 1, 0) for i in good], LABELS)), hot).collect()
+    expected = brute_losses(docs, good, 10**9)
+    assert len(rows) == len(docs) and len({w for _, t in docs for w in (t or "").split()}) > 4000
+    for r in rows:
+        n, target, background = expected[r.doc_id]
+        assert r.n_tokens == n
+        if n:
+            assert r.target_loss == pytest.approx(target, rel=1e-7) and r.background_loss == pytest.approx(background, rel=1e-7)
+
+
 def test_no_target_no_difference(documents, frame):
     rows = score(targets(documents([(1, "a b c"), (2, "d")]), frame([], LABELS))).collect()
     assert {r.difference for r in rows} == {0.0}

@@ -1,10 +1,13 @@
 """Cross-entropy difference: how much better a model of a target corpus predicts a document than a model of all text.
 
-Both models are interpolated bigram models over one vocabulary: the commonest words of all documents (hashes, ``WORDS`` of
-them, a parameter of the model) and one sign for all others. They have the same smoothing, and the background's counts are
-scaled to the target's size, so that neither is sharper for having seen more. The target is the documents labelled
-good; the background is every document. Counts are grouped aggregates over the whole corpus, summed within tasks first;
-what goes to the driver is the bounded table of pairs.
+Both models are interpolated bigram models over one vocabulary: all words of all documents, and one sign for any word
+never seen. They have the same smoothing, and the background's counts are scaled to the target's size, so that neither is
+sharper for having seen more. The target is the documents labelled good; the background is every document.
+
+Words, words before, and pairs are counted over the whole corpus, summed within tasks first, into a written table; nothing of
+it is left out. Each token asks it for three counts. The ``HOT`` commonest keys are sent to every task, and what isn't in a
+bitmap of the keys counted twice or more was counted once, here; only tokens that ask for other keys are joined to
+the table, by these keys. Results don't depend on ``HOT``, which only says what is looked up where.
 
 A token's loss is -log2 of its probability after the word before it (or the beginning). A document's score is the mean of
 target loss less background loss over its tokens: below nought, it's more like the target. Null and empty texts have no
@@ -20,85 +23,108 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.features import Lookup, per_text
+from tidemark.llm.bitmap import Members, bitmap
+from tidemark.llm.features import per_text
 from tidemark.llm.frames import KEY, keyed, on_file, small, staged
 
-WORDS = 1023
+HOT = 1 << 20
+MAP_BITS = 27
 #: Pseudo-counts: of a word without regard to the one before it, and of any word at all.
 BACK_OFF, FLOOR = 8.0, 0.5
-FLUSH = 4 << 20
+FLUSH = 2 << 20
+#: Losses are summed as whole numbers of this part of a bit, so that sums don't depend on the order of rows.
+PART = 1 << 30
+
+U64 = np.uint64
+BEGIN, BEFORE, BOTH = U64(0x9B05688C2B3E6C1F), U64(0x5BE0CD19137E2179), U64(0xD1342543DE82EF95)
+#: What a token asks for: the count of its word, of the word before it as such, and of the pair.
+ASKED = ["word", "before", "pair"]
+
+
+def keys(found: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Of each token, the key of each of ``ASKED``."""
+    before = np.concatenate(([BEGIN], found[:-1])) if len(found) else found
+    before[at[:-1][np.diff(at) > 0]] = BEGIN
+    return [found, tokens.mix(before + BEFORE), tokens.mix(tokens.mix(before) * BOTH + found)]
 
 
-def _words(batches):
-    """Counts of words in all texts and in target texts, summed over some millions of words."""
+def _own(piece: pa.RecordBatch, at: np.ndarray) -> np.ndarray:
+    return np.repeat(piece.column("target").to_numpy(zero_copy_only=False), np.diff(at))
+
+
+def _counts(batches):
+    """Counts of all keys in all texts and in target texts, summed over some millions of tokens."""
     held, n = [], 0
 
     def summed():
-        word, inverse = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-        target = np.bincount(inverse, np.concatenate([t for _, t in held]), len(word))
-        columns = word.view(np.int64), np.bincount(inverse, minlength=len(word)).astype(np.int64), target.astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "n", "n_target"])
+        target = np.concatenate([t for _, t in held])
+        for kind in range(len(ASKED)):
+            key, inverse = np.unique(np.concatenate([k[kind] for k, _ in held]), return_inverse=True)
+            many = (np.bincount(inverse, minlength=len(key)), np.bincount(inverse, target, len(key)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(key), kind, np.int8), key.view(np.int64), *many)], ["kind", "key", "n", "n_target"])
 
     for batch in batches:
         for piece in tokens.pieces(batch):
             found, at = tokens.words(piece.column("text"))
-            held.append((found, np.repeat(piece.column("target").to_numpy(zero_copy_only=False), np.diff(at))))
+            held.append((keys(found, at), _own(piece, at)))
             n += len(found)
             if n >= FLUSH:
-                yield summed()
+                yield from summed()
                 held, n = [], 0
     if n:
-        yield summed()
+        yield from summed()
 
 
-def cells(found: np.ndarray, at: np.ndarray, vocabulary: Lookup) -> np.ndarray:
-    """Number of each token's pair: word before times size, plus word. The last number is any other word, or, before, the beginning too."""
-    size = len(vocabulary.sorted) + 1
-    word = vocabulary.index(found)
-    word[word < 0] = size - 1
-    before = np.concatenate(([size], word[:-1])) if len(word) else word
-    before[at[:-1][np.diff(at) > 0]] = size
-    return before * size + word
+def _losses(word, before, pair, scale: float, tokens_in_all: float, vocabulary: int) -> np.ndarray:
+    """-log2 of the probability of tokens with these counts."""
+    single = (word * scale + FLOOR) / (tokens_in_all * scale + FLOOR * vocabulary)
+    return -np.log2((pair * scale + BACK_OFF * single) / (before * scale + BACK_OFF))
 
 
-def _pairs(sent):
-    def run(batches):
-        vocabulary = Lookup(sent.value)
-        size = len(vocabulary.sorted) + 1
-        total = np.zeros((2, (size + 1) * size), np.int64)
-        for batch in batches:
-            for piece in tokens.pieces(batch):
-                found, at = tokens.words(piece.column("text"))
-                cell = cells(found, at, vocabulary)
-                target = np.repeat(piece.column("target").to_numpy(zero_copy_only=False), np.diff(at))
-                for counts, own in zip(total, (cell, cell[target > 0]), strict=True):
-                    which, n = np.unique(own, return_counts=True)
-                    counts[which] += n
-        seen = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (seen, total[0][seen], total[1][seen])], ["cell", "n", "n_target"])
+def _looked_up(key: np.ndarray, own: np.ndarray, hot: tuple, members: Members) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n and n_target of each key, and whether that is known here."""
+    which, inverse = np.unique(key, return_inverse=True)
+    common, *counts = hot
+    at = np.minimum(np.searchsorted(common, which), max(len(common) - 1, 0))
+    here = common[at] == which if len(common) else np.zeros(len(which), bool)
+    once = ~here & ~members(which)
+    n, n_target = (np.where(here, c[at], 1) if len(common) else np.ones(len(which), np.int64) for c in counts)
+    return n[inverse], np.where(once[inverse], own, n_target[inverse]), (here | once)[inverse]
 
-    return run
 
+ASKS = [f"{c}{k}" for k in ASKED for c in ("key_", "n_", "n_target_")]
+FORM = "at_file long, at_row long, doc_id long, n_tokens long, target_part long, background_part long, target long, " + ", ".join(f"{c} long" for c in ASKS)
 
-def losses(counts: np.ndarray, weight: float = 1.0) -> np.ndarray:
-    """-log2 of the probability of each word (column) after each word (row, the last is the beginning)."""
-    counts = counts * weight
-    single = counts.sum(0)
-    single = (single + FLOOR) / (single.sum() + FLOOR * len(single))
-    return -np.log2((counts + BACK_OFF * single) / (counts.sum(1, keepdims=True) + BACK_OFF))
 
+def _scores(sent, models):
+    """A row per document with the losses known here, and one, with null n_tokens, per token with a key to be joined; known keys are null."""
 
-def _scores(sent):
     def run(batches):
-        words, target, background = sent.value
-        vocabulary = Lookup(words)
+        *hot, shared = sent.value
+        members = Members(shared)
         for batch in batches:
             for piece in tokens.pieces(batch):
                 found, at = tokens.words(piece.column("text"))
-                cell, n = cells(found, at, vocabulary), np.diff(at)
-                means = [pa.array(per_text(t[cell].astype(float), at) / np.maximum(n, 1), mask=n == 0) for t in (target, background)]
-                columns = [*[piece.column(c) for c in (*KEY, "doc_id")], pa.array(n.astype(np.int64)), *means]
-                yield pa.RecordBatch.from_arrays(columns, [*KEY, "doc_id", "n_tokens", "target_loss", "background_loss"])
+                own, n = _own(piece, at), np.diff(at)
+                asked = keys(found, at)
+                answers = [_looked_up(k, own, hot, members) for k in asked]
+                whole = np.logical_and.reduce([a[2] for a in answers])
+                sums = []
+                for which, model in models:
+                    loss = _losses(*[a[which] for a in answers], *model)
+                    sums.append(per_text(np.where(whole, np.rint(loss * PART), 0).astype(np.int64), at))
+                rows = pa.RecordBatch.from_arrays([*[piece.column(c) for c in (*KEY, "doc_id")], pa.array(n.astype(np.int64)), *map(pa.array, sums), piece.column("target").cast(pa.int64())], ["at_file", "at_row", "doc_id", "n_tokens", "target_part", "background_part", "target"])
+                none = lambda k: [pa.nulls(k, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *none(len(n)) * len(ASKS)], [*rows.schema.names, *ASKS])
+                rest = np.flatnonzero(~whole)
+                if not len(rest):
+                    continue
+                text = pa.array(np.repeat(np.arange(len(n)), n)[rest])
+                columns = [*[piece.column(c).take(text) for c in KEY], *none(len(rest)) * 4, pa.array(own[rest].astype(np.int64))]
+                for key, (count, in_target, known) in zip(asked, answers, strict=True):
+                    columns.append(pa.array(key[rest].view(np.int64), mask=known[rest]))
+                    columns += [pa.array(c[rest].astype(np.int64), mask=~known[rest]) for c in (count, in_target)]
+                yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *ASKS])
 
     return run
 
@@ -111,21 +137,43 @@ def targets(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(small(good, 24), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(0)))
 
 
-def score(rows: DataFrame, words: int = WORDS) -> DataFrame:
+def _joined(rest: DataFrame, counts: DataFrame, k: str) -> DataFrame:
+    """The rows with the counts of this key. A key that isn't in the table was counted once, here."""
+    asking = rest.where(F.col(f"key_{k}").isNotNull()).drop(f"n_{k}", f"n_target_{k}")
+    counts = counts.where(F.col("kind") == ASKED.index(k))
+    found = asking.join(counts.select(F.col("key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("n_target").alias(f"n_target_{k}")), f"key_{k}", "left")
+    found = found.withColumns({f"n_target_{k}": F.coalesce(f"n_target_{k}", "target"), f"n_{k}": F.coalesce(f"n_{k}", F.lit(1))})
+    return rest.where(F.col(f"key_{k}").isNull()).unionByName(found.select(*rest.columns))
+
+
+def score(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """A row per document: KEY, doc_id, n_tokens, target_loss, background_loss, difference."""
     context = rows.sparkSession.sparkContext
-    text = rows.select("text", "target")
-    counted = text.mapInArrow(_words, "word long, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"))
-    common = np.array([r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()], np.int64).view(np.uint64)
-    size = len(common) + 1
-    table = text.mapInArrow(_pairs(context.broadcast(common)), "cell long, n long, n_target long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
-    counts = np.zeros((2, (size + 1) * size))
-    for k, c in enumerate(("n", "n_target")):
-        counts[k, table["cell"].to_numpy()] = table[c].to_numpy()
-    background, target = counts.reshape(2, size + 1, size)
-    ratio = target.sum() / max(1.0, background.sum())
-    models = [losses(m, w).astype(np.float32).ravel() for m, w in (((target, 1.0), (background, ratio)) if ratio else ((background, 1.0),) * 2)]
-    sent = context.broadcast((common, *models))
-    form = "at_file long, at_row long, doc_id long, n_tokens long, target_loss double, background_loss double"
-    found = rows.select(*KEY, "doc_id", "text").mapInArrow(_scores(sent), form)
-    return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
+    counted = rows.select("text", "target").mapInArrow(_counts, "kind byte, key long, n long, n_target long")
+    counted = counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    # Of what was counted once, only words are written, since they are numbered.
+    counted = staged(counted.where("kind = 0 OR n > 1"), "counts")
+    n, n_target, vocabulary = counted.where("kind = 0").agg(F.sum("n"), F.sum("n_target"), F.count(F.lit(1))).first()
+    counts = counted.where("n > 1")
+    common = counts.orderBy(F.desc("n"), "key").limit(hot).select("key", "n", "n_target").toArrow().sort_by("key")
+    key = common["key"].to_numpy().view(U64)
+    order = np.argsort(key)
+    shared = bitmap(counts.select("key"), counts.count(), MAP_BITS)
+    sent = context.broadcast((key[order], *[common[c].to_numpy()[order] for c in ("n", "n_target")], shared))
+    # Which count, and its scale: of two equal models without any target.
+    ratio = (n_target or 0) / max(1, n or 0)
+    scales = [(1, 1.0), (0, ratio)] if ratio else [(0, 1.0)] * 2
+    models = [(which, (scale, float((n, n_target)[which] or 0), vocabulary + 1)) for which, scale in scales]
+    scored = staged(rows.select(*KEY, "doc_id", "text", "target").mapInArrow(_scores(sent, models), FORM), "scored")
+    rest = scored.where("n_tokens IS NULL").select(*KEY, "target", *ASKS)
+    for k in ASKED:
+        rest = _joined(rest, counts, k)
+    parts = []
+    for name, (which, (scale, total, size)) in zip(("target", "background"), models, strict=True):
+        word, before, pair = (F.col(f"{('n', 'n_target')[which]}_{k}") * scale for k in ASKED)
+        single = (word + FLOOR) / (total * scale + FLOOR * size)
+        loss = -F.log2((pair + BACK_OFF * single) / (before + BACK_OFF))
+        parts.append(F.sum(F.rint(loss * PART).cast("long")).alias(f"{name}_rest"))
+    found = scored.where("n_tokens IS NOT NULL").drop(*ASKS, "target").join(rest.groupBy(*KEY).agg(*parts), KEY, "left")
+    means = [((F.col(f"{k}_part") + F.coalesce(f"{k}_rest", F.lit(0))) / F.lit(float(PART)) / F.nullif("n_tokens", F.lit(0))).alias(f"{k}_loss") for k in ("target", "background")]
+    return found.select(*KEY, "doc_id", "n_tokens", *means).withColumn("difference", F.col("target_loss") - F.col("background_loss"))
