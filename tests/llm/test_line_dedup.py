@@ -66,6 +66,22 @@ def test_same_as_brute_force(documents):
         assert (r.n_lines, r.n_deleted, left) == expected[r.doc_id]
 
 
+def brute_all(pairs):
+    """Lines deleted by alignment of all pairs of documents."""
+    split = [t.split("\n") for _, t in pairs]
+    return {i: len({j for o in split[:k] for j in shared_blocks(o, own, [len(x) for x in own])}) for k, ((i, _), own) in enumerate(zip(pairs, split, strict=True))}
+
+
+def test_blocks_of_short_lines(documents):
+    rng = random.Random(8)
+    block = [f"item {k}" for k in range(100)]
+    pairs = [(i, "\n".join([f"own {rng.random():.6f}" for _ in range(i)] + block[10 * i : 100 - 5 * i])) for i in range(5)]
+    pairs += [(5, "\n".join(block[:3]))]
+    expected = brute_all(pairs)
+    assert expected[1] == 85 and expected[5] == 0
+    assert {r.doc_id: r.n_deleted for r in dedup_lines(documents(pairs)).collect()} == expected
+
+
 def test_edge_rows(documents, frame):
     pairs = [(1, line(1)), (1, line(1)), (None, line(1)), (2, None), (3, ""), (4, "\n\n"), (5, "x" * 100_000), (6, "x" * 100_000 + "\n" + line(7)), (0, line(1).upper())]
     rows = dedup_lines(documents(pairs)).collect()

@@ -1,8 +1,9 @@
 """Line deduplication by pairwise alignment: what a later document shares with an earlier one, in order, is deleted there.
 
-Documents that overlap are found through lines that both hold. A line that few documents hold (``RARE`` or fewer) pairs
-each of them with every earlier one; a line that more hold pairs each with the first that holds it, so that it costs one
-pair per document however many there are, and no line goes without. Each pair is aligned with patience diff: lines that
+Documents that overlap are found through runs of adjacent lines that both hold: from each line on, and back from each, the
+shortest run of ``BLOCK_BYTES`` or more. Of a common block of that size every line is in such a run within the block, however
+short its lines are. A run that few documents hold (``RARE`` or fewer) pairs each of them with every earlier one; a run that
+more hold pairs each with the first that holds it, so that it costs one pair per document however many there are. Each pair is aligned with patience diff: lines that
 are unique in both are put into a longest common order, and the same is done between them. Aligned runs of lines of
 ``BLOCK_BYTES`` or more are deleted from the later document.
 
@@ -26,23 +27,43 @@ from tidemark.llm.features import BLANK
 from tidemark.llm.frames import KEY, keyed, on_file, small, staged
 
 RARE = 8
-#: Lines of fewer bytes don't make a pair of documents.
-LINE_BYTES = 24
 BLOCK_BYTES = 40
 
+U64 = np.uint64
+STEP = 0xD1342543DE82EF95
 
-def _lines(batches):
-    schema = [("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]
-    for batch in batches:
-        for piece in tokens.pieces(batch):
-            data, offsets = tokens.text_bytes(piece.column("text"))
-            begins, ends, at = tokens.spans(data, offsets, tokens.LINES)
-            found = tokens.word_hashes(data, begins, tokens.LINES)
-            blank = np.concatenate(([0], np.cumsum(BLANK[data])))
-            full = (blank[ends] - blank[begins]) < ends - begins
-            where = np.concatenate(([0], np.cumsum(full)))[at].astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(where), pa.array(c[full])) for c in (found.view(np.int64), (ends - begins).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in (*KEY, "doc_id")], *lists], [*KEY, "doc_id", *[k for k, _ in schema]])
+
+def runs(lines: np.ndarray, sizes: np.ndarray, where: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shortest runs of ``least`` bytes or more from each line on and back from each, and the text each is of."""
+    n, text = len(lines), np.repeat(np.arange(len(where) - 1), np.diff(where))
+    size = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    up, down = (np.concatenate((np.ones(1, U64), np.cumprod(np.full(n, U64(f))))) for f in (STEP, pow(STEP, -1, 2**64)))
+    total = np.concatenate((np.zeros(1, U64), np.cumsum(lines * up[:n])))
+    at = np.arange(n)
+    ends, begins = np.searchsorted(size, size[:-1] + least), np.searchsorted(size, size[1:] - least, "right") - 1
+    on, back = ends <= where[text + 1], begins >= where[text]
+    begin, end = np.concatenate((at[on], begins[back])), np.concatenate((ends[on], at[back] + 1))
+    return tokens.mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(U64)), np.concatenate((text[on], text[back]))
+
+
+def _lines(least: int):
+    def run(batches):
+        for batch in batches:
+            for piece in tokens.pieces(batch):
+                data, offsets = tokens.text_bytes(piece.column("text"))
+                begins, ends, at = tokens.spans(data, offsets, tokens.LINES)
+                found = tokens.word_hashes(data, begins, tokens.LINES)
+                blank = np.concatenate(([0], np.cumsum(BLANK[data])))
+                full = (blank[ends] - blank[begins]) < ends - begins
+                where = np.concatenate(([0], np.cumsum(full)))[at].astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(where), pa.array(c[full])) for c in (found.view(np.int64), (ends - begins).astype(np.int32))]
+                signs, text = runs(found[full], (ends - begins)[full], where, least)
+                order = np.argsort(text, kind="stable")
+                bounds = np.searchsorted(text[order], np.arange(len(where))).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(signs[order].view(np.int64))))
+                yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in (*KEY, "doc_id")], *lists], [*KEY, "doc_id", "lines", "sizes", "runs"])
+
+    return run
 
 
 def align(a: list, b: list) -> list[tuple[int, int]]:
@@ -104,10 +125,9 @@ def _aligned(least: int):
 
 
 def overlaps(lines: DataFrame, rare: int = RARE) -> DataFrame:
-    """Pairs of rows, ``first`` and ``later`` (structs), that share a line."""
+    """Pairs of rows, ``first`` and ``later`` (structs), that share a run of lines."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *KEY)
-    long = F.filter(F.arrays_zip("lines", "sizes"), lambda x: x["sizes"] >= LINE_BYTES)
-    held = lines.select(order.alias("row"), F.explode(F.array_distinct(long["lines"])).alias("line"))
+    held = lines.select(order.alias("row"), F.explode(F.array_distinct("runs")).alias("line"))
     known = held.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first")).where("n > 1")
     marked = staged(held.join(known, "line"), "held-lines")
     star = marked.where((F.col("n") > rare) & (F.col("row") != F.col("first"))).select("first", F.col("row").alias("later"))
@@ -137,7 +157,7 @@ def dedup_lines(docs: DataFrame, rare: int = RARE, least: int = BLOCK_BYTES) ->
     """A row per document: KEY, doc_id, text (what is left of it), n_lines, n_deleted."""
     docs = on_file(docs)
     rows = keyed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    lines = staged(rows.mapInArrow(_lines, "at_file long, at_row long, doc_id long, lines array<long>, sizes array<int>"), "lines")
+    lines = staged(rows.mapInArrow(_lines(least), "at_file long, at_row long, doc_id long, lines array<long>, sizes array<int>, runs array<long>"), "lines")
     pairs = overlaps(lines, rare).select(*[F.col(s)[k].alias(f"{s}_{k}") for s in ("first", "later") for k in KEY])
     side = lambda s, *c: lines.select(*[F.col(k).alias(f"{s}_{k}") for k in KEY], F.col("lines").alias(s), *c)
     pairs = pairs.join(side("first"), [f"first_{k}" for k in KEY]).join(side("later", "sizes"), [f"later_{k}" for k in KEY])
