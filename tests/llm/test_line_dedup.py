@@ -82,6 +82,14 @@ def test_blocks_of_short_lines(documents):
     assert {r.doc_id: r.n_deleted for r in dedup_lines(documents(pairs)).collect()} == expected
 
 
+def test_a_common_block_whose_lines_have_other_first_holders(documents):
+    a, b, c = "a" * 30, "b" * 30, "c" * 45
+    pairs = [(1, a + "\nx"), (2, "y\n" + b), (3, c)] + [(i, f"own {i}\n{a}\n{b}\nown too {i}\n{c}\nd") for i in range(4, 60)]
+    expected = brute_all(pairs)
+    assert expected[4] == 1 and expected[59] == 4
+    assert {r.doc_id: r.n_deleted for r in dedup_lines(documents(pairs)).collect()} == expected
+
+
 def test_edge_rows(documents, frame):
     pairs = [(1, line(1)), (1, line(1)), (None, line(1)), (2, None), (3, ""), (4, "\n\n"), (5, "x" * 100_000), (6, "x" * 100_000 + "\n" + line(7)), (0, line(1).upper())]
     rows = dedup_lines(documents(pairs)).collect()
