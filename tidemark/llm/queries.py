@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import dedup
 from tidemark.llm.frames import KEY
+from tidemark.llm.infill import infill, restored
+from tidemark.llm.lexical import search
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.lm_score import score, targets
 from tidemark.llm.near_join import near_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.passages import near_passages
 from tidemark.llm.quality import quality
+from tidemark.llm.sketches import fingerprints
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import round_trip
 
@@ -70,11 +73,28 @@ def op10_warc(spark: SparkSession, root: str) -> DataFrame:
     return round_trip(table(spark, root, "pages")).drop("payload")
 
 
+def op11_lexical_search(spark: SparkSession, root: str) -> DataFrame:
+    return search(table(spark, root, "documents"), table(spark, root, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op12_sketch(spark: SparkSession, root: str) -> DataFrame:
+    """Fingerprints as text: 12 hex digits for each hash."""
+    found = fingerprints(table(spark, root, "documents")).drop(*KEY)
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op13_infill(spark: SparkSession, root: str) -> DataFrame:
+    """Digests stand for the output and for the text that was rebuilt from it."""
+    found = infill(table(spark, root, "documents"))
+    digests = {"output_sha256": F.col("output"), "restored_sha256": restored(F.col("output"), F.col("form"))}
+    return found.withColumns({name: F.sha2(text, 256) for name, text in digests.items()}).drop("output")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_exact_dedup, op3_jaccard_join, op4_line_dedup, op5_decontaminate, op6_passages, op7_quality, op8_lm_score,
-        op9_toxicity, op10_warc,
+        op9_toxicity, op10_warc, op11_lexical_search, op12_sketch, op13_infill,
     )
 }
 
@@ -147,4 +167,37 @@ items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)""",
+    "op11_lexical_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS t FROM documents),
+c AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM d WHERE len(t) > 0),
+q AS (
+  SELECT k, item_id, unnest(list_distinct(t)) AS term
+  FROM (SELECT row_number() OVER () AS k, item_id, {_WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS t FROM benchmark)),
+p AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d)
+  SEMI JOIN (SELECT DISTINCT term FROM q) USING (term) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, docs),
+s AS (
+  SELECT k, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term), c GROUP BY ALL),
+x AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM x WHERE rank <= 10""",
+    "op13_infill": r"""
+WITH d AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+c AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS a, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS b,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS e
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || e || '<M>' || b
+              ELSE '<S>' || e || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p""",
 }
