@@ -91,10 +91,10 @@ def test_bounds_hold_and_exclude(corpus):
         exact = np.array([model.score(h, [item])[0] for _, h in texts])
         assert (bound >= exact).all()
         best = np.sort(exact)[-10]
-        if best > 0:
+        if best > 0 and len(asked[item]) > 5:
             passed += int((bound >= best).sum())
             held += int((exact >= best).sum())
-    assert held > 200 and passed <= 2 * held
+    assert held > 150 and passed <= 1.5 * held
 
 
 def test_ties_by_id_nulls_last_and_repeats(documents, frame):
