@@ -20,14 +20,14 @@ def shingle_set(text):
 
 def slow_sketch(hashes):
     """Every hash below the fraction, and the smallest in any case."""
-    return sorted(h for i, h in enumerate(sorted(hashes)) if i < 64 or h < 2**48 // 16)
+    return sorted(h for i, h in enumerate(sorted(hashes)) if i < 32 or h < 2**48 // 16)
 
 
 def slow_likeness(a, b):
     """(share of the lesser, Jaccard) of two sketches as lists, below the bound up to which both hold everything."""
     if not a or not b:
         return (float(len(a) == len(b)),) * 2
-    reach = min(2**48 if len(s) < 64 else max(s[-1], 2**48 // 16 - 1) for s in (a, b))
+    reach = min(2**48 if len(s) < 32 else max(s[-1], 2**48 // 16 - 1) for s in (a, b))
     a, b = ({h for h in s if h <= reach} for s in (a, b))
     return (len(a & b) / min(len(a), len(b)) if a and b else 0.0), (len(a & b) / len(a | b) if a | b else 0.0)
 

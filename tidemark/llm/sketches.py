@@ -32,7 +32,7 @@ from tidemark.llm.frames import KEY, keyed, on_file, staged
 #: Hashes are kept below one in so many.
 SCALE = 16
 #: And so many of the smallest in any case.
-FLOOR = 64
+FLOOR = 32
 #: Bits of a hash that are kept.
 BITS = 48
 
