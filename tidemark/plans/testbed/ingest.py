@@ -17,10 +17,11 @@ from tidemark.session import work_dir
 from tidemark.sources.files import (
     conform_schema, nullable, read_files, stream_files, write_landing, write_partitioned,
 )
+from tidemark.sources import rescue
 from tidemark.sources.inventory import key_offsets, row_counts
 from tidemark.sources.tables import LakeTable
 from tidemark.spec import ForeignKey, Reject, Rule, TableSpec, columns
-from tidemark.streaming.ingest import foreach_batch_sink, stream_to_parquet
+from tidemark.streaming.ingest import foreach_batch_sink, load_to_table, stream_to_parquet
 
 SINCE = "2024-01-15 12:00:00"
 TABLES = [
@@ -147,6 +148,91 @@ def _conform_schema(spark, d):
     return conform_schema(text, columns(LINE_SCHEMA + ", l_absent double"), money)
 
 
+def _bad_lines(spark, d, fmt: str) -> str:
+    """A landing folder of order lines, some with values that can't be read and some cut off."""
+    line, cents = F.col("l_linenumber"), F.col("l_extendedprice").cast("decimal(14,2)").cast("string")
+    fields = [
+        F.col("l_orderkey"), line,
+        F.when(F.col("l_returnflag") == "R", F.lit("n/a, none")).otherwise(F.col("l_quantity").cast("int").cast("string")).alias("l_quantity"),
+        F.when(line == 3, F.translate(cents, ".", ",")).otherwise(cents).alias("l_extendedprice"),
+        F.nullif("l_linestatus", F.lit("F")).alias("l_note"),
+    ]
+    whole = F.to_csv(F.struct(*fields)) if fmt == "csv" else F.to_json(F.struct(*fields))
+    cut = F.concat_ws(",", "l_orderkey", F.lit("cut off")) if fmt == "csv" else F.concat(F.lit('{"l_orderkey":'), "l_orderkey", F.lit(","))
+    path = work_dir(spark, f"bad-{fmt}")
+    table(spark, d, "lineitem").select(F.when(line == 7, cut).otherwise(whole)).write.text(path)
+    return path
+
+
+BAD_SCHEMA = "l_orderkey long!, l_linenumber integer, l_quantity integer, l_extendedprice double, l_note string"
+BAD_DECIMALS = {"l_extendedprice": (6, 2)}
+
+
+def _rejects_sql(fmt: str) -> str:
+    cut = "l_orderkey || ',cut off'" if fmt == "csv" else "'{\"l_orderkey\":' || l_orderkey || ','"
+    cents = "CAST(CAST(l_extendedprice AS DECIMAL(14, 2)) AS VARCHAR)"
+    return f"""
+SELECT '{fmt}' AS formato, l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, 'l_quantity' AS columna, 'n/a, none' AS texto,
+       'int' AS tipo, 'VALOR_ILEGIBLE: l_quantity' AS motivo_error
+FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber <> 7
+UNION ALL
+SELECT '{fmt}', l_orderkey, CAST(l_linenumber AS INTEGER), 'l_extendedprice', CASE WHEN l_linenumber = 3 THEN replace({cents}, '.', ',') ELSE {cents} END,
+       'decimal(6,2)', 'VALOR_ILEGIBLE: l_extendedprice'
+FROM lineitem WHERE l_linenumber <> 7 AND (l_linenumber = 3 OR CAST(l_extendedprice AS DECIMAL(14, 2)) >= 10000)
+UNION ALL SELECT '{fmt}', NULL, NULL, NULL, {cut}, NULL, 'REGISTRO_ILEGIBLE' FROM lineitem WHERE l_linenumber = 7"""
+
+
+@query("q_conform_rejects", f"{_rejects_sql('csv')} UNION ALL {_rejects_sql('json')}")
+def _conform_rejects(spark, d):
+    """Every value that could not be read, with its key, column and text, and every record that wasn't one."""
+    out = None
+    for fmt in ("csv", "json"):
+        text = rescue.read_landing(spark, _bad_lines(spark, d, fmt), fmt, columns(BAD_SCHEMA), {"header": "false"} if fmt == "csv" else None)
+        rows = rescue.conform_rescued(text, columns(BAD_SCHEMA), BAD_DECIMALS)
+        listed = rescue.rejected_values(rows, ["l_orderkey", "l_linenumber"]).withColumn("formato", F.lit(fmt))
+        out = listed if out is None else out.unionByName(listed)
+    return out
+
+
+@query("q_conform_rescued", """
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INTEGER) END AS l_quantity,
+       CASE WHEN l_linenumber <> 3 AND CAST(l_extendedprice AS DECIMAL(14, 2)) < 10000 THEN CAST(l_extendedprice AS DECIMAL(6, 2)) END AS l_extendedprice,
+       nullif(l_linestatus, 'F') AS l_note
+FROM lineitem WHERE l_linenumber <> 7
+""")
+def _conform_rescued(spark, d):
+    """What could be read of the same lines."""
+    text = rescue.read_landing(spark, _bad_lines(spark, d, "json"), "json", columns(BAD_SCHEMA))
+    return rescue.readable_rows(rescue.conform_rescued(text, columns(BAD_SCHEMA), BAD_DECIMALS))
+
+
+BAD_LINES = TableSpec(
+    "lines", columns(BAD_SCHEMA), keys=["l_orderkey", "l_linenumber"], date_column="seen", fmt="json", watermark="seen",
+    decimals=BAD_DECIMALS, masked=["l_extendedprice"],
+)
+
+
+@query("q_stream_rejects", f"""
+SELECT 'lines' AS tabla_origen, motivo_error, l_orderkey, l_linenumber, columna,
+       CASE WHEN columna = 'l_quantity' THEN texto END AS texto FROM ({_rejects_sql('json')})
+UNION ALL SELECT 'held', '', l_orderkey, CAST(l_linenumber AS INTEGER), NULL, NULL FROM lineitem WHERE l_linenumber <> 7
+""")
+def _stream_rejects(spark, d):
+    """The same lines as a stream into a table, started twice: rows are held once, errors are quarantined once, and no text of a
+    masked column is shown."""
+    folder, checkpoint, errors = _bad_lines(spark, d, "json"), work_dir(spark, "checkpoint"), work_dir(spark, "errors")
+    lake = LakeTable(spark, work_dir(spark, "rescued"))
+    for _ in range(2):
+        load_to_table(spark, BAD_LINES, folder, lake, checkpoint, now=lambda: datetime(2024, 1, 31), errors=errors)
+    found = spark.read.schema("tabla_origen string, motivo_error string, payload string").parquet(errors)
+    value = lambda name, kind: F.get_json_object("payload", f"$.{name}").cast(kind).alias(name)
+    listed = found.select(
+        "tabla_origen", "motivo_error", value("l_orderkey", "bigint"), value("l_linenumber", "int"), value("columna", "string"), value("texto", "string")
+    )
+    held = lake.read().select(F.lit("held").alias("tabla_origen"), F.lit("").alias("motivo_error"), "l_orderkey", "l_linenumber")
+    return listed.unionByName(held, allowMissingColumns=True)
+
+
 @query("q_audit_parts", f"""
 SELECT *, TIMESTAMP '{STAMP}' AS _ingesta_ts, 'orders' AS _fuente, '{BATCH}' AS _lote_id,
        CAST(year(o_orderdate) AS INTEGER) AS _anio, CAST(month(o_orderdate) AS INTEGER) AS _mes,

@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.cleaning import quarantine
+from tidemark.sources import rescue
 from tidemark.sources.files import conform_schema, nullable, stamp_modified, stream_files
 from tidemark.sources.jdbc import write_jdbc
 from tidemark.sources.tables import LakeTable
@@ -69,15 +72,39 @@ def conformed(batch: DataFrame, spec: TableSpec, at=None) -> DataFrame:
 
 def load_to_table(
     spark: SparkSession, spec: TableSpec, folder: str, table: LakeTable, checkpoint: str, once: bool = True,
-    now: Callable[[], datetime] = datetime.now, files_per_batch: int | None = None,
+    now: Callable[[], datetime] = datetime.now, files_per_batch: int | None = None, errors: str | None = None,
 ) -> StreamingQuery:
-    """Landing files of one table into an append-only table. A replayed batch is recognised by its tag."""
+    """Landing files of one table into an append-only table. A replayed batch is recognised by its tag.
+
+    With ``errors``, the folder of an error table, CSV and JSON are read as text, and each value or record of a batch that
+    can't be read becomes a row there: reason, and as payload the keys, the column and its text (but for masked
+    columns). A batch that is replayed replaces what it said before. Whether there is any such value is counted while the
+    batch is written, so only batches that have some are read again.
+    """
+    rescuing = errors is not None and spec.fmt in ("csv", "json")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = now()
-        table.append(conformed(batch, spec, at), at, tag=f"batch-{batch_id}", once=True)
-
-    stream = stream_files(spark, folder, spec.fmt, nullable(spec.schema), files_per_batch)
+        tag = f"batch-{batch_id}"
+        if not rescuing:
+            table.append(conformed(batch, spec, at), at, tag=tag, once=True)
+            return
+        rows = rescue.conform_rescued(batch, spec.schema, spec.decimals)
+        found = 1
+        if not table.has_tag(tag):
+            # Counted twice if a task is run again; all that matters is whether there are any.
+            seen = Observation()
+            counted = rows.observe(seen, F.count_if(rescue.rescued(rows)).alias("n"))
+            table.append(stamp_modified(rescue.readable_rows(counted), at, spec.watermark), at, tag=tag)
+            found = seen.get["n"]
+        if found:
+            listed = rescue.rejected_values(rows, list(spec.keys), list(spec.masked))
+            quarantine(listed, spec.name, at).write.mode("overwrite").parquet(f"{errors}/carga={spec.name}-{tag}")
+
+    if rescuing:
+        stream = rescue.stream_landing(spark, folder, spec.fmt, spec.schema, files_per_batch)
+    else:
+        stream = stream_files(spark, folder, spec.fmt, nullable(spec.schema), files_per_batch)
     return foreach_batch_sink(stream, write, checkpoint, once, name=f"load_{spec.name.lower()}")
 
 
