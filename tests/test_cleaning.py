@@ -208,3 +208,50 @@ def test_null_keys_of_any_type_are_spread(spark):
     joined = lookup(rows.hint("merge"), dim.hint("merge"), "k")
     assert joined.count() == 1000 and joined.filter("v IS NOT NULL").isEmpty()
     assert joined.select(F.spark_partition_id()).distinct().count() > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+# ---- counts taken while rows are written ------------------------------------------------------------------------------
+
+def test_watched_counts_equal_separate_passes(spark, tmp_path):
+    rows = spark.createDataFrame([(i, None if i % 3 else i, "x" if i % 4 else None) for i in range(100)], "a int, b int, c string")
+    rules = [
+        Rule("b", lambda: F.col("b") < 50, True), Rule("c", lambda: F.col("c").isNotNull()), Rule("none", lambda: F.col("zz") > 0),
+        Rule("only good rows are tried", lambda: F.when(F.col("a") < 90, F.lit(True)).otherwise(F.raise_error(F.lit("x")).isNull())),
+    ]
+    good = F.col("a") < 90
+    watched = quality.Watched(rows, "t", rules, good, sum=F.sum("a"))
+    watched.frame.repartition(7).write.parquet(f"{tmp_path}/out")
+    kept = rows.filter(good)
+    assert watched.count("sum") == 4950 and spark.read.parquet(f"{tmp_path}/out").count() == 100
+    assert watched.verdicts(AT).collect() == quality_rules(kept, "t", rules, AT).collect()
+    assert watched.report("b", AT, 100, 3, 7).collect() == quality_report(rows, kept, "t", "b", AT, 3, 7).collect()
+    empty = quality.Watched(rows.filter("a < 0"), "t", rules, good, sum=F.sum("a"))
+    empty.frame.write.parquet(f"{tmp_path}/empty")
+    assert empty.count("sum") == 0 and empty.verdicts().collect()[0].pct_fallo == 0.0
+
+
+def test_only_a_rules_own_failure_is_its_verdict(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "1"), (2, "x")], "a int, s string")
+    rules = [Rule(f"r{i}", lambda: F.col("a") > 1) for i in range(5)]
+    rules[3:3] = [Rule("cast", lambda: F.col("s").cast("int") > 0), Rule("zero", lambda: 1 / (F.col("a") - 1) > 0, True)]
+    found = {r.prueba: (r.n_fallos, r.estado) for r in quality_rules(rows, "t", rules, AT).collect()}
+    assert found["cast"] == found["zero"] == (0, "ERROR") and len(found) == 7
+    assert all(found[f"r{i}"] == (1, "ADVERTENCIA") for i in range(5))
+    # A frame that can't be read is nobody's verdict.
+    (tmp_path / "junk.parquet").write_text("junk")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        quality_rules(spark.read.schema("a int").parquet(f"{tmp_path}/junk.parquet"), "t", rules[:2], AT)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        quality_rules(rows.filter(F.col("s").cast("int") > 0), "t", rules[:2], AT)
+
+
+def test_counted_dedup_keeps_what_dedup_keeps(spark):
+    rows = spark.createDataFrame(
+        [(1, 5, "a", {"m": 1}), (1, 7, "b", None), (1, 7, "c", {"m": 2}), (2, None, "a", None), (2, None, "a", None), (None, 1, "z", None)],
+        "k int, t int, v string, m map<string,int>",
+    )
+    found = c.counted_dedup(rows, ["k"], ["t"])
+    counts = {r.k: r._copias for r in found.collect()}
+    assert counts == {1: 3, 2: 2, None: 1}
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(found.drop("_copias")) == as_rows(c.dedup(rows, ["k"], ["t"]))

@@ -10,7 +10,7 @@ from tidemark.plans import hospital, marts
 from tidemark.plans.flow import HOSPITAL_KPIS, HOSPITAL_MARTS, REPORT_SCHEMA, RULE_SCHEMA, Lakehouse, Mart, Run, RunError, label
 from tidemark.sources.files import conform_schema, nullable, stamp_modified, stream_files, write_landing
 from tidemark.sources.tables import LakeTable
-from tidemark.spec import ForeignKey, Reject, TableSpec, columns
+from tidemark.spec import ForeignKey, Reject, Rule, TableSpec, columns
 from tidemark.streaming.ingest import foreach_batch_sink, load_all, load_to_table
 
 DAY1, DAY2, DAY3 = datetime(2024, 6, 1, 2), datetime(2024, 6, 2, 2), datetime(2024, 6, 3, 2)
@@ -350,3 +350,27 @@ def test_a_parent_without_rows_and_a_step_that_fails(spark, tmp_path):
     assert {e.motivo_error for e in lake.errors().collect()} == {"FK_INVALIDA: k no existe en T"}
     states = {(r.capa, r.tabla): r.estado for r in lake.run_log().collect()}
     assert states["gold", "broken"] == "ERROR" and states["gold", "fine"] == "EXITOSO"
+
+
+def test_a_rule_that_fails_on_a_row_stops_no_load(spark, tmp_path):
+    """The rows are written without the rules, which are then tried apart; the report is the same."""
+    rules = [Rule("fails", lambda: F.col("s").cast("int") > 0, True), Rule("fine", lambda: F.col("k") > 1)]
+    spec = TableSpec("t", columns("k long, s string"), ["k"], "seen", watermark="seen", rules=rules)
+    lake = Lakehouse(spark, str(tmp_path), [spec])
+    rows = spark.createDataFrame([(1, "x"), (2, "2"), (2, "2")], "k long, s string")
+    lake.run({"t": stamp_modified(rows, DAY1, "seen")}, DAY1)
+    found = {r.prueba: (r.n_fallos, r.estado) for r in lake.reports("pruebas_calidad", RULE_SCHEMA).collect()}
+    assert found == {"fails": (0, "ERROR"), "fine": (1, "ADVERTENCIA")}
+    row = lake.reports("reporte_calidad", REPORT_SCHEMA).first()
+    assert (row.n_registros_bronze, row.n_registros_silver, row.n_duplicados, row.n_rechazados) == (3, 2, 1, 0)
+    assert lake.errors().first().motivo_error == "DUPLICADO_EXACTO" and lake.silver("t").read().count() == 2
+
+
+def test_a_corrected_value_under_an_old_stamp_is_loaded(spark, tmp_path):
+    spec = TableSpec("t", columns("k long, s string"), ["k"], "seen", watermark="seen")
+    lake = Lakehouse(spark, str(tmp_path), [spec])
+    for day, value in ((DAY1, "old"), (DAY2, "new"), (DAY3, "new")):
+        rows = spark.createDataFrame([(1, value), (2, "same"), (3, None)], "k long, s string")
+        lake.run({"t": stamp_modified(rows, DAY1, "seen")}, day)
+    assert {r.k: r.s for r in lake.silver("t").read().collect()} == {1: "new", 2: "same", 3: None}
+    assert lake.bronze("t").read().count() == 4 and lake.errors().isEmpty()

@@ -33,6 +33,24 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> D
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def _ranked(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Column:
+    """What the best row of a key has most of: as in :func:`_newest_first`, with nulls smallest."""
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
+    return F.struct(F.lit(0), *[F.col(c) for c in rest if c not in maps], *[F.to_json(F.col(c)) for c in rest if c in maps])
+
+
+def counted_dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), count: str = "_copias") -> DataFrame:
+    """The rows :func:`dedup` keeps, each with the number of rows its key had.
+
+    Each task first counts and compares its own rows of a key, so a key that holds a large part of them is one row per task
+    in the shuffle. The counts add up to the rows of ``df``, so nobody has to count these apart.
+    """
+    best = F.max_by(F.struct(*df.columns), _ranked(df, keys, order_by))
+    grouped = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(best.alias("_row"), F.count(F.lit(1)).alias(count))
+    return grouped.select("_row.*", count)
+
+
 def expand_copies(df: DataFrame, count: str, chunk: int = 100_000) -> DataFrame:
     """Repeat each row ``count`` times. Rows with very many copies are first cut into chunks that are spread out."""
     columns = [c for c in df.columns if c != count]
@@ -49,25 +67,25 @@ def duplicate_rejects(
 ) -> DataFrame:
     """All rows :func:`dedup` leaves out, as a multiset: ``df`` minus its survivors.
 
-    A key's survivor is a maximum, which each task first takes on its own, and only keys that repeat go through the
-    join. Copies of a survivor are counted before they meet and repeated at the end. With ``reasons`` the column
-    ``motivo_error`` says whether a row is such a copy (the first) or another version of its key (the second).
+    Equal rows are first counted, in each task and then together, and each key's best row is a maximum that is taken the
+    same way; only keys that repeat go through the join. One copy of the best row stays out, what is left is repeated at
+    the end. With ``reasons`` the column ``motivo_error`` says whether a row is such a copy (the first) or another
+    version of its key (the second).
     """
-    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
-    rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
-    # As in _newest_first: columns in order, then maps as text. Nulls are the smallest.
-    rank = F.struct(F.lit(0), *[F.col(c) for c in rest if c not in maps], *[F.to_json(F.col(c)) for c in rest if c in maps])
-    best = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(rank).alias("_best")).filter(F.col("_n") > 1)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    # Maps can't be grouped by, and zeros lose their sign when they are; the text stands for such values.
+    odd = [c for c, kind in kinds.items() if any(k in kind for k in ("map<", "double", "float"))]
+    texts = [(F.col(c).cast("string") if kinds[c] in ("double", "float") else F.to_json(F.struct(c))).alias(f"_t_{c}") for c in odd]
+    whole = [F.first(c).alias(c) for c in odd]
+    counted = df.groupBy(*[c for c in df.columns if c not in odd], *texts).agg(F.count(F.lit(1)).alias("_n"), *whole)
+    counted = counted.select(*df.columns, "_n", _ranked(df, keys, order_by).alias("_rank"))
+    best = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.max("_rank").alias("_best")).filter(F.col("_all") > 1)
     best = best.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_best")
-    marked = df.withColumn("_rank", rank).join(best, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+    marked = counted.join(best, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
     is_best = F.col("_rank").eqNullSafe(F.col("_best"))
-    other = marked.filter(~is_best).select(*df.columns)
-    whole = F.first(F.struct(*df.columns)).alias("_row")
-    copies = marked.filter(is_best).groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("_copies"), whole)
-    same = expand_copies(copies.select("_row.*", "_copies"), "_copies")
-    if reasons:
-        same, other = (part.withColumn("motivo_error", F.lit(why)) for part, why in zip((same, other), reasons, strict=True))
-    return other.unionByName(same)
+    extra = marked.withColumn("_copies", F.col("_n") - F.when(is_best, 1).otherwise(0)).filter(F.col("_copies") > 0)
+    why = {"motivo_error": F.when(is_best, F.lit(reasons[0])).otherwise(F.lit(reasons[1]))} if reasons else {}
+    return expand_copies(extra.withColumns(why).select(*df.columns, *why, "_copies"), "_copies")
 
 
 # ---- nulls ------------------------------------------------------------------------------------------------------

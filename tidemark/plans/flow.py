@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,10 +20,10 @@ from pyspark.sql import types as T
 from tidemark.operators import incremental as inc
 from tidemark.operators.anomaly import anomaly_record, fail_on_anomalies, volume_anomalies
 from tidemark.operators.cleaning import (
-    dedup, duplicate_rejects, fill_nulls, first_reason, mask_null, null_flags, null_rejects, quarantine,
+    counted_dedup, duplicate_rejects, fill_nulls, first_reason, mask_null, null_flags, null_rejects, quarantine,
 )
 from tidemark.operators.joins import mark_known, matching
-from tidemark.operators.quality import quality_report, quality_rules
+from tidemark.operators.quality import Watched, evaluation_error, quality_rules
 from tidemark.plans import marts
 from tidemark.session import one_row, work_dir
 from tidemark.sources.files import conform_schema, nullable, read_or_empty
@@ -32,6 +33,8 @@ from tidemark.spec import TableSpec
 SILVER_STAMPS = ("_silver_ts", "_silver_lote")
 GOLD_STAMPS = ("_gold_ts", "_gold_lote")
 COPY = ("_copia_motivo", "_copia")
+COPIES = "_copias"
+OLDER = "VERSION_ANTERIOR"
 ERROR_SCHEMA = "tabla_origen string, motivo_error string, ts_error timestamp, payload string"
 RULE_SCHEMA = (
     "tabla string, prueba string, aprobada boolean, n_fallos bigint, pct_fallo double, critica boolean, estado string, "
@@ -161,16 +164,29 @@ def shown(df: DataFrame, spec: TableSpec) -> list[Column]:
     return [F.lit(None).cast(df.schema[c].dataType).alias(c) if c in spec.masked else F.col(c) for c in df.columns]
 
 
-def label(df: DataFrame, spec: TableSpec, as_of: date, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Deduplicated, filled and derived rows with ``_motivo``: why the row is rejected, null if it is good.
+def label(
+    df: DataFrame, spec: TableSpec, as_of: date, parents: Mapping[str, DataFrame], held: DataFrame | None = None
+) -> DataFrame:
+    """Deduplicated, filled and derived rows with ``_motivo``: why the row is rejected, null if it is good; and ``_copias``:
+    the rows that its key had.
 
-    All reject rules and parent checks add to one plan, so good rows, rejects and counts come from a single pass.
+    All reject rules and parent checks add to one plan, so good rows, rejects and counts come from a single pass. A good row that is
+    older than what ``held`` (keys and stamps) has for its key is rejected as well.
     Rows a rule only corrects carry a JSON copy of how they were, without the values of masked columns. Rows with a null
     key are no copies of one another: each is rejected by itself.
     """
     stamp = [spec.watermark] if spec.watermark in df.columns else []
     lacking = no_key(spec)
-    df = dedup(df.filter(~lacking), spec.dedup_keys or spec.keys, stamp).unionByName(df.filter(lacking))
+    alone = df.filter(lacking).withColumn(COPIES, F.lit(1).cast("bigint"))
+    df = counted_dedup(df.filter(~lacking), spec.dedup_keys or spec.keys, stamp, COPIES)
+    newest = F.lit(None).cast("timestamp")
+    if held is not None:
+        newest = F.col("_held")
+        held = held.select(*[F.col(k).alias(f"_h_{k}") for k in spec.keys], F.col(spec.watermark).alias("_held"))
+        df = df.join(held, [F.col(k) == F.col(f"_h_{k}") for k in spec.keys], "left").drop(*[f"_h_{k}" for k in spec.keys])
+    df = df.unionByName(alone, allowMissingColumns=True)
+    older = newest.isNotNull() & F.coalesce(F.col(spec.watermark) < newest, F.lit(True)) if held is not None else F.lit(False)
+    df = df.withColumn("_older", older).drop("_held")
     for column, (kind, value) in spec.nulls.items():
         df = fill_nulls(df, {column: value}) if kind == "imputar" else df
         df = null_flags(df, [column]) if kind == "indicador" else df
@@ -185,13 +201,14 @@ def label(df: DataFrame, spec: TableSpec, as_of: date, parents: Mapping[str, Dat
             reasons.append((rule.reason, rule.bad()))
             continue
         copy_reason = F.coalesce(copy_reason, F.when(rule.bad(), F.lit(rule.reason)))
-        copy = F.coalesce(copy, F.when(rule.bad(), F.to_json(F.struct(*shown(df, spec)))))
+        copy = F.coalesce(copy, F.when(rule.bad(), F.to_json(F.struct(*shown(df.drop(COPIES, "_older"), spec)))))
         corrections[rule.null_out] = F.when(rule.bad(), F.lit(None)).otherwise(F.col(rule.null_out))
-    flags = []
+    flags = ["_older"]
     for i, fk in enumerate(spec.parents):
         df = mark_known(df, parents[fk.parent], fk.column, fk.parent_key, f"_fk{i}", unique=True)
         reasons.append((fk.reason, ~F.col(f"_fk{i}")))
         flags.append(f"_fk{i}")
+    reasons.append((OLDER, F.col("_older")))
     labelled = df.withColumns({COPY[0]: copy_reason, COPY[1]: copy, "_motivo": first_reason(reasons), **corrections})
     return labelled.drop(*flags)
 
@@ -260,7 +277,7 @@ class Lakehouse:
             if spec.date_column not in raw.columns:
                 return None
             parents = {fk.parent: self.spark.createDataFrame([], self.specs[fk.parent].schema) for fk in spec.parents}
-            good = label(raw, spec, date(2000, 1, 1), parents).drop("_motivo", *COPY)
+            good = label(raw, spec, date(2000, 1, 1), parents).drop("_motivo", COPIES, *COPY)
             self._shapes[name] = self._finished(good, spec, Run.start(datetime(2000, 1, 1))).schema
         return self._shapes[name]
 
@@ -368,7 +385,7 @@ class Lakehouse:
             rows = inc.incremental_scan(rows, spec.watermark, since, spec.lateness, inclusive=True)
             if table.exists():
                 held = inc.incremental_scan(table.read(), spec.watermark, since, spec.lateness, inclusive=True)
-                rows = inc.unseen(rows, held, spec.keys, spec.watermark)
+                rows = inc.unseen(rows, held, spec.keys, spec.watermark, rows.columns)
         if rows.isEmpty():
             return None
         audited = inc.with_audit(rows, self.source_name, run.batch_id, run.at)
@@ -398,39 +415,52 @@ class Lakehouse:
             return None
         changes = inc.read_changes(bronze.feed(since), since)
         parents = {fk.parent: self._table("silver", fk.parent).read() for fk in spec.parents}
-
-        labelled = self._staged(label(changes, spec, run.as_of, parents), name)
-        counts = labelled.agg(
-            F.count(F.lit(1)).alias("n"), F.count("_motivo").alias("bad"), F.count(COPY[1]).alias("corrected")
-        ).first()
-        n_before = changes.count()
-        n_dup = n_before - counts["n"]
-        good = labelled.filter(F.col("_motivo").isNull()).drop("_motivo", *COPY)
-        older = None
-        if table.exists() and spec.watermark in good.columns:
-            held = table.matching(good.select(*spec.keys), spec.keys)
-            late = self._staged(inc.not_older(good, held, spec.keys, spec.watermark)[1].select(*spec.keys), "late")
-            if not late.isEmpty():
-                good, older = good.join(late, spec.keys, "left_anti"), good.join(late, spec.keys, "left_semi")
+        held = None
+        if table.exists() and spec.watermark in changes.columns:
+            held = table.read().select(*spec.keys, spec.watermark)
+        watched, labelled = self._watched(label(changes, spec, run.as_of, parents, held), spec)
+        good = labelled.filter(F.col("_motivo").isNull()).drop("_motivo", COPIES, *COPY)
+        n, n_before, bad, late, corrected = (watched.count(c) for c in ("n", "n_before", "bad", "late", "corrected"))
 
         load = f"{name}-{upto}"
-        bad = counts["bad"] + counts["corrected"]
-        self._quarantine(spec, changes if n_dup else None, labelled, bad, older, run, load)
-        self._report("pruebas_calidad", load, quality_rules(good, name, spec.rules, run.at))
-        report = quality_report(changes, good, name, run.batch_id, run.at, n_dup, counts["bad"])
-        self._report("reporte_calidad", load, report)
-
-        table.upsert(self._finished(good, spec, run), run.at)
+        duplicated = changes if n_before > n else None
+        self._quarantine(spec, duplicated, labelled, bad + late + corrected, run, load)
+        by_itself = spec.rules and not watched.rules
+        verdicts = quality_rules(good, name, spec.rules, run.at) if by_itself else watched.verdicts(run.at)
+        self._report("pruebas_calidad", load, verdicts)
+        self._report("reporte_calidad", load, watched.report(run.batch_id, run.at, n_before, n_before - n, bad))
+
+        table.upsert(self._finished(good, spec, run), run.at, unique=set(spec.dedup_keys or spec.keys) <= set(spec.keys))
         self._finish(consumer, {name: upto}, run)
-        return counts["n"] - counts["bad"]
-
-    def _quarantine(self, spec, duplicated, labelled, n_rejects, older, run, load) -> None:
+        return n - bad
+
+    def _watched(self, labelled: DataFrame, spec: TableSpec) -> tuple[Watched, DataFrame]:
+        """The labelled rows, written, and what was counted on the way: rows, rejects, rules and nulls of the good ones.
+
+        If a rule can't be evaluated on some row, the rows are written without rules, which are then tried apart.
+        """
+        why = F.col("_motivo")
+        counts = {
+            "n": F.count(F.lit(1)), "n_before": F.sum(COPIES), "bad": F.count_if(why != OLDER), "late": F.count_if(why == OLDER),
+            "corrected": F.count(COPY[1]),
+        }
+        visible = [c for c in labelled.columns if c not in ("_motivo", COPIES, *COPY)]
+        for rules in (spec.rules, ()):
+            watched = Watched(labelled, spec.name, rules, why.isNull(), visible, **counts)
+            try:
+                return watched, self._staged(watched.frame, spec.name)
+            except PySparkException as e:
+                if not rules or not evaluation_error(e):
+                    raise
+        raise AssertionError
+
+    def _quarantine(self, spec, duplicated, labelled, n_rejects, run, load) -> None:
         """Rejected rows, copies of corrected rows, removed duplicates and late old versions, in one append."""
         parts = []
         report = lambda rows: quarantine(rows.select(*shown(rows, spec)), spec.name, run.at)
         if n_rejects:
             bad = labelled.filter(F.col("_motivo").isNotNull()).withColumnRenamed("_motivo", "motivo_error")
-            parts.append(report(bad.drop(*COPY)))
+            parts.append(report(bad.drop(COPIES, *COPY)))
             copies = labelled.filter(F.col(COPY[1]).isNotNull())
             parts.append(
                 copies.select(
@@ -440,10 +470,8 @@ class Lakehouse:
             )
         if duplicated is not None:
             stamp = [spec.watermark] if spec.watermark in duplicated.columns else []
-            reasons = ("DUPLICADO_EXACTO", "VERSION_ANTERIOR")
+            reasons = ("DUPLICADO_EXACTO", OLDER)
             parts.append(report(duplicate_rejects(duplicated.filter(~no_key(spec)), spec.dedup_keys or spec.keys, stamp, reasons)))
-        if older is not None:
-            parts.append(report(older.withColumn("motivo_error", F.lit("VERSION_ANTERIOR"))))
         if parts:
             self._report("errores", load, reduce(DataFrame.unionByName, parts))
 

@@ -8,8 +8,9 @@ from tidemark.operators.cleaning import (
     apply_null_strategies, dedup, duplicate_rejects, exclude_nulls, fill_nulls, fk_orphans, fk_split, fk_valid,
     mask_null, null_flags, null_out_invalid, quarantine, split_by_rule,
 )
-from tidemark.operators.quality import null_profile, quality_report, quality_rules
+from tidemark.operators.quality import Watched, null_profile, quality_report, quality_rules
 from tidemark.plans.testbed.base import BATCH, STAMP, query, table
+from tidemark.session import work_dir
 from tidemark.spec import Rule
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -229,3 +230,38 @@ def _quality_report(spark, d):
     after, rejected = exclude_nulls(before, ["disc"])
     repeated = before.count() - dedup(before, LINE_KEY).count()
     return quality_report(before, after.select("flag", "num"), "lineitem", BATCH, STAMP, repeated, rejected.count()).drop("ts_reporte")
+
+
+@query("q_observed_report", """
+WITH g AS (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders WHERE o_totalprice >= 20000),
+t AS (SELECT count(*) AS n FROM g),
+f AS (
+  SELECT 'key' AS prueba, CAST(count(*) FILTER (o_orderkey IS NULL) AS BIGINT) AS n_fallos, TRUE AS critica FROM g
+  UNION ALL SELECT 'status', count(*) FILTER (o_orderstatus NOT IN ('F', 'O')), FALSE FROM g
+  UNION ALL SELECT 'price between', count(*) FILTER (NOT o_totalprice BETWEEN 5000 AND 400000), TRUE FROM g
+  UNION ALL SELECT 'priority length', count(*) FILTER (length(o_orderpriority) <> 6), FALSE FROM g
+  UNION ALL SELECT 'null passes', count(*) FILTER (o_orderstatus = 'O'), FALSE FROM g
+)
+SELECT prueba AS what, n_fallos AS n, round(n_fallos / n * 100, 2) AS pct,
+       CASE WHEN n_fallos = 0 THEN 'APROBADA' WHEN critica THEN 'FALLIDA' ELSE 'ADVERTENCIA' END AS text FROM f, t
+UNION ALL SELECT 'broken', 0, 0.0, 'ERROR'
+UNION ALL SELECT 'report', n, round(n / (SELECT count(*) FROM orders) * 100, 2),
+  '{"o_orderkey":0.0,"o_totalprice":0.0,"status":' || round((SELECT count(*) FILTER (status IS NULL) FROM g) / n * 100, 2) || '}' FROM t
+UNION ALL SELECT 'rejected', count(*), NULL, NULL FROM orders WHERE o_totalprice < 20000
+UNION ALL SELECT 'written', count(*), NULL, NULL FROM orders
+""")
+def _observed_report(spark, d):
+    """Counts, rules and report of the good rows, taken while all rows are written."""
+    orders = table(spark, d, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
+    bad = F.col("o_totalprice") < 20000
+    watched = Watched(orders, "orders", ORDER_RULES[:6], ~bad, ["o_orderkey", "o_totalprice", "status"], bad=F.count_if(bad))
+    path = work_dir(spark, "observed")
+    watched.frame.write.parquet(path)
+    written = spark.read.schema(orders.schema).parquet(path)
+    pct = lambda c: F.col(c).cast("double").alias("pct")
+    rules = watched.verdicts().select(F.col("prueba").alias("what"), F.col("n_fallos").alias("n"), pct("pct_fallo"), F.col("estado").alias("text"))
+    report = watched.report(BATCH, STAMP, watched.count("bad") + watched.count("_n"), 0, watched.count("bad"))
+    line = report.select(F.lit("report").alias("what"), F.col("n_registros_silver").alias("n"), pct("pct_conformes"), F.col("detalle_nulos").alias("text"))
+    rejected = report.select(F.lit("rejected").alias("what"), F.col("n_rechazados").alias("n"))
+    counted = written.agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("written"))
+    return rules.unionByName(line).unionByName(rejected, True).unionByName(counted, True)

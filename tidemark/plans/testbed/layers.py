@@ -59,6 +59,22 @@ def _late_upsert(spark, d):
     return lake.silver("prices").read().select("o_orderkey", "o_totalprice")
 
 
+@query("q_same_stamp_update", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, 1 + CAST(o_orderkey % 3 = 0 AS BIGINT) AS loads
+FROM orders
+""")
+def _same_stamp(spark, d):
+    """A third of the orders get a new price without a new stamp. It reaches silver, and rows that didn't change aren't loaded again."""
+    lake = Lakehouse(spark, work_dir(spark, "same"), [PRICES])
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    lake.run({"prices": _seen(orders, 9)}, DAYS[0])
+    corrected = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    for day in DAYS[1:]:
+        lake.run({"prices": _seen(orders.withColumn("o_totalprice", corrected), 9)}, day)
+    loads = lake.bronze("prices").read().groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("loads"))
+    return lake.silver("prices").read().select("o_orderkey", "o_totalprice").join(loads, "o_orderkey")
+
+
 # ---- three runs through all layers --------------------------------------------------------------------------------------
 
 CUSTOMERS = TableSpec(

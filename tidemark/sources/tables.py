@@ -206,14 +206,18 @@ class LakeTable:
         write_partitioned(rows, f"{self.path}/changes/_commit_version={version}", self.partition_by, "overwrite")
         return self._commit(version, at, kind, schema, tag=tag)
 
-    def upsert(self, df: DataFrame, at: datetime, tag: str | None = None, scope: DataFrame | None = None) -> int:
+    def upsert(
+        self, df: DataFrame, at: datetime, tag: str | None = None, scope: DataFrame | None = None, unique: bool = False
+    ) -> int:
         """Merge ``df`` (one row per key) into the table. Rows equal to what is there are left alone; if all are, no
         version is made. Returns the newest version.
 
         ``scope`` holds keys that were computed anew: those of them that ``df`` does not have are deleted. ``df`` and
-        ``scope`` are read more than once, so hand over written tables or something as cheap.
+        ``scope`` are read more than once, so hand over written tables or something as cheap. Say ``unique`` if ``df`` is
+        known to have each key once, and none that is null.
         """
-        assert_unique(df, self.keys)
+        if not unique:
+            assert_unique(df, self.keys)
         version, schema = self.version() + 1, self._evolve(df.schema)
         source = self._cast(df, schema)
         changes = f"{self.path}/changes/_commit_version={version}"
