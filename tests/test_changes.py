@@ -101,20 +101,36 @@ def test_lake_upsert_again_makes_no_version(lake, old):
     assert lake.feed(0).isEmpty()
 
 
-def test_lake_only_touches_fragments_with_changes(lake, old, new, tmp_path):
-    lake.upsert(old, at(1))
-    lake.upsert(new, at(2))
-    live = lake._fragments(None)
-    # 'a' is as it was; 'b' had an update; 'c' lost its only row to 'z'.
-    assert live == ["_v=0/grp=a", "_v=1"]
-    assert sorted(p.name for p in (tmp_path / "t/data/_v=1").glob("grp=*")) == ["grp=b", "grp=z"]
+def files(tmp_path):
+    return {p.relative_to(tmp_path / "t/data").as_posix() for p in (tmp_path / "t/data").rglob("*.parquet")}
 
 
-def test_lake_new_rows_rewrite_nothing(lake, spark, old):
+def test_lake_only_replaces_buckets_with_changes(lake, spark, old, tmp_path):
     lake.upsert(old, at(1))
-    lake.upsert(spark.createDataFrame([(9, "a", 9.0)], SCHEMA), at(2))
-    assert lake._fragments(None) == ["_v=0", "_v=1"]
-    assert lake.read().count() == 6
+    before, schema = files(tmp_path), old.schema
+    changed = spark.createDataFrame([(1, "b", 7.0)], SCHEMA)
+    touched = lake._buckets_of(changed, schema)
+    lake.upsert(changed, at(2))
+    same = lambda names: {f for f in names if f.split("/")[0] != f"_bucket={touched[0]}"}
+    assert len(touched) == 1 and same(before) == same(files(tmp_path)) and before != files(tmp_path)
+    assert not list((tmp_path / "t/staged").glob("*"))
+
+
+def test_lake_bucket_that_loses_its_last_row(spark, tmp_path):
+    lake = LakeTable(spark, str(tmp_path / "t"), keys=["id"], buckets=50)
+    rows = spark.createDataFrame([(i, "x", 1.0) for i in range(20)], SCHEMA)
+    lake.upsert(rows, at(1))
+    lake.upsert(rows.filter("id > 3"), at(2), scope=rows.select("id"))
+    assert {r.id for r in lake.read().collect()} == set(range(4, 20))
+    # Its mark goes with the next change of the bucket, and the row may come again.
+    lake.upsert(rows.filter("id in (0, 3, 5)"), at(3))
+    assert {r.id for r in lake.read().collect()} == {0, *range(3, 20)}
+    assert {r.id for r in lake.read(1).collect()} == set(range(4, 20)) and lake.read(0).count() == 20
+    # The number of buckets stays what it was, and what is compared by key is the key's type in the table.
+    again = LakeTable(spark, str(tmp_path / "t"), keys=["id"], buckets=3)
+    again.upsert(spark.createDataFrame([(5, "y", 2.0)], "id int, grp string, v double"), at(4))
+    assert again.buckets == 50 and again.read().filter("id = 5").first().grp == "y" and again.read().count() == 18
+    assert again.matching(spark.createDataFrame([(5,), (1,)], "id int"), ["id"]).count() == 1
 
 
 def test_lake_scope_deletes(lake, spark, old, new):
@@ -133,25 +149,63 @@ def test_lake_first_load_without_rows(lake, old):
     assert lake.version() == 0 and lake.read().schema.names == ["id", "grp", "v"] and lake.read().isEmpty()
 
 
-def test_lake_matching_reads_only_fragments_with_hits(lake, spark, old, new):
+def test_lake_matching_reads_only_buckets_with_hits(lake, spark, old, new):
     lake.upsert(old, at(1))
     lake.upsert(new, at(2))
-    found = lake.matching(spark.createDataFrame([(2,), (99,)], "id bigint"), ["id"])
+    wanted = spark.createDataFrame([(2,)], "id bigint")
+    found = lake.matching(wanted, ["id"])
     assert as_set(found) == as_set(old.filter("id = 2"))
-    assert {f.split("/data/")[1].rsplit("/", 1)[0] for f in found.inputFiles()} == {"_v=0/grp=a"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [(_bucket" in plan
     assert lake.matching(spark.createDataFrame([("none",)], "grp string"), ["grp"]).isEmpty()
 
 
-def test_lake_ignores_what_a_dead_run_left(lake, spark, old, new):
-    """A run that dies before its commit leaves files; readers do not see them and the next run replaces them."""
+def die(*args, **options):
+    raise RuntimeError("executor lost")
+
+
+def test_lake_ignores_what_a_dead_run_left(lake, old, new, monkeypatch):
+    """A run that dies before its copies are staged leaves files; readers do not see them and the next run replaces them."""
     lake.upsert(old, at(1))
-    commit, lake._commit = lake._commit, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("executor lost"))
-    with pytest.raises(RuntimeError):
-        lake.upsert(new, at(2))
-    assert as_set(lake.read()) == as_set(old) and lake.feed(0).isEmpty()
-    lake._commit = commit
-    assert lake.upsert(new, at(2)) == 1
-    assert as_set(lake.read()) == as_set(ch.merge_upsert(old, new, ["id"]))
+    with monkeypatch.context() as m:
+        m.setattr(lake, "_write", die)
+        with pytest.raises(RuntimeError):
+            lake.upsert(new, at(2))
+    again = LakeTable(lake.spark, lake.path, keys=["id"], partition_by=["grp"])
+    assert as_set(again.read()) == as_set(old) and again.feed(0).isEmpty()
+    assert again.upsert(new, at(2)) == 1
+    assert as_set(again.read()) == as_set(ch.merge_upsert(old, new, ["id"]))
+
+
+def test_lake_finishes_what_a_dead_run_staged(lake, spark, old, new, tmp_path, monkeypatch):
+    """It dies while buckets are replaced, some of them gone already; whoever comes next replaces them again, once."""
+    lake.upsert(old, at(1))
+    with monkeypatch.context() as m:
+        m.setattr(lake, "_replace", die)
+        with pytest.raises(RuntimeError):
+            lake.upsert(new, at(2))
+    for f in list((tmp_path / "t/data").rglob("*.parquet"))[:2]:
+        staged = tmp_path / "t/staged/version-1" / f.parent.name
+        if staged.exists():
+            f.rename(f.with_suffix(".lost"))
+    again = LakeTable(spark, lake.path, keys=["id"], partition_by=["grp"])
+    assert as_set(again.read()) == as_set(ch.merge_upsert(old, new, ["id"])) and again.version() == 1
+    assert as_set(again.read(0)) == as_set(old) and again.feed(0).count() == 5
+    assert again.upsert(new, at(3)) == 1
+    assert not list((tmp_path / "t/staged").glob("*"))
+
+
+def test_undo_changes_gives_back_every_state(spark):
+    states = [
+        spark.createDataFrame(rows, SCHEMA)
+        for rows in ([(1, "a", 1.0), (2, "b", 2.0)], [(2, "b", 5.0), (3, "c", 3.0)], [(1, "z", 9.0), (2, "b", 6.0)], [(4, "d", 4.0)])
+    ]
+    feeds = [ch.change_feed(a, b, ["id"], v) for v, (a, b) in enumerate(zip(states, states[1:]), 1)]
+    for v in range(3):
+        later = feeds[v]
+        for f in feeds[v + 1 :]:
+            later = later.unionByName(f)
+        assert as_set(ch.undo_changes(states[-1], later, ["id"])) == as_set(states[v])
 
 
 def test_lake_partition_values_with_odd_characters(spark, tmp_path):

@@ -94,3 +94,15 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> Da
     fresh = touched.filter(F.col("_change_type") != "delete").drop("_change_type")
     kept = target.join(touched.select(*keys), list(keys), "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)
+
+
+def undo_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` as it was before the versions in ``feed``: keys these have touched get back the image their first change
+    replaced, and keys that first came with them go."""
+    from tidemark.operators.cleaning import dedup
+
+    before = feed.filter(F.col("_change_type") != "update_postimage").withColumn("_oldest", -F.col("_commit_version"))
+    first = dedup(before, keys, ["_oldest"])
+    kept = target.join(first.select(*keys), list(keys), "left_anti")
+    back = first.filter(F.col("_change_type") != "insert").select(*target.columns)
+    return kept.unionByName(back)

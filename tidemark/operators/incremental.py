@@ -53,24 +53,24 @@ def undated(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-def _whole(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A digest of a row's columns; a column it lacks counts as null."""
-    cells = [F.col(c) if c in df.columns else F.lit(None).cast("string") for c in columns]
-    return F.sha2(F.to_json(F.struct(*[x.alias(c) for x, c in zip(cells, columns, strict=True)]), {"ignoreNullFields": "false"}), 256)
-
-
 def unseen(
     df: DataFrame, seen: DataFrame, keys: Sequence[str], column: str, compared: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows of a scan that were not taken before: no row with the same keys (null like null) and stamp in ``seen``.
 
     With ``compared`` (columns of ``df``) a row was only taken before if those are the same, too: a value that was corrected
-    without a new stamp is a new row.
+    without a new stamp is a new row. A column that ``seen`` lacks was null there.
     """
-    taken = seen.select(*[F.col(c).alias(f"_s_{c}") for c in (*keys, column)], *([_whole(seen, compared).alias("_s_row")] if compared else []))
-    same = [df[c].eqNullSafe(taken[f"_s_{c}"]) for c in (*keys, column)]
-    if compared:
-        return df.withColumn("_row", _whole(df, compared)).join(taken, [*same, F.col("_row") == taken["_s_row"]], "left_anti").drop("_row")
+    rest = [c for c in compared or () if c not in (*keys, column)]
+
+    def plain(frame: DataFrame, c: str) -> Column:
+        # Maps can't be compared, their text can.
+        kind = df.schema[c].dataType
+        cell = frame[c] if c in frame.columns else F.lit(None).cast(kind)
+        return F.to_json(F.struct(cell)) if "map<" in kind.simpleString() else cell
+
+    taken = seen.select(*[plain(seen, c).alias(f"_s_{c}") for c in (*keys, column, *rest)])
+    same = [plain(df, c).eqNullSafe(taken[f"_s_{c}"]) for c in (*keys, column, *rest)]
     return df.join(taken, same, "left_anti")
 
 

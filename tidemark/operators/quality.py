@@ -190,17 +190,20 @@ class Watched:
         self.table, self.rules, self.spark = table, list(rules), df.sparkSession
         self.columns = _profiled(df.select(*(shown or df.columns)))
         nulls = [F.count_if(good & F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(self.columns)]
-        failures = [c.alias(name) for name, c in _rule_counters(df, self.rules, null_fails, good)]
+        counters = _rule_counters(df, self.rules, null_fails, good)
+        failures, self._evaluated = [c.alias(name) for name, c in counters], [name for name, _ in counters]
         asked = [c.alias(name) for name, c in counts.items()]
         self._seen = Observation()
         self.frame = df.observe(self._seen, F.count_if(good).alias("_n"), *nulls, *failures, *asked)
 
     def count(self, name: str) -> int:
-        return self._seen.get[name] or 0
+        # Of no rows at all there may be nothing to observe.
+        return self._seen.get.get(name) or 0
 
     def verdicts(self, at=None) -> DataFrame:
         """As :func:`quality_rules` of the good rows."""
-        return _stamped(_verdict_rows(self.spark, self.rules, self._seen.get, self.count("_n")), self.table, at)
+        found = {name: self.count(name) for name in self._evaluated}
+        return _stamped(_verdict_rows(self.spark, self.rules, found, self.count("_n")), self.table, at)
 
     def report(self, batch_id: str, at, before: int, duplicates: int, rejected: int) -> DataFrame:
         """As :func:`quality_report` of ``before`` rows and the good ones."""

@@ -386,19 +386,17 @@ class Lakehouse:
             if table.exists():
                 held = inc.incremental_scan(table.read(), spec.watermark, since, spec.lateness, inclusive=True)
                 rows = inc.unseen(rows, held, spec.keys, spec.watermark, rows.columns)
-        if rows.isEmpty():
-            return None
         audited = inc.with_audit(rows, self.source_name, run.batch_id, run.at)
         dated = inc.with_date_parts(audited, spec.date_column, spec.date_parts)
-        version = table.append(dated, run.at, "overwrite" if full else "append")
-        written = table.feed(version - 1).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.col(spec.watermark).try_cast("timestamp")).alias("wm"),
-        )
-        reached = inc.next_watermark(F.col("wm"), self.watermark_mode)
-        n, mark = written.select("n", F.greatest(reached, F.lit(since).cast("timestamp"))).first()
-        row = (name, "full_load" if full else "incremental", mark, run.at)
-        self._note("watermarks", one_row(self.spark, inc.WATERMARK_SCHEMA, row))
+        counts = {"n": F.count(F.lit(1)), "wm": F.max(F.col(spec.watermark).try_cast("timestamp"))}
+        _, written = table.append_counted(dated, run.at, "overwrite" if full else "append", counts=counts)
+        n = written["n"]
+        if not n:
+            return None
+        stamp = lambda v: F.lit(v).cast("timestamp")
+        mark = F.greatest(inc.next_watermark(stamp(written["wm"]), self.watermark_mode), stamp(since))
+        row = one_row(self.spark, inc.WATERMARK_SCHEMA, (name, "full_load" if full else "incremental", None, run.at))
+        self._note("watermarks", row.withColumn("ultimo_proceso", mark))
         return n
 
     # silver

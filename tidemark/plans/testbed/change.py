@@ -1,7 +1,7 @@
 """Upserts, change feeds, ledgers and keyed tables on the test tables.
 
-The keyed state is each customer's activity in the four years before a date: between two dates customers appear,
-change, stay as they are and disappear.
+The keyed state is each customer's activity before a date, as long as they have ordered lately: between two dates customers
+appear, change, stay as they are and disappear. The last date lies after all orders.
 """
 
 from __future__ import annotations
@@ -11,44 +11,46 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import apply_changes, change_feed, merge_upsert
+from tidemark.operators.changes import apply_changes, change_feed, merge_upsert, undo_changes
 from tidemark.operators.incremental import latest_version, ledger_get, read_changes, update_where
 from tidemark.plans.testbed.base import built, query, table
 from tidemark.session import work_dir
 from tidemark.sources.tables import LakeTable
 
 KEYS = ["o_custkey"]
-DATES = ("1998-06-01", "1999-06-01", "2001-06-01")
+#: (before which date, since when at least the last order)
+DATES = (("1998-06-01", "1996-06-01"), ("2001-03-01", "1999-12-01"), ("2003-01-01", "2000-06-01"))
 
 
-def activity(spark, d, upto: str) -> DataFrame:
-    """Customers with orders in the four years before ``upto``."""
+def activity(spark, d, dates: tuple[str, str]) -> DataFrame:
+    """Customers with all their orders before a date, if the last one isn't too old."""
     when = F.col("o_orderdate")
-    upto = F.lit(upto).cast("timestamp_ntz")
+    upto, since = (F.lit(x).cast("timestamp_ntz") for x in dates)
     return (
         table(spark, d, "orders")
-        .filter((when < upto) & (when >= (upto - F.expr("INTERVAL 4 YEARS"))))
+        .filter(when < upto)
         .groupBy("o_custkey")
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
             F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(24,2)").alias("spent"),
-            F.year(F.max(when)).alias("last_year"),
+            F.max(when).alias("last"),
         )
+        .filter(F.col("last") >= since)
+        .select("o_custkey", "n_orders", "spent", F.year("last").alias("last_year"))
     )
 
 
-def _state_sql(name: str, upto: str) -> str:
+def _state_sql(name: str, dates: tuple[str, str]) -> str:
     return f"""
 {name} AS (
   SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_orders,
          CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2))) AS DECIMAL(24, 2)) AS spent,
          CAST(year(max(o_orderdate)) AS INTEGER) AS last_year
-  FROM orders WHERE o_orderdate < TIMESTAMP '{upto}' AND o_orderdate >= TIMESTAMP '{upto}' - INTERVAL 4 YEARS
-  GROUP BY o_custkey
+  FROM orders WHERE o_orderdate < TIMESTAMP '{dates[0]}' GROUP BY o_custkey HAVING max(o_orderdate) >= TIMESTAMP '{dates[1]}'
 )"""
 
 
-STATES_SQL = ",".join(_state_sql(f"s{i + 1}", upto) for i, upto in enumerate(DATES))
+STATES_SQL = ",".join(_state_sql(f"s{i + 1}", dates) for i, dates in enumerate(DATES))
 
 
 def _changed_sql(old: str, new: str) -> str:
@@ -68,7 +70,7 @@ UNION ALL SELECT {columns}, 'update_preimage', {version} FROM ({_changed_sql(new
   WHERE o_custkey IN (SELECT o_custkey FROM {new})"""
 
 
-def feed_of(spark, d, old: str, new: str, version: int) -> DataFrame:
+def feed_of(spark, d, old: tuple[str, str], new: tuple[str, str], version: int) -> DataFrame:
     return change_feed(activity(spark, d, old), activity(spark, d, new), KEYS, version)
 
 
@@ -82,24 +84,30 @@ def full_feed(spark, d) -> DataFrame:
     )
 
 
-@query("q_change_feed", f"WITH {STATES_SQL} {_feed_sql('s1', 's2', 7)}")
+@query("q_change_feed", f"WITH {STATES_SQL} {_feed_sql('s2', 's3', 7)}")
 def _change_feed(spark, d):
-    return feed_of(spark, d, DATES[0], DATES[1], 7).drop("_commit_timestamp")
+    return feed_of(spark, d, DATES[1], DATES[2], 7).drop("_commit_timestamp")
 
 
-@query("q_apply_changes", f"WITH {STATES_SQL} SELECT * FROM s2")
+@query("q_apply_changes", f"WITH {STATES_SQL} SELECT * FROM s3")
 def _apply_changes(spark, d):
-    return apply_changes(activity(spark, d, DATES[0]), feed_of(spark, d, DATES[0], DATES[1], 7), KEYS)
+    return apply_changes(activity(spark, d, DATES[1]), feed_of(spark, d, DATES[1], DATES[2], 7), KEYS)
+
+
+@query("q_undo_changes", f"WITH {STATES_SQL} SELECT * FROM s1")
+def _undo_changes(spark, d):
+    """Two versions back from the last state."""
+    return undo_changes(activity(spark, d, DATES[2]), full_feed(spark, d).filter("_commit_version > 1"), KEYS)
 
 
 @query("q_merge_upsert", f"""
 WITH {STATES_SQL}
-SELECT *, NULL::BIGINT AS extra FROM s1 WHERE o_custkey NOT IN (SELECT o_custkey FROM s2)
-UNION ALL SELECT *, n_orders * 2 FROM s2
+SELECT *, NULL::BIGINT AS extra FROM s2 WHERE o_custkey NOT IN (SELECT o_custkey FROM s3)
+UNION ALL SELECT *, n_orders * 2 FROM s3
 """)
 def _merge_upsert(spark, d):
-    newer = activity(spark, d, DATES[1]).withColumn("extra", F.col("n_orders") * 2)
-    return merge_upsert(activity(spark, d, DATES[0]), newer, KEYS)
+    newer = activity(spark, d, DATES[2]).withColumn("extra", F.col("n_orders") * 2)
+    return merge_upsert(activity(spark, d, DATES[1]), newer, KEYS)
 
 
 @query("q_read_changes", f"""
@@ -148,27 +156,31 @@ def lake_table(spark, d) -> LakeTable:
 
 
 def _lake_table(spark, d) -> LakeTable:
-    """A keyed table that has taken in two states, partitioned by the year of the last order."""
-    lake = LakeTable(spark, work_dir(spark, "lake"), keys=KEYS, partition_by=["last_year"])
-    for day, upto in enumerate(DATES[:2], start=1):
-        lake.upsert(activity(spark, d, upto), datetime(2024, 1, day))
+    """A keyed table in buckets that has taken in three states. Customers who aren't in the last one any more are deleted then."""
+    lake = LakeTable(spark, work_dir(spark, "lake"), keys=KEYS, partition_by=["last_year"], buckets=5)
+    for day, dates in enumerate(DATES, start=1):
+        scope = lake.read().select(*KEYS) if day == len(DATES) else None
+        lake.upsert(activity(spark, d, dates), datetime(2024, 1, day), scope=scope)
     return lake
 
 
-@query("q_lake_upsert", f"""
-WITH {STATES_SQL} SELECT * FROM s1 WHERE o_custkey NOT IN (SELECT o_custkey FROM s2) UNION ALL SELECT * FROM s2
-""")
+MERGED_SQL = "m2 AS (SELECT * FROM s1 WHERE o_custkey NOT IN (SELECT o_custkey FROM s2) UNION ALL SELECT * FROM s2)"
+
+
+@query("q_lake_upsert", f"WITH {STATES_SQL} SELECT * FROM s3")
 def _lake_upsert(spark, d):
     return lake_table(spark, d).read()
 
 
-@query("q_lake_time_travel", f"WITH {STATES_SQL} SELECT * FROM s1")
+@query("q_lake_time_travel", f"WITH {STATES_SQL}, {MERGED_SQL} SELECT *, 1 AS version FROM m2 UNION ALL SELECT *, 0 FROM s1")
 def _lake_time_travel(spark, d):
-    return lake_table(spark, d).read(version=0)
+    lake = lake_table(spark, d)
+    return lake.read(version=1).withColumn("version", F.lit(1)).unionByName(lake.read(version=0).withColumn("version", F.lit(0)))
 
 
 @query("q_lake_feed", f"""
-WITH {STATES_SQL}, f AS ({_feed_sql('s1', 's2', 1)}) SELECT * FROM f WHERE _change_type <> 'delete'
+WITH {STATES_SQL}, {MERGED_SQL}, f AS ({_feed_sql('s1', 's2', 1)}) SELECT * FROM f WHERE _change_type <> 'delete'
+UNION ALL {_feed_sql('m2', 's3', 2)}
 """)
 def _lake_feed(spark, d):
     return lake_table(spark, d).feed(since=0).drop("_commit_timestamp")

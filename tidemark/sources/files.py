@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,19 +73,32 @@ def stamp_modified(df: DataFrame, at=None, column: str = "fec_modificacion") ->
     return df.withColumn(column, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
 
 
-def write_partitioned(df: DataFrame, path: str, parts: Sequence[str] = (), mode: str = "append") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, parts: Sequence[str] = (), mode: str = "append", counts: Mapping[str, Column] | None = None
+) -> dict:
     """Partitioned Parquet. ``mode`` is append, overwrite (the whole table) or overwrite_partitions.
 
     Rows are first brought together by partition, so each partition gets few files; AQE splits a partition that is
-    too large for one task and joins those that are small.
+    too large for one task and joins those that are small. ``counts`` are taken by the tasks that write, and returned.
     """
     if parts:
         df = df.hint("rebalance", *[F.col(c) for c in parts])
+    seen = Observation()
+    if counts:
+        df = df.observe(seen, *[c.alias(name) for name, c in counts.items()])
     writer = df.write.partitionBy(*parts) if parts else df.write
     if mode == "overwrite_partitions":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+    # Of no rows at all there may be nothing to observe.
+    return {name: seen.get.get(name) for name in counts} if counts else {}
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library itself staged."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None) -> None:

@@ -1,48 +1,57 @@
-"""Keyed tables kept as plain Parquet folders, with versions and a change feed.
+"""Tables of a lakehouse as plain Parquet folders: append-only with loads, or keyed with upserts, both with a change feed.
 
-Where no transactional table format is installed, an upsert still must not overwrite what others read. So a table is
+* ``changes/_commit_version=N``: what version N inserted, changed and deleted (of an append-only table: its rows),
+* ``data/_bucket=B``: a keyed table's rows as they are now, dealt by a hash of the key,
+* ``versions``: small rows that say how far each version got, like the control tables of watermarks and ledgers.
 
-* ``changes/_commit_version=N``: the rows commit N inserted or changed (for a table without keys: all its data),
-* ``data/_v=N``: the fragments commit N wrote, partitioned by the table's own columns,
-* ``commits``: one row per commit that lists the fragments it added and removed, written last. Only what is listed
-  here is visible.
+An upsert writes its changes, then new copies of the buckets that hold any beside the table, and says so (``staged``). Only then
+are these buckets replaced, by Spark's dynamic partition overwrite, and the version is ``done``. A run that dies before the first
+mark has changed nothing that anybody sees, and the next one writes the same folders again; if it dies between the two marks,
+whoever opens the table next replaces the buckets again from the copies. Each table has one writer at a time.
 
-An upsert rewrites the fragments that hold changed rows and adds one for new rows; the rest of the table is neither
-rewritten nor, but for its key columns, read. A run that dies halfway leaves files nobody lists, and the next run writes the same folders again. Each table
-has one writer at a time.
+Nothing about files is kept or collected: buckets are listed by number, and there are ``buckets`` of them however long the
+table lives. Older states come from the feed, by undoing it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.changes import _differs, assert_unique
+from tidemark.operators.changes import _differs, assert_unique, undo_changes
 from tidemark.operators.incremental import CURRENT_KINDS
 from tidemark.operators.joins import matching
 from tidemark.session import one_row
-from tidemark.sources.files import nullable, read_or_empty, write_partitioned
+from tidemark.sources.files import nullable, read_or_empty, remove_folder, write_partitioned
 
-COMMIT_SCHEMA = (
-    "version bigint, committed_at timestamp, kind string, added array<string>, removed array<string>, schema string, "
-    "tag string"
+#: Buckets of a new keyed table. Each should be a few hundred megabytes in the end: a table of 100 TB wants many thousands.
+BUCKETS = 8
+VERSION_SCHEMA = (
+    "version bigint, committed_at timestamp, kind string, state string, schema string, tag string, buckets int"
 )
 FEED_FIELDS = [
     T.StructField("_change_type", T.StringType()),
     T.StructField("_commit_timestamp", T.TimestampType()),
-    T.StructField("_fragment", T.StringType()),
     T.StructField("_commit_version", T.LongType()),
 ]
+STORED = [T.StructField("_gone", T.BooleanType()), T.StructField("_bucket", T.IntegerType())]
+
+
+def _from_json(schema: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(schema))
 
 
 class LakeTable:
-    """A versioned table. With ``keys`` it is upserted, without it is append-only."""
+    """A versioned table. With ``keys`` it is upserted, without it is append-only.
+
+    ``partition_by`` partitions what an append-only table is sent, and orders the rows within a keyed table's buckets, so that
+    Parquet statistics can skip row groups. ``buckets`` only counts when a table is new.
+    """
 
     def __init__(
         self,
@@ -53,42 +62,64 @@ class LakeTable:
         partition_by: Sequence[str] = (),
         ignore: Sequence[str] = (),
         shape: T.StructType | None = None,
+        buckets: int = BUCKETS,
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.declared = nullable(schema) if schema is not None else None
         self.keys, self.partition_by, self.ignore = list(keys), list(partition_by), list(ignore)
         # What a table that was never written looks like to its readers; the first rows still bring their own types.
         self.shape = nullable(shape) if shape is not None else None
-        self._rows = None
-
-    # ---- reading --------------------------------------------------------------------------------------------
-
-    def commits(self) -> DataFrame:
-        """The commit log: one row per version."""
-        return read_or_empty(self.spark, f"{self.path}/commits", COMMIT_SCHEMA)
-
-    def _log(self, version: int | None = None) -> list:
-        """The commit log up to ``version``, oldest first. Read once per object, as a table has one writer; its length
-        is the number of commits, not of rows."""
-        if self._rows is None:
-            columns = ("version", "kind", "added", "removed", "schema", "tag")
-            self._rows = sorted(self.commits().select(*columns).collect(), key=lambda r: r["version"])
-        return [r for r in self._rows if version is None or r["version"] <= version]
+        self._fresh_buckets, self._known = buckets, None
+
+    # ---- how far the table is -----------------------------------------------------------------------------------
+
+    def versions(self) -> DataFrame:
+        """One row per version and state it reached."""
+        return read_or_empty(self.spark, f"{self.path}/versions", VERSION_SCHEMA)
+
+    def _newest(self) -> Row | None:
+        """The newest version, or None. Read once per object, as a table has one writer. What a dead run had staged is
+        finished first."""
+        if self._known is None:
+            self._known = [self._read_newest()]
+            newest = self._known[0]
+            if newest is not None and not newest["done"]:
+                self._replace(newest["version"])
+                self._known = [self._read_newest()]
+        return self._known[0]
+
+    def _read_newest(self) -> Row | None:
+        done = (F.col("state") == "done").alias("done")
+        last = F.max(F.struct("version", done, "committed_at", "kind", "schema", "tag", "buckets")).alias("last")
+        whole = F.max(F.when(F.col("kind") == "overwrite", F.col("version"))).alias("whole")
+        row = self.versions().agg(last, whole).select("last.*", "whole").first()
+        return row if row["version"] is not None else None
 
     def version(self) -> int:
         """The newest version, -1 before the first commit."""
-        log = self._log()
-        return log[-1]["version"] if log else -1
+        newest = self._newest()
+        return -1 if newest is None else newest["version"]
 
     def has_tag(self, tag: str) -> bool:
-        return any(r["tag"] == tag for r in self._log())
+        return not self.versions().filter((F.col("tag") == tag) & (F.col("state") == "done")).isEmpty()
 
     def exists(self) -> bool:
-        return bool(self._log())
+        return self._newest() is not None
+
+    def _note(self, version: int, at, kind: str, schema: str, tag: str | None, state: str = "done") -> int:
+        row = (version, at, kind, state, schema, tag, self.buckets)
+        one_row(self.spark, VERSION_SCHEMA, row).write.mode("append").parquet(f"{self.path}/versions")
+        self._known = None
+        return version
+
+    @property
+    def buckets(self) -> int:
+        newest = self._known[0] if self._known else None
+        return self._fresh_buckets if newest is None else newest["buckets"]
 
     def _schema(self) -> T.StructType | None:
-        log = self._log()
-        return T.StructType.fromJson(json.loads(log[-1]["schema"])) if log else self.declared
+        newest = self._newest()
+        return _from_json(newest["schema"]) if newest is not None else self.declared
 
     def _known_schema(self) -> T.StructType:
         schema = self._schema() or self.shape
@@ -96,76 +127,63 @@ class LakeTable:
             raise ValueError(f"{self.path} has no commit and no declared schema")
         return schema
 
-    def _fragments(self, version: int | None) -> list[str]:
-        """Live fragments. Their number is that of partitions times recent commits, as in any file listing."""
-        log = self._log(version)
-        removed = {f for r in log for f in r["removed"]}
-        live = []
-        for row in log:
-            held = [f for f in row["added"] if f not in removed]
-            # A commit of which nothing was replaced is listed as one folder, not one by one.
-            whole = held and len(held) == len(row["added"])
-            live += [held[0].split("/")[0]] if whole else held
-        return sorted(live)
-
-    def _read_fragments(self, fragments: Sequence[str], schema: T.StructType) -> DataFrame:
-        if not fragments:
-            return self.spark.createDataFrame([], schema)
-        root = f"{self.path}/data"
-        full = T.StructType([*schema.fields, T.StructField("_v", T.LongType())])
-        reader = self.spark.read.schema(full).option("basePath", root)
-        return reader.parquet(*[f"{root}/{f}" for f in fragments])
+    # ---- reading ------------------------------------------------------------------------------------------------
+
+    def _rows(self, schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
+        """A keyed table's rows with their bucket; only the folders of ``buckets`` are read."""
+        stored = T.StructType([*schema.fields, *STORED])
+        if self.version() < 0:
+            return self.spark.createDataFrame([], stored).drop("_gone")
+        rows = read_or_empty(self.spark, f"{self.path}/data", stored)
+        if buckets is not None and len(buckets) < self.buckets:
+            rows = rows.filter(F.col("_bucket").isin(*buckets))
+        return rows.filter(~F.col("_gone")).drop("_gone")
+
+    def _bucket(self, schema: T.StructType) -> Column:
+        """Where a key's row is, whatever type the key has in the frame at hand."""
+        return F.pmod(F.xxhash64(*[F.col(k).cast(schema[k].dataType) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _buckets_of(self, df: DataFrame, schema: T.StructType) -> list[int]:
+        """The buckets a frame's keys are in: a list no longer than the number of buckets."""
+        return sorted(r[0] for r in df.select(self._bucket(schema).alias("b")).distinct().collect())
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version`` (default: now). A table never written is empty but has its declared schema."""
         schema = self._known_schema()
         if not self.keys:
-            log = self._log(version)
-            first = max([r["version"] for r in log if r["kind"] == "overwrite"], default=0)
-            last = log[-1]["version"] if log else -1
-            return self.feed(first - 1).filter(F.col("_commit_version").between(first, last)).select(*schema.names)
-        return self._read_fragments(self._fragments(version), schema).select(*schema.names)
-
-    def _located(self, keys: DataFrame, on: Sequence[str], schema: T.StructType) -> DataFrame | None:
-        """The fragments (with their names) that hold a row whose ``on`` columns appear in ``keys``.
-
-        Found by a pass over these columns alone, so that the wide read after it skips the rest of the table.
-        """
-        live = self._fragments(None)
-        if not live:
-            return None
-        name = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(_v=.*)/[^/]+$", 1).alias("_fragment")
-        narrow = self._read_fragments(live, schema).select(*on, name)
-        hit = [unquote(r[0]) for r in matching(narrow, keys, on).select("_fragment").distinct().collect()]
-        return self._read_fragments(sorted(hit), schema).select(*schema.names, name) if hit else None
+            last = self.version() if version is None else min(version, self.version())
+            newest = self._newest()
+            first = 0 if newest is None or newest["whole"] is None else newest["whole"]
+            if first > last:
+                whole = (F.col("kind") == "overwrite") & (F.col("version") <= last)
+                first = self.versions().filter(whole).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+            return self.feed(first - 1).filter(F.col("_commit_version") <= last).select(*schema.names)
+        rows = self._rows(schema).select(*schema.names)
+        if version is None or version >= self.version():
+            return rows
+        return undo_changes(rows, self.feed(version), self.keys)
 
     def matching(self, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-        """Rows whose ``on`` columns appear in ``keys``, null matching null. Reads only fragments that hold any.
+        """Rows whose ``on`` columns appear in ``keys``, null matching null. If these are the table's keys, only the buckets
+        that can hold any are read.
 
         ``keys`` is read twice, so hand over a written table or something as cheap.
         """
         schema = self._known_schema()
-        held = self._located(keys, on, schema)
-        if held is None:
-            return self.spark.createDataFrame([], schema)
-        return matching(held, keys, on).select(*schema.names)
+        exact = set(on) == set(self.keys) and self.exists()
+        rows = self._rows(schema, self._buckets_of(keys, schema) if exact else None)
+        return matching(rows, keys, on).select(*schema.names)
 
     def feed(self, since: int = -1) -> DataFrame:
         """The change feed after version ``since``: the table's columns, ``_change_type``, ``_commit_version`` and
-        ``_commit_timestamp``. Only the folders of newer commits are read."""
+        ``_commit_timestamp``. Only the folders of newer versions are read."""
         schema = self._known_schema()
         full = T.StructType([*schema.fields, *FEED_FIELDS])
         columns = [*schema.names, "_change_type", "_commit_version", "_commit_timestamp"]
-        root = f"{self.path}/changes"
-        # Folders are named, so that those of old commits aren't even listed; an upsert without changes left none behind.
-        newer = [f"{root}/_commit_version={r['version']}" for r in self._log() if r["version"] > since]
-        if not newer:
-            return self.spark.createDataFrame([], full).select(*columns)
-        paths = newer if since >= 0 else [root]
-        rows = self.spark.read.schema(full).option("basePath", root).parquet(*paths)
-        return rows.filter(F.col("_commit_version") <= self.version()).select(*columns)
+        rows = read_or_empty(self.spark, f"{self.path}/changes", full)
+        return rows.filter(F.col("_commit_version").between(since + 1, self.version())).select(*columns)
 
-    # ---- writing --------------------------------------------------------------------------------------------
+    # ---- writing ------------------------------------------------------------------------------------------------
 
     def _evolve(self, incoming: T.StructType) -> T.StructType:
         """Known columns in their order and type, then new ones."""
@@ -184,12 +202,6 @@ class LakeTable:
             ]
         )
 
-    def _commit(self, version, at, kind, schema, added=(), removed=(), tag=None) -> int:
-        row = (version, at, kind, list(added), list(removed), schema.json(), tag)
-        one_row(self.spark, COMMIT_SCHEMA, row).write.mode("append").parquet(f"{self.path}/commits")
-        self._rows = None
-        return version
-
     def append(
         self, df: DataFrame, at: datetime, kind: str = "append", tag: str | None = None, once: bool = False
     ) -> int:
@@ -199,12 +211,22 @@ class LakeTable:
             raise ValueError("a keyed table is written with upsert")
         if once and tag is not None and self.has_tag(tag):
             return self.version()
+        return self.append_counted(df, at, kind, tag)[0]
+
+    def append_counted(
+        self, df: DataFrame, at: datetime, kind: str = "append", tag: str | None = None, counts: Mapping[str, Column] | None = None
+    ) -> tuple[int, dict]:
+        """(the newest version, ``counts`` of the rows, taken while they are written). With a count ``n`` of 0 there is no new
+        version."""
         version, schema = self.version() + 1, self._evolve(df.schema)
         rows = self._cast(df, schema).withColumns(
             {"_change_type": F.lit("insert"), "_commit_timestamp": F.lit(at).cast("timestamp")}
         )
-        write_partitioned(rows, f"{self.path}/changes/_commit_version={version}", self.partition_by, "overwrite")
-        return self._commit(version, at, kind, schema, tag=tag)
+        path = f"{self.path}/changes/_commit_version={version}"
+        found = write_partitioned(rows, path, self.partition_by, "overwrite", counts)
+        if counts and not found["n"]:
+            return version - 1, found
+        return self._note(version, at, kind, schema.json(), tag), found
 
     def upsert(
         self, df: DataFrame, at: datetime, tag: str | None = None, scope: DataFrame | None = None, unique: bool = False
@@ -220,71 +242,72 @@ class LakeTable:
             assert_unique(df, self.keys)
         version, schema = self.version() + 1, self._evolve(df.schema)
         source = self._cast(df, schema)
-        changes = f"{self.path}/changes/_commit_version={version}"
-        self._changed(source, schema, at, scope).write.mode("overwrite").parquet(changes)
-
-        full = T.StructType([*schema.fields, *FEED_FIELDS[:-1]])
-        feed = self.spark.read.schema(full).parquet(changes)
-        touched = [r["_fragment"] for r in feed.groupBy("_fragment").count().collect()]
-        if not touched:
+        path = f"{self.path}/changes/_commit_version={version}"
+        seen = Observation()
+        changed = self._changed(source, schema, at, scope).observe(seen, F.count(F.lit(1)).alias("n"))
+        changed.write.mode("overwrite").parquet(path)
+        if not seen.get.get("n"):
             # A table that gets its first, empty, load exists from then on, with its schema.
-            return version - 1 if version else self._commit(version, at, "upsert", schema, tag=tag)
-        removed = [unquote(f) for f in touched if f is not None]
-        rows = feed.filter(F.col("_change_type").isin(*CURRENT_KINDS)).select(*schema.names)
-        if removed:
-            old = self._read_fragments(removed, schema).select(*schema.names)
-            rows = old.join(feed.select(*self.keys), self.keys, "left_anti").unionByName(rows)
-        added = self._write_fragments(rows, schema, version)
-        return self._commit(version, at, "upsert", schema, added, removed, tag)
+            return version - 1 if version else self._note(version, at, "upsert", schema.json(), tag)
+        feed = self.spark.read.schema(T.StructType([*schema.fields, *FEED_FIELDS[:-1]])).parquet(path)
+        images = feed.filter(F.col("_change_type").isin(*CURRENT_KINDS)).select(*schema.names)
+        rows = images.withColumns({"_gone": F.lit(False), "_bucket": self._bucket(schema)})
+        if version == 0:
+            self._write(rows, f"{self.path}/data")
+            return self._note(version, at, "upsert", schema.json(), tag)
+        old = self._rows(schema, self._buckets_of(feed, schema))
+        kept = old.join(feed.select(*self.keys), self.keys, "left_anti").withColumn("_gone", F.lit(False))
+        # A bucket is replaced by what is written for it, so one that lost its last row must still have something.
+        gone = feed.filter(F.col("_change_type") == "delete").select(*schema.names)
+        marks = gone.withColumns({"_gone": F.lit(True), "_bucket": self._bucket(schema)})
+        self._write(rows.unionByName(kept).unionByName(marks), self._staged(version))
+        self._note(version, at, "upsert", schema.json(), tag, "staged")
+        self._newest()
+        return version
+
+    def _staged(self, version: int) -> str:
+        return f"{self.path}/staged/version-{version}"
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        """Rows by bucket; AQE splits a bucket that is too large for one task."""
+        spread = rows.hint("rebalance", F.col("_bucket")).sortWithinPartitions("_bucket", *self.partition_by)
+        spread.write.partitionBy("_bucket").mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    def _replace(self, version: int) -> None:
+        """Put the staged copies in the place of their buckets. Done twice, it comes to the same."""
+        newest = self._read_newest()
+        schema, path = _from_json(newest["schema"]), self._staged(version)
+        copies = self.spark.read.schema(T.StructType([*schema.fields, *STORED])).parquet(path)
+        writer = copies.sortWithinPartitions("_bucket", *self.partition_by).write.partitionBy("_bucket").mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/data")
+        row = (version, newest["committed_at"], newest["kind"], "done", newest["schema"], newest["tag"], newest["buckets"])
+        one_row(self.spark, VERSION_SCHEMA, row).write.mode("append").parquet(f"{self.path}/versions")
+        remove_folder(self.spark, path)
 
     def _changed(self, source: DataFrame, schema: T.StructType, at: datetime, scope: DataFrame | None) -> DataFrame:
         """Feed rows that bring the table to ``source``."""
-        wanted = source.select(*self.keys)
-        if scope is not None:
-            wanted = wanted.unionByName(scope.select(*self.keys))
         stamp = F.lit(at).cast("timestamp")
-        held = self._located(wanted, self.keys, schema)
-        if held is None:
-            return source.withColumns(
-                {"_change_type": F.lit("insert"), "_commit_timestamp": stamp, "_fragment": F.lit(None).cast("string")}
-            )
-        hits = held.join(wanted, self.keys, "left_semi").select(
-            *self.keys, F.struct(*schema.names).alias("before"), "_fragment"
-        )
+        if self.version() < 0:
+            return source.withColumns({"_change_type": F.lit("insert"), "_commit_timestamp": stamp})
         after = source.select(*self.keys, F.struct(*schema.names).alias("after"))
+        if scope is not None:
+            computed = scope.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in self.keys]).distinct()
+            empty = computed.join(source.select(*self.keys), self.keys, "left_anti")
+            after = after.unionByName(empty.withColumn("after", F.lit(None).cast(after.schema["after"].dataType)))
+        held = self._rows(schema, self._buckets_of(after, schema)).select(*self.keys, F.struct(*schema.names).alias("before"))
+        pairs = after.join(held, self.keys, "left")
+        known, wanted = F.col("before").isNotNull(), F.col("after").isNotNull()
         compared = [c for c in schema.names if c not in self.keys and c not in self.ignore]
-        pairs = after.join(hits, self.keys, "left" if scope is None else "full_outer")
-        isnew, gone = F.col("before").isNull(), F.col("after").isNull()
 
-        def image(kind: str, row: str, fragment: Column) -> Column:
-            return F.struct(F.col(row).alias("row"), F.lit(kind).alias("kind"), fragment.alias("fragment"))
+        def image(kind: str, row: str) -> Column:
+            return F.struct(F.col(row).alias("row"), F.lit(kind).alias("kind"))
 
-        nowhere = F.lit(None).cast("string")
         images = (
-            F.when(isnew, F.array(image("insert", "after", nowhere)))
-            .when(gone, F.array(image("delete", "before", F.col("_fragment"))))
-            .otherwise(
-                F.array(
-                    image("update_preimage", "before", F.col("_fragment")),
-                    image("update_postimage", "after", nowhere),
-                )
-            )
+            F.when(~known, F.array(image("insert", "after")))
+            .when(~wanted, F.array(image("delete", "before")))
+            .otherwise(F.array(image("update_preimage", "before"), image("update_postimage", "after")))
         )
-        return (
-            pairs.filter(isnew | gone | _differs("before", "after", compared))
-            .select(F.explode(images).alias("c"))
-            .select(
-                "c.row.*",
-                F.col("c.kind").alias("_change_type"),
-                stamp.alias("_commit_timestamp"),
-                F.col("c.fragment").alias("_fragment"),
-            )
+        changed = pairs.filter((known | wanted) & (~known | ~wanted | _differs("before", "after", compared)))
+        return changed.select(F.explode(images).alias("c")).select(
+            "c.row.*", F.col("c.kind").alias("_change_type"), stamp.alias("_commit_timestamp")
         )
-
-    def _write_fragments(self, rows: DataFrame, schema: T.StructType, version: int) -> list[str]:
-        folder = f"{self.path}/data/_v={version}"
-        write_partitioned(rows, folder, self.partition_by, "overwrite")
-        marker = f"/data/_v={version}"
-        files = [unquote(f) for f in self.spark.read.schema(schema).parquet(folder).inputFiles()]
-        return sorted({f[f.index(marker) + len("/data/") :].rsplit("/", 1)[0] for f in files})
-

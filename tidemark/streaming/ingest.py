@@ -96,7 +96,7 @@ def load_to_table(
             seen = Observation()
             counted = rows.observe(seen, F.count_if(rescue.rescued(rows)).alias("n"))
             table.append(stamp_modified(rescue.readable_rows(counted), at, spec.watermark), at, tag=tag)
-            found = seen.get["n"]
+            found = seen.get.get("n")
         if found:
             listed = rescue.rejected_values(rows, list(spec.keys), list(spec.masked))
             quarantine(listed, spec.name, at).write.mode("overwrite").parquet(f"{errors}/carga={spec.name}-{tag}")
