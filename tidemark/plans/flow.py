@@ -23,6 +23,7 @@ from tidemark.operators.cleaning import (
     counted_dedup, duplicate_rejects, fill_nulls, first_reason, mask_null, null_flags, null_rejects, quarantine,
 )
 from tidemark.operators.joins import mark_known, matching
+from tidemark.operators.rollup import AGAIN, Rollup
 from tidemark.operators.quality import Watched, evaluation_error, quality_rules
 from tidemark.plans import marts
 from tidemark.session import one_row, work_dir
@@ -72,18 +73,25 @@ class Mart:
 
 @dataclass(frozen=True)
 class Kpi:
-    """A rollup of marts, recomputed for every group that had or has a changed row."""
+    """A rollup of marts, recomputed for every group that had or has a changed row; with ``rollup``, of one mart, brought up to
+    date from the changes alone."""
 
     name: str
     sources: Sequence[str]
-    build: Callable[..., DataFrame]
+    build: Callable[..., DataFrame] | None = None
     partition_by: Sequence[str] = ("anio", "mes")
     group: Sequence[str] | None = None
-    """Columns of the grain; by default those that are known for the name."""
+    """Columns of the grain; by default those of the rollup, or those that are known for the name."""
+    rollup: Rollup | None = None
+    """Its parts are kept in the table, in columns that begin with ``_``."""
 
     @property
     def keys(self) -> list[str]:
-        return list(self.group or marts.KPI_KEYS[self.name])
+        return list(self.group or (self.rollup.keys if self.rollup else marts.KPI_KEYS[self.name]))
+
+    def rows(self, *facts: DataFrame) -> DataFrame:
+        """The table from whole groups of facts."""
+        return self.rollup.with_parts(self.rollup.aggregate(*facts)) if self.rollup else self.build(*facts)
 
 
 HOSPITAL_MARTS = [
@@ -127,10 +135,10 @@ HOSPITAL_MARTS = [
 ]
 
 HOSPITAL_KPIS = [
-    Kpi("kpis_ocupacion_camas", ["fact_ocupacion_camas"], marts.kpi_capacity),
-    Kpi("kpis_tiempos_espera", ["fact_tiempos_espera"], marts.kpi_wait),
-    Kpi("kpis_volumen_consultas", ["fact_consultas"], marts.kpi_volume),
-    Kpi("kpis_alertas_epidemiologicas", ["fact_alertas_epidemiologicas"], marts.kpi_alerts, ("anio",)),
+    Kpi("kpis_ocupacion_camas", ["fact_ocupacion_camas"], rollup=marts.CAPACITY),
+    Kpi("kpis_tiempos_espera", ["fact_tiempos_espera"], rollup=marts.WAIT),
+    Kpi("kpis_volumen_consultas", ["fact_consultas"], rollup=marts.VOLUME),
+    Kpi("kpis_alertas_epidemiologicas", ["fact_alertas_epidemiologicas"], partition_by=("anio",), rollup=marts.ALERTS),
     Kpi(
         "kpis_resumen_ejecutivo", ["fact_consultas", "fact_tiempos_espera", "fact_ocupacion_camas"],
         marts.kpi_executive, ("anio",),
@@ -546,19 +554,38 @@ class Lakehouse:
         now, done = self._pending(consumer, tables)
         if all(now[n] <= done[n] for n in tables):
             return None
-        scope = None
-        if min(done.values()) < 0:
-            facts = [t.read() for t in tables.values()]
+        published = self._table("gold", kpi.name)
+        if min(done.values()) >= 0 and kpi.rollup is not None:
+            rows, scope = self._rolled_on(kpi, published, tables[kpi.sources[0]], done[kpi.sources[0]])
         else:
-            touched = [t.feed(done[n]).select(*kpi.keys) for n, t in tables.items()]
-            groups = self._staged(reduce(DataFrame.unionByName, touched).distinct(), "groups")
-            facts = [t.matching(groups, kpi.keys) for t in tables.values()]
-            scope = groups.select(digest(kpi.keys).alias("_grupo"))
-        rows = kpi.build(*facts)
-        n = self._publish(self._table("gold", kpi.name), rows.withColumn("_grupo", digest(kpi.keys)), run, scope)
+            scope = None
+            facts = [t.read() for t in tables.values()]
+            if min(done.values()) >= 0:
+                touched = [t.feed(done[n]).select(*kpi.keys) for n, t in tables.items()]
+                groups = self._staged(reduce(DataFrame.unionByName, touched).distinct(), "groups")
+                facts = [t.matching(groups, kpi.keys) for t in tables.values()]
+                scope = groups.select(digest(kpi.keys).alias("_grupo"))
+            rows = kpi.rows(*facts).withColumn("_grupo", digest(kpi.keys))
+        n = self._publish(published, rows, run, scope)
         self._finish(consumer, now, run)
         return n
 
+    def _rolled_on(self, kpi: Kpi, published: LakeTable, fact: LakeTable, since: int) -> tuple[DataFrame, DataFrame]:
+        """(the groups that changes after ``since`` have touched, as they are now; all touched groups).
+
+        Reads the changes and these groups' rows of the KPI table. Facts are only read for groups whose maximum has left.
+        """
+        rollup = kpi.rollup
+        deltas = self._staged(rollup.deltas(fact.feed(since)).withColumn("_grupo", digest(kpi.keys)), "deltas")
+        touched = deltas.select("_grupo")
+        held = published.matching(touched, ["_grupo"])
+        merged = self._staged(rollup.merged(held, deltas, ["_grupo"]), "merged")
+        rows = rollup.with_parts(merged.filter(~F.col(AGAIN))).withColumn("_grupo", digest(kpi.keys))
+        again = merged.filter(AGAIN).select(*kpi.keys)
+        if rollup.maxima and not again.isEmpty():
+            rows = rows.unionByName(kpi.rows(fact.matching(again, kpi.keys)).withColumn("_grupo", digest(kpi.keys)))
+        return rows, touched
+
     # whole run
 
     def run(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import band, date_parts, iso_week_parts, membership_flag, standardize, tenure_years, total
 from tidemark.operators.anomaly import rolling_baseline
 from tidemark.operators.joins import lookup
+from tidemark.operators.rollup import Rollup, mean, rate, units
 
 # Codes, bands and limits the results depend on.
 INPATIENT_TYPES = ["Hospitalizacion", "Cirugia"]
@@ -233,53 +234,67 @@ def _tagged(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("kpi_tipo", F.lit(kind))
 
 
+def _as(column: str, name: str) -> Column:
+    return F.col(column).alias(name)
+
+
+# Names of the published columns.
+CAPACITY = Rollup(
+    KPI_KEYS["kpis_ocupacion_camas"],
+    {"tasa": units("tasa_ocupacion", 4), "critico": lambda: F.col("ind_critico")}, {"camas": "id_registro_cama"}, {"tasa": "tasa_ocupacion"},
+    lambda: [
+        mean("tasa", 4).alias("tasa_ocupacion_promedio"), _as("_m_tasa", "tasa_ocupacion_maxima"), _as("_s_critico", "n_registros_criticos"),
+        _as("_c_camas", "n_snapshots"), F.lit("OCUPACION_CAMAS").alias("kpi_tipo"),
+    ],
+)
+WAIT = Rollup(
+    KPI_KEYS["kpis_tiempos_espera"],
+    {"espera": units("tiempo_espera_min", 1), "supera": lambda: F.col("ind_supera_umbral")}, {"citas": "id_cita"}, {"espera": "tiempo_espera_min"},
+    lambda: [
+        mean("espera", 1).alias("tiempo_espera_promedio_min"), _as("_m_espera", "tiempo_espera_maximo_min"),
+        rate("supera", "citas").alias("pct_supera_umbral_45min"), _as("_c_citas", "n_citas_atendidas"), F.lit("TIEMPOS_ESPERA").alias("kpi_tipo"),
+    ],
+)
+_FLAGS = {
+    "n_hospitalizaciones": "ind_hospitalizacion", "n_dx_cronicos": "ind_dx_cronico", "n_dx_oncologicos": "ind_dx_oncologico",
+    "n_glosas_riesgo": "glosa_riesgo",
+}
+VOLUME = Rollup(
+    KPI_KEYS["kpis_volumen_consultas"],
+    {name: (lambda flag=flag: F.col(flag)) for name, flag in _FLAGS.items()}, {"consultas": "id_encuentro"}, {},
+    lambda: [
+        _as("_c_consultas", "n_consultas"), *[_as(f"_s_{name}", name) for name in _FLAGS],
+        rate("n_glosas_riesgo", "consultas").alias("pct_glosa_riesgo"), F.lit("VOLUMEN_CONSULTAS").alias("kpi_tipo"),
+    ],
+)
+ALERTS = Rollup(
+    KPI_KEYS["kpis_alertas_epidemiologicas"],
+    {"historico": units("promedio_historico", 2)}, {"semanas": "semana"}, {"pct": "pct_desviacion", "volumen": "volumen_actual"},
+    lambda: [
+        _as("_c_semanas", "n_semanas_alerta"), _as("_m_pct", "max_desviacion_pct"), _as("_m_volumen", "volumen_maximo"),
+        mean("historico", 2).alias("promedio_historico"), F.lit("ALERTAS_EPIDEMIOLOGICAS").alias("kpi_tipo"),
+    ],
+)
+
+
 def kpi_capacity(fact: DataFrame) -> DataFrame:
     """Bed occupancy per site, unit and month."""
-    out = fact.groupBy(*KPI_KEYS["kpis_ocupacion_camas"]).agg(
-        _mean("tasa_ocupacion", 4).alias("tasa_ocupacion_promedio"),
-        F.max("tasa_ocupacion").alias("tasa_ocupacion_maxima"),
-        F.sum("ind_critico").alias("n_registros_criticos"),
-        F.count("id_registro_cama").alias("n_snapshots"),
-    )
-    return _tagged(out, "OCUPACION_CAMAS")
+    return CAPACITY.build(fact)
 
 
 def kpi_wait(fact: DataFrame) -> DataFrame:
     """Waiting time per site, specialty and month."""
-    out = fact.groupBy(*KPI_KEYS["kpis_tiempos_espera"]).agg(
-        _mean("tiempo_espera_min", 1).alias("tiempo_espera_promedio_min"),
-        F.max("tiempo_espera_min").alias("tiempo_espera_maximo_min"),
-        _rate("ind_supera_umbral", "id_cita").alias("pct_supera_umbral_45min"),
-        F.count("id_cita").alias("n_citas_atendidas"),
-    )
-    return _tagged(out, "TIEMPOS_ESPERA")
+    return WAIT.build(fact)
 
 
 def kpi_volume(fact: DataFrame) -> DataFrame:
     """Visits and their flags per city, specialty, type and month."""
-    sums = {
-        "n_hospitalizaciones": "ind_hospitalizacion",
-        "n_dx_cronicos": "ind_dx_cronico",
-        "n_dx_oncologicos": "ind_dx_oncologico",
-        "n_glosas_riesgo": "glosa_riesgo",
-    }
-    out = fact.groupBy(*KPI_KEYS["kpis_volumen_consultas"]).agg(
-        F.count("id_encuentro").alias("n_consultas"),
-        *[F.sum(flag).alias(name) for name, flag in sums.items()],
-        _rate("glosa_riesgo", "id_encuentro").alias("pct_glosa_riesgo"),
-    )
-    return _tagged(out, "VOLUMEN_CONSULTAS")
+    return VOLUME.build(fact)
 
 
 def kpi_alerts(alerts: DataFrame) -> DataFrame:
     """Alerts per city, code and year."""
-    out = alerts.groupBy(*KPI_KEYS["kpis_alertas_epidemiologicas"]).agg(
-        F.count("semana").alias("n_semanas_alerta"),
-        F.max("pct_desviacion").alias("max_desviacion_pct"),
-        F.max("volumen_actual").alias("volumen_maximo"),
-        _mean("promedio_historico", 2).alias("promedio_historico"),
-    )
-    return _tagged(out, "ALERTAS_EPIDEMIOLOGICAS")
+    return ALERTS.build(alerts)
 
 
 def kpi_executive(visits: DataFrame, waits: DataFrame, beds: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import init_watermarks
+from tidemark.operators.rollup import AGAIN, Rollup
 from tidemark.plans.flow import Kpi, Lakehouse, Mart
 from tidemark.plans.testbed.base import STAMP, built, query, table
 from tidemark.session import work_dir
@@ -99,12 +100,12 @@ FACT = Mart(
     "orders", "o_orderkey", dims={"customer": ("o_custkey", "c_custkey")},
 )
 MONTHLY = Kpi(
-    "monthly", ["fact"],
-    lambda fact: fact.groupBy("anio", "mes", "c_mktsegment").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("decimal(38,2)").alias("value")
+    "monthly", ["fact"], partition_by=("anio",),
+    rollup=Rollup(
+        ("anio", "mes", "c_mktsegment"), {"value": lambda: F.col("o_totalprice").cast("decimal(14,2)")}, {}, {"price": "o_totalprice"},
+        lambda: [F.col("_n").alias("n_orders"), F.col("_s_value").cast("decimal(38,2)").alias("value"), F.col("_m_price").alias("max_price")],
     ),
-    ("anio",), group=("anio", "mes", "c_mktsegment"),
-)
+)
 
 
 def three_runs(spark, d) -> Lakehouse:
@@ -147,11 +148,12 @@ f AS (SELECT o_orderkey, o_totalprice, CAST(year(day) AS INTEGER) AS anio, CAST(
 
 @query("q_three_run_kpi_monthly", f"""
 WITH {FINAL_SQL}
-SELECT anio, mes, c_mktsegment, CAST(count(*) AS BIGINT) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(14, 2))) AS DECIMAL(38, 2)) AS value
+SELECT anio, mes, c_mktsegment, CAST(count(*) AS BIGINT) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(14, 2))) AS DECIMAL(38, 2)) AS value,
+       max(o_totalprice) AS max_price
 FROM f GROUP BY ALL
 """)
 def _three_run_kpi(spark, d):
-    return three_runs(spark, d).gold("monthly").read().select("anio", "mes", "c_mktsegment", "n_orders", "value")
+    return three_runs(spark, d).gold("monthly").read().select("anio", "mes", "c_mktsegment", "n_orders", "value", "max_price")
 
 
 @query("q_three_run_mart_null_keys", f"""

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.anomaly import anomaly_record, fill_missing_weeks, rolling_baseline, volume_anomalies
-from tidemark.operators.joins import lookup
+from tidemark.operators.changes import change_feed
+from tidemark.operators.joins import lookup, matching
+from tidemark.operators.rollup import AGAIN
 from tidemark.plans import marts
 from tidemark.plans.testbed.base import (
     AS_OF, BATCH, FACT_CAPACITY_SQL, FACT_VISITS_SQL, FACT_WAIT_SQL, PATIENTS_SQL, SITES_SQL, STAMP, VISITS_SQL,
     appointments, beds, dispensing, doctors, patients, query, sites, table, visits,
 )
+from tidemark.session import work_dir
 
 
 # ---- dimensions -------------------------------------------------------------------------------------------------
@@ -145,6 +148,47 @@ def _kpi_capacity(spark, d):
     return marts.kpi_capacity(_fact_capacity(spark, d))
 
 
+def _loads(spark, d) -> list:
+    """Bed snapshots after three loads: the first two weeks; all of them, the highest occupancies corrected; and without every
+    seventh, those of one unit gone altogether."""
+    fact = _staged(spark, _fact_capacity(spark, d), "fact")
+    lowered = F.when((F.col("id_registro_cama") % 5 == 0) & (F.col("tasa_ocupacion") > 0.5), F.lit(0.0)).otherwise(F.col("tasa_ocupacion"))
+    second = fact.withColumn("tasa_ocupacion", lowered)
+    return [fact.filter("dia < 15"), second, second.filter("id_registro_cama % 7 <> 0 AND tip_unidad <> 'Urgencias'")]
+
+
+def _staged(spark, df, label: str):
+    path = work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@query("q_kpi_delta", f"""
+WITH {FACT_CAPACITY_SQL},
+last AS (
+  SELECT * REPLACE (CASE WHEN id_registro_cama % 5 = 0 AND tasa_ocupacion > 0.5 THEN 0.0 ELSE tasa_ocupacion END AS tasa_ocupacion)
+  FROM fact_capacity WHERE id_registro_cama % 7 <> 0 AND tip_unidad <> 'Urgencias')
+SELECT id_sede, nom_sede, nom_ciudad, nom_pais, tip_unidad, anio, mes,
+       round(sum(CAST(round(tasa_ocupacion * 10000) AS BIGINT)) / count(*)) / 10000 AS tasa_ocupacion_promedio, max(tasa_ocupacion) AS tasa_ocupacion_maxima,
+       CAST(sum(ind_critico) AS BIGINT) AS n_registros_criticos, CAST(count(*) AS BIGINT) AS n_snapshots,
+       'OCUPACION_CAMAS' AS kpi_tipo
+FROM last GROUP BY ALL
+""")
+def _kpi_delta(spark, d):
+    """The first load is rolled up whole, the others by their changes: only groups that lost their maximum are read again."""
+    loads, rollup = _loads(spark, d), marts.CAPACITY
+    parts = _staged(spark, rollup.aggregate(loads[0]), "parts")
+    for version, (old, new) in enumerate(zip(loads, loads[1:]), 1):
+        feed = _staged(spark, change_feed(old, new, ["id_registro_cama"], version), "feed")
+        deltas = rollup.deltas(feed)
+        merged = _staged(spark, rollup.merged(parts, deltas), "merged")
+        again = merged.filter(AGAIN).select(*rollup.keys)
+        same = merged.filter(~F.col(AGAIN)).drop(AGAIN)
+        untouched = parts.join(deltas.select(*rollup.keys), list(rollup.keys), "left_anti")
+        parts = _staged(spark, untouched.unionByName(same).unionByName(rollup.aggregate(matching(new, again, rollup.keys))), "parts")
+    return rollup.published(parts)
+
+
 @query("q_kpi_lag", f"""
 WITH {FACT_WAIT_SQL}
 SELECT id_sede, nom_ciudad, nom_pais, esp_solicitada, anio, mes,
