@@ -84,8 +84,7 @@ class LakeTable:
             self._known = [self._read_newest()]
             newest = self._known[0]
             if newest is not None and not newest["done"]:
-                self._replace(newest["version"])
-                self._known = [self._read_newest()]
+                self._replace(newest)
         return self._known[0]
 
     def _read_newest(self) -> Row | None:
@@ -107,9 +106,13 @@ class LakeTable:
         return self._newest() is not None
 
     def _note(self, version: int, at, kind: str, schema: str, tag: str | None, state: str = "done") -> int:
-        row = (version, at, kind, state, schema, tag, self.buckets)
+        """Say how far a version got; and know it, as nobody else writes."""
+        buckets, before = self.buckets, self._known[0] if self._known else None
+        row = (version, at, kind, state, schema, tag, buckets)
         one_row(self.spark, VERSION_SCHEMA, row).write.mode("append").parquet(f"{self.path}/versions")
-        self._known = None
+        whole = version if kind == "overwrite" else before["whole"] if before is not None else None
+        named = {"version": version, "done": state == "done", "committed_at": at, "kind": kind, "schema": schema, "tag": tag}
+        self._known = [Row(**named, buckets=buckets, whole=whole)]
         return version
 
     @property
@@ -262,7 +265,7 @@ class LakeTable:
         marks = gone.withColumns({"_gone": F.lit(True), "_bucket": self._bucket(schema)})
         self._write(rows.unionByName(kept).unionByName(marks), self._staged(version))
         self._note(version, at, "upsert", schema.json(), tag, "staged")
-        self._newest()
+        self._replace(self._known[0])
         return version
 
     def _staged(self, version: int) -> str:
@@ -273,15 +276,13 @@ class LakeTable:
         spread = rows.hint("rebalance", F.col("_bucket")).sortWithinPartitions("_bucket", *self.partition_by)
         spread.write.partitionBy("_bucket").mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
-    def _replace(self, version: int) -> None:
+    def _replace(self, staged: Row) -> None:
         """Put the staged copies in the place of their buckets. Done twice, it comes to the same."""
-        newest = self._read_newest()
-        schema, path = _from_json(newest["schema"]), self._staged(version)
+        schema, path = _from_json(staged["schema"]), self._staged(staged["version"])
         copies = self.spark.read.schema(T.StructType([*schema.fields, *STORED])).parquet(path)
         writer = copies.sortWithinPartitions("_bucket", *self.partition_by).write.partitionBy("_bucket").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/data")
-        row = (version, newest["committed_at"], newest["kind"], "done", newest["schema"], newest["tag"], newest["buckets"])
-        one_row(self.spark, VERSION_SCHEMA, row).write.mode("append").parquet(f"{self.path}/versions")
+        self._note(*(staged[c] for c in ("version", "committed_at", "kind", "schema", "tag")))
         remove_folder(self.spark, path)
 
     def _changed(self, source: DataFrame, schema: T.StructType, at: datetime, scope: DataFrame | None) -> DataFrame:
