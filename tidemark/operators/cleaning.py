@@ -73,11 +73,17 @@ def duplicate_rejects(
     version of its key (the second).
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    # Maps can't be grouped by, and zeros lose their sign when they are; the text stands for such values.
-    odd = [c for c, kind in kinds.items() if any(k in kind for k in ("map<", "double", "float"))]
-    texts = [(F.col(c).cast("string") if kinds[c] in ("double", "float") else F.to_json(F.struct(c))).alias(f"_t_{c}") for c in odd]
-    whole = [F.first(c).alias(c) for c in odd]
-    counted = df.groupBy(*[c for c in df.columns if c not in odd], *texts).agg(F.count(F.lit(1)).alias("_n"), *whole)
+    # Maps can't be grouped by, their text can; and zeros lose their sign when they are, unless it is told beside them.
+    maps = [c for c, kind in kinds.items() if "map<" in kind]
+    floats = [c for c, kind in kinds.items() if c not in maps and ("double" in kind or "float" in kind)]
+    by = [F.col(c).alias(f"_g_{c}") for c in df.columns if c not in maps]
+    by += [F.to_json(F.struct(c)).alias(f"_t_{c}") for c in maps]
+    for c in floats:
+        plain = kinds[c] in ("double", "float")
+        by.append((F.when(F.col(c) == 0, F.col(c).cast("string")) if plain else F.to_json(F.struct(c))).alias(f"_t_{c}"))
+    odd = {*maps, *floats}
+    grouped = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in df.columns if c in odd])
+    counted = grouped.select(*[F.col(c) if c in odd else F.col(f"_g_{c}").alias(c) for c in df.columns], "_n")
     counted = counted.select(*df.columns, "_n", _ranked(df, keys, order_by).alias("_rank"))
     best = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.max("_rank").alias("_best")).filter(F.col("_all") > 1)
     best = best.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_best")

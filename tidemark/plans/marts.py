@@ -161,6 +161,16 @@ def fact_wait(appointments: DataFrame, sites: DataFrame) -> DataFrame:
     )
 
 
+def executive_inputs(visits: DataFrame, appointments: DataFrame, beds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What :func:`kpi_executive` needs of the facts on visits, waiting times and beds: nothing of it is a dimension's, so none is
+    joined."""
+    inpatient = membership_flag("tip_consulta", INPATIENT_TYPES).alias("ind_hospitalizacion")
+    seen = visits.select("id_encuentro", "pac_id", "id_sede", "glosa_riesgo", inpatient, *_calendar("fec_registro"))
+    attended = appointments.filter((F.col("estado_cita") == "Atendida") & (F.col("tiempo_espera_min") >= 0))
+    waits = attended.select("tiempo_espera_min", *_calendar("fec_cita_programada"))
+    return seen, waits, beds.select("tasa_ocupacion", *_calendar("fec_hora_registro"))
+
+
 def _calendar(column: str, names: tuple[str, ...] = ("anio", "mes")) -> list[Column]:
     return [c.alias(name) for name, c in date_parts(column, names).items()]
 

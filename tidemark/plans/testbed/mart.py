@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.anomaly import anomaly_record, fill_missing_weeks, rolling_baseline, volume_anomalies
 from tidemark.operators.changes import change_feed
+from tidemark.operators.distinct import distinct_bitmaps, distinct_counts, merged_bitmaps
 from tidemark.operators.joins import lookup, matching
 from tidemark.operators.rollup import AGAIN
 from tidemark.plans import marts
@@ -245,7 +246,37 @@ LEFT JOIN (SELECT anio, mes, round(sum(CAST(round(tasa_ocupacion * 10000) AS BIG
            GROUP BY anio, mes) USING (anio, mes)
 """)
 def _kpi_executive(spark, d):
-    return marts.kpi_executive(_fact_orders(spark, d), _fact_lag(spark, d), _fact_capacity(spark, d))
+    return marts.kpi_executive(*marts.executive_inputs(visits(spark, d), appointments(spark, d), beds(spark, d)))
+
+
+_GRAINS = {"month": "anio, mes", "quarter": "anio, trimestre", "year": "anio"}
+
+
+@query("q_distinct_rollup", f"""
+WITH o AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS anio, CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
+                  CAST(month(o_orderdate) AS INTEGER) AS mes FROM orders)
+{" UNION ALL ".join(
+    f"SELECT '{grain}' AS grain, anio, {'mes' if grain == 'month' else 'trimestre' if grain == 'quarter' else 'NULL'} AS part, "
+    f"CAST(count(DISTINCT o_custkey) AS BIGINT) AS pacientes_unicos FROM o GROUP BY {by}" for grain, by in _GRAINS.items()
+)}
+""")
+def _distinct_rollup(spark, d):
+    """Months, quarters and years from one table of bitmaps, which was filled by three loads."""
+    when = F.col("o_orderdate")
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.year(when).alias("anio"), F.quarter(when).alias("trimestre"), F.month(when).alias("mes")
+    )
+    month, held = ["anio", "trimestre", "mes"], None
+    for load in range(3):
+        bitmaps = distinct_bitmaps(orders.filter(F.col("o_orderkey") % 3 == load), month, "o_custkey")
+        held = _staged(spark, bitmaps if held is None else merged_bitmaps(held.unionByName(bitmaps), month), "bitmaps")
+    out = None
+    for grain, by in _GRAINS.items():
+        by = by.split(", ")
+        part = F.col(by[1]) if len(by) > 1 else F.lit(None).cast("int")
+        counted = distinct_counts(held, by, "pacientes_unicos").select(F.lit(grain).alias("grain"), "anio", part.alias("part"), "pacientes_unicos")
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
 
 # ---- baselines --------------------------------------------------------------------------------------------------
