@@ -214,3 +214,22 @@ def test_a_load_that_brought_nothing_is_an_anomaly(spark):
     (found,) = anomaly.volume_anomalies(log).collect()
     assert (found.n_actual, found.n_promedio, found.pct_desviacion) == (0, 1000.0, 100.0)
     assert anomaly.volume_anomalies(log.filter("registros_procesados > 0")).isEmpty()
+
+
+@pytest.mark.parametrize("parts", [("_anio",), ("_anio", "_mes"), ("_anio", "_mes", "_dia")])
+def test_pruned_scan_reads_the_same_rows_of_fewer_partitions(spark, tmp_path, parts):
+    days = [datetime(y, m, d, h) for y in (2022, 2023, 2024) for m in (1, 6, 12) for d in (1, 15, 28) for h in (0, 23)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*days, None])], "id int, ts timestamp")
+    dated = inc.with_date_parts(rows, "ts", parts)
+    dated.write.partitionBy(*parts).parquet(f"{tmp_path}/t")
+    held = spark.read.schema(dated.schema).parquet(f"{tmp_path}/t")
+    for since in (datetime(2023, 6, 15, 12), datetime(2023, 12, 31), datetime(1900, 1, 1), datetime(2030, 1, 1)):
+        for options in ({}, {"lateness": "40 days"}, {"inclusive": True}):
+            got = inc.pruned_scan(held, "ts", since, parts, **options)
+            assert {r.id for r in got.collect()} == {r.id for r in inc.incremental_scan(held, "ts", since, **options).collect()}
+    scan = inc.pruned_scan(held, "ts", datetime(2023, 6, 15, 12), parts)
+    assert "PartitionFilters: [" in plan_of(scan) and "_anio" in plan_of(scan).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()

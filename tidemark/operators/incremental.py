@@ -48,6 +48,31 @@ def incremental_scan(
     return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
+def pruned_scan(
+    df: DataFrame, column: str, since, parts: Sequence[str] = ("_anio", "_mes", "_dia"), lateness: str | None = None,
+    inclusive: bool = False,
+) -> DataFrame:
+    """:func:`incremental_scan` of a table partitioned by the year, month and day of ``column`` (or the first of these): the same
+    rows, but partitions that lie before the bound aren't read.
+
+    The bound is worked out here, so that the scan sees plain values. Partitions without a date are read.
+    """
+    names, bound = list(parts), _typed(df, column, since)
+    if lateness:
+        bound = bound - F.expr(f"INTERVAL {lateness}")
+    moment = [F.year(bound), F.month(bound), F.dayofmonth(bound)][: len(names)]
+    first = df.sparkSession.range(0, 1, 1, 1).select(*[c.alias(n) for c, n in zip(moment, names, strict=True)]).first()
+    reached = F.lit(True)
+    # From the finest part up: a later year, or the same year and what holds for the month.
+    for name in reversed(names):
+        part, least = F.col(name), F.lit(first[name])
+        reached = (part > least) | ((part == least) & reached)
+    undated_part = F.lit(False)
+    for name in names:
+        undated_part = undated_part | F.col(name).isNull()
+    return incremental_scan(df.filter(undated_part | reached), column, since, lateness, inclusive)
+
+
 def undated(df: DataFrame, column: str) -> DataFrame:
     """Rows without a stamp, which no watermark ever reaches: they belong in quarantine."""
     return df.filter(F.col(column).isNull())

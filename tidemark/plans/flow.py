@@ -392,7 +392,7 @@ class Lakehouse:
                 self._report("errores", f"{name}-sin_fecha", quarantine(shown_rows, name, run.at, f"SIN_FECHA: {spec.watermark}"))
             rows = inc.incremental_scan(rows, spec.watermark, since, spec.lateness, inclusive=True)
             if table.exists():
-                held = inc.incremental_scan(table.read(), spec.watermark, since, spec.lateness, inclusive=True)
+                held = self._held(table, spec, since)
                 rows = inc.unseen(rows, held, spec.keys, spec.watermark, rows.columns)
         audited = inc.with_audit(rows, self.source_name, run.batch_id, run.at)
         dated = inc.with_date_parts(audited, spec.date_column, spec.date_parts)
@@ -407,6 +407,12 @@ class Lakehouse:
         self._note("watermarks", row.withColumn("ultimo_proceso", mark))
         return n
 
+    def _held(self, table: LakeTable, spec: TableSpec, since: datetime) -> DataFrame:
+        """Rows of bronze from the watermark on. If its partitions are dates of the stamp, only these are read."""
+        if spec.date_column == spec.watermark:
+            return inc.pruned_scan(table.read(), spec.watermark, since, spec.date_parts, spec.lateness, inclusive=True)
+        return inc.incremental_scan(table.read(), spec.watermark, since, spec.lateness, inclusive=True)
+
     # silver
 
     def clean(self, name: str, run: Run):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import (
-    advance_watermark, drop_audit, get_watermark, high_watermark, incremental_scan, next_watermark, unseen, with_audit,
+    advance_watermark, drop_audit, get_watermark, high_watermark, incremental_scan, next_watermark, pruned_scan, unseen, with_audit,
     with_date_parts,
 )
 from tidemark.plans.flow import Lakehouse, Mart
@@ -58,6 +58,18 @@ def _late_scan(spark, d):
     return unseen(incremental_scan(events, "ts", SINCE, lateness="3 days"), seen, ["event_id"], "ts")
 
 
+@query("q_pruned_scan", f"""
+SELECT event_id, ts, event_type FROM events WHERE ts > TIMESTAMP '{SINCE}' - INTERVAL 36 HOURS
+""")
+def _pruned_scan(spark, d):
+    """The same scan of events that are partitioned by the date of their stamp: older partitions are not read."""
+    dated = with_date_parts(table(spark, d, "events").select("event_id", "ts", "event_type"), "ts")
+    path = work_dir(spark, "dated")
+    write_partitioned(dated, path, ["_anio", "_mes", "_dia"])
+    held = spark.read.schema(dated.schema).parquet(path)
+    return drop_audit(pruned_scan(held, "ts", SINCE, lateness="36 hours"))
+
+
 @query("q_high_watermark", "SELECT max(ts) AS max_wm FROM events")
 def _high_watermark(spark, d):
     return high_watermark(table(spark, d, "events"), "ts").select(_ntz("max_wm"))
