@@ -1,7 +1,7 @@
 import hashlib
+import random
 import re
 
-
 import pytest
 
 from tidemark.llm import decontaminate as D
@@ -85,3 +85,27 @@ def test_postings_survive_packing():
     assert (D._unpacked(D._packed(order, heads), heads) == order).all()
 
 
+def near(own, q, slop):
+    """Spans of all ways to lay the phrase so that one word stands at its place, by trying each."""
+    found = set()
+    for b in range(-len(q) - slop, len(own) + slop + 1):
+        stands = lambda p, w: 0 <= p < len(own) and own[p] == w
+        near_by = all(any(stands(p, w) for p in range(b + i - slop, b + i + slop + 1)) for i, w in enumerate(q))
+        if near_by and any(stands(b + i, w) for i, w in enumerate(q)):
+            found.add((max(b, 0), min(b + len(q), len(own))))
+    return {(b, e) for b, e in found if b < e}
+
+
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_proximity_against_brute_force(documents, slop):
+    """Within a document only, and up to its edges."""
+    rng = random.Random(slop)
+    docs = [(1, "x red z"), (2, "green"), (3, "green red"), (4, "green red blue"), (5, ""), (6, None), (7, "red green"), (8, "red a b c green")]
+    docs += [(i, " ".join(rng.choice(["red", "green", "blue", "x"]) for _ in range(rng.randrange(1, 12)))) for i in range(10, 70)]
+    index = D.build_index(documents(docs).coalesce(1))
+    ids = {(r.segment, i): d for r in index.select("segment", "doc_id").collect() for i, d in enumerate(r.doc_id)}
+    for text in ("red green", "green blue red", "red red", "blue"):
+        rows = D.find(index, D.windows([("q", text)], None), slop).collect()
+        got = {ids[r.segment, r.ordinal]: {*zip(r.begins, r.ends)} for r in rows}
+        wanted = {d: near(words(t), text.split(), slop) for d, t in docs}
+        assert got == {d: spans for d, spans in wanted.items() if spans}

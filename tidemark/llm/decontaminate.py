@@ -4,7 +4,8 @@
 the term in the segment's stream of words. A document lies in one segment, however long it is. ``find`` looks phrases up:
 within each segment, it starts from a phrase's rarest term, shifts its postings by the term's place in the phrase and
 intersects them with the shifted postings of the next rarest term, until none are left or all terms have been used.
-With ``slop`` the terms may stand up to that many words from their places (proximity); without, the match is exact.
+With ``slop`` the terms beside one may stand up to that many words from their places, within the document (proximity); without, the
+match is exact.
 
 Nothing is shuffled but the hits. Postings stay where the documents were read, so a term in every document is spread over
 all segments. The phrases are broadcast in blocks of at most ``BLOCK_BYTES`` of text, one search for each block.
@@ -120,19 +121,36 @@ class _Segment:
     def postings(self, at: int) -> np.ndarray:
         return self.places[self.heads[at] : self.heads[at] + self.counts[at]]
 
-    def match(self, at: np.ndarray, slop: int) -> np.ndarray:
-        """Where a phrase begins; ``at``: the lists of its terms in order."""
+    def match(self, at: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, first word, word after the last) of a phrase's matches; ``at``: the lists of its terms in order.
+
+        A phrase matches where it may be laid so that one of its terms stands at its place, and each other one, in the same
+        document, no more than ``slop`` words from its own. Of a match that reaches beyond its document, the words in it count.
+        """
         order = np.argsort(self.counts[at], kind="stable")
-        begin = self.postings(at[order[0]]) - order[0]
-        for i in order[1:]:
+        place = self.postings(at[order[0]])
+        doc = np.searchsorted(self.begins, place, "right") - 1
+        begin = place - order[0]
+        if slop:
+            laid = begin[:, None] + np.arange(-slop, slop + 1)
+            doc, begin = np.unique(np.stack([np.repeat(doc, laid.shape[1]), laid.ravel()]), axis=1)
+        exact = np.full(len(begin), not slop)
+        for i in order if slop else order[1:]:
             if not len(begin):
                 break
-            have = self.postings(at[i])
-            low = np.searchsorted(have, begin + i - slop)
-            begin = begin[(low < len(have)) & (have[np.minimum(low, len(have) - 1)] <= begin + i + slop)]
-        doc = np.searchsorted(self.begins, begin, "right") - 1
-        inside = (begin >= 0) & (begin + len(at) <= self.begins[np.minimum(doc + 1, len(self.begins) - 1)])
-        return begin[inside]
+            have, want = self.postings(at[i]), begin + i
+            low = np.searchsorted(have, np.maximum(want - slop, self.begins[doc]))
+            nearest = have[np.minimum(low, len(have) - 1)]
+            found = (low < len(have)) & (nearest <= want + slop) & (nearest < self.begins[doc + 1])
+            if slop:
+                there = np.minimum(np.searchsorted(have, want), len(have) - 1)
+                exact |= (have[there] == want) & (want >= self.begins[doc]) & (want < self.begins[doc + 1])
+            begin, doc, exact = begin[found], doc[found], exact[found]
+        begin, doc = begin[exact], doc[exact]
+        first, after = self.begins[doc], self.begins[doc + 1]
+        low, high = np.maximum(begin, first) - first, np.minimum(begin + len(at), after) - first
+        inside = low < high
+        return doc[inside], low[inside], high[inside]
 
 
 def _search(phrases, slop: int):
@@ -153,13 +171,11 @@ def _search(phrases, slop: int):
                     own = at[slot]
                     if own.min() < 0:
                         continue
-                    begin = held.match(own, slop)
-                    doc = np.searchsorted(held.begins, begin, "right") - 1
-                    for d, b in zip(doc.tolist(), (begin - held.begins[doc]).tolist(), strict=True):
+                    for d, b, e in zip(*(x.tolist() for x in held.match(own, slop)), strict=True):
                         items, begins, ends = hits.setdefault(d, (set(), [], []))
                         items.add(item)
                         begins.append(b)
-                        ends.append(b + len(slot))
+                        ends.append(e)
                 found = [
                     {"segment": row["segment"], "ordinal": d, "items": sorted(x for x in i if x is not None), "begins": b, "ends": e}
                     for d, (i, b, e) in sorted(hits.items())
