@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tidemark.llm.labelled import sample
 from tidemark.llm.lm_score import BACK_OFF, FLOOR, score, targets
 from tidemark.llm.quality import posteriors, quality
 from tidemark.llm.toxicity import toxicity
@@ -174,3 +175,14 @@ def test_no_target_no_difference(documents, frame):
     rows = score(targets(documents([(1, "a b c"), (2, "d")]), frame([], LABELS))).collect()
     assert {r.difference for r in rows} == {0.0}
     assert score(targets(documents([]), frame([], LABELS))).collect() == []
+
+
+def test_the_bound_of_a_sample_is_on_documents(documents, frame):
+    labels = frame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    docs = documents([(i % 20 if i < 60 else 1, f"text {i}") for i in range(6000)])
+    found = sample(docs, labels, "toxic", 500).collect()
+    assert 350 <= len(found) <= 650 and {r.y for r in found} == {0, 1}
+    # All of them where they are fewer; two labels of a document count once.
+    twice = labels.unionByName(labels)
+    assert sample(docs, twice, "toxic", 10_000).count() == 6000
+    assert sample(documents([]), labels, "toxic").count() == 0 and sample(docs, labels.limit(0), "toxic").count() == 0
