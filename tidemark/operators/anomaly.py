@@ -37,6 +37,39 @@ def rolling_baseline(
     return out.withColumn(deviation, F.when(usable, off)).drop("_periods")
 
 
+def rolling_update(
+    series: DataFrame,
+    touched: DataFrame,
+    value: str,
+    groups: Sequence[str],
+    order: Sequence[str],
+    rows: int = 8,
+    min_rows: int = 1,
+    mean: str = "promedio_8_semanas",
+    deviation: str = "pct_desviacion",
+) -> DataFrame:
+    """:func:`rolling_baseline` for the periods that a change can reach: those ``touched``, and the ``rows`` after each.
+
+    ``series`` is the rollup as it is now, one row per group and period, at least of the groups in ``touched``; its value is never
+    null. ``touched`` holds the groups and periods that came, went or changed. A period that went is returned with a null value;
+    it shifts the baselines of those after it as well. Both sides meet in one shuffle by group, null matching null.
+    """
+    keys = [*groups, *order]
+    marks = touched.select(*keys).withColumns({value: F.lit(None).cast(series.schema[value].dataType), "_mark": F.lit(1)})
+    both = series.select(*keys, value).withColumn("_mark", F.lit(0)).unionByName(marks).repartition(*groups)
+    both = both.groupBy(*keys).agg(F.max(value).alias(value), F.max("_mark").alias("_mark"))
+    # A period's place among those there are; one that went has the place of the last before it.
+    so_far = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("_at", F.count(value).over(so_far))
+    placed = placed.withColumn("_last", F.max(F.when(F.col("_mark") == 1, F.col("_at"))).over(so_far))
+    reached = (F.col("_mark") == 1) | (F.col("_at") - F.col("_last") <= rows)
+    there = placed.withColumn("_reached", F.coalesce(reached, F.lit(False)))
+    now = there.filter(F.col(value).isNotNull())
+    compared = rolling_baseline(now, value, groups, order, rows, min_rows, mean, deviation).filter("_reached")
+    gone = there.filter(F.col(value).isNull())
+    return compared.select(*keys, value, mean, deviation).unionByName(gone.select(*keys, value), allowMissingColumns=True)
+
+
 def fill_missing_weeks(df: DataFrame, groups: Sequence[str], week: str, value: str) -> DataFrame:
     """Add a zero row for each week between a group's first and last that has none; ``week`` is a date (Monday)."""
     span = df.groupBy(*groups).agg(F.min(week).alias("_first"), F.max(week).alias("_last"))

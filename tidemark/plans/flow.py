@@ -6,6 +6,7 @@ got. A step that dies is repeated as a whole and ends in the same state.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import incremental as inc
-from tidemark.operators.anomaly import anomaly_record, fail_on_anomalies, volume_anomalies
+from tidemark.operators.anomaly import anomaly_record, fail_on_anomalies, rolling_baseline, rolling_update, volume_anomalies
 from tidemark.operators.cleaning import (
     counted_dedup, duplicate_rejects, fill_nulls, first_reason, mask_null, null_flags, null_rejects, quarantine,
 )
@@ -36,6 +37,8 @@ GOLD_STAMPS = ("_gold_ts", "_gold_lote")
 COPY = ("_copia_motivo", "_copia")
 COPIES = "_copias"
 OLDER = "VERSION_ANTERIOR"
+#: Begins the tag of a version that holds the changes of other tables up to the versions that follow.
+APPLIED = "applied "
 ERROR_SCHEMA = "tabla_origen string, motivo_error string, ts_error timestamp, payload string"
 RULE_SCHEMA = (
     "tabla string, prueba string, aprobada boolean, n_fallos bigint, pct_fallo double, critica boolean, estado string, "
@@ -84,6 +87,8 @@ class Kpi:
     """Columns of the grain; by default those of the rollup, or those that are known for the name."""
     rollup: Rollup | None = None
     """Its parts are kept in the table, in columns that begin with ``_``."""
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    """With ``rollup``: adds columns of the grain to rows of the mart or of its feed."""
 
     @property
     def keys(self) -> list[str]:
@@ -91,7 +96,31 @@ class Kpi:
 
     def rows(self, *facts: DataFrame) -> DataFrame:
         """The table from whole groups of facts."""
-        return self.rollup.with_parts(self.rollup.aggregate(*facts)) if self.rollup else self.build(*facts)
+        return self.rollup.with_parts(self.rollup.aggregate(*map(self.prepare, facts))) if self.rollup else self.build(*facts)
+
+
+@dataclass(frozen=True)
+class Watch:
+    """Alerts on the series of a rollup that is kept as a table: each period against the mean of those before it.
+
+    Only periods a change can reach are compared again, and only rows of their series in the rollup are read.
+    """
+
+    name: str
+    source: str
+    """The KPI that rolls up; its rows are groups and periods."""
+    groups: Sequence[str]
+    order: Sequence[str]
+    value: str
+    build: Callable[[DataFrame, Run], DataFrame]
+    """From periods with their baselines to the alerts among them."""
+    weeks: int = 8
+    min_weeks: int = 1
+    partition_by: Sequence[str] = ()
+
+    @property
+    def keys(self) -> list[str]:
+        return [*self.order, *self.groups]
 
 
 HOSPITAL_MARTS = [
@@ -127,17 +156,17 @@ HOSPITAL_MARTS = [
         lambda t, run: marts.fact_wait(t["AGE_CITAS"], t["RED_SEDES"]),
         "AGE_CITAS", "id_cita", dims={"RED_SEDES": ("id_sede", "id_sede")},
     ),
-    Mart(
-        "fact_alertas_epidemiologicas", ["anio", "semana", "ciudad", "codigo_cie10"], ["anio"],
-        lambda t, run: marts.outbreak_alerts(t["HCE_ENCUENTROS"], t["RED_SEDES"], run.at, run.batch_id),
-        "HCE_ENCUENTROS", dims={"RED_SEDES": ("id_sede", "id_sede")}, nullable_keys=True,
-    ),
 ]
 
 HOSPITAL_KPIS = [
     Kpi("kpis_ocupacion_camas", ["fact_ocupacion_camas"], rollup=marts.CAPACITY),
     Kpi("kpis_tiempos_espera", ["fact_tiempos_espera"], rollup=marts.WAIT),
     Kpi("kpis_volumen_consultas", ["fact_consultas"], rollup=marts.VOLUME),
+    Kpi("volumenes_semanales", ["fact_consultas"], partition_by=("anio",), rollup=marts.WEEKLY, prepare=marts.by_week),
+    Watch(
+        "fact_alertas_epidemiologicas", "volumenes_semanales", marts.SERIES, marts.WEEK, "volumen_actual",
+        lambda compared, run: marts.alerts_of(compared, run.at, run.batch_id), weeks=marts.OUTBREAK_WEEKS, partition_by=("anio",),
+    ),
     Kpi("kpis_alertas_epidemiologicas", ["fact_alertas_epidemiologicas"], partition_by=("anio",), rollup=marts.ALERTS),
     Kpi(
         "kpis_resumen_ejecutivo", ["fact_consultas", "fact_tiempos_espera", "fact_ocupacion_camas"],
@@ -241,7 +270,7 @@ class Lakehouse:
         root: str,
         specs: Sequence[TableSpec],
         mart_specs: Sequence[Mart] = (),
-        kpis: Sequence[Kpi] = (),
+        kpis: Sequence[Kpi | Watch] = (),
         source_name: str = "source",
         watermark_mode: str = "exact",
     ):
@@ -543,16 +572,20 @@ class Lakehouse:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _publish(self, table: LakeTable, rows: DataFrame, run: Run, scope: DataFrame | None = None) -> int:
+    def _publish(
+        self, table: LakeTable, rows: DataFrame, run: Run, scope: DataFrame | None = None, tag: str | None = None
+    ) -> int:
         """Merge rows into a published table; keys of ``scope`` that have no row any more are removed from it."""
         staged = self._staged(rows, table.path.rsplit("/", 1)[-1])
         stamps = {"_gold_ts": F.lit(run.at).cast("timestamp"), "_gold_lote": F.lit(run.batch_id)}
-        table.upsert(staged.withColumns(stamps), run.at, scope=scope)
+        table.upsert(staged.withColumns(stamps), run.at, tag=tag, scope=scope)
         return staged.count()
 
     def build_kpi(self, name: str, run: Run):
         """Recompute the groups that had or have a changed row."""
-        return self._logged("gold", name, run, lambda: self._build_kpi(self.kpis[name], run))
+        kpi = self.kpis[name]
+        step = self._build_watch if isinstance(kpi, Watch) else self._build_kpi
+        return self._logged("gold", name, run, lambda: step(kpi, run))
 
     def _build_kpi(self, kpi: Kpi, run: Run) -> int | None:
         consumer = f"gold.{kpi.name}"
@@ -561,6 +594,11 @@ class Lakehouse:
         if all(now[n] <= done[n] for n in tables):
             return None
         published = self._table("gold", kpi.name)
+        # What a run that died had published already, though it didn't come to note it: deltas must not be added twice.
+        done = {n: max(v, self._applied(published).get(n, -1)) for n, v in done.items()}
+        if all(now[n] <= done[n] for n in tables):
+            self._finish(consumer, now, run)
+            return 0
         if min(done.values()) >= 0 and kpi.rollup is not None:
             rows, scope = self._rolled_on(kpi, published, tables[kpi.sources[0]], done[kpi.sources[0]])
         else:
@@ -572,6 +610,34 @@ class Lakehouse:
                 facts = [t.matching(groups, kpi.keys) for t in tables.values()]
                 scope = groups.select(digest(kpi.keys).alias("_grupo"))
             rows = kpi.rows(*facts).withColumn("_grupo", digest(kpi.keys))
+        n = self._publish(published, rows, run, scope, APPLIED + json.dumps(now))
+        self._finish(consumer, now, run)
+        return n
+
+    @staticmethod
+    def _applied(table: LakeTable) -> dict[str, int]:
+        """table -> version up to which its changes are in the newest version of ``table``."""
+        tag = table.tag() or ""
+        return json.loads(tag.removeprefix(APPLIED)) if tag.startswith(APPLIED) else {}
+
+    def _build_watch(self, watch: Watch, run: Run) -> int | None:
+        consumer = f"gold.{watch.name}"
+        source = self._table("gold", watch.source)
+        now, done = self._pending(consumer, {watch.source: source})
+        published = self._table("gold", watch.name)
+        since = done[watch.source]
+        if now[watch.source] <= since and published.exists():
+            return None
+        how = (watch.value, watch.groups, watch.order, watch.weeks, watch.min_weeks)
+        if since < 0:
+            compared = rolling_baseline(source.read(), *how)
+            scope = published.read().select("_grupo") if published.exists() else None
+        else:
+            touched = self._staged(source.feed(since).select(*watch.keys).distinct(), "touched")
+            series = source.matching(touched.select(*watch.groups).distinct(), watch.groups)
+            compared = self._staged(rolling_update(series, touched, *how), "compared")
+            scope = compared.select(digest(watch.keys).alias("_grupo"))
+        rows = watch.build(compared, run).withColumn("_grupo", digest(watch.keys))
         n = self._publish(published, rows, run, scope)
         self._finish(consumer, now, run)
         return n
@@ -582,14 +648,15 @@ class Lakehouse:
         Reads the changes and these groups' rows of the KPI table. Facts are only read for groups whose maximum has left.
         """
         rollup = kpi.rollup
-        deltas = self._staged(rollup.deltas(fact.feed(since)).withColumn("_grupo", digest(kpi.keys)), "deltas")
+        deltas = self._staged(rollup.deltas(kpi.prepare(fact.feed(since))).withColumn("_grupo", digest(kpi.keys)), "deltas")
         touched = deltas.select("_grupo")
         held = published.matching(touched, ["_grupo"])
         merged = self._staged(rollup.merged(held, deltas, ["_grupo"]), "merged")
         rows = rollup.with_parts(merged.filter(~F.col(AGAIN))).withColumn("_grupo", digest(kpi.keys))
         again = merged.filter(AGAIN).select(*kpi.keys)
         if rollup.maxima and not again.isEmpty():
-            rows = rows.unionByName(kpi.rows(fact.matching(again, kpi.keys)).withColumn("_grupo", digest(kpi.keys)))
+            whole = rollup.aggregate(matching(kpi.prepare(fact.read()), again, kpi.keys))
+            rows = rows.unionByName(rollup.with_parts(whole).withColumn("_grupo", digest(kpi.keys)))
         return rows, touched
 
     # whole run

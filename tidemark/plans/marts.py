@@ -22,6 +22,8 @@ WAIT_BANDS = [(20, "Optimo"), (45, "Aceptable"), (120, "Alto")]
 WAIT_TARGET = 45
 OUTBREAK_THRESHOLD = 40.0
 OUTBREAK_WEEKS = 8
+SERIES = ["ciudad", "codigo_cie10"]
+WEEK = ["anio", "semana"]
 
 # Column order of the published tables.
 DIM_PATIENTS = [
@@ -201,9 +203,12 @@ def outbreak_alerts(
     """Weeks in which a city's visits for a code exceed the mean of the ``weeks`` weeks before by more than
     ``threshold`` percent."""
     volumes = weekly_volumes(visits, sites, calendar_year)
-    compared = rolling_baseline(
-        volumes, "volumen_actual", ["ciudad", "codigo_cie10"], ["anio", "semana"], weeks, min_weeks
-    )
+    compared = rolling_baseline(volumes, "volumen_actual", SERIES, WEEK, weeks, min_weeks)
+    return alerts_of(compared, detected_at, batch_id, threshold)
+
+
+def alerts_of(compared: DataFrame, detected_at=None, batch_id: str | None = None, threshold: float = OUTBREAK_THRESHOLD) -> DataFrame:
+    """The alerts among weeks that were compared with their baselines."""
     return compared.filter(F.col("pct_desviacion") > threshold).select(
         "anio", "semana", "ciudad", "codigo_cie10", "volumen_actual",
         F.round("promedio_8_semanas", 2).alias("promedio_historico"),
@@ -214,6 +219,12 @@ def outbreak_alerts(
     )
 
 
+def by_week(visits: DataFrame) -> DataFrame:
+    """Visits of the fact, or of its feed, with the columns that :data:`WEEKLY` counts by."""
+    year, week = iso_week_parts("fec_registro")
+    return visits.withColumns({"anio": year, "semana": week, "ciudad": F.col("nom_ciudad"), "codigo_cie10": F.col("diag_cie10_3char")})
+
+
 # ---- KPI tables -------------------------------------------------------------------------------------------------
 
 # The grain of each KPI table.
@@ -277,6 +288,9 @@ VOLUME = Rollup(
         rate("n_glosas_riesgo", "consultas").alias("pct_glosa_riesgo"), F.lit("VOLUMEN_CONSULTAS").alias("kpi_tipo"),
     ],
 )
+WEEKLY = Rollup(
+    [*WEEK, *SERIES], {}, {"visitas": "id_encuentro"}, {}, lambda: [_as("_c_visitas", "volumen_actual")],
+)
 ALERTS = Rollup(
     KPI_KEYS["kpis_alertas_epidemiologicas"],
     {"historico": units("promedio_historico", 2)}, {"semanas": "semana"}, {"pct": "pct_desviacion", "volumen": "volumen_actual"},

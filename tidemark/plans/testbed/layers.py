@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import init_watermarks
 from tidemark.operators.rollup import AGAIN, Rollup
-from tidemark.plans.flow import Kpi, Lakehouse, Mart
+from tidemark.plans import marts
+from tidemark.plans.flow import Kpi, Lakehouse, Mart, Watch
 from tidemark.plans.testbed.base import STAMP, built, query, table
 from tidemark.session import work_dir
 from tidemark.sources.files import nullable, read_files, stamp_modified, stream_files, write_landing
@@ -202,6 +203,83 @@ def _missing_parent(spark, d):
     return lake.errors().select(F.get_json_object("payload", "$.o_orderkey").cast("bigint").alias("k"), "motivo_error")
 
 
+# ---- alerts kept up to date ---------------------------------------------------------------------------------------------
+
+SEEN = TableSpec(
+    "visits", columns("o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string"), keys=["o_orderkey"],
+    date_column="o_orderdate", date_parts=("_anio",), watermark="seen",
+)
+PLACED = Mart(
+    "placed", ["id_encuentro"], [],
+    lambda t, run: t["visits"].select(
+        F.col("o_orderkey").alias("o_orderkey"), F.col("o_orderkey").alias("id_encuentro"), "o_custkey",
+        F.col("o_orderdate").alias("fec_registro"), F.col("o_orderpriority").alias("diag_cie10_3char"),
+    ).join(t["customer"].select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nom_ciudad")), "o_custkey", "left"),
+    "visits", "o_orderkey", dims={"customer": ("o_custkey", "c_custkey")},
+)
+WEEKS = Kpi("weeks", ["placed"], partition_by=("anio",), rollup=marts.WEEKLY, prepare=marts.by_week)
+OUTBREAKS = Watch(
+    "outbreaks", "weeks", marts.SERIES, marts.WEEK, "volumen_actual", lambda compared, run: marts.alerts_of(compared, run.at, run.batch_id),
+    partition_by=("anio",),
+)
+
+
+def _alerts_sql(state: str, day: str, city: str) -> str:
+    return f"""
+{state}_weekly AS (
+  SELECT CAST(isoyear({day}) AS INTEGER) AS anio, CAST(week({day}) AS INTEGER) AS semana, {city} AS ciudad,
+         o_orderpriority AS codigo_cie10, CAST(count(*) AS BIGINT) AS volumen_actual
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+{state}_compared AS (
+  SELECT *, avg(volumen_actual) OVER (PARTITION BY ciudad, codigo_cie10 ORDER BY anio, semana
+                                      ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS m FROM {state}_weekly),
+{state} AS (
+  SELECT anio, semana, ciudad, codigo_cie10, volumen_actual, round(m, 2) AS promedio_historico,
+         round((volumen_actual - m) / m * 100, 2) AS pct_desviacion
+  FROM {state}_compared WHERE m > 0 AND round((volumen_actual - m) / m * 100, 2) > 40)"""
+
+
+MOVED_SQL = "CASE WHEN o_orderkey % 64 = 5 THEN o_orderdate + INTERVAL 7 DAY ELSE o_orderdate END"
+TWO_RUN_ALERTS_SQL = f"""
+WITH {_alerts_sql("early", "o_orderdate", "c_nationkey")},
+{_alerts_sql("late", MOVED_SQL, "CASE WHEN c_nationkey = 3 AND c_custkey % 5 = 0 THEN 4 ELSE c_nationkey END")}"""
+
+
+def two_alert_runs(spark, d) -> Lakehouse:
+    """Run 2 moves some visits to the week after and some patients to another city: weeks lose all visits, alerts come, go and change."""
+    return built(spark, d, "two alert runs", _two_alert_runs)
+
+
+def _two_alert_runs(spark, d) -> Lakehouse:
+    lake = Lakehouse(spark, work_dir(spark, "alerts"), [CUSTOMERS, SEEN], [PLACED], [WEEKS, OUTBREAKS])
+    customer = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    lake.run({"customer": _seen(customer, 1), "visits": _seen(orders, 1)}, DAYS[0])
+    moved = customer.filter("c_nationkey = 3 AND c_custkey % 5 = 0").withColumn("c_nationkey", F.lit(4))
+    later = orders.filter("o_orderkey % 64 = 5").withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 7 DAYS"))
+    lake.run({"customer": _seen(moved, 2), "visits": _seen(later, 2)}, DAYS[1])
+    return lake
+
+
+@query("q_two_run_alerts", f"""{TWO_RUN_ALERTS_SQL}
+SELECT late.*, CASE WHEN early.anio IS NULL THEN 2 ELSE 1 END AS run FROM late LEFT JOIN early USING (
+  anio, semana, ciudad, codigo_cie10, volumen_actual, promedio_historico, pct_desviacion)
+""")
+def _two_run_alerts(spark, d):
+    """Alerts that no change has reached keep the run that found them."""
+    return two_alert_runs(spark, d).gold("outbreaks").read().select(
+        *marts.WEEK, *marts.SERIES, "volumen_actual", "promedio_historico", "pct_desviacion", F.dayofmonth("fec_alerta").alias("run")
+    )
+
+
+@query("q_two_run_alerts_cancelled", f"""{TWO_RUN_ALERTS_SQL}
+SELECT anio, semana, ciudad, codigo_cie10, volumen_actual FROM early ANTI JOIN late USING (anio, semana, ciudad, codigo_cie10)
+""")
+def _two_run_alerts_cancelled(spark, d):
+    feed = two_alert_runs(spark, d).gold("outbreaks").feed(0).filter("_change_type = 'delete'")
+    return feed.select(*marts.WEEK, *marts.SERIES, "volumen_actual")
+
+
 # ---- stamps, control rows, streams, loads -------------------------------------------------------------------------------
 
 @query("q_stamp_modified", f"SELECT *, TIMESTAMP '{STAMP}' AS fec_modificacion FROM customer")

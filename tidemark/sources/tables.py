@@ -102,6 +102,11 @@ class LakeTable:
     def has_tag(self, tag: str) -> bool:
         return not self.versions().filter((F.col("tag") == tag) & (F.col("state") == "done")).isEmpty()
 
+    def tag(self) -> str | None:
+        """The newest version's tag."""
+        newest = self._newest()
+        return newest["tag"] if newest else None
+
     def exists(self) -> bool:
         return self._newest() is not None
 
