@@ -15,6 +15,7 @@ from tidemark.session import work_dir
 from tidemark.sources.files import nullable, read_files, stamp_modified, stream_files, write_landing
 from tidemark.spec import ForeignKey, TableSpec, columns
 from tidemark.streaming.ingest import load_all, stream_to_parquet
+from tidemark.streaming.late import load_on_time, on_time, too_late
 
 DAYS = [datetime(2024, 1, d) for d in (1, 2, 3)]
 
@@ -315,6 +316,47 @@ def _stream_periodic(spark, d):
     return spark.read.schema(schema).parquet(path)
 
 
+LATE_SQL = """
+WITH first AS (SELECT max(ts) - INTERVAL 2 DAY AS mark FROM events WHERE event_id % 10 <> 0 AND event_id % 3 <> 0),
+marked AS (SELECT *, event_id % 10 = 0 OR event_id % 3 = 0 AS second, ts < (SELECT mark FROM first) AS old FROM events)
+"""
+
+
+def late_stream(spark, d) -> tuple:
+    """Two landings of events, each with copies. What the second brings from more than two days before the first's end is too late;
+    copies of what the first brought come again with it."""
+    return built(spark, d, "late stream", _late_stream)
+
+
+def _late_stream(spark, d) -> tuple:
+    landing, root = work_dir(spark, "landing"), work_dir(spark, "late")
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    second = F.expr("event_id % 10 = 0 OR event_id % 3 = 0")
+    for rows in (events.filter(~second), events.filter(second).unionByName(events.filter(~second & F.expr("event_id % 7 = 0")))):
+        # A restart: each call goes on from the checkpoints of the one before.
+        twice = rows.unionByName(rows.filter("event_id % 5 = 1"))
+        twice.write.mode("append").parquet(landing)
+        stream = stream_files(spark, landing, "parquet", nullable(events.schema))
+        load_on_time(stream, ["event_id"], "ts", "2 days", root)
+    return root, events.schema
+
+
+@query("q_stream_late", LATE_SQL + "SELECT event_id, ts, value FROM marked WHERE NOT (second AND old)")
+def _stream_late(spark, d):
+    root, schema = late_stream(spark, d)
+    return on_time(spark, schema, root).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
+@query("q_stream_too_late", LATE_SQL + """
+SELECT event_id, 'FUERA_DE_MARCA' AS motivo_error, 1 + CAST(event_id % 5 = 1 AS INTEGER) AS n FROM marked
+WHERE old AND (second OR event_id % 7 = 0)
+""")
+def _stream_too_late(spark, d):
+    root, schema = late_stream(spark, d)
+    rows = too_late(spark, schema, root).groupBy("event_id", "motivo_error").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return rows
+
+
 @query("q_load_all", """
 SELECT 'customer' AS tabla, 'OK' AS estado, CAST(count(*) AS BIGINT) AS n FROM customer
 UNION ALL SELECT 'broken', 'ERROR', 0 UNION ALL SELECT 'orders', 'OK', count(*) FROM orders
