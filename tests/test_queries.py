@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 from oracle import connect, difference
 
@@ -31,6 +32,17 @@ def test_same_rows_as_sql(spark, testdata, con, name):
     assert difference(df, con, entry_points.oracle_sql()[name]) is None
 
 
+def test_age_band_of_half_days_is_that_of_the_sql(spark, tmp_path):
+    """364.5 and 365.5 days: SQL rounds halves to even numbers, and a day more is a year more."""
+    rows = "(VALUES (1, 7290.0::DOUBLE), (2, 7310.0), (3, 7300.0)) t(o_orderkey, o_totalprice)"
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE orders AS SELECT o_orderkey::BIGINT AS o_orderkey, o_totalprice, TIMESTAMP '2001-12-31' AS o_orderdate FROM {rows}")
+    con.execute(f"COPY orders TO '{tmp_path}/orders.parquet'")
+    df = QUERIES["q_age_band"](spark, str(tmp_path))
+    assert difference(df, con, ORACLES["q_age_band"]) is None
+    assert {r.o_orderkey: r.age for r in df.collect()} == {1: 0, 2: 1, 3: 1}
+
+
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
     assert set(QUERIES) <= set(entry_points.queries())

@@ -28,7 +28,7 @@ FROM (SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE) - CAST(o_tot
                                    DATE '2002-01-01') AS d FROM orders)
 """)
 def _age_band(spark, d):
-    born = F.date_sub(F.col("o_orderdate").cast("date"), F.round(F.col("o_totalprice") / 20).cast("int"))
+    born = F.date_sub(F.col("o_orderdate").cast("date"), F.rint(F.col("o_totalprice") / 20).cast("int"))
     age = age_years(born, AS_OF)
     return table(spark, d, "orders").select(
         "o_orderkey", age.alias("age"), band(age, AGE_BANDS, "+65", floor=0, unknown="Desconocido").alias("age_band")
