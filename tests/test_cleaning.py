@@ -44,6 +44,27 @@ def test_dedup_and_rejects_split_the_rows(spark):
     assert Counter(kept) + Counter(gone) == Counter(rows)
 
 
+def test_rejects_of_crowded_keys_and_others_are_the_same(spark):
+    rows = skewed() + [(-1, 1, "x"), (-1, 1, "x"), (-1, 2, None), (-1, 2, None)]
+    df = spark.createDataFrame(rows, "k int, ts int, v string").repartition(5)
+    found = [Counter(map(tuple, c.duplicate_rejects(df, ["k"], ["ts"], ("same", "other"), crowd).collect())) for crowd in (1, 3, 10**6)]
+    assert found[0] == found[1] == found[2] and found[0][-1, 2, None, "same"] == 1 and found[0][-1, 1, "x", "other"] == 2
+    assert Counter(r[:3] for r in found[0].elements()) + Counter(map(tuple, c.dedup(df, ["k"], ["ts"]).collect())) == Counter(rows)
+
+
+def test_rejects_are_shuffled_once(spark):
+    """Before, rows went through three shuffles and a join."""
+    df = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    plan = c.duplicate_rejects(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_equal_zeros_of_unlike_sign_lose_one_row_only(spark):
+    """Before, each sign had a best row of its own, and none was rejected."""
+    df = spark.createDataFrame([(1, -0.0), (1, 0.0)], "k int, x double")
+    assert c.duplicate_rejects(df, ["k"]).count() == 1
+
+
 def test_dedup_does_not_depend_on_row_order(spark):
     rows = skewed()
     random.Random(3).shuffle(rows)

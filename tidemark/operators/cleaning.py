@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import mark_known, matching
 
 ERROR_COLUMNS = ("tabla_origen", "motivo_error", "ts_error", "payload")
+#: Rows of one key that a task can rank by itself.
+CROWD = 1_000_000
 
 
 # ---- duplicates -------------------------------------------------------------------------------------------------
@@ -46,9 +48,15 @@ def counted_dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     Each task first counts and compares its own rows of a key, so a key that holds a large part of them is one row per task
     in the shuffle. The counts add up to the rows of ``df``, so nobody has to count these apart.
     """
-    best = F.max_by(F.struct(*df.columns), _ranked(df, keys, order_by))
-    grouped = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(best.alias("_row"), F.count(F.lit(1)).alias(count))
-    return grouped.select("_row.*", count)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    best = _ranked(df, keys, order_by)
+    grouped = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    if any("map<" in kind for kind in kinds.values()) or any("double" in kinds[k] or "float" in kinds[k] for k in keys):
+        grouped = grouped.agg(F.max_by(F.struct(*df.columns), best).alias("_row"), F.count(F.lit(1)).alias(count))
+        return grouped.select("_row.*", count)
+    # What a row is compared by is all of it but for the key: it goes through the shuffle once.
+    grouped = grouped.agg(F.max(best).alias("_row"), F.count(F.lit(1)).alias(count))
+    return grouped.select(*[F.col(f"_k_{c}").alias(c) if c in keys else F.col(f"_row.{c}") for c in df.columns], count)
 
 
 def expand_copies(df: DataFrame, count: str, chunk: int = 100_000) -> DataFrame:
@@ -63,14 +71,44 @@ def expand_copies(df: DataFrame, count: str, chunk: int = 100_000) -> DataFrame:
 
 
 def duplicate_rejects(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), reasons: tuple[str, str] | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), reasons: tuple[str, str] | None = None, crowd: int = CROWD
 ) -> DataFrame:
     """All rows :func:`dedup` leaves out, as a multiset: ``df`` minus its survivors.
 
+    Rows are shuffled once, by key, and ranked there. Keys of more than ``crowd`` rows would be too much for one task: a first
+    look counts the rows of each key (by a hash, in each task and then together), and if there are such keys their rows
+    are counted and compared before they are shuffled. With ``reasons`` the column ``motivo_error`` says whether a row is a copy of
+    its key's best row (the first) or another version of its key (the second).
+    """
+    place = F.xxhash64(*keys).alias("_place")
+    crowded = df.groupBy(place).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > crowd).select("_place")
+    # No more than one for each ``crowd`` rows.
+    many = [r[0] for r in crowded.collect()]
+    if not many:
+        return _ranked_rejects(df, keys, order_by, reasons)
+    known = df.sparkSession.createDataFrame([(m,) for m in many], "_place bigint")
+    placed = df.withColumn("_place", place)
+    few = placed.join(known, "_place", "left_anti").select(*df.columns)
+    rest = placed.join(known, "_place", "left_semi").select(*df.columns)
+    return _ranked_rejects(few, keys, order_by, reasons).unionByName(_counted_rejects(rest, keys, order_by, reasons))
+
+
+def _ranked_rejects(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], reasons: tuple[str, str] | None) -> DataFrame:
+    """All rows but the first of each key, in the order of :func:`dedup`."""
+    by_key = Window.partitionBy(*keys).orderBy(*(_newest_first(df, keys, order_by) or [F.lit(1)]))
+    ranked = df.withColumns({"_at": F.row_number().over(by_key)} | ({"_rank": F.rank().over(by_key)} if reasons else {}))
+    gone = ranked.filter(F.col("_at") > 1)
+    if reasons:
+        gone = gone.withColumn("motivo_error", F.when(F.col("_rank") == 1, F.lit(reasons[0])).otherwise(F.lit(reasons[1])))
+    return gone.drop("_at", "_rank")
+
+
+def _counted_rejects(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], reasons: tuple[str, str] | None) -> DataFrame:
+    """The same for keys of very many rows.
+
     Equal rows are first counted, in each task and then together, and each key's best row is a maximum that is taken the
     same way; only keys that repeat go through the join. One copy of the best row stays out, what is left is repeated at
-    the end. With ``reasons`` the column ``motivo_error`` says whether a row is such a copy (the first) or another
-    version of its key (the second).
+    the end.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     # Maps can't be grouped by, their text can; and zeros lose their sign when they are, unless it is told beside them.
