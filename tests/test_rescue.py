@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 
 from tidemark.sources import rescue
+from tidemark.sources.files import conform_schema
 from tidemark.sources.tables import LakeTable
 from tidemark.spec import TableSpec, columns
 from tidemark.streaming.ingest import load_to_table
@@ -121,3 +122,17 @@ def test_a_batch_whose_errors_were_not_written_says_them_again(spark, tmp_path,
     monkeypatch.setattr(ingest, "quarantine", real)
     load()
     assert table.read().count() == 5 and spark.read.parquet(errors).count() == 10
+
+
+def test_values_with_too_many_digits_throw_no_error_for_each_row(spark):
+    """A double is only cast to a decimal that has room for it; before, each failed cast threw and caught an error."""
+    texts = ["9999.99", "9999.994", "9999.995", "10000", "-9999.99", "-10000", "NaN", "Infinity", "1e300", "x", None]
+    out = conform_schema(spark.createDataFrame([(t,) for t in texts], "v string"), columns("v double"), {"v": (6, 2)})
+    assert [None if r.v is None else str(r.v) for r in out.collect()] == ["9999.99", "9999.99", None, None, "-9999.99", *[None] * 6]
+    assert "CASE WHEN" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_collecting_rejected_values_stays_in_generated_code(spark):
+    rows = rescue.conform_rescued(spark.createDataFrame([("1", "x")], "a string, b string"), columns("a integer, b integer"))
+    assert rows.first()[rescue.REJECTED] == [("b", "x", "int")]
+    assert "lambda" not in rows._jdf.queryExecution().executedPlan().toString()

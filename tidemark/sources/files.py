@@ -63,8 +63,12 @@ def conform_schema(
     }
     for name, (precision, scale) in (decimals or {}).items():
         if name in df.columns:
-            value = casts.get(name, F.col(name))
-            casts[name] = F.round(value, scale).try_cast(T.DecimalType(precision, scale))
+            kind = schema[name].dataType if name in casts else df.schema[name].dataType
+            value = F.round(casts.get(name, F.col(name)), scale)
+            if isinstance(kind, T.DoubleType | T.FloatType):
+                # A cast that fails throws and catches an error for each row; so what has too many digits isn't cast.
+                value = F.when(F.abs(value) < 10.0 ** (precision - scale), value)
+            casts[name] = value.try_cast(T.DecimalType(precision, scale))
     return df.withColumns(casts) if casts else df
 
 

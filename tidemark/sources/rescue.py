@@ -84,14 +84,16 @@ def conform_rescued(
     before = {f"_antes_{c}": F.col(c) for c in touched}
     both = conform_schema(plain.withColumns(before) if before else plain, schema, decimals)
     readable = F.col(RECORD).isNull() if RECORD in plain.columns else F.lit(True)
+    none = F.array().cast(REJECTED_TYPE)
+    # Joined, not filtered: a lambda would take the whole projection out of generated code.
     found = [
         F.when(
             readable & F.col(old).isNotNull() & F.col(c).isNull(),
-            F.struct(F.lit(c).alias("columna"), F.col(old).cast("string").alias("texto"), F.lit(after.schema[c].dataType.simpleString()).alias("tipo")),
-        )
+            F.array(F.struct(F.lit(c).alias("columna"), F.col(old).cast("string").alias("texto"), F.lit(after.schema[c].dataType.simpleString()).alias("tipo"))),
+        ).otherwise(none)
         for c, old in zip(touched, before, strict=True)
     ]
-    entries = F.array_compact(F.array(*found)) if found else F.array()
+    entries = F.concat(*found) if found else none
     return both.withColumn(REJECTED, entries.cast(REJECTED_TYPE)).drop(*before)
 
 
