@@ -12,6 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of keys that may be broadcast. Files of keys are packed so well that a few megabytes can hold millions.
+FEW_ROWS = 500_000
+
+
+def merged_if_many(df: DataFrame, n: int | None = None, few: int | None = None) -> DataFrame:
+    """A side of a join that isn't sent through the driver if it has more than ``few`` (``FEW_ROWS``) rows, however small its files are.
+    ``n`` is their number, if it is known; without it they are counted."""
+    few = FEW_ROWS if few is None else few
+    return df.hint("merge") if (df.count() if n is None else n) > few else df
 
 
 def _spread(df: DataFrame, key: str) -> Column:

@@ -23,7 +23,7 @@ from tidemark.operators.anomaly import anomaly_record, fail_on_anomalies, rollin
 from tidemark.operators.cleaning import (
     counted_dedup, duplicate_rejects, fill_nulls, first_reason, mask_null, null_flags, null_rejects, quarantine,
 )
-from tidemark.operators.joins import mark_known, matching
+from tidemark.operators.joins import mark_known, matching, merged_if_many
 from tidemark.operators.rollup import AGAIN, Rollup
 from tidemark.operators.quality import Watched, evaluation_error, quality_rules
 from tidemark.plans import marts
@@ -455,10 +455,10 @@ class Lakehouse:
         if upto <= since:
             return None
         changes = inc.read_changes(bronze.feed(since), since)
-        parents = {fk.parent: self._table("silver", fk.parent).read() for fk in spec.parents}
+        parents = {fk.parent: merged_if_many(self._table("silver", fk.parent).read()) for fk in spec.parents}
         held = None
         if table.exists() and spec.watermark in changes.columns:
-            held = table.read().select(*spec.keys, spec.watermark)
+            held = merged_if_many(table.read().select(*spec.keys, spec.watermark))
         watched, labelled = self._watched(label(changes, spec, run.as_of, parents, held), spec)
         good = labelled.filter(F.col("_motivo").isNull()).drop("_motivo", COPIES, *COPY)
         n, n_before, bad, late, corrected = (watched.count(c) for c in ("n", "n_before", "bad", "late", "corrected"))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.changes import _differs, assert_unique, undo_changes
 from tidemark.operators.incremental import CURRENT_KINDS
-from tidemark.operators.joins import matching
+from tidemark.operators.joins import matching, merged_if_many
 from tidemark.session import one_row
 from tidemark.sources.files import nullable, read_or_empty, remove_folder, write_partitioned
 
@@ -254,7 +254,8 @@ class LakeTable:
         seen = Observation()
         changed = self._changed(source, schema, at, scope).observe(seen, F.count(F.lit(1)).alias("n"))
         changed.write.mode("overwrite").parquet(path)
-        if not seen.get.get("n"):
+        n = seen.get.get("n")
+        if not n:
             # A table that gets its first, empty, load exists from then on, with its schema.
             return version - 1 if version else self._note(version, at, "upsert", schema.json(), tag)
         feed = self.spark.read.schema(T.StructType([*schema.fields, *FEED_FIELDS[:-1]])).parquet(path)
@@ -264,7 +265,7 @@ class LakeTable:
             self._write(rows, f"{self.path}/data")
             return self._note(version, at, "upsert", schema.json(), tag)
         old = self._rows(schema, self._buckets_of(feed, schema))
-        kept = old.join(feed.select(*self.keys), self.keys, "left_anti").withColumn("_gone", F.lit(False))
+        kept = old.join(merged_if_many(feed.select(*self.keys), n), self.keys, "left_anti").withColumn("_gone", F.lit(False))
         # A bucket is replaced by what is written for it, so one that lost its last row must still have something.
         gone = feed.filter(F.col("_change_type") == "delete").select(*schema.names)
         marks = gone.withColumns({"_gone": F.lit(True), "_bucket": self._bucket(schema)})
