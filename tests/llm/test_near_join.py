@@ -66,6 +66,25 @@ def test_same_groups_as_all_pairs(documents, speak, least, monkeypatch):
     assert found(documents(pairs), least=least) == brute(pairs)
 
 
+def test_pairs_near_the_threshold_do_not_grow_with_the_square_of_a_group(documents, speak, monkeypatch):
+    """Copies of 139 shingles, of which two edits each change ten: two copies differ in 20 on either side, and 19 would be a link."""
+    rng, words, pairs, compared = random.Random(4), speak(143, 10**7), [], []
+    for k in range(70):
+        own = list(words)
+        for i in (rng.randrange(5, 65), rng.randrange(75, 135)):
+            own[i] = f"e{k}x{i}"
+        pairs.append((k, " ".join(own)))
+    once = near_join.compared
+
+    def counted(docs, classes, wanted):
+        compared.append(wanted.count())
+        return once(docs, classes, wanted)
+
+    monkeypatch.setattr(near_join, "compared", counted)
+    assert found(documents(pairs)) == brute(pairs)
+    assert max(compared) <= 8 * len(pairs)
+
+
 def test_edge_rows(documents, speak):
     words = speak(30)
     pairs = [

@@ -10,9 +10,10 @@ one bin. Which tokens count as frequent changes the work, never the links.
 Equal sets are one class from the start, so copies cost nothing. A first round links most of each group of near copies:
 classes that share two of their smallest tokens with one hub are compared with it. After that, a signature only matters
 where its holders are still in different components. Holders of a rare token are few and are compared with one another;
-holders of a combination are first compared with a hub, and then, if that leaves several components, with one another by
-small sketches of their sets, which prove most pairs too far apart; lists of very many holders are cut into blocks for
-that. So every link between two components is found, and what may be a link is compared exactly.
+holders of a combination are first compared with a hub, and then, if that leaves several components, with one another:
+small sketches of their sets prove most pairs too far apart, the others are compared exactly where they lie, unless links
+found before have joined them, so that a task only puts out links that join components; lists of very many holders are cut
+into blocks for that. So every link between two components is found, and what may be a link is compared exactly.
 
 Null texts and texts without words have no shingles and link with nothing, not even with each other; their component is
 their own doc_id. Repeated rows and ids are linked by their texts alone. A component in which all doc_ids are null has a
@@ -48,6 +49,9 @@ BUCKET_TOKENS = 2 << 20
 LIST_ROWS = 1 << 19
 BLOCK_ROWS = 4096
 BLOCK_PART_ROWS = 1 << 16
+BLOCK_PART_BYTES = 64 << 20
+#: So many pairs that were too far apart are remembered in a task.
+KNOWN_APART = 1 << 18
 
 U64 = np.uint64
 
@@ -240,6 +244,13 @@ def _texts_as_sets(batches):
             yield pa.RecordBatch.from_arrays([piece.column("class"), pa.ListArray.from_arrays(pa.array(where), flat)], ["class", "tokens"])
 
 
+def _texts_as_own(batches):
+    for batch in batches:
+        for piece in tokens.pieces(batch):
+            sets = [own.tobytes() for _, own in _sets(piece)]
+            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("class"), pa.array(sets, pa.binary())], ["id", "class", "tokens"])
+
+
 def _sketch_bits(n: int) -> int:
     return max(64, 8 << n.bit_length())
 
@@ -344,16 +355,16 @@ def links(docs: DataFrame, members: DataFrame, least: int = FREQUENT, most: int
     rare = _named(docs.select("text").mapInArrow(_signed(sent, True), form), labels)
     rare = rare.repartition(max(1, total // 4 // LIST_ROWS), "sign").mapInArrow(_pairs, "a long, b long")
     often = staged(docs.select("text").mapInArrow(_signed(sent, False), form), "combinations")
-    star, rest = _combined(docs, classes, _named(often, labels))
-    pairs = rare.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    star, joined = _combined(docs, classes, _named(often, labels))
+    pairs = rare.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = [d.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for d in (first, star)]
     pairs = staged(pairs.join(done[0].unionByName(done[1]).distinct(), ["a", "b"], "left_anti"), "pairs")
     found = compared(docs, classes, pairs)
-    return components(staged(edges.unionByName(_edges(star)).unionByName(_edges(found)), "edges"))
+    return components(staged(edges.unionByName(_edges(star)).unionByName(_edges(found)).unionByName(joined), "edges"))
 
 
 def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of signs that many classes may hold: the comparisons with hubs, and the pairs that are still to be compared."""
+    """Of signs that many classes may hold: the comparisons with hubs, and links (a, b) of classes that join what hubs left apart."""
     mixed = signed.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     signed = signed.join(small(staged(mixed.select("sign"), "mixed"), 16), "sign").distinct()
     # Sizes a factor of 4/3 apart make one band; a list holds two bands next to each other, so that it has all fitting pairs.
@@ -374,69 +385,85 @@ def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[D
     lists = rows.groupBy("sign", "sizes").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held"))
     lists = staged(lists.where("low != high").select("sign", "sizes", F.ceil(F.col("held") / BLOCK_ROWS).alias("chunks")), "open-lists")
     rows = staged(rows.join(small(lists, 32), ["sign", "sizes"]), "open")
-    wanted = staged(classes.join(rows.select("id").distinct(), "id").select(*KEY, "id", "class", "n"), "wanted")
-    found = docs.join(small(wanted, 96), KEY).select("id", "class", "n", "text")
-    found = staged(found.mapInArrow(_texts_as_sketches, "id long, class binary, n long, sketch binary"), "sketches")
-    # The sketches are sent to all tasks where they fit the bound, else they go along with the rows.
-    size = found.agg(F.sum(F.length("sketch") + 64)).first()[0] or 0
-    sent = None
-    if size <= BROADCAST_BYTES:
-        table = found.select("id", "sketch").toArrow()
-        sent = docs.sparkSession.sparkContext.broadcast(dict(zip(table["id"].to_pylist(), table["sketch"].to_pylist(), strict=True)))
-    else:
-        rows = rows.join(found.select("id", "sketch"), "id")
+    wanted = staged(classes.join(rows.select("id").distinct(), "id").select(*KEY, "id", "class"), "wanted")
+    found = docs.join(small(wanted, 96), KEY).select("id", "class", "text")
+    found = staged(found.mapInArrow(_texts_as_own, "id long, class binary, tokens binary"), "own-sets")
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
     block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.least(chunk, c).alias("x"), F.greatest(chunk, c).alias("y")))
-    rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", F.col("n").cast("int").alias("n"), "label", *([] if sent else ["sketch"]))
-    parts = max(1, rows.count() // BLOCK_PART_ROWS)
-    return star, rows.repartition(parts, "sign").mapInArrow(_near_pairs(sent), "a long, b long")
-
+    rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", "label", "n")
+    many, held = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
+    size = found.agg(F.sum(F.length("tokens") + 64)).first()[0] or 0
+    # The sets are sent to all tasks where they fit the bound, else they go along with the rows.
+    if size <= BROADCAST_BYTES:
+        rows = rows.drop("n").repartition(max(1, many // BLOCK_PART_ROWS), "sign").join(F.broadcast(found), "id")
+    else:
+        parts = max(1, many // BLOCK_PART_ROWS, 8 * (held or 0) // BLOCK_PART_BYTES)
+        rows = rows.drop("n").join(found, "id").repartition(parts, "sign")
+    return star, rows.select("sign", "label", "class", "tokens").mapInArrow(_near_links, "a binary, b binary")
 
-def _near_pairs(sent):
-    """Like _pairs, of those pairs that sketches don't prove too far apart; ``sent``: the sketches by id, or None if rows have them."""
 
-    def run(batches):
-        columns = ("sign", "id", "n", "label")
-        held, sketches = {c: [] for c in columns}, []
-        for batch in batches:
-            for c in columns:
-                held[c].append(batch.column(c).to_numpy())
-            sketches += [sent.value[i] for i in batch.column("id").to_pylist()] if sent else batch.column("sketch").to_pylist()
-        if not sketches:
-            return
-        rows = {c: np.concatenate(h) for c, h in held.items()}
-        order = np.lexsort((rows["n"], rows["sign"]))
-        sign, ids, n, label = (rows[c][order] for c in columns)
-        n = n.astype(np.int64)
+def _near_links(batches):
+    """Of a partition by list: links of members in different components, exactly. Members that links of this task have joined aren't compared."""
+    signs, labels, names, sets, sketches = [], [], [], {}, {}
+    for batch in batches:
+        signs.append(batch.column("sign").to_numpy())
+        labels.append(batch.column("label").to_numpy())
+        for name, own in zip(batch.column("class").to_pylist(), batch.column("tokens"), strict=True):
+            names.append(name)
+            if name not in sets:
+                sets[name] = np.frombuffer(own.as_py(), U64)
+                sketches[name] = np.frombuffer(_sketch(sets[name]), U64)
+    if not names:
+        return
+    sign, label, joined, apart, found = np.concatenate(signs), np.concatenate(labels), {}, set(), []
+
+    def root(x: int) -> int:
+        while (up := joined.get(x, x)) != x:
+            joined[x] = x = joined.get(up, up)
+        return x
+
+    def linked(a: bytes, b: bytes) -> bool:
+        pair = (a, b) if a < b else (b, a)
+        if pair in apart:
+            return False
+        n = len(sets[a]) + len(sets[b])
+        both = n - len(np.unique(np.concatenate((sets[a], sets[b]))))
+        if 100 * both >= PERCENT * (n - both):
+            return True
+        if len(apart) >= KNOWN_APART:
+            apart.clear()
+        apart.add(pair)
+        return False
+
+    sizes = np.array([len(sets[name]) for name in names], np.int64)
+    order = np.lexsort((sizes, sign))
+    sign = sign[order]
+    heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
+    for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
         # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
-        heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
-        found = [np.zeros((0, 2), np.int64)]
-        for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-            size, of = n[i:j], label[i:j]
-            # Members of the commonest component need no comparison with each other, so the others are compared with all.
-            names, which, times = np.unique(of, return_inverse=True, return_counts=True)
-            rest = np.flatnonzero(which != times.argmax())
-            if len(names) < 2:
-                continue
-            bits = len(sketches[order[i]])
-            table = np.stack([np.bitwise_or.reduce(np.frombuffer(sketches[k], np.uint64).reshape(-1, bits // 8), axis=0) for k in order[i:j]])
-            for k in rest.tolist():
-                fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
-                other = np.flatnonzero(of[fit] != of[k]) + fit.start
-                most = np.minimum(
-                    size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
-                    size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
-                )
-                other = other[100 * most >= PERCENT * (size[k] + size[other] - most)]
-                if len(other):
-                    found.append(np.sort(np.stack((np.full(len(other), ids[i + k]), ids[i + other]), 1), axis=1))
-            if sum(map(len, found)) > 1 << 18:
-                found = [np.unique(np.concatenate(found), axis=0)]
-        pairs = np.unique(np.concatenate(found), axis=0)
-        for i in range(0, len(pairs), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs[i : i + (1 << 16)].T], ["a", "b"])
-
-    return run
+        own, size = [names[k] for k in order[i:j]], sizes[order[i:j]]
+        of = np.array([root(x) for x in label[order[i:j]].tolist()], np.int64)
+        # Members of the commonest component need no comparison with each other, so the others are compared with all.
+        roots, which, times = np.unique(of, return_inverse=True, return_counts=True)
+        if len(roots) < 2:
+            continue
+        table = np.stack([np.bitwise_or.reduce(sketches[name].reshape(-1, len(sketches[own[0]])), axis=0) for name in own])
+        for k in np.flatnonzero(which != times.argmax()).tolist():
+            fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
+            other = np.flatnonzero(of[fit] != of[k]) + fit.start
+            most = np.minimum(
+                size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
+                size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
+            )
+            near = np.flatnonzero(100 * most >= PERCENT * (size[k] + size[other] - most))
+            for m in other[near[np.argsort(-most[near], kind="stable")]].tolist():
+                if of[m] != of[k] and linked(own[k], own[m]):
+                    found.append((own[k], own[m]))
+                    gone, to = int(of[k]), int(of[m])
+                    joined[gone] = to
+                    of[of == gone] = to
+    for i in range(0, len(found), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found[i : i + (1 << 16)], strict=True)], ["a", "b"])
 
 
 def _id(column: str = "class") -> Column:
