@@ -28,6 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ BUCKET_TOKENS = 2 << 20
 LIST_ROWS = 1 << 19
 BLOCK_ROWS = 4096
 BLOCK_PART_ROWS = 1 << 16
-BLOCK_PART_BYTES = 64 << 20
+BLOCK_PART_BYTES = 16 << 20
 #: So many pairs that were too far apart are remembered in a task.
 KNOWN_APART = 1 << 18
 
@@ -393,77 +394,102 @@ def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[D
     rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", "label", "n")
     many, held = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
     size = found.agg(F.sum(F.length("tokens") + 64)).first()[0] or 0
-    # The sets are sent to all tasks where they fit the bound, else they go along with the rows.
+    form = "a binary, b binary"
+    # The sets are sent to all tasks where they fit the bound, else each goes once along with each part of the lists.
     if size <= BROADCAST_BYTES:
-        rows = rows.drop("n").repartition(max(1, many // BLOCK_PART_ROWS), "sign").join(F.broadcast(found), "id")
-    else:
-        parts = max(1, many // BLOCK_PART_ROWS, 8 * (held or 0) // BLOCK_PART_BYTES)
-        rows = rows.drop("n").join(found, "id").repartition(parts, "sign")
-    return star, rows.select("sign", "label", "class", "tokens").mapInArrow(_near_links, "a binary, b binary")
+        table = found.toArrow()
+        sent = docs.sparkSession.sparkContext.broadcast(list(zip(*(table[c].to_pylist() for c in ("id", "class", "tokens")), strict=True)))
+        parts = max(1, many // BLOCK_PART_ROWS)
+        return star, rows.select("sign", "id", "label").repartition(parts, "sign").mapInArrow(_near_links(sent), form)
+    parts = max(1, many // BLOCK_PART_ROWS, 8 * (held or 0) // BLOCK_PART_BYTES)
+    rows = rows.select(F.pmod(F.xxhash64("sign"), F.lit(parts)).alias("part"), "sign", "id", "label")
+    sets = rows.select("part", "id").distinct().join(found, "id").select("part", "id", "class", "tokens")
+    return star, rows.unionByName(sets, allowMissingColumns=True).repartition(parts, "part").mapInArrow(_near_links(None), form)
 
 
-def _near_links(batches):
-    """Of a partition by list: links of members in different components, exactly. Members that links of this task have joined aren't compared."""
-    signs, labels, names, sets, sketches = [], [], [], {}, {}
-    for batch in batches:
-        signs.append(batch.column("sign").to_numpy())
-        labels.append(batch.column("label").to_numpy())
-        for name, own in zip(batch.column("class").to_pylist(), batch.column("tokens"), strict=True):
-            names.append(name)
-            if name not in sets:
-                sets[name] = np.frombuffer(own.as_py(), U64)
-                sketches[name] = np.frombuffer(_sketch(sets[name]), U64)
-    if not names:
-        return
-    sign, label, joined, apart, found = np.concatenate(signs), np.concatenate(labels), {}, set(), []
+def _near_links(sent):
+    """Of a partition by list: links of members in different components, exactly. Members that links of this task have joined aren't compared.
+
+    ``sent``: id, class and set of all members, or None if rows without a list have them.
+    """
+
+    def run(batches):
+        signs, labels, ids, named, sets, sketches = [], [], [], {}, {}, {}
 
-    def root(x: int) -> int:
-        while (up := joined.get(x, x)) != x:
-            joined[x] = x = joined.get(up, up)
-        return x
+        def known(rows):
+            for x, name, own in rows:
+                if name not in sets:
+                    sets[name] = np.frombuffer(own, U64)
+                    named.setdefault(x, []).append(name)
 
-    def linked(a: bytes, b: bytes) -> bool:
-        pair = (a, b) if a < b else (b, a)
-        if pair in apart:
+        known(sent.value if sent else [])
+        for batch in batches:
+            if not sent:
+                own = batch.filter(pc.is_valid(batch.column("tokens")))
+                known(zip(*(own.column(c).to_pylist() for c in ("id", "class", "tokens")), strict=True))
+                batch = batch.filter(pc.is_valid(batch.column("sign")))
+            for held, c in ((signs, "sign"), (labels, "label"), (ids, "id")):
+                held.append(batch.column(c).to_numpy())
+        if not signs:
+            return
+        sign, label, rows, joined, apart, found = np.concatenate(signs), np.concatenate(labels), np.concatenate(ids), {}, set(), []
+        # Classes of one id, of which there may be several, are members each.
+        many = np.array([len(named[x]) for x in rows.tolist()], np.int64)
+        names = [name for x in rows.tolist() for name in named[x]]
+        sign, label = np.repeat(sign, many), np.repeat(label, many)
+
+        def root(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                joined[x] = x = joined.get(up, up)
+            return x
+
+        def linked(a: bytes, b: bytes) -> bool:
+            pair = (a, b) if a < b else (b, a)
+            if pair in apart:
+                return False
+            n = len(sets[a]) + len(sets[b])
+            both = n - len(np.unique(np.concatenate((sets[a], sets[b]))))
+            if 100 * both >= PERCENT * (n - both):
+                return True
+            if len(apart) >= KNOWN_APART:
+                apart.clear()
+            apart.add(pair)
             return False
-        n = len(sets[a]) + len(sets[b])
-        both = n - len(np.unique(np.concatenate((sets[a], sets[b]))))
-        if 100 * both >= PERCENT * (n - both):
-            return True
-        if len(apart) >= KNOWN_APART:
-            apart.clear()
-        apart.add(pair)
-        return False
-
-    sizes = np.array([len(sets[name]) for name in names], np.int64)
-    order = np.lexsort((sizes, sign))
-    sign = sign[order]
-    heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
-    for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-        # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
-        own, size = [names[k] for k in order[i:j]], sizes[order[i:j]]
-        of = np.array([root(x) for x in label[order[i:j]].tolist()], np.int64)
-        # Members of the commonest component need no comparison with each other, so the others are compared with all.
-        roots, which, times = np.unique(of, return_inverse=True, return_counts=True)
-        if len(roots) < 2:
-            continue
-        table = np.stack([np.bitwise_or.reduce(sketches[name].reshape(-1, len(sketches[own[0]])), axis=0) for name in own])
-        for k in np.flatnonzero(which != times.argmax()).tolist():
-            fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
-            other = np.flatnonzero(of[fit] != of[k]) + fit.start
-            most = np.minimum(
-                size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
-                size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
-            )
-            near = np.flatnonzero(100 * most >= PERCENT * (size[k] + size[other] - most))
-            for m in other[near[np.argsort(-most[near], kind="stable")]].tolist():
-                if of[m] != of[k] and linked(own[k], own[m]):
-                    found.append((own[k], own[m]))
-                    gone, to = int(of[k]), int(of[m])
-                    joined[gone] = to
-                    of[of == gone] = to
-    for i in range(0, len(found), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found[i : i + (1 << 16)], strict=True)], ["a", "b"])
+
+        sizes = np.array([len(sets[name]) for name in names], np.int64)
+        order = np.lexsort((sizes, sign))
+        sign = sign[order]
+        heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
+        for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
+            own, size = [names[k] for k in order[i:j]], sizes[order[i:j]]
+            of = np.array([root(x) for x in label[order[i:j]].tolist()], np.int64)
+            # Members of the commonest component need no comparison with each other, so the others are compared with all.
+            roots, which, times = np.unique(of, return_inverse=True, return_counts=True)
+            if len(roots) < 2:
+                continue
+            for name in own:
+                if name not in sketches:
+                    sketches[name] = np.frombuffer(_sketch(sets[name]), U64)
+            table = np.stack([np.bitwise_or.reduce(sketches[name].reshape(-1, len(sketches[own[0]])), axis=0) for name in own])
+            for k in np.flatnonzero(which != times.argmax()).tolist():
+                fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
+                other = np.flatnonzero(of[fit] != of[k]) + fit.start
+                most = np.minimum(
+                    size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
+                    size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
+                )
+                near = np.flatnonzero(100 * most >= PERCENT * (size[k] + size[other] - most))
+                for m in other[near[np.argsort(-most[near], kind="stable")]].tolist():
+                    if of[m] != of[k] and linked(own[k], own[m]):
+                        found.append((own[k], own[m]))
+                        gone, to = int(of[k]), int(of[m])
+                        joined[gone] = to
+                        of[of == gone] = to
+        for i in range(0, len(found), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found[i : i + (1 << 16)], strict=True)], ["a", "b"])
+
+    return run
 
 
 def _id(column: str = "class") -> Column:
