@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm.labelled import sample
-from tidemark.llm.lm_score import BACK_OFF, FLOOR, score, targets
+from tidemark.llm.lm_score import BACK_OFF, FLOOR, _counts, score, targets
 from tidemark.llm.quality import posteriors, quality
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.trees import Isotonic, Trees, calibrated
@@ -186,3 +187,12 @@ def test_the_bound_of_a_sample_is_on_documents(documents, frame):
     twice = labels.unionByName(labels)
     assert sample(docs, twice, "toxic", 10_000).count() == 6000
     assert sample(documents([]), labels, "toxic").count() == 0 and sample(docs, labels.limit(0), "toxic").count() == 0
+
+
+def test_counts_leave_a_task_in_small_batches():
+    text = " ".join(f"w{k}" for k in range(150_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text, "w1 w1"], "target": pa.array([1, 0], pa.int32())})
+    found = list(_counts([batch]))
+    assert max(b.num_rows for b in found) <= 1 << 16
+    assert sum(sum(b.column("n").to_pylist()) for b in found) == 3 * 150_002
+    assert sum(sum(b.column("n_target").to_pylist()) for b in found) == 3 * 150_000

@@ -31,7 +31,8 @@ HOT = 1 << 20
 MAP_BITS = 27
 #: Pseudo-counts: of a word without regard to the one before it, and of any word at all.
 BACK_OFF, FLOOR = 8.0, 0.5
-FLUSH = 2 << 20
+FLUSH = 1 << 20
+BATCH_ROWS = 1 << 16
 #: Losses are summed as whole numbers of this part of a bit, so that sums don't depend on the order of rows.
 PART = 1 << 30
 
@@ -61,7 +62,9 @@ def _counts(batches):
         for kind in range(len(ASKED)):
             key, inverse = np.unique(np.concatenate([k[kind] for k, _ in held]), return_inverse=True)
             many = (np.bincount(inverse, minlength=len(key)), np.bincount(inverse, target, len(key)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(key), kind, np.int8), key.view(np.int64), *many)], ["kind", "key", "n", "n_target"])
+            columns = (np.full(len(key), kind, np.int8), key.view(np.int64), *many)
+            for i in range(0, len(key), BATCH_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + BATCH_ROWS]) for c in columns], ["kind", "key", "n", "n_target"])
 
     for batch in batches:
         for piece in tokens.pieces(batch):
