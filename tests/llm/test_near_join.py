@@ -3,9 +3,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemark.llm import near_join
+from tidemark.llm import near_join, tokens
 from tidemark.llm.near_join import near_groups, signatures
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,3 +135,27 @@ def test_a_sketch_never_bounds_too_low():
                 most = most_shared(_sketch(a), _sketch(b), n, m)
                 assert shared <= most <= min(n, m)
                 assert n < 100 or shared or most < 0.6 * n
+
+
+def test_tokens_equal_their_definition():
+    """Words, shingles and distinct sets of whole columns, against sums over single bytes; short, empty and null texts lie between others."""
+    column = pa.array(["a b  c d e f", None, "", "Long" * 9 + "\tx", "y", " é漢 z.", "q " * 20])
+    step, mask = int(tokens._STEP), 2**64 - 1
+    value = lambda w: sum(int(tokens.SPACED[1][b]) * pow(step, k + 1, 2**64) for k, b in enumerate(w)) & mask
+    mixed = lambda x: int(tokens.mix(np.array([x & mask], np.uint64))[0])
+    texts = [[mixed(value(w.encode())) for w in (t or "").split()] for t in column.to_pylist()]
+    found, at = tokens.words(column)
+    assert [found[a:b].tolist() for a, b in zip(at, at[1:])] == texts
+    runs, starts = tokens.shingles(found, at, 5)
+    for own, words, a, b in zip(tokens.distinct(runs, starts), texts, starts[:-1], starts[1:], strict=True):
+        parts = [words[i : i + 5] for i in range(max(1, len(words) - 4))] if words else []
+        made = []
+        for part in parts:
+            out = len(part)
+            for word in part:
+                out = mixed(out * int(tokens._MUL) + word)
+            made.append(out)
+        assert runs[a:b].tolist() == made and own.tolist() == sorted(set(made))
+    # A text longer than a piece has no table of powers and gets the same hashes.
+    long = pa.array(["a b " + "c " * (tokens.PIECE + 9)])
+    assert tokens.words(long)[0][:3].tolist() == [mixed(value(w)) for w in (b"a", b"b", b"c")]

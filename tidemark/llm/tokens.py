@@ -6,6 +6,7 @@ word. ``batches`` cuts a column into pieces of bounded size; a text longer than
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,11 @@ _STEP = U64(0xD1342543DE82EF95)
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers in which every input bit reaches every output bit."""
     x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U64(27))
-    x = x * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 def _class_tables(separators: set[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,6 +53,14 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
+@functools.cache
+def _powers_of_piece() -> tuple[np.ndarray, np.ndarray]:
+    """The powers for a whole piece, and what makes the power at each place the first one."""
+    back = np.full(2 * PIECE, U64(pow(int(_STEP), -1, 2**64)))
+    back[0] = 1
+    return np.cumprod(np.full(2 * PIECE, _STEP)), np.cumprod(back)
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins and ends. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -75,20 +85,33 @@ def pieces(batch: pa.RecordBatch, text: str = "text", most: int = PIECE) -> Iter
 
 def spans(data: np.ndarray, offsets: np.ndarray, kind=SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each word, and for each text where its words begin in these (one more entry than texts)."""
-    inside = kind[0][data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    before = np.concatenate(([False], inside[:-1])) if len(data) else inside
-    after = np.concatenate((inside[1:], [False])) if len(data) else inside
-    begins = np.flatnonzero(inside & (~before | edge[:-1]))
-    ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    return begins, ends, np.searchsorted(begins, offsets)
+    inside = np.take(kind[0], data)
+    last = inside.copy()
+    last[:-1] = inside[:-1] > inside[1:]
+    edge = offsets[offsets > 0] - 1
+    last[edge] = inside[edge]
+    begins, at = _begins(inside, offsets)
+    return begins, np.flatnonzero(last) + 1, at
+
+
+def _begins(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = inside.copy()
+    first[1:] = inside[1:] > inside[:-1]
+    edge = offsets[offsets < len(inside)]
+    first[edge] = inside[edge]
+    begins = np.flatnonzero(first)
+    return begins, np.searchsorted(begins, offsets)
 
 
 def word_hashes(data: np.ndarray, begins: np.ndarray, kind=SPACED) -> np.ndarray:
     """A 64-bit hash of each word."""
     if not len(begins):
         return np.zeros(0, U64)
+    if len(data) <= 2 * PIECE:
+        ahead, back = _powers_of_piece()
+        value = np.take(kind[1], data)
+        value *= ahead[: len(data)]
+        return mix(np.add.reduceat(value, begins) * back[begins])
     value = kind[1][data[begins[0] :]]
     length = np.diff(begins, append=len(data))
     place = np.arange(len(value)) - np.repeat(begins - begins[0], length)
@@ -113,7 +136,7 @@ def prefix_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, sizes:
 def words(column, kind=SPACED) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column, and where each text's words begin."""
     data, offsets = text_bytes(column)
-    begins, _, at = spans(data, offsets, kind)
+    begins, at = _begins(np.take(kind[0], data), offsets)
     return word_hashes(data, begins, kind), at
 
 
@@ -123,15 +146,22 @@ def shingles(hashes: np.ndarray, at: np.ndarray, k: int = 5) -> tuple[np.ndarray
     count = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     starts = np.concatenate(([0], np.cumsum(count)))
     first = np.repeat(at[:-1] - starts[:-1], count) + np.arange(starts[-1])
-    size = np.repeat(np.minimum(n, k), count)
-    out = size.astype(U64)
     padded = np.concatenate((hashes, np.zeros(k, U64)))
+    out = np.full(len(hashes), U64(k))
     for i in range(k):
-        out = np.where(i < size, mix(out * _MUL + padded[first + i]), out)
+        out = mix(out * _MUL + padded[i : i + len(hashes)])
+    out = out[first]
+    for t in np.flatnonzero((n > 0) & (n < k)).tolist():
+        own = np.full(1, n[t], U64)
+        for i in range(n[t]):
+            own = mix(own * _MUL + padded[at[t] + i])
+        out[starts[t]] = own[0]
     return out, starts
 
 
 def distinct(values: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
     """The sorted distinct values of each text."""
     for a, b in zip(starts[:-1], starts[1:], strict=True):
-        yield np.unique(values[a:b])
+        own = np.sort(values[a:b])
+        fresh = own[1:] != own[:-1]
+        yield own if fresh.all() else own[np.concatenate(([True], fresh))]
