@@ -8,10 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tidemark.llm.labelled import sample
-from tidemark.llm.lm_score import BACK_OFF, FLOOR, _counts, score, targets
+from tidemark.llm.lm_score import BACK_OFF, FLOOR, _counts, _packed, _total, score, targets
 from tidemark.llm.quality import posteriors, quality
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.trees import Isotonic, Trees, calibrated
@@ -196,3 +197,22 @@ def test_counts_leave_a_task_in_small_batches():
     assert max(b.num_rows for b in found) <= 1 << 16
     assert sum(sum(b.column("n").to_pylist()) for b in found) == 3 * 150_002
     assert sum(sum(b.column("n_target").to_pylist()) for b in found) == 3 * 150_000
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_packed_counts_are_those_of_all_batches(bits):
+    rng = np.random.default_rng(bits)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 900, 400)) for _ in range(40)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i : i + 20], "target": [k % 2 for k in range(20)]}) for i in (0, 20)]
+    wanted, rows = {}, [r for b in batches for r in list(_packed(bits)([b]))]
+    for b in batches:
+        for part in _counts([b]):
+            for kind, key, n, n_target in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                have = wanted.get((kind, key), (0, 0))
+                wanted[kind, key] = (have[0] + n, have[1] + n_target)
+    table, found = pa.Table.from_batches(rows), {}
+    for kind, bucket in sorted(set(zip(table["kind"].to_pylist(), table["bucket"].to_pylist(), strict=True))):
+        assert bucket < 1 << bits
+        of = _total(table.filter(pc.and_(pc.equal(table["kind"], kind), pc.equal(table["bucket"], bucket))))
+        found |= {(kind, key): (n, t) for kind, key, n, t in zip(*(c.to_pylist() for c in of.columns), strict=True)}
+    assert found == {k: v for k, v in wanted.items() if k[0] == 0 or v[0] > 1}

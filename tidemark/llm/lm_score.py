@@ -4,8 +4,8 @@ Both models are interpolated bigram models over one vocabulary: all words of all
 never seen. They have the same smoothing, and the background's counts are scaled to the target's size, so that neither is
 sharper for having seen more. The target is the documents labelled good; the background is every document.
 
-Words, words before, and pairs are counted over the whole corpus, summed within tasks first, into a written table; nothing of
-it is left out. Each token asks it for three counts. The ``HOT`` commonest keys are sent to every task, and what isn't in a
+Words, words before, and pairs are counted over the whole corpus, summed within tasks first, which send sorted keys as packed
+differences, into a written table; nothing of it is left out. Each token asks it for three counts. The ``HOT`` commonest keys are sent to every task, and what isn't in a
 bitmap of the keys counted twice or more was counted once, here; only tokens that ask for other keys are joined to
 the table, by these keys. Results don't depend on ``HOT``, which only says what is looked up where.
 
@@ -33,6 +33,10 @@ MAP_BITS = 27
 BACK_OFF, FLOOR = 8.0, 0.5
 FLUSH = 1 << 20
 BATCH_ROWS = 1 << 16
+#: Counts are summed in groups of keys that stand for about so many bytes of text.
+BUCKET_BYTES = 8 << 20
+PACKED = pa.schema([("bucket", pa.int64()), ("kind", pa.int8()), ("keys", pa.binary()), ("n", pa.binary()), ("n_target", pa.binary())])
+COUNTED = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()), ("n_target", pa.int64())])
 #: Losses are summed as whole numbers of this part of a bit, so that sums don't depend on the order of rows.
 PART = 1 << 30
 
@@ -53,6 +57,15 @@ def _own(piece: pa.RecordBatch, at: np.ndarray) -> np.ndarray:
     return np.repeat(piece.column("target").to_numpy(zero_copy_only=False), np.diff(at))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of one place next to each other, so that small numbers compress well."""
+    return np.ascontiguousarray(values.astype(np.int64, copy=False).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data.as_buffer(), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def _counts(batches):
     """Counts of all keys in all texts and in target texts, summed over some millions of tokens."""
     held, n = [], 0
@@ -78,6 +91,36 @@ def _counts(batches):
         yield from summed()
 
 
+def _packed(bits: int):
+    """The same as a row per kind and upper ``bits`` of the keys, with the differences of the sorted keys."""
+
+    def run(batches):
+        for batch in _counts(batches):
+            key, n, n_target = (batch.column(c).to_numpy() for c in ("key", "n", "n_target"))
+            key = key.view(U64)
+            bucket = (key >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+            heads = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+            rows = []
+            for i, j in zip(heads, [*heads[1:], len(key)], strict=True):
+                step = np.diff(key[i:j], prepend=U64(0)).view(np.int64)
+                rows.append({"bucket": int(bucket[i]), "kind": batch.column("kind")[0].as_py(), "keys": _planes(step), "n": _planes(n[i:j]), "n_target": _planes(n_target[i:j])})
+            yield pa.RecordBatch.from_pylist(rows, PACKED)
+
+    return run
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """Of the rows of a kind and bucket: each key's counts. Of what was counted once, only words stay, since they are numbered."""
+    kind = table.column("kind")[0].as_py()
+    key = np.concatenate([np.cumsum(_from_planes(k).view(U64)) for k in table.column("keys")])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    n, n_target = (np.add.reduceat(np.concatenate([_from_planes(c) for c in table.column(name)])[order], heads) for name in ("n", "n_target"))
+    stay = np.ones(len(heads), bool) if kind == 0 else n > 1
+    return pa.table([np.full(int(stay.sum()), kind, np.int8), key[heads][stay].view(np.int64), n[stay], n_target[stay]], COUNTED)
+
+
 def _losses(word, before, pair, scale: float, tokens_in_all: float, vocabulary: int) -> np.ndarray:
     """-log2 of the probability of tokens with these counts."""
     single = (word * scale + FLOOR) / (tokens_in_all * scale + FLOOR * vocabulary)
@@ -152,10 +195,11 @@ def _joined(rest: DataFrame, counts: DataFrame, k: str) -> DataFrame:
 def score(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """A row per document: KEY, doc_id, n_tokens, target_loss, background_loss, difference."""
     context = rows.sparkSession.sparkContext
-    counted = rows.select("text", "target").mapInArrow(_counts, "kind byte, key long, n long, n_target long")
-    counted = counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    # Of what was counted once, only words are written, since they are numbered.
-    counted = staged(counted.where("kind = 0 OR n > 1"), "counts")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = (size // BUCKET_BYTES).bit_length()
+    packed = rows.select("text", "target").mapInArrow(_packed(bits), "bucket long, kind byte, keys binary, n binary, n_target binary")
+    counted = packed.groupBy("kind", "bucket").applyInArrow(_total, "kind byte, key long, n long, n_target long")
+    counted = staged(counted, "counts")
     n, n_target, vocabulary = counted.where("kind = 0").agg(F.sum("n"), F.sum("n_target"), F.count(F.lit(1))).first()
     counts = counted.where("n > 1")
     common = counts.orderBy(F.desc("n"), "key").limit(hot).select("key", "n", "n_target").toArrow().sort_by("key")
