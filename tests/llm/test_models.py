@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,9 +11,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.llm.frames import RELEASE, staged
 from tidemark.llm.labelled import sample
-from tidemark.llm.lm_score import BACK_OFF, FLOOR, _counts, _packed, _total, score, targets
+from tidemark.llm.lm_score import BACK_OFF, FLOOR, TEXTS, _answers, _counts, _from_planes, _packed, _total, score, targets
 from tidemark.llm.quality import posteriors, quality
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.trees import Isotonic, Trees, calibrated
@@ -216,3 +219,28 @@ def test_packed_counts_are_those_of_all_batches(bits):
         of = _total(table.filter(pc.and_(pc.equal(table["kind"], kind), pc.equal(table["bucket"], bucket))))
         found |= {(kind, key): (n, t) for kind, key, n, t in zip(*(c.to_pylist() for c in of.columns), strict=True)}
     assert found == {k: v for k, v in wanted.items() if k[0] == 0 or v[0] > 1}
+
+
+def test_a_key_goes_once_each_way_for_all_tokens_that_ask(documents, frame):
+    text = " ".join(f"w{k % 500} w{k % 250}" for k in range(50_000))
+    batch = pa.RecordBatch.from_pydict({"at_file": [1, 1], "at_row": [7, 8], "doc_id": [1, None], "text": [text, None], "target": pa.array([1, 0], pa.int32())})
+    rows = pa.Table.from_batches(list(_packed(0, texts=True)([batch])))
+    assert rows.nbytes < 4 * 100_000 and rows["kind"].to_pylist()[0] == TEXTS
+    answers = [_answers(rows.filter(pc.equal(rows["kind"], k))) for k in range(-1, 3)]
+    assert sum(a.nbytes for a in answers) < 4 * 100_000
+    n = [sum(int(_from_planes(c).sum()) for c in a.filter(pc.equal(a["kind"], k))["n"]) for k, a in enumerate(answers[1:])]
+    assert n == [100_000] * 3
+    rows = score(targets(documents([(1, text), (2, None), (3, text), (4, "alone")]), frame([(1, 1, 0)], LABELS)), 0).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in rows) == [(1, 100_000), (2, 0), (3, 100_000), (4, 1)]
+
+
+def test_written_stages_leave_no_shuffle_files(spark):
+    files = spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager()
+    count = lambda: sum(f.getName().endswith(".data") for f in map(files.getAllFiles().apply, range(files.getAllFiles().size())))
+    before, rows = count(), spark.range(20_000).groupBy((F.col("id") % 700).alias("k")).count()
+    assert staged(rows, "released").count() == 700 and spark.conf.get(RELEASE) != "true"
+    ends = time.time() + 20
+    while count() > before + 6 and time.time() < ends:
+        time.sleep(0.2)
+    # What counting the 700 rows shuffled, if anything.
+    assert count() <= before + 6

@@ -12,13 +12,20 @@ from tidemark.session import work_dir
 KEY = ["at_file", "at_row"]
 #: A table is broadcast up to this many bytes, reckoned from its counted rows.
 BROADCAST_BYTES = 32 << 20
+#: Spark removes the shuffle files of what a frame's action ran as it ends, not when the driver's memory is next cleared.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back, which also cuts its lineage."""
-    path = work_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a frame to the shared folder and read it back, which also cuts its lineage. Shuffles on the way to it leave no files."""
+    spark, path = df.sparkSession, work_dir(df.sparkSession, label)
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def place(df: DataFrame) -> list[Column]:

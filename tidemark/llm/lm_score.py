@@ -5,9 +5,10 @@ never seen. They have the same smoothing, and the background's counts are scaled
 sharper for having seen more. The target is the documents labelled good; the background is every document.
 
 Words, words before, and pairs are counted over the whole corpus, summed within tasks first, which send sorted keys as packed
-differences, into a written table; nothing of it is left out. Each token asks it for three counts. The ``HOT`` commonest keys are sent to every task, and what isn't in a
-bitmap of the keys counted twice or more was counted once, here; only tokens that ask for other keys are joined to
-the table, by these keys. Results don't depend on ``HOT``, which only says what is looked up where.
+differences; nothing of it is left out. Keys meet by their upper bits, are summed, and each row of keys is answered with their
+counts in all the corpus, in the same order, so a key goes once each way for some millions of tokens, however often they ask for it.
+A task's texts go along as the places of their words in its own list of words. With the answers that is all a loss needs: texts are
+read once. Results don't depend on ``FLUSH``, which only says how many tokens ask together.
 
 A token's loss is -log2 of its probability after the word before it (or the beginning). A document's score is the mean of
 target loss less background loss over its tokens: below nought, it's more like the target. Null and empty texts have no
@@ -23,12 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.bitmap import Members, bitmap
 from tidemark.llm.features import per_text
 from tidemark.llm.frames import KEY, keyed, on_file, small, staged
 
-HOT = 1 << 20
-MAP_BITS = 27
 #: Pseudo-counts: of a word without regard to the one before it, and of any word at all.
 BACK_OFF, FLOOR = 8.0, 0.5
 FLUSH = 1 << 20
@@ -36,6 +34,14 @@ BATCH_ROWS = 1 << 16
 #: Counts are summed in groups of keys that stand for about so many bytes of text.
 BUCKET_BYTES = 8 << 20
 PACKED = pa.schema([("bucket", pa.int64()), ("kind", pa.int8()), ("keys", pa.binary()), ("n", pa.binary()), ("n_target", pa.binary())])
+#: The same with the tokens that ask and the row's place among theirs, and (``TEXTS``) a row of their texts.
+ROW = pa.struct([("at_file", pa.int64()), ("at_row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64())])
+SENT = pa.schema([*PACKED, ("batch", pa.int64()), ("place", pa.int32()), ("docs", pa.list_(ROW))])
+SENT_FORM = "bucket long, kind byte, keys binary, n binary, n_target binary, batch long, place int, docs array<struct<at_file:long, at_row:long, doc_id:long, n_tokens:long>>"
+TEXTS = -1
+#: Answers, and of each group of words (``SUMS``) what they are in all.
+ANSWERED = pa.schema([*SENT, ("words", pa.int64()), ("tokens", pa.int64()), ("tokens_target", pa.int64())])
+SUMS = -2
 COUNTED = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()), ("n_target", pa.int64())])
 #: Losses are summed as whole numbers of this part of a bit, so that sums don't depend on the order of rows.
 PART = 1 << 30
@@ -58,22 +64,38 @@ def _own(piece: pa.RecordBatch, at: np.ndarray) -> np.ndarray:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Bytes of one place next to each other, so that small numbers compress well."""
-    return np.ascontiguousarray(values.astype(np.int64, copy=False).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """How many, and bytes of one place next to each other, compressed: of small numbers little is left."""
+    planes = np.ascontiguousarray(values.astype(np.int64, copy=False).view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(pa.py_buffer(planes), codec="zstd", asbytes=True)
 
 
 def _from_planes(data) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data.as_buffer(), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+    data = data.as_buffer()
+    planes = pa.decompress(data.slice(8), 8 * int.from_bytes(data.slice(0, 8).to_pybytes(), "little"), codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
-def _counts(batches):
-    """Counts of all keys in all texts and in target texts, summed over some millions of tokens."""
-    held, n = [], 0
+def _texts(held: list, place: np.ndarray) -> pa.RecordBatch:
+    """The texts of these pieces as a row: the place of each token among their different words, which are sent to be counted."""
+    columns = [pa.concat_arrays(c) for c in zip(*[rows for *_, rows in held], strict=True)]
+    docs = pa.StructArray.from_arrays(columns, fields=list(ROW))
+    # Named by the first of them; a row's place in its file never repeats.
+    first = [docs[0][c].as_py() for c in KEY]
+    batch = int(tokens.mix(tokens.mix(np.array(first[:1], np.int64).view(U64)) * BOTH + U64(first[1])).view(np.int64)[0])
+    row = {"bucket": batch, "kind": TEXTS, "n": _planes(place), "batch": batch}
+    return pa.RecordBatch.from_arrays([pa.array([row.get(c)], SENT.field(c).type) if c != "docs" else pa.ListArray.from_arrays([0, len(docs)], docs) for c in SENT.names], schema=SENT)
+
+
+def _counts(batches, flush: int = FLUSH, texts: bool = False):
+    """Counts of all keys in all texts and in target texts, summed over some millions of tokens; before them, if asked for, a row of these texts."""
+    held, n, many = [], 0, 0
 
     def summed():
-        target = np.concatenate([t for _, t in held])
+        target = np.concatenate([t for _, t, *_ in held])
         for kind in range(len(ASKED)):
-            key, inverse = np.unique(np.concatenate([k[kind] for k, _ in held]), return_inverse=True)
+            key, inverse = np.unique(np.concatenate([k[kind] for k, *_ in held]), return_inverse=True)
+            if texts and kind == 0:
+                yield _texts(held, inverse)
             many = (np.bincount(inverse, minlength=len(key)), np.bincount(inverse, target, len(key)).astype(np.int64))
             columns = (np.full(len(key), kind, np.int8), key.view(np.int64), *many)
             for i in range(0, len(key), BATCH_ROWS):
@@ -82,20 +104,28 @@ def _counts(batches):
     for batch in batches:
         for piece in tokens.pieces(batch):
             found, at = tokens.words(piece.column("text"))
-            held.append((keys(found, at), _own(piece, at)))
-            n += len(found)
-            if n >= FLUSH:
+            # Not the piece, which would hold the whole batch's texts.
+            rows = [*[piece.column(c) for c in (*KEY, "doc_id")], pa.array(np.diff(at))] if texts else []
+            held.append((keys(found, at), _own(piece, at), rows))
+            n, many = n + len(found), many + piece.num_rows
+            # Texts without tokens count as well, so that not too many are held.
+            if n >= flush or many >= FLUSH >> 4:
                 yield from summed()
-                held, n = [], 0
-    if n:
+                held, n, many = [], 0, 0
+    if held:
         yield from summed()
 
 
-def _packed(bits: int):
+def _packed(bits: int, flush: int = FLUSH, texts: bool = False):
     """The same as a row per kind and upper ``bits`` of the keys, with the differences of the sorted keys."""
 
     def run(batches):
-        for batch in _counts(batches):
+        asking, place = None, 0
+        for batch in _counts(batches, flush, texts):
+            if batch.schema == SENT:
+                asking, place = batch.column("batch")[0].as_py(), 0
+                yield batch
+                continue
             key, n, n_target = (batch.column(c).to_numpy() for c in ("key", "n", "n_target"))
             key = key.view(U64)
             bucket = (key >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
@@ -103,8 +133,9 @@ def _packed(bits: int):
             rows = []
             for i, j in zip(heads, [*heads[1:], len(key)], strict=True):
                 step = np.diff(key[i:j], prepend=U64(0)).view(np.int64)
-                rows.append({"bucket": int(bucket[i]), "kind": batch.column("kind")[0].as_py(), "keys": _planes(step), "n": _planes(n[i:j]), "n_target": _planes(n_target[i:j])})
-            yield pa.RecordBatch.from_pylist(rows, PACKED)
+                rows.append({"bucket": int(bucket[i]), "kind": batch.column("kind")[0].as_py(), "keys": _planes(step), "n": _planes(n[i:j]), "n_target": _planes(n_target[i:j]), "batch": asking, "place": place + len(rows)})
+            place += len(rows)
+            yield pa.RecordBatch.from_pylist(rows, SENT if texts else PACKED)
 
     return run
 
@@ -127,50 +158,52 @@ def _losses(word, before, pair, scale: float, tokens_in_all: float, vocabulary:
     return -np.log2((pair * scale + BACK_OFF * single) / (before * scale + BACK_OFF))
 
 
-def _looked_up(key: np.ndarray, own: np.ndarray, hot: tuple, members: Members) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """n and n_target of each key, and whether that is known here."""
-    which, inverse = np.unique(key, return_inverse=True)
-    common, *counts = hot
-    at = np.minimum(np.searchsorted(common, which), max(len(common) - 1, 0))
-    here = common[at] == which if len(common) else np.zeros(len(which), bool)
-    once = ~here & ~members(which)
-    n, n_target = (np.where(here, c[at], 1) if len(common) else np.ones(len(which), np.int64) for c in counts)
-    return n[inverse], np.where(once[inverse], own, n_target[inverse]), (here | once)[inverse]
-
-
-ASKS = [f"{c}{k}" for k in ASKED for c in ("key_", "n_", "n_target_")]
-FORM = "at_file long, at_row long, doc_id long, n_tokens long, target_part long, background_part long, target long, " + ", ".join(f"{c} long" for c in ASKS)
-
-
-def _scores(sent, models):
-    """A row per document with the losses known here, and one, with null n_tokens, per token with a key to be joined; known keys are null."""
-
-    def run(batches):
-        *hot, shared = sent.value
-        members = Members(shared)
-        for batch in batches:
-            for piece in tokens.pieces(batch):
-                found, at = tokens.words(piece.column("text"))
-                own, n = _own(piece, at), np.diff(at)
-                asked = keys(found, at)
-                answers = [_looked_up(k, own, hot, members) for k in asked]
-                whole = np.logical_and.reduce([a[2] for a in answers])
-                sums = []
-                for which, model in models:
-                    loss = _losses(*[a[which] for a in answers], *model)
-                    sums.append(per_text(np.where(whole, np.rint(loss * PART), 0).astype(np.int64), at))
-                rows = pa.RecordBatch.from_arrays([*[piece.column(c) for c in (*KEY, "doc_id")], pa.array(n.astype(np.int64)), *map(pa.array, sums), piece.column("target").cast(pa.int64())], ["at_file", "at_row", "doc_id", "n_tokens", "target_part", "background_part", "target"])
-                none = lambda k: [pa.nulls(k, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*rows.columns, *none(len(n)) * len(ASKS)], [*rows.schema.names, *ASKS])
-                rest = np.flatnonzero(~whole)
-                if not len(rest):
-                    continue
-                text = pa.array(np.repeat(np.arange(len(n)), n)[rest])
-                columns = [*[piece.column(c).take(text) for c in KEY], *none(len(rest)) * 4, pa.array(own[rest].astype(np.int64))]
-                for key, (count, in_target, known) in zip(asked, answers, strict=True):
-                    columns.append(pa.array(key[rest].view(np.int64), mask=known[rest]))
-                    columns += [pa.array(c[rest].astype(np.int64), mask=~known[rest]) for c in (count, in_target)]
-                yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *ASKS])
+def _answers(table: pa.Table) -> pa.Table:
+    """Each row of a kind and bucket with the counts of its keys in all the corpus; only words keep their keys. Texts stay as they are."""
+    kind = table.column("kind")[0].as_py()
+    if kind == TEXTS:
+        return pa.table([*table.columns, *[pa.nulls(table.num_rows, pa.int64())] * 3], ANSWERED)
+    total = _total(table)
+    common, *counts = (total.column(c).to_numpy() for c in ("key", "n", "n_target"))
+    common = common.view(U64)
+    rows = table.select(["bucket", "kind", "batch", "place"]).to_pylist()
+    for row, packed, own in zip(rows, table.column("keys"), table.column("n_target"), strict=True):
+        key = np.cumsum(_from_planes(packed).view(U64))
+        at = np.minimum(np.searchsorted(common, key), max(len(common) - 1, 0))
+        # What isn't in the total was counted once, here.
+        here = common[at] == key if len(common) else np.zeros(len(key), bool)
+        n, n_target = (np.where(here, c[at], once) if len(common) else once for c, once in zip(counts, (np.ones(len(key), np.int64), _from_planes(own)), strict=True))
+        row |= {"keys": packed if kind == 0 else None, "n": _planes(n), "n_target": _planes(n_target)}
+    if kind == 0:
+        rows.append({"bucket": rows[0]["bucket"], "kind": SUMS, "words": len(common), "tokens": int(counts[0].sum()), "tokens_target": int(counts[1].sum())})
+    return pa.Table.from_pylist(rows, ANSWERED)
+
+
+FORM = "at_file long, at_row long, doc_id long, n_tokens long, target_part long, background_part long"
+
+
+def _scores(models):
+    """A row per document of a batch, from its texts and the answers to its keys."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("kind", "ascending"), ("place", "ascending")])
+        kind = table.column("kind").to_numpy()
+        (texts,) = table.filter(pa.array(kind == TEXTS)).to_batches()
+        docs = texts.column("docs").values
+        n = docs.field("n_tokens").to_numpy()
+        at = np.concatenate(([0], np.cumsum(n)))
+        words = [np.cumsum(_from_planes(k).view(U64)) for k in table.filter(pa.array(kind == 0)).column("keys")]
+        found = np.concatenate([np.zeros(0, U64), *words])[_from_planes(texts.column("n")[0])]
+        answers = []
+        for k, key in enumerate(keys(found, at)):
+            which, inverse = np.unique(key, return_inverse=True)
+            rows = table.filter(pa.array(kind == k))
+            counts = [np.concatenate([np.zeros(0, np.int64), *map(_from_planes, rows.column(c))]) for c in ("n", "n_target")]
+            if len(counts[0]) != len(which):
+                raise RuntimeError(f"{len(counts[0])} answers to {len(which)} keys")
+            answers.append([c[inverse] for c in counts])
+        sums = [per_text(np.rint(_losses(*[a[which] for a in answers], *model) * PART).astype(np.int64), at) for which, model in models]
+        return pa.table([*docs.flatten(), *map(pa.array, sums)], names=[c.split()[0] for c in FORM.split(", ")])
 
     return run
 
@@ -183,44 +216,19 @@ def targets(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(small(good, 24), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(0)))
 
 
-def _joined(rest: DataFrame, counts: DataFrame, k: str) -> DataFrame:
-    """The rows with the counts of this key. A key that isn't in the table was counted once, here."""
-    asking = rest.where(F.col(f"key_{k}").isNotNull()).drop(f"n_{k}", f"n_target_{k}")
-    counts = counts.where(F.col("kind") == ASKED.index(k))
-    found = asking.join(counts.select(F.col("key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("n_target").alias(f"n_target_{k}")), f"key_{k}", "left")
-    found = found.withColumns({f"n_target_{k}": F.coalesce(f"n_target_{k}", "target"), f"n_{k}": F.coalesce(f"n_{k}", F.lit(1))})
-    return rest.where(F.col(f"key_{k}").isNull()).unionByName(found.select(*rest.columns))
-
-
-def score(rows: DataFrame, hot: int = HOT) -> DataFrame:
+def score(rows: DataFrame, flush: int = FLUSH) -> DataFrame:
     """A row per document: KEY, doc_id, n_tokens, target_loss, background_loss, difference."""
-    context = rows.sparkSession.sparkContext
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = (size // BUCKET_BYTES).bit_length()
-    packed = rows.select("text", "target").mapInArrow(_packed(bits), "bucket long, kind byte, keys binary, n binary, n_target binary")
-    counted = packed.groupBy("kind", "bucket").applyInArrow(_total, "kind byte, key long, n long, n_target long")
-    counted = staged(counted, "counts")
-    n, n_target, vocabulary = counted.where("kind = 0").agg(F.sum("n"), F.sum("n_target"), F.count(F.lit(1))).first()
-    counts = counted.where("n > 1")
-    common = counts.orderBy(F.desc("n"), "key").limit(hot).select("key", "n", "n_target").toArrow().sort_by("key")
-    key = common["key"].to_numpy().view(U64)
-    order = np.argsort(key)
-    shared = bitmap(counts.select("key"), counts.count(), MAP_BITS)
-    sent = context.broadcast((key[order], *[common[c].to_numpy()[order] for c in ("n", "n_target")], shared))
+    sent = rows.select(*KEY, "doc_id", "text", "target").mapInArrow(_packed(bits, flush, True), SENT_FORM)
+    found = sent.groupBy("kind", "bucket").applyInArrow(_answers, SENT_FORM + ", words long, tokens long, tokens_target long")
+    found = staged(found, "answers")
+    n, n_target, vocabulary = found.where(F.col("kind") == SUMS).agg(*[F.sum(c) for c in ("tokens", "tokens_target", "words")]).first()
     # Which count, and its scale: of two equal models without any target.
     ratio = (n_target or 0) / max(1, n or 0)
     scales = [(1, 1.0), (0, ratio)] if ratio else [(0, 1.0)] * 2
-    models = [(which, (scale, float((n, n_target)[which] or 0), vocabulary + 1)) for which, scale in scales]
-    scored = staged(rows.select(*KEY, "doc_id", "text", "target").mapInArrow(_scores(sent, models), FORM), "scored")
-    rest = scored.where("n_tokens IS NULL").select(*KEY, "target", *ASKS)
-    for k in ASKED:
-        rest = _joined(rest, counts, k)
-    parts = []
-    for name, (which, (scale, total, size)) in zip(("target", "background"), models, strict=True):
-        word, before, pair = (F.col(f"{('n', 'n_target')[which]}_{k}") * scale for k in ASKED)
-        single = (word + FLOOR) / (total * scale + FLOOR * size)
-        loss = -F.log2((pair + BACK_OFF * single) / (before + BACK_OFF))
-        parts.append(F.sum(F.rint(loss * PART).cast("long")).alias(f"{name}_rest"))
-    found = scored.where("n_tokens IS NOT NULL").drop(*ASKS, "target").join(rest.groupBy(*KEY).agg(*parts), KEY, "left")
-    means = [((F.col(f"{k}_part") + F.coalesce(f"{k}_rest", F.lit(0))) / F.lit(float(PART)) / F.nullif("n_tokens", F.lit(0))).alias(f"{k}_loss") for k in ("target", "background")]
+    models = [(which, (scale, float((n, n_target)[which] or 0), (vocabulary or 0) + 1)) for which, scale in scales]
+    found = found.where(F.col("kind") != SUMS).select("batch", "kind", "place", "keys", "n", "n_target", "docs")
+    found = found.groupBy("batch").applyInArrow(_scores(models), FORM)
+    means = [(F.col(f"{k}_part") / F.lit(float(PART)) / F.nullif("n_tokens", F.lit(0))).alias(f"{k}_loss") for k in ("target", "background")]
     return found.select(*KEY, "doc_id", "n_tokens", *means).withColumn("difference", F.col("target_loss") - F.col("background_loss"))
