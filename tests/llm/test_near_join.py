@@ -87,6 +87,24 @@ def test_pairs_near_the_threshold_do_not_grow_with_the_square_of_a_group(documen
     assert max(compared) <= 8 * len(pairs)
 
 
+def test_lists_with_the_same_members_go_to_a_task_once(spark, monkeypatch):
+    """Forty lists of a passage's holders, each without one of them, and ten that only share their smallest member."""
+    monkeypatch.setattr(near_join, "BLOCK_ROWS", 16)
+    lists = {sign: [x for x in range(41) if x != sign + 1] for sign in range(40)} | {100 + k: [500, 501 + k] for k in range(10)}
+    rows = [(sign, 9, x, 50, 1000 + x, min(own), len(own), 50 * len(own)) for sign, own in lists.items() for x in own]
+    rows = spark.createDataFrame(rows, "sign long, sizes long, id long, n long, label long, hub long, held long, sum long")
+    met = near_join._met(rows, rows.select("sign", "sizes", "hub", "held", "sum").distinct()).collect()
+    meet = {}
+    for r in met:
+        meet.setdefault(r["sign"], set()).add(r["id"])
+    for own in lists.values():
+        assert all(any({x, y} <= members for members in meet.values()) for x in own for y in own)
+    # Members are in as many blocks as there are chunks of 16 of all of them, not of each list.
+    assert len(met) == 3 * 41 + 20
+    # A block of many members is a task's work; lists of a hub that aren't one list are work of one task together.
+    assert len({(r["unit"], r["id"]) for r in met}) == 3 * 41 + 11
+
+
 def test_edge_rows(documents, speak):
     words = speak(30)
     pairs = [

@@ -12,8 +12,8 @@ classes that share two of their smallest tokens with one hub are compared with i
 where its holders are still in different components. Holders of a rare token are few and are compared with one another;
 holders of a combination are first compared with a hub, and then, if that leaves several components, with one another:
 small sketches of their sets prove most pairs too far apart, the others are compared exactly where they lie, unless links
-found before have joined them, so that a task only puts out links that join components; lists of very many holders are cut
-into blocks for that. So every link between two components is found, and what may be a link is compared exactly.
+found before have joined them, so that a task only puts out links that join components; lists with the same smallest holder go
+to one task, as one list where that is less work, and those of very many holders are cut into blocks. So every link between two components is found, and what may be a link is compared exactly.
 
 Null texts and texts without words have no shingles and link with nothing, not even with each other; their component is
 their own doc_id. Repeated rows and ids are linked by their texts alone. A component in which all doc_ids are null has a
@@ -49,6 +49,8 @@ BATCH_TOKENS = 2 << 20
 BUCKET_TOKENS = 2 << 20
 LIST_ROWS = 1 << 19
 BLOCK_ROWS = 4096
+#: The sets of a block's members take no more than what may be broadcast.
+BLOCK_BYTES = BROADCAST_BYTES
 BLOCK_PART_ROWS = 1 << 16
 BLOCK_PART_BYTES = 16 << 20
 #: So many pairs that were too far apart are remembered in a task.
@@ -383,113 +385,120 @@ def _combined(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[D
     to = components(staged(moved.select(F.col("from_a").alias("a"), F.col("from_b").alias("b")).distinct(), "moves"))
     to = small(staged(to.select(F.col("node").alias("label"), F.col("label").alias("to")), "to"), 32)
     rows = rows.select("sign", "sizes", "id", "n", "label").join(to, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
-    lists = rows.groupBy("sign", "sizes").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held"))
-    lists = staged(lists.where("low != high").select("sign", "sizes", F.ceil(F.col("held") / BLOCK_ROWS).alias("chunks")), "open-lists")
-    rows = staged(rows.join(small(lists, 32), ["sign", "sizes"]), "open")
+    lists = rows.groupBy("sign", "sizes").agg(F.min("id").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("sum"))
+    lists = staged(lists.where("low != high").select("sign", "sizes", "hub", "held", "sum"), "open-lists")
+    rows = staged(rows.join(small(lists, 48), ["sign", "sizes"]), "open")
     wanted = staged(classes.join(rows.select("id").distinct(), "id").select(*KEY, "id", "class"), "wanted")
     found = docs.join(small(wanted, 96), KEY).select("id", "class", "text")
     found = staged(found.mapInArrow(_texts_as_own, "id long, class binary, tokens binary"), "own-sets")
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.least(chunk, c).alias("x"), F.greatest(chunk, c).alias("y")))
-    rows = rows.withColumn("block", F.explode(block)).select(F.xxhash64("sign", "sizes", "block").alias("sign"), "id", "label", "n")
-    many, held = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
-    size = found.agg(F.sum(F.length("tokens") + 64)).first()[0] or 0
-    form = "a binary, b binary"
-    # The sets are sent to all tasks where they fit the bound, else each goes once along with each part of the lists.
-    if size <= BROADCAST_BYTES:
-        table = found.toArrow()
-        sent = docs.sparkSession.sparkContext.broadcast(list(zip(*(table[c].to_pylist() for c in ("id", "class", "tokens")), strict=True)))
-        parts = max(1, many // BLOCK_PART_ROWS)
-        return star, rows.select("sign", "id", "label").repartition(parts, "sign").mapInArrow(_near_links(sent), form)
+    met = staged(_met(rows, lists), "met")
+    many, held = met.agg(F.count(F.lit(1))).first()[0], met.select("unit", "id", "n").distinct().agg(F.sum("n")).first()[0]
     parts = max(1, many // BLOCK_PART_ROWS, 8 * (held or 0) // BLOCK_PART_BYTES)
-    rows = rows.select(F.pmod(F.xxhash64("sign"), F.lit(parts)).alias("part"), "sign", "id", "label")
-    sets = rows.select("part", "id").distinct().join(found, "id").select("part", "id", "class", "tokens")
-    return star, rows.unionByName(sets, allowMissingColumns=True).repartition(parts, "part").mapInArrow(_near_links(None), form)
+    met = met.select(F.pmod(F.xxhash64("unit"), F.lit(parts)).alias("part"), "sign", "id", "label")
+    sets = met.select("part", "id").distinct().join(found, "id").select("part", "id", "class", "tokens")
+    return star, met.unionByName(sets, allowMissingColumns=True).repartition(parts, "part").mapInArrow(_near_links, "a binary, b binary")
 
 
-def _near_links(sent):
-    """Of a partition by list: links of members in different components, exactly. Members that links of this task have joined aren't compared.
+def _met(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """Who meets whom: members (sign, id, label, n) of open lists cut into blocks, and ``unit``, equal for what shares members.
 
-    ``sent``: id, class and set of all members, or None if rows without a list have them.
+    Lists that share members mostly share the smallest too, their hub: what many texts repeat makes hundreds of lists of nearly
+    the same holders. Lists of a hub become one of all their members if that takes fewer comparisons than each on its own. It
+    has pairs that share no list as well; what of them is a link is one whichever way it is found. Else they are only dealt to one
+    task, so that their sets go there once.
     """
+    of = ["hub", "sizes"]
+    members = staged(rows.select(*of, "id", "n", "label").distinct(), "members-of-hubs")
+    met = members.groupBy(*of).agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("all"))
+    met = met.join(lists.groupBy(*of).agg(F.sum(F.col("held") * F.col("held")).alias("work")), of)
+    met = staged(met.select(*of, "many", "all", (F.col("many") * F.col("many") <= F.col("work")).alias("whole")), "hubs-met")
+    chunks = lambda n, size: F.greatest(F.ceil(F.col(n) / BLOCK_ROWS), F.ceil(8 * F.col(size) / BLOCK_BYTES)).alias("chunks")
+    whole = members.join(met.where("whole"), of).select(*of, F.lit(None).cast("long").alias("sign"), "id", "n", "label", chunks("many", "all"))
+    each = rows.join(met.where("NOT whole"), of).select(*of, "sign", "id", "n", "label", chunks("held", "sum"))
+    rows = whole.unionByName(each)
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
+    block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.least(chunk, c).alias("x"), F.greatest(chunk, c).alias("y")))
+    rows = rows.withColumn("block", F.explode(block))
+    return rows.select(F.xxhash64(*of, "block").alias("unit"), F.xxhash64("sign", *of, "block").alias("sign"), "id", "label", "n")
 
-    def run(batches):
-        signs, labels, ids, named, sets, sketches = [], [], [], {}, {}, {}
 
-        def known(rows):
-            for x, name, own in rows:
-                if name not in sets:
-                    sets[name] = np.frombuffer(own, U64)
-                    named.setdefault(x, []).append(name)
+def _near_links(batches):
+    """Of a partition by unit: links of members of a list in different components, exactly. Members that links of this task have joined aren't compared.
 
-        known(sent.value if sent else [])
-        for batch in batches:
-            if not sent:
-                own = batch.filter(pc.is_valid(batch.column("tokens")))
-                known(zip(*(own.column(c).to_pylist() for c in ("id", "class", "tokens")), strict=True))
-                batch = batch.filter(pc.is_valid(batch.column("sign")))
-            for held, c in ((signs, "sign"), (labels, "label"), (ids, "id")):
-                held.append(batch.column(c).to_numpy())
-        if not signs:
-            return
-        sign, label, rows, joined, apart, found = np.concatenate(signs), np.concatenate(labels), np.concatenate(ids), {}, set(), []
-        # Classes of one id, of which there may be several, are members each.
-        many = np.array([len(named[x]) for x in rows.tolist()], np.int64)
-        names = [name for x in rows.tolist() for name in named[x]]
-        sign, label = np.repeat(sign, many), np.repeat(label, many)
-
-        def root(x: int) -> int:
-            while (up := joined.get(x, x)) != x:
-                joined[x] = x = joined.get(up, up)
-            return x
-
-        def linked(a: bytes, b: bytes) -> bool:
-            pair = (a, b) if a < b else (b, a)
-            if pair in apart:
-                return False
-            n = len(sets[a]) + len(sets[b])
-            both = n - len(np.unique(np.concatenate((sets[a], sets[b]))))
-            if 100 * both >= PERCENT * (n - both):
-                return True
-            if len(apart) >= KNOWN_APART:
-                apart.clear()
-            apart.add(pair)
-            return False
+    Rows without a list have id, class and set of all members.
+    """
+    signs, labels, ids, named, sets, sketches = [], [], [], {}, {}, {}
 
-        sizes = np.array([len(sets[name]) for name in names], np.int64)
-        order = np.lexsort((sizes, sign))
-        sign = sign[order]
-        heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
-        for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-            # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
-            own, size = [names[k] for k in order[i:j]], sizes[order[i:j]]
-            of = np.array([root(x) for x in label[order[i:j]].tolist()], np.int64)
-            # Members of the commonest component need no comparison with each other, so the others are compared with all.
-            roots, which, times = np.unique(of, return_inverse=True, return_counts=True)
-            if len(roots) < 2:
-                continue
-            for name in own:
-                if name not in sketches:
-                    sketches[name] = np.frombuffer(_sketch(sets[name]), U64)
-            table = np.stack([np.bitwise_or.reduce(sketches[name].reshape(-1, len(sketches[own[0]])), axis=0) for name in own])
-            for k in np.flatnonzero(which != times.argmax()).tolist():
-                fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
-                other = np.flatnonzero(of[fit] != of[k]) + fit.start
-                most = np.minimum(
-                    size[k] - np.bitwise_count(table[k] & ~table[other]).sum(1, dtype=np.int64),
-                    size[other] - np.bitwise_count(table[other] & ~table[k]).sum(1, dtype=np.int64),
-                )
-                near = np.flatnonzero(100 * most >= PERCENT * (size[k] + size[other] - most))
-                for m in other[near[np.argsort(-most[near], kind="stable")]].tolist():
-                    if of[m] != of[k] and linked(own[k], own[m]):
-                        found.append((own[k], own[m]))
-                        gone, to = int(of[k]), int(of[m])
-                        joined[gone] = to
-                        of[of == gone] = to
-        for i in range(0, len(found), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found[i : i + (1 << 16)], strict=True)], ["a", "b"])
+    def known(rows):
+        for x, name, own in rows:
+            if name not in sets:
+                sets[name] = np.frombuffer(own, U64)
+                named.setdefault(x, []).append(name)
 
-    return run
+    for batch in batches:
+        own = batch.filter(pc.is_valid(batch.column("tokens")))
+        known(zip(*(own.column(c).to_pylist() for c in ("id", "class", "tokens")), strict=True))
+        batch = batch.filter(pc.is_valid(batch.column("sign")))
+        for held, c in ((signs, "sign"), (labels, "label"), (ids, "id")):
+            held.append(batch.column(c).to_numpy())
+    if not signs:
+        return
+    sign, label, rows, joined, apart, found = np.concatenate(signs), np.concatenate(labels), np.concatenate(ids), {}, set(), []
+    # Classes of one id, of which there may be several, are members each.
+    many = np.array([len(named[x]) for x in rows.tolist()], np.int64)
+    names = [name for x in rows.tolist() for name in named[x]]
+    sign, label = np.repeat(sign, many), np.repeat(label, many)
+
+    def root(x: int) -> int:
+        while (up := joined.get(x, x)) != x:
+            joined[x] = x = joined.get(up, up)
+        return x
+
+    def linked(a: bytes, b: bytes) -> bool:
+        pair = (a, b) if a < b else (b, a)
+        if pair in apart:
+            return False
+        n = len(sets[a]) + len(sets[b])
+        both = n - len(np.unique(np.concatenate((sets[a], sets[b]))))
+        if 100 * both >= PERCENT * (n - both):
+            return True
+        if len(apart) >= KNOWN_APART:
+            apart.clear()
+        apart.add(pair)
+        return False
+
+    sizes = np.array([len(sets[name]) for name in names], np.int64)
+    order = np.lexsort((sizes, sign))
+    sign = sign[order]
+    heads = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1], [True])))
+    for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+        # In order of size, so that what fits is near; sketches of a run are folded to the shortest of it.
+        own, size = [names[k] for k in order[i:j]], sizes[order[i:j]]
+        of = np.array([root(x) for x in label[order[i:j]].tolist()], np.int64)
+        # Members of the commonest component need no comparison with each other, so the others are compared with all.
+        roots, which, times = np.unique(of, return_inverse=True, return_counts=True)
+        if len(roots) < 2:
+            continue
+        for name in own:
+            if name not in sketches:
+                sketches[name] = np.frombuffer(_sketch(sets[name]), U64)
+        table = np.stack([np.bitwise_or.reduce(sketches[name].reshape(-1, len(sketches[own[0]])), axis=0) for name in own])
+        # Bits that only one has: its own less those of both.
+        bits = np.bitwise_count(table).sum(1, dtype=np.int64)
+        for k in np.flatnonzero(which != times.argmax()).tolist():
+            fit = slice(np.searchsorted(size, -(-PERCENT * size[k] // 100)), np.searchsorted(size, 100 * size[k] // PERCENT, "right"))
+            other = np.flatnonzero(of[fit] != of[k]) + fit.start
+            both = np.bitwise_count(table[k] & table[other]).sum(1, dtype=np.int64)
+            most = np.minimum(size[k] - bits[k], size[other] - bits[other]) + both
+            near = np.flatnonzero(100 * most >= PERCENT * (size[k] + size[other] - most))
+            for m in other[near[np.argsort(-most[near], kind="stable")]].tolist():
+                if of[m] != of[k] and linked(own[k], own[m]):
+                    found.append((own[k], own[m]))
+                    gone, to = int(of[k]), int(of[m])
+                    joined[gone] = to
+                    of[of == gone] = to
+    for i in range(0, len(found), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found[i : i + (1 << 16)], strict=True)], ["a", "b"])
 
 
 def _id(column: str = "class") -> Column:
